@@ -3,4 +3,6 @@ from cadence.functions.columns import (  # noqa: F401
     is_weekend,
     safe_ratio,
 )
-from cadence.functions.ordered import running_totals, global_row_number  # noqa: F401
+from cadence.functions.ordered import (  # noqa: F401
+    exact_quantiles, global_row_number, quantile_row, running_totals,
+)

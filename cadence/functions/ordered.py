@@ -54,3 +54,51 @@ def running_totals(df: DataFrame, order: list[Column], sum_cols: list[str],
 def global_row_number(df: DataFrame, order: list[Column], col: str = "row_no") -> DataFrame:
     """1-based row number in a global (total) order, distributed."""
     return running_totals(df, order, [], row_number_col=col)
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas' default) of several
+    columns, NULLs skipped. Returns one row per (column, prob):
+    ``(column, prob, n, value)``.
+
+    Distributed: the columns are unpivoted to ``(column, v)``, globally ranked
+    by one range-partitioned sort (``running_totals``), and only the two rows
+    bracketing each requested position are picked with a broadcast join on
+    the rank. No task ever holds a whole column."""
+    spark = df.sparkSession
+    long = (df.select(F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                for c in cols])).alias("_s"))
+              .select("_s.column", "_s.v").where(F.col("v").isNotNull()))
+    counts = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("column", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
+    pos = F.col("prob") * (F.col("n") - 1)
+    targets = (starts.crossJoin(pr)
+               .withColumn("lo", F.floor(pos).cast("long"))
+               .withColumn("hi", F.ceil(pos).cast("long"))
+               .withColumn("frac", pos - F.floor(pos))
+               .withColumn("lo_rn", F.col("start") + F.col("lo") + 1)
+               .withColumn("hi_rn", F.col("start") + F.col("hi") + 1))
+    ranked = running_totals(long, [F.col("column").asc(), F.col("v").asc()], [],
+                            row_number_col="rn").select("rn", "v")
+    lo = ranked.withColumnRenamed("rn", "lo_rn").withColumnRenamed("v", "v_lo")
+    hi = ranked.withColumnRenamed("rn", "hi_rn").withColumnRenamed("v", "v_hi")
+    t = F.broadcast(targets)
+    picked_lo = lo.join(t.select("column", "prob", "lo_rn"), "lo_rn")
+    picked_hi = hi.join(t.select("column", "prob", "hi_rn"), "hi_rn")
+    out = (targets.join(picked_lo.select("column", "prob", "v_lo"), ["column", "prob"], "left")
+                  .join(picked_hi.select("column", "prob", "v_hi"), ["column", "prob"], "left"))
+    return out.select("column", "prob", "n",
+                      (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
+
+
+def quantile_row(df: DataFrame, specs: dict[str, tuple[str, float]]) -> DataFrame:
+    """One-row frame ``{alias: quantile(column, prob)}`` for broadcast use."""
+    cols = sorted({c for c, _ in specs.values()})
+    probs = sorted({p for _, p in specs.values()})
+    qs = exact_quantiles(df, cols, probs)
+    aggs = [F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))),
+                         F.col("value"))).alias(a) for a, (c, p) in specs.items()]
+    return qs.agg(*aggs)

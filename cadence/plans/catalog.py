@@ -57,9 +57,103 @@ def target_feature_queries() -> dict[str, Query]:
     }
 
 
+# ---------------------------------------------------------------- quality, split, prep
+from pyspark.sql import functions as F  # noqa: E402
+
+from cadence.config import FeatureSpec, SplitSpec  # noqa: E402
+from cadence.operators import prep as P  # noqa: E402
+from cadence.operators import quality as Q  # noqa: E402
+from cadence.operators import split as S  # noqa: E402
+from cadence.operators.features import tx_feature_columns  # noqa: E402
+from cadence.session import materialize  # noqa: E402
+from cadence.sources import customers, raw_transactions, read_table  # noqa: E402
+
+
+def _key_profile(spark, d):
+    return Q.key_profile(customers(spark, d), raw_transactions(spark, d, ORDERS_MAPPING))
+
+
+def _events_enriched(spark, d):
+    ev = read_table(spark, d, "events").groupBy(F.col("user_id").alias("customer_id")).agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    return customers(spark, d).join(ev, "customer_id", "left")
+
+
+def _null_profile(spark, d):
+    return Q.null_profile(_events_enriched(spark, d))
+
+
+def _orphans(m):
+    return lambda spark, d: Q.orphan_counts(customers(spark, d), raw_transactions(spark, d, m))
+
+
+def _clean_customers(spark, d):
+    return Q.clean_customers(customers(spark, d), holdout=("sanity_score",))
+
+
+def _sanity(spark, d):
+    return round_doubles(Q.sanity_holdout(customers(spark, d), "sanity_score"))
+
+
+def split_frame(spark, d, method="hash"):
+    """Orders mart with the 60/20/20 split column."""
+    return S.assign_split(mart(spark, d, ORDERS_MAPPING), SplitSpec(), label="future_disengaged",
+                          method=method)
+
+
+def full_frame(spark, d):
+    """Full setup rows: mart (features + labels + split) joined with the
+    cleaned customer attributes (F-19 / J-3)."""
+    cust = Q.clean_customers(customers(spark, d), holdout=("sanity_score",))
+    return split_frame(spark, d).join(cust, "customer_id", "inner")
+
+
+def _split(method):
+    return lambda spark, d: split_frame(spark, d, method).select("customer_id", "split")
+
+
+def _split_profile(spark, d):
+    return round_doubles(S.split_profile(split_frame(spark, d), "future_disengaged"))
+
+
+def _holdout(spark, d):
+    return S.holdout_split(customers(spark, d).select("customer_id"), 42, 20)
+
+
+def fit_full_preprocessor(df):
+    spec = FeatureSpec()
+    numeric = list(spec.numeric) + tx_feature_columns(ORDERS_MAPPING.types)
+    return P.fit_preprocessor(df.where(F.col("split") == "train"), numeric,
+                              dict(spec.ordinal), list(spec.nominal))
+
+
+def _preprocess(spark, d):
+    df = materialize(full_frame(spark, d))
+    pre = fit_full_preprocessor(df)
+    return round_doubles(pre.transform(df, keep=["customer_id", "split"]))
+
+
+def quality_split_queries() -> dict[str, Query]:
+    return {
+        "q1_q2_key_profile": _key_profile,
+        "q3_null_profile": _null_profile,
+        "q4_orphans_orders": _orphans(ORDERS_MAPPING),
+        "q4_orphans_events": _orphans(EVENTS_MAPPING),
+        "q5_q7_clean_customers": _clean_customers,
+        "q8_sanity_holdout": _sanity,
+        "p1_split_hash": _split("hash"),
+        "p1_split_exact": _split("exact"),
+        "p2_split_profile": _split_profile,
+        "p3_holdout_split": _holdout,
+        "p4_p9_preprocess_full": _preprocess,
+    }
+
+
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(target_feature_queries())
+    out.update(quality_split_queries())
     return out
 
 

@@ -45,3 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         shared = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(shared)
     return sc.getCheckpointDir() or shared
+
+
+def materialize(df):
+    """Cut lineage of a frame that several jobs reuse: a reliable checkpoint
+    in the session's shared checkpoint folder (survives executor loss)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

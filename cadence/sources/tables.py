@@ -47,6 +47,17 @@ def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
     )
 
 
+def raw_transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> DataFrame:
+    """The whole log mapped to (customer_id, date, type, amount), no window."""
+    src = read_table(spark, sf_dir, mapping.table)
+    return src.select(
+        F.col(mapping.customer_id).cast("long").alias("customer_id"),
+        F.to_date(F.col(mapping.date)).alias("date"),
+        F.col(mapping.type).cast("string").alias("type"),
+        F.col(mapping.amount).cast("double").alias("amount"),
+    )
+
+
 def income_bracket(balance: Column) -> Column:
     """Ordinal stand-in: fixed cuts of the account balance."""
     lo, mid, hi = INCOME_CUTS

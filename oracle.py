@@ -172,7 +172,122 @@ def target_feature_sql() -> dict[str, str]:
     }
 
 
+
+
+# ---------------------------------------------------------------- quality, split, prep
+def income_sql(col: str = "c_acctbal") -> str:
+    lo, mid, hi = INCOME_CUTS
+    return (f"CASE WHEN {col} IS NULL THEN NULL WHEN {col} < {lo}e0 THEN 'Low' "
+            f"WHEN {col} < {mid}e0 THEN 'Medium' WHEN {col} < {hi}e0 THEN 'High' "
+            f"ELSE 'Very High' END")
+
+
+CUST_CTE = f"""cust AS (
+  SELECT CAST(c_custkey AS BIGINT) AS customer_id, CAST(c_acctbal AS DOUBLE) AS c_acctbal,
+         CAST(c_nationkey AS INTEGER) AS c_nationkey, c_mktsegment,
+         {income_sql()} AS income_bracket,
+         (c_acctbal + 1000e0) / 11000e0 AS sanity_score
+  FROM customer)"""
+
+
+def hash_bucket_sql(key: str, seed: int = 42) -> str:
+    return f"((('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT) % 100)"
+
+
+def split_case(b: str, s: SplitSpec = SplitSpec()) -> str:
+    return (f"CASE WHEN {b} < {s.train_pct} THEN 'train' WHEN {b} < {s.train_pct + s.val_pct} "
+            f"THEN 'val' ELSE 'test' END")
+
+
+def split_ctes() -> str:
+    """``mart``, ``cust``, ``sp`` (mart + split) and ``full_rows``."""
+    return f"""{mart_ctes(ORDERS_MAPPING)},
+{CUST_CTE},
+sp AS (SELECT *, {split_case(hash_bucket_sql('customer_id'))} AS split FROM mart),
+full_rows AS (SELECT sp.*, c.c_acctbal, c.c_nationkey, c.c_mktsegment, c.income_bracket
+              FROM sp JOIN cust c USING (customer_id))"""
+
+
+def quality_split_sql() -> dict[str, str]:
+    o, e = ORDERS_MAPPING, EVENTS_MAPPING
+    ev_enriched = f"""WITH {CUST_CTE},
+ev AS (SELECT user_id AS customer_id, count(*) AS n_events, sum(value) AS total_value,
+              min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY user_id),
+j AS (SELECT * FROM cust LEFT JOIN ev USING (customer_id))"""
+    null_cols = ["customer_id", "c_acctbal", "c_nationkey", "c_mktsegment", "income_bracket",
+                 "sanity_score", "n_events", "total_value", "first_ts", "last_ts"]
+    null_union = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) - count({c}) AS n_null, count(*) AS n FROM j"
+        for c in null_cols)
+
+    def orphans(m):
+        return f"""WITH ck AS (SELECT DISTINCT c_custkey AS k FROM customer),
+tk AS (SELECT DISTINCT {m.customer_id} AS k FROM {m.table} WHERE {m.customer_id} IS NOT NULL)
+SELECT (SELECT count(*) FROM ck WHERE k NOT IN (SELECT k FROM tk)) AS orphans_cust_to_tx,
+       (SELECT count(*) FROM tk WHERE k NOT IN (SELECT k FROM ck)) AS orphans_tx_to_cust"""
+
+    exact = f"""WITH {split_ctes()},
+r AS (SELECT customer_id, future_disengaged,
+        row_number() OVER (PARTITION BY future_disengaged
+          ORDER BY ('0x' || substr(md5('42:' || CAST(customer_id AS VARCHAR)), 1, 8))::BIGINT,
+                   customer_id) - 1 AS pos,
+        count(*) OVER (PARTITION BY future_disengaged) AS nc
+      FROM mart)
+SELECT customer_id, CASE WHEN pos / nc < 0.6e0 THEN 'train' WHEN pos / nc < 0.8e0 THEN 'val'
+                         ELSE 'test' END AS split FROM r"""
+    return {
+        "q1_q2_key_profile": f"""SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS n_cust_unique,
+  (SELECT count(DISTINCT {o.customer_id}) FROM {o.table}) AS n_tx_unique,
+  (SELECT count(*) - count(DISTINCT c_custkey) FROM customer) AS n_duplicated""",
+        "q3_null_profile": f"""{ev_enriched}
+SELECT column_name, n_null, round(n_null * 100e0 / n, 1) AS pct FROM ({null_union}) AS u WHERE n_null > 0""",
+        "q4_orphans_orders": orphans(o),
+        "q4_orphans_events": orphans(e),
+        "q5_q7_clean_customers": f"WITH {CUST_CTE} SELECT customer_id, c_acctbal, c_nationkey, "
+                                 f"c_mktsegment, income_bracket FROM cust",
+        "q8_sanity_holdout": rounded(f"WITH {CUST_CTE} SELECT customer_id, sanity_score FROM cust",
+                                     ["sanity_score"]),
+        "p1_split_hash": f"WITH {split_ctes()} SELECT customer_id, split FROM sp",
+        "p1_split_exact": exact,
+        "p2_split_profile": rounded(f"""WITH {split_ctes()}
+SELECT split, count(*) AS n, avg(CAST(future_disengaged AS DOUBLE)) AS pos_rate FROM sp GROUP BY split""",
+                                    ["pos_rate"]),
+        "p3_holdout_split": f"""SELECT CAST(c_custkey AS BIGINT) AS customer_id,
+  CASE WHEN {hash_bucket_sql('c_custkey')} < 80 THEN 'train' ELSE 'test' END AS split FROM customer""",
+        "p4_p9_preprocess_full": preprocess_sql(),
+    }
+
+
+SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+
+
+def preprocess_sql() -> str:
+    numeric = ["c_acctbal", "c_nationkey"] + tx_feature_columns(ORDERS_MAPPING.types)
+    med = ", ".join(f"median({c}) AS md_{i}" for i, c in enumerate(numeric))
+    imp = ", ".join(f"coalesce({c}, s1.md_{i}) AS {c}" for i, c in enumerate(numeric))
+    mom = ", ".join(f"avg({c}) AS mu_{i}, stddev_pop({c}) AS sd_{i}" for i, c in enumerate(numeric))
+    num_out = ", ".join(
+        f"(coalesce(f.{c}, s1.md_{i}) - s2.mu_{i}) / CASE WHEN s2.sd_{i} IS NULL OR s2.sd_{i} < 2.220446049250313e-15 "
+        f"THEN 1e0 ELSE s2.sd_{i} END AS {c}" for i, c in enumerate(numeric))
+    ordinal = ("CASE f.income_bracket WHEN 'Low' THEN 0e0 WHEN 'Medium' THEN 1e0 WHEN 'High' THEN 2e0 "
+               "WHEN 'Very High' THEN 3e0 ELSE -1e0 END AS income_bracket")
+    nominal = ", ".join(
+        f"CAST(coalesce(f.c_mktsegment, md.mode) = '{v}' AS DOUBLE) AS c_mktsegment_{v}"
+        for v in SEGMENTS[1:])
+    out_cols = numeric + ["income_bracket"] + [f"c_mktsegment_{v}" for v in SEGMENTS[1:]]
+    return rounded(f"""WITH {split_ctes()},
+tr AS (SELECT * FROM full_rows WHERE split = 'train'),
+s1 AS (SELECT {med} FROM tr),
+tri AS (SELECT {imp} FROM tr, s1),
+s2 AS (SELECT {mom} FROM tri),
+md AS (SELECT c_mktsegment AS mode FROM tr WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment
+       ORDER BY count(*) DESC, c_mktsegment ASC LIMIT 1)
+SELECT f.customer_id, f.split, {num_out}, {ordinal}, {nominal}
+FROM full_rows f, s1, s2, md""", out_cols)
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(target_feature_sql())
+    out.update(quality_split_sql())
     return out
