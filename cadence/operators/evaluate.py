@@ -164,17 +164,20 @@ def classification_report(df: DataFrame, threshold: float, label: str = "label",
     s1, s0 = tp + fn, tn + fp
     n = s0 + s1
     acc = _ratio(tp + tn, n)
-    rows = c.select(
-        F.array(
-            F.struct(F.lit("0").alias("class"), p0.alias("precision"), r0.alias("recall"),
-                     f0.alias("f1"), s0.alias("support")),
-            F.struct(F.lit("1"), p1, r1, f1, s1),
-            F.struct(F.lit("accuracy"), F.lit(None).cast("double"), F.lit(None).cast("double"),
-                     acc, n),
-            F.struct(F.lit("macro avg"), (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n),
-            F.struct(F.lit("weighted avg"), _ratio(p0 * s0 + p1 * s1, n),
-                     _ratio(r0 * s0 + r1 * s1, n), _ratio(f0 * s0 + f1 * s1, n), n),
-        ).alias("r"))
+    names = ["class", "precision", "recall", "f1", "support"]
+
+    def row(*vals):
+        return F.struct(*[v.alias(n) for v, n in zip(vals, names)])
+
+    none = F.lit(None).cast("double")
+    rows = c.select(F.array(
+        row(F.lit("0"), p0, r0, f0, s0),
+        row(F.lit("1"), p1, r1, f1, s1),
+        row(F.lit("accuracy"), none, none, acc, n),
+        row(F.lit("macro avg"), (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n),
+        row(F.lit("weighted avg"), _ratio(p0 * s0 + p1 * s1, n), _ratio(r0 * s0 + r1 * s1, n),
+            _ratio(f0 * s0 + f1 * s1, n), n),
+    ).alias("r"))
     return rows.select(F.explode("r").alias("r")).select("r.*")
 
 

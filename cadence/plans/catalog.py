@@ -154,6 +154,8 @@ def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
     out.update(target_feature_queries())
     out.update(quality_split_queries())
+    from cadence.plans.catalog_eval import evaluation_queries
+    out.update(evaluation_queries())
     return out
 
 

@@ -286,8 +286,172 @@ SELECT f.customer_id, f.split, {num_out}, {ordinal}, {nominal}
 FROM full_rows f, s1, s2, md""", out_cols)
 
 
+
+
+# ---------------------------------------------------------------- evaluation
+EPS10 = "2.220446049250313e-15"
+
+
+def mm(col: str, src: str | None = None) -> str:
+    """min-max over all rows of the CTE (constant -> 0)."""
+    x = src or col
+    return (f"CASE WHEN max({x}) OVER () - min({x}) OVER () < {EPS10} THEN 0e0 "
+            f"ELSE ({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) END")
+
+
+def standin_ctes() -> str:
+    return f"""{split_ctes()},
+st AS (SELECT *, {mm('s_recency', 'tx_recency')} AS s_recency, {mm('s_gap', 'tx_max_gap')} AS s_gap,
+              {mm('s_late', 'tx_late_ratio')} AS s_late, {mm('s_freq', 'tx_freq')} AS s_freq
+       FROM sp)"""
+
+
+def scored_cte(name: str = "sc", split: str = "test", score: str = "s_recency") -> str:
+    return (f"{name} AS (SELECT customer_id, future_disengaged AS label, {score} AS score "
+            f"FROM st WHERE split = '{split}')")
+
+
+def rank_sql(sc: str = "sc") -> str:
+    return f"""SELECT CAST(sum(pos + neg) AS BIGINT) AS n, CAST(sum(pos) AS BIGINT) AS n_pos,
+  CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(neg * ((cum_pos - pos) + pos / 2e0)) / (sum(pos) * sum(neg)) END AS roc_auc,
+  CASE WHEN sum(pos) > 0 THEN sum(pos * (cum_pos / (cum_pos + cum_neg))) / sum(pos) END AS pr_auc
+FROM (SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+             sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg
+      FROM (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM {sc} GROUP BY score) AS t) AS c"""
+
+
+def prf_sql(tp: str, fp: str, fn: str) -> str:
+    return (f"CASE WHEN {tp} + {fp} > 0 THEN {tp} / ({tp} + {fp}) ELSE 0e0 END AS precision, "
+            f"CASE WHEN {tp} + {fn} > 0 THEN {tp} / ({tp} + {fn}) ELSE 0e0 END AS recall, "
+            f"CASE WHEN 2 * {tp} + {fp} + {fn} > 0 THEN 2 * {tp} / (2 * {tp} + {fp} + {fn}) ELSE 0e0 END AS f1")
+
+
+def counts_sql(sc: str, t: str) -> str:
+    return f"""SELECT count(*) FILTER (WHERE score >= {t} AND label = 1) AS tp,
+  count(*) FILTER (WHERE score >= {t} AND label <> 1) AS fp,
+  count(*) FILTER (WHERE score < {t} AND label = 1) AS fn,
+  count(*) FILTER (WHERE score < {t} AND label <> 1) AS tn FROM {sc}"""
+
+
+def threshold_sql(sc: str, t: float) -> str:
+    return (f"SELECT {t}e0 AS threshold, {prf_sql('tp', 'fp', 'fn')}, tp + fp AS n_flagged "
+            f"FROM ({counts_sql(sc, f'{t}e0')}) AS k")
+
+
+def top_decile_sql(sc: str = "sc") -> str:
+    return f"""SELECT k, top_pos / k AS precision_at_k, top_pos / greatest(n_pos, 1) AS recall_at_k,
+  (top_pos / k) / greatest(n_pos / n, 1e-9) AS lift_top_decile
+FROM (SELECT n, n_pos, k, coalesce((SELECT sum(label) FROM r WHERE rn <= k), 0) AS top_pos
+      FROM (SELECT count(*) AS n, sum(label) AS n_pos, greatest(count(*) // 10, 1) AS k FROM {sc}) AS a) AS b"""
+
+
+def sweep_sql(sc: str) -> str:
+    return f"""SELECT m / 100e0 AS threshold, {prf_sql('tp', 'fp', 'fn')}
+FROM (SELECT m, count(*) FILTER (WHERE score >= m / 100e0 AND label = 1) AS tp,
+             count(*) FILTER (WHERE score >= m / 100e0 AND label <> 1) AS fp,
+             count(*) FILTER (WHERE score < m / 100e0 AND label = 1) AS fn
+      FROM range(5, 96) AS th(m), {sc} GROUP BY m) AS s"""
+
+
+METRIC_COLS = ["roc_auc", "pr_auc", "brier", "f1", "precision", "recall", "precision_at_k",
+               "recall_at_k", "lift_top_decile"]
+
+
+def eval_row_sql(sc: str) -> str:
+    return f"""SELECT rk.roc_auc, rk.pr_auc, br.brier, th.f1, th.precision, th.recall,
+  td.precision_at_k, td.recall_at_k, td.lift_top_decile
+FROM ({rank_sql(sc)}) AS rk, (SELECT avg(power(score - label, 2)) AS brier FROM {sc}) AS br,
+     ({threshold_sql(sc, 0.5)}) AS th,
+     ({top_decile_sql(sc).replace(' FROM r WHERE', f' FROM (SELECT label, row_number() OVER (ORDER BY score DESC, customer_id ASC) AS rn FROM {sc}) AS r WHERE')}) AS td"""
+
+
+GRID = [("Full", "recency", "s_recency"), ("Full", "gap", "s_gap"),
+        ("Tx-strict", "recency", "s_recency"), ("Tx-strict", "freq", "s_freq")]
+
+
+def grid_sql() -> str:
+    ctes = ",\n".join(scored_cte(f"g{i}", "test", s) for i, (_, _, s) in enumerate(GRID))
+    rows = " UNION ALL ".join(f"SELECT '{a}' AS setup, '{m}' AS model, * FROM ({eval_row_sql(f'g{i}')}) AS e{i}"
+                              for i, (a, m, _) in enumerate(GRID))
+    return f"WITH {standin_ctes()},\n{ctes}\n{rows}"
+
+
+def evaluation_sql() -> dict[str, str]:
+    base = f"WITH {standin_ctes()},\n{scored_cte()},\n{scored_cte('va', 'val')}"
+    rk = f"{base},\nr AS (SELECT label, row_number() OVER (ORDER BY score DESC, customer_id ASC) AS rn FROM sc)"
+    best = f"(SELECT threshold FROM ({sweep_sql('va')}) AS s ORDER BY f1 DESC, threshold ASC LIMIT 1)"
+    report = f"""{base},
+k AS ({counts_sql('sc', best)}),
+m AS (SELECT tp, fp, fn, tn, tp + fn AS s1, tn + fp AS s0, tp + fn + tn + fp AS n,
+        CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0e0 END AS p1,
+        CASE WHEN tp + fn > 0 THEN tp / (tp + fn) ELSE 0e0 END AS r1,
+        CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / (2 * tp + fp + fn) ELSE 0e0 END AS f1,
+        CASE WHEN tn + fn > 0 THEN tn / (tn + fn) ELSE 0e0 END AS p0,
+        CASE WHEN tn + fp > 0 THEN tn / (tn + fp) ELSE 0e0 END AS r0,
+        CASE WHEN 2 * tn + fn + fp > 0 THEN 2 * tn / (2 * tn + fn + fp) ELSE 0e0 END AS f0 FROM k)
+SELECT '0' AS class, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM m
+UNION ALL SELECT '1', p1, r1, f1, s1 FROM m
+UNION ALL SELECT 'accuracy', NULL, NULL, CASE WHEN n > 0 THEN (tp + tn) / n ELSE 0e0 END, n FROM m
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM m
+UNION ALL SELECT 'weighted avg', CASE WHEN n > 0 THEN (p0 * s0 + p1 * s1) / n ELSE 0e0 END,
+  CASE WHEN n > 0 THEN (r0 * s0 + r1 * s1) / n ELSE 0e0 END,
+  CASE WHEN n > 0 THEN (f0 * s0 + f1 * s1) / n ELSE 0e0 END, n FROM m"""
+    cm = f"""{base}
+SELECT a.actual, a.predicted, coalesce(c.n, 0) AS n
+FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS a(actual, predicted)
+LEFT JOIN (SELECT CAST(label AS INTEGER) AS actual, CAST(score >= 0.5e0 AS INTEGER) AS predicted,
+                  count(*) AS n FROM sc GROUP BY 1, 2) AS c USING (actual, predicted)"""
+    sanity = f"""{base},
+j AS (SELECT sc.*, cust.sanity_score FROM sc JOIN cust USING (customer_id)),
+je AS (SELECT customer_id, label, sanity_score AS score FROM j)
+SELECT (SELECT corr(score, sanity_score) FROM j) AS pearson,
+       (SELECT roc_auc FROM ({rank_sql('j')}) AS a) AS auc_model,
+       (SELECT roc_auc FROM ({rank_sql('je')}) AS b) AS auc_external"""
+    setup = f"""WITH g AS ({grid_sql()}),
+p AS (SELECT setup, max(CASE WHEN model = 'freq' THEN roc_auc END) AS freq,
+             max(CASE WHEN model = 'gap' THEN roc_auc END) AS gap,
+             max(CASE WHEN model = 'recency' THEN roc_auc END) AS recency,
+             max(roc_auc) AS best_auc FROM g GROUP BY setup)
+SELECT *, (SELECT max(best_auc) FILTER (WHERE setup = 'Full') - max(best_auc) FILTER (WHERE setup = 'Tx-strict') FROM p)
+  AS gap_full_minus_tx FROM p"""
+    cum = """(SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+             sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg,
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N
+      FROM (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM sc GROUP BY score) AS t) AS c"""
+    roc = f"""{base}
+SELECT NULL::DOUBLE AS threshold, 0e0 AS fpr, 0e0 AS tpr
+UNION ALL SELECT score, CASE WHEN N > 0 THEN cum_neg / N ELSE 0e0 END, CASE WHEN P > 0 THEN cum_pos / P ELSE 0e0 END FROM {cum}"""
+    pr = f"""{base}
+SELECT NULL::DOUBLE AS threshold, 0e0 AS recall, 1e0 AS precision
+UNION ALL SELECT score, CASE WHEN P > 0 THEN cum_pos / P ELSE 0e0 END,
+  CASE WHEN cum_pos + cum_neg > 0 THEN cum_pos / (cum_pos + cum_neg) ELSE 0e0 END FROM {cum}"""
+    return {
+        "e1_e2_rank_metrics": rounded(f"{base}\n{rank_sql()}", ["roc_auc", "pr_auc"]),
+        "e3_brier": rounded(f"{base}\nSELECT avg(power(score - label, 2)) AS brier FROM sc", ["brier"]),
+        "e4_threshold_metrics": rounded(f"{base}\n{threshold_sql('sc', 0.5)}",
+                                        ["threshold", "precision", "recall", "f1"]),
+        "e5_e6_top_decile": rounded(f"{rk}\n{top_decile_sql()}",
+                                    ["precision_at_k", "recall_at_k", "lift_top_decile"]),
+        "e7_evaluation_table": rounded(grid_sql(), METRIC_COLS),
+        "e8_threshold_sweep": rounded(f"{base}\n{sweep_sql('va')}",
+                                      ["threshold", "precision", "recall", "f1"]),
+        "e9_best_threshold": rounded(f"{base}\nSELECT threshold, f1 FROM ({sweep_sql('va')}) AS s "
+                                     f"ORDER BY f1 DESC, threshold ASC LIMIT 1", ["threshold", "f1"]),
+        "e10_classification_report": rounded(report, ["precision", "recall", "f1"]),
+        "e11_confusion_matrix": cm,
+        "e12_what_if_threshold": rounded(f"{base}\n{threshold_sql('sc', 0.35)}",
+                                         ["threshold", "precision", "recall", "f1"]),
+        "e13_sanity_check": rounded(sanity, ["pearson", "auc_model", "auc_external"]),
+        "e14_setup_comparison": rounded(setup, ["freq", "gap", "recency", "best_auc",
+                                                "gap_full_minus_tx"]),
+        "h1_roc_points": rounded(roc, ["threshold", "fpr", "tpr"]),
+        "h2_pr_points": rounded(pr, ["threshold", "recall", "precision"]),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(target_feature_sql())
     out.update(quality_split_sql())
+    out.update(evaluation_sql())
     return out
