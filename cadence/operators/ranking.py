@@ -52,7 +52,8 @@ def hidden_gems(signals: DataFrame, n: int = 100) -> DataFrame:
 def _display(c: str):
     """Number shown by size: ``1,234`` above 100, else three decimals."""
     v = F.col(c).cast("double")
-    return F.when(v > 100, F.format_number(v, 0)).otherwise(F.format_string("%.3f", v))
+    return F.when(v > 100, F.format_number(F.round(v, 0), 0)).otherwise(
+        F.format_string("%.3f", F.round(v, 3)))
 
 
 def drilldown_table(signals: DataFrame, mart: DataFrame) -> DataFrame:
@@ -75,7 +76,7 @@ def client_drilldown(signals: DataFrame, mart: DataFrame, client_id: str) -> Dat
 def interpretation(signals: DataFrame, p: SignalParams = SignalParams()) -> DataFrame:
     """G-18: four tiers with sub-grades and the formatted explanation."""
     bp, rr, eng = F.col("buy_propensity"), F.col("redemption_risk"), F.col("engagement_score")
-    f2 = lambda c: F.format_string("%.2f", c)
+    f2 = lambda c: F.format_string("%.2f", F.round(c, 2))
     tier = (F.when((bp > p.upsell_bp) & (rr < p.upsell_rr), "upsell")
             .when(rr > p.retention_rr, "retention")
             .when((bp > p.emerging_bp) & (rr < p.emerging_rr), "emerging")

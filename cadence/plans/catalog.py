@@ -156,6 +156,8 @@ def all_queries() -> dict[str, Query]:
     out.update(quality_split_queries())
     from cadence.plans.catalog_eval import evaluation_queries
     out.update(evaluation_queries())
+    from cadence.plans.catalog_signals import signal_queries
+    out.update(signal_queries())
     return out
 
 

@@ -449,9 +449,130 @@ UNION ALL SELECT score, CASE WHEN P > 0 THEN cum_pos / P ELSE 0e0 END,
     }
 
 
+# ---------------------------------------------------------------- signals and ranking
+SIG_COLS = ["customer_id", "buy_propensity", "redemption_risk", "engagement_score", "master_signal",
+            "co_additive", "expected_client_value", "opportunity_frontier_score", "recommended_action"]
+SIG_DOUBLES = SIG_COLS[1:-1]
+TOP_COLS = ["customer_id", "buy_propensity", "redemption_risk", "engagement_score", "master_signal",
+            "expected_client_value", "opportunity_frontier_score", "recommended_action"]
+
+
+def signal_ctes(p: SignalParams = SignalParams()) -> str:
+    return f"""{standin_ctes()},
+e1 AS (SELECT customer_id, tx_total, s_late AS bp_raw, s_recency AS rr_raw,
+         {mm('x', 'tx_freq')} AS f_n, {mm('x', 'tx_recency')} AS r_n,
+         {mm('x', 'tx_max_gap')} AS g_n, {mm('x', 'tx_count_trend')} AS t_n FROM st),
+e2 AS (SELECT *, least(greatest({p.w_freq}e0 * f_n + {p.w_trend}e0 * t_n + {p.w_recency}e0 * (1 - r_n)
+                               + {p.w_gap}e0 * (1 - g_n), 0e0), 1e0) AS engagement_raw FROM e1),
+n1 AS (SELECT customer_id, tx_total, {mm('x', 'bp_raw')} AS buy_propensity,
+         {mm('x', 'rr_raw')} AS redemption_risk, {mm('x', 'engagement_raw')} AS engagement_score FROM e2),
+c1 AS (SELECT *, buy_propensity * engagement_score - redemption_risk AS co_raw,
+              buy_propensity * (1 - redemption_risk) * engagement_score AS ms_raw FROM n1),
+c2 AS (SELECT customer_id, tx_total, buy_propensity, redemption_risk, engagement_score,
+              {mm('x', 'co_raw')} AS co_additive, {mm('x', 'ms_raw')} AS master_signal FROM c1),
+v1 AS (SELECT *, master_signal * coalesce(tx_total, 0e0) AS expected_client_value FROM c2),
+v2 AS (SELECT *, expected_client_value / greatest(redemption_risk, {p.risk_floor}e0) AS of_raw FROM v1),
+sig AS (SELECT customer_id, buy_propensity, redemption_risk, engagement_score, master_signal, co_additive,
+          expected_client_value, {mm('x', 'of_raw')} AS opportunity_frontier_score,
+          CASE WHEN buy_propensity > {p.upsell_bp}e0 AND redemption_risk < {p.upsell_rr}e0 THEN 'Upsell'
+               WHEN redemption_risk > {p.retention_rr}e0 THEN 'Retention' ELSE 'Monitor' END AS recommended_action
+        FROM v2)"""
+
+
+def top_sql(by: str, cols: list[str] = TOP_COLS, n: int = 100) -> str:
+    return f"SELECT {', '.join(cols)} FROM sig ORDER BY {by} DESC, customer_id ASC LIMIT {n}"
+
+
+def signal_sql() -> dict[str, str]:
+    base = f"WITH {signal_ctes()}"
+    top_dbl = [c for c in TOP_COLS if c in SIG_DOUBLES]
+    fmt3 = "printf('%.3f', round({v}, 3))"
+    beh = ["tx_count", "tx_total", "tx_recency", "tx_max_gap", "tx_late_ratio", "tx_wknd_ratio"]
+    drill_rows = " UNION ALL ".join(
+        f"SELECT CAST(customer_id AS VARCHAR) AS client_id, '{c.replace('_', ' ').title()}' AS feature, "
+        f"CASE WHEN CAST({c} AS DOUBLE) > 100 THEN format('{{:,}}', CAST(round(CAST({c} AS DOUBLE), 0) AS BIGINT)) "
+        f"ELSE {fmt3.format(v=f'CAST({c} AS DOUBLE)')} END AS value FROM j WHERE {c} IS NOT NULL"
+        for c in beh)
+    f2 = "printf('%.2f', round({}, 2))"
+    bp, rr, eng = (f2.format(c) for c in ("buy_propensity", "redemption_risk", "engagement_score"))
+    interp = f"""{base}
+SELECT customer_id, tier, CASE tier
+  WHEN 'upsell' THEN 'Strong upsell opportunity. Growth propensity ' || {bp} || ', disengagement risk ' || {rr}
+    || '. Engagement is ' || CASE WHEN engagement_score > 0.5e0 THEN 'strong' ELSE 'moderate' END || ' (' || {eng}
+    || '). Recommendation: propose premium products, increase wallet share, and schedule a proactive review meeting.'
+  WHEN 'retention' THEN 'Retention priority. Disengagement risk ' || {rr} || '. Buy propensity is '
+    || CASE WHEN buy_propensity > 0.4e0 THEN 'still positive' ELSE 'low' END || ' (' || {bp} || ') and engagement is '
+    || CASE WHEN engagement_score < 0.3e0 THEN 'weakening' ELSE 'moderate' END || ' (' || {eng}
+    || '). Recommendation: proactive outreach, loyalty incentives, and a service-quality review.'
+  WHEN 'emerging' THEN 'Emerging opportunity. Growth propensity ' || {bp} || ' with acceptable risk ' || {rr}
+    || '. Recommendation: nurture the relationship with targeted content and periodic check-ins to move the client toward the upsell zone.'
+  ELSE 'Monitor. Signals are mixed - buy propensity ' || {bp} || ', redemption risk ' || {rr} || ', engagement ' || {eng}
+    || '. Recommendation: maintain standard service and revisit at the next model refresh.' END AS interpretation
+FROM (SELECT *, CASE WHEN buy_propensity > 0.6e0 AND redemption_risk < 0.3e0 THEN 'upsell'
+                     WHEN redemption_risk > 0.6e0 THEN 'retention'
+                     WHEN buy_propensity > 0.4e0 AND redemption_risk < 0.5e0 THEN 'emerging'
+                     ELSE 'monitor' END AS tier FROM sig) AS t"""
+    seg = f"""{base},
+p99 AS (SELECT quantile_cont(expected_client_value, 0.99) AS p99 FROM sig),
+c AS (SELECT sig.*, least(expected_client_value, p99) AS ecv_clipped FROM sig, p99),
+q AS (SELECT quantile_cont(ecv_clipped, 0.5) AS mid, quantile_cont(ecv_clipped, 0.92) AS top,
+             quantile_cont(ecv_clipped, 0.08) AS bot FROM c)
+SELECT customer_id, redemption_risk, ecv_clipped, mid AS ecv_median, top AS label_top, bot AS label_bottom,
+  CASE WHEN ecv_clipped >= mid AND redemption_risk < 0.5e0 THEN 'STRATEGIC UPSELL'
+       WHEN ecv_clipped >= mid THEN 'RETENTION PRIORITY'
+       WHEN redemption_risk < 0.5e0 THEN 'STABLE / LOW PRIORITY' ELSE 'MONITOR' END AS segment
+FROM c, q"""
+    quad = f"""{base},
+ps AS (SELECT *, engagement_score * 0.4e0 + buy_propensity * 0.4e0 + (1 - redemption_risk) * 0.2e0 AS product_base_score FROM sig),
+md AS (SELECT quantile_cont(master_signal, 0.5) AS med FROM ps)
+SELECT customer_id, master_signal, product_base_score, med AS master_median,
+  CASE WHEN master_signal >= med AND product_base_score >= 0.5e0 THEN 'upper_right'
+       WHEN product_base_score >= 0.5e0 THEN 'upper_left'
+       WHEN master_signal >= med THEN 'lower_right' ELSE 'lower_left' END AS quadrant
+FROM ps, md"""
+    return {
+        "g1_minmax_scale": rounded(f"WITH {standin_ctes()} SELECT customer_id, s_recency, s_gap, s_late, s_freq FROM st",
+                                   ["s_recency", "s_gap", "s_late", "s_freq"]),
+        "g2_engagement": rounded(f"{base} SELECT customer_id, engagement_raw FROM e2", ["engagement_raw"]),
+        "g1_g8_signal_table": rounded(f"{base} SELECT * FROM sig", SIG_DOUBLES),
+        "g5_formulation_corr": rounded(f"{base} SELECT corr(co_additive, master_signal) AS corr_additive_master FROM sig",
+                                       ["corr_additive_master"]),
+        "g9_top_opportunities": rounded(f"{base} {top_sql('expected_client_value')}", top_dbl),
+        "g10_top_frontier": rounded(f"{base} {top_sql('opportunity_frontier_score')}", top_dbl),
+        "g10_top_master": rounded(f"{base} {top_sql('master_signal')}", top_dbl),
+        "g11_ranking_overlap": f"""{base},
+f AS ({top_sql('opportunity_frontier_score', ['customer_id'])}), m AS ({top_sql('master_signal', ['customer_id'])})
+SELECT (SELECT count(*) FROM (SELECT * FROM f INTERSECT SELECT * FROM m) AS a) AS both,
+       (SELECT count(*) FROM (SELECT * FROM f EXCEPT SELECT * FROM m) AS b) AS frontier_only,
+       (SELECT count(*) FROM (SELECT * FROM m EXCEPT SELECT * FROM f) AS c) AS master_only""",
+        "g12_hidden_gems": rounded(f"""{base},
+f AS ({top_sql('opportunity_frontier_score')}), m AS ({top_sql('master_signal', ['customer_id'])})
+SELECT * FROM f WHERE customer_id NOT IN (SELECT customer_id FROM m)""", top_dbl),
+        "g13_product_score": rounded(f"""{base} SELECT customer_id, engagement_score * 0.4e0 + buy_propensity * 0.4e0
+  + (1 - redemption_risk) * 0.2e0 AS product_base_score FROM sig""", ["product_base_score"]),
+        "g14_product_quadrant": rounded(quad, ["master_signal", "product_base_score", "master_median"]),
+        "g15_strategic_segments": rounded(seg, ["redemption_risk", "ecv_clipped", "ecv_median", "label_top",
+                                                "label_bottom"]),
+        "g16_frontier_zone": rounded(f"""{base} SELECT customer_id, buy_propensity, redemption_risk,
+  CASE WHEN buy_propensity > 0.6e0 AND redemption_risk < 0.3e0 THEN 'HIGH OPP LOW RISK'
+       WHEN buy_propensity > 0.6e0 THEN 'HIGH OPP HIGH RISK' ELSE 'LOW OPPORTUNITY' END AS zone FROM sig""",
+                                     ["buy_propensity", "redemption_risk"]),
+        "g17_drilldown_table": f"""{base},
+j AS (SELECT sig.customer_id, m.tx_count, m.tx_total, m.tx_recency, m.tx_max_gap, m.tx_late_ratio, m.tx_wknd_ratio
+      FROM sig LEFT JOIN mart m USING (customer_id))
+{drill_rows}""",
+        "g17_client_lookup": rounded(f"""{base}
+SELECT CAST(customer_id AS VARCHAR) AS client_id, {', '.join(TOP_COLS[1:])} FROM sig
+WHERE CAST(customer_id AS VARCHAR) = (SELECT CAST(customer_id AS VARCHAR) FROM sig
+  ORDER BY expected_client_value DESC, customer_id ASC LIMIT 1)""", top_dbl),
+        "g18_interpretation": interp,
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(target_feature_sql())
     out.update(quality_split_sql())
     out.update(evaluation_sql())
+    out.update(signal_sql())
     return out
