@@ -8,7 +8,7 @@ the 0.01 grid and suffix-sums <= 101 bucket rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.functions.ordered import running_totals
@@ -18,27 +18,44 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num.cast("double") / den.cast("double")).otherwise(F.lit(0.0))
 
 
-def score_table(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """(score, pos, neg): one row per distinct score."""
+def score_table(df: DataFrame, label: str = "label", score: str = "score",
+                by: list[str] | None = None) -> DataFrame:
+    """(score, pos, neg): one row per distinct score (per group)."""
     y = F.col(label).cast("long")
-    return df.groupBy(F.col(score).alias("score")).agg(
+    return df.groupBy(*(by or []), F.col(score).alias("score")).agg(
         F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
 
 
-def cumulative_scores(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """Score table with running ``cum_pos``/``cum_neg`` by descending score."""
-    return running_totals(score_table(df, label, score), [F.col("score").desc()],
-                          ["pos", "neg"], row_number_col=None)
-
-
-def rank_metrics(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def cumulative_scores(df: DataFrame, label: str = "label", score: str = "score",
+                      by: list[str] | None = None) -> DataFrame:
+    """Score table with running ``cum_pos``/``cum_neg`` by descending score,
+    restarted in each group of ``by`` (group offsets are a small table)."""
+    by = by or []
+    t = score_table(df, label, score, by)
+    c = running_totals(t, [*[F.col(g).asc() for g in by], F.col("score").desc()],
+                       ["pos", "neg"], row_number_col=None)
+    if not by:
+        return c
+    g = t.groupBy(*by).agg(F.sum("pos").alias("_gp"), F.sum("neg").alias("_gn"))
+    before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    offs = g.select(*by, F.coalesce(F.sum("_gp").over(before), F.lit(0)).alias("_op"),
+                    F.coalesce(F.sum("_gn").over(before), F.lit(0)).alias("_on"))
+    return (c.join(F.broadcast(offs), by)
+             .withColumn("cum_pos", F.col("cum_pos") - F.col("_op"))
+             .withColumn("cum_neg", F.col("cum_neg") - F.col("_on"))
+             .drop("_op", "_on"))
+
+
+def rank_metrics(df: DataFrame, label: str = "label", score: str = "score",
+                 by: list[str] | None = None) -> DataFrame:
     """E-1 ROC AUC (ties count one half) and E-2 average precision (step sum).
-    One row: n, n_pos, roc_auc, pr_auc (NULL when a class is missing)."""
-    c = cumulative_scores(df, label, score)
+    One row (per group): n, n_pos, roc_auc, pr_auc (NULL when a class is missing)."""
+    c = cumulative_scores(df, label, score, by)
     P, N = F.sum("pos"), F.sum("neg")
     auc_num = F.sum(F.col("neg") * ((F.col("cum_pos") - F.col("pos")) + F.col("pos") / 2.0))
     ap_num = F.sum(F.col("pos") * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))))
-    return c.agg(
+    g = c.groupBy(*(by or []))
+    return g.agg(
         (P + N).alias("n"), P.alias("n_pos"),
         F.when((P > 0) & (N > 0), auc_num / (P * N)).alias("roc_auc"),
         F.when(P > 0, ap_num / P).alias("pr_auc"))

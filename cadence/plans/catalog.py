@@ -158,6 +158,8 @@ def all_queries() -> dict[str, Query]:
     out.update(evaluation_queries())
     from cadence.plans.catalog_signals import signal_queries
     out.update(signal_queries())
+    from cadence.plans.catalog_report import report_queries
+    out.update(report_queries())
     return out
 
 

@@ -569,10 +569,171 @@ WHERE CAST(customer_id AS VARCHAR) = (SELECT CAST(customer_id AS VARCHAR) FROM s
     }
 
 
+# ---------------------------------------------------------------- walk-forward, charts, reports
+def folds_values() -> str:
+    w = ORDERS_MAPPING.windows
+    rows = ", ".join(f"({f.fold}, {q(w.obs_start)}, {q(f.obs_end)}, {q(f.pred_start)}, {q(f.pred_end)}, "
+                     f"{f.obs_periods}e0, {f.pred_periods}e0)" for f in ORDERS_FOLDS)
+    return (f"ft AS (SELECT * FROM (VALUES {rows}) AS f(fold, obs_start, obs_end, pred_start, pred_end, "
+            f"obs_periods, pred_periods))")
+
+
+def fold_ctes() -> str:
+    o = ORDERS_MAPPING
+    ob = "date < obs_end"
+    counts = ", ".join(f"count(*) FILTER (WHERE {ob} AND type = '{t}') AS n_{share_name(t)}" for t in o.types)
+    shares = ", ".join(f"coalesce(CASE WHEN a.typed > 0 THEN a.n_{share_name(t)} / a.typed END, 0e0) AS {share_name(t)}"
+                       for t in o.types)
+    return f"""tx AS ({tx_sql(o)}),
+{folds_values()},
+j AS (SELECT tx.*, ft.fold, ft.obs_start, ft.obs_end, ft.pred_start, ft.pred_end
+      FROM tx JOIN ft ON tx.date >= ft.obs_start AND tx.date < ft.pred_end),
+a AS (SELECT fold, customer_id, count(*) FILTER (WHERE {ob}) AS oc,
+        count(*) FILTER (WHERE date >= pred_start AND date < pred_end) AS fc,
+        count(amount) FILTER (WHERE {ob}) AS tx_count, sum(amount) FILTER (WHERE {ob}) AS tx_total,
+        avg(amount) FILTER (WHERE {ob}) AS tx_mean, stddev_samp(amount) FILTER (WHERE {ob}) AS sd,
+        max(date) FILTER (WHERE {ob}) AS last_d, count(type) FILTER (WHERE {ob}) AS typed, {counts}
+      FROM j GROUP BY fold, customer_id),
+ff AS (SELECT s.fold, s.customer_id, coalesce(a.oc, 0) AS obs_count, coalesce(a.fc, 0) AS fut_count,
+         coalesce(a.tx_count, 0) AS tx_count, coalesce(a.tx_total, 0e0) AS tx_total,
+         coalesce(a.tx_mean, 0e0) AS tx_mean, coalesce(a.sd, 0e0) AS tx_std,
+         coalesce(coalesce(a.sd, 0e0) / greatest(a.tx_mean, 1e0), 0e0) AS tx_cv,
+         coalesce(date_diff('day', a.last_d, s.obs_end - 1), 0) AS tx_recency, {shares},
+         CAST(coalesce(a.fc, 0) = 0 OR (CASE WHEN coalesce(a.oc, 0) / s.obs_periods > 0
+              THEN (coalesce(a.fc, 0) / s.pred_periods) / (coalesce(a.oc, 0) / s.obs_periods)
+              WHEN coalesce(a.fc, 0) > 0 THEN 1e0 ELSE 0e0 END) < 0.2e0 AS INTEGER) AS future_disengaged
+       FROM (SELECT CAST(c_custkey AS BIGINT) AS customer_id, ft.* FROM customer, ft) AS s
+       LEFT JOIN a ON a.fold = s.fold AND a.customer_id = s.customer_id),
+mm AS (SELECT fold, min(tx_recency) AS mn, max(tx_recency) AS mx FROM ff GROUP BY fold),
+fs AS (SELECT ff.fold, customer_id, future_disengaged AS label,
+         CASE WHEN mx - mn <= 0 THEN 0e0 ELSE (tx_recency - mn) / (mx - mn) END AS score
+       FROM ff JOIN mm USING (fold) WHERE {hash_bucket_sql('customer_id')} >= 80),
+fr AS (SELECT r.fold, r.roc_auc, r.pr_auc, b.brier FROM (
+         SELECT fold, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN sum(neg * ((cum_pos - pos) + pos / 2e0)) / (sum(pos) * sum(neg)) END AS roc_auc,
+                CASE WHEN sum(pos) > 0 THEN sum(pos * (cum_pos / (cum_pos + cum_neg))) / sum(pos) END AS pr_auc
+         FROM (SELECT *, sum(pos) OVER (PARTITION BY fold ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
+                      sum(neg) OVER (PARTITION BY fold ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg
+               FROM (SELECT fold, score, sum(label) AS pos, count(*) - sum(label) AS neg FROM fs GROUP BY fold, score) AS t) AS c
+         GROUP BY fold) AS r
+       JOIN (SELECT fold, avg(power(score - label, 2)) AS brier FROM fs GROUP BY fold) AS b USING (fold))"""
+
+
+def hist_sql(src: str, col: str, bins: int, series: str = "'all'", clip: bool = False,
+             feature: str | None = None) -> str:
+    x = f"CAST({col} AS DOUBLE)"
+    if clip:
+        x = f"least({x}, (SELECT quantile_cont(CAST({col} AS DOUBLE), 0.99) FROM {src}))"
+    feat = f"'{feature}' AS feature, " if feature else ""
+    return f"""SELECT {feat}series, bin, lo + bin * ((hi - lo) / {bins}) AS bin_lo, lo + (bin + 1) * ((hi - lo) / {bins}) AS bin_hi,
+  cnt AS count, cnt / (n * ((hi - lo) / {bins})) AS density
+FROM (SELECT series, CAST(least(floor((x - lo) * {bins} / (hi - lo)), {bins - 1}) AS INTEGER) AS bin, lo, hi, n, count(*) AS cnt
+      FROM (SELECT d.*, st.lo, st.hi, st.n FROM (SELECT {series} AS series, {x} AS x FROM {src} WHERE {col} IS NOT NULL) AS d
+            JOIN (SELECT series, count(*) AS n, CASE WHEN max(x) = min(x) THEN min(x) - 0.5e0 ELSE min(x) END AS lo,
+                         CASE WHEN max(x) = min(x) THEN max(x) + 0.5e0 ELSE max(x) END AS hi
+                  FROM (SELECT {series} AS series, {x} AS x FROM {src} WHERE {col} IS NOT NULL) AS d0 GROUP BY series) AS st
+            USING (series)) AS dj
+      GROUP BY series, bin, lo, hi, n) AS h"""
+
+
+HIST_DBL = ["bin_lo", "bin_hi", "density"]
+
+
+def report_sql() -> dict[str, str]:
+    fb = f"WITH {fold_ctes()}"
+    beh = ["tx_count", "tx_total", "tx_recency", "tx_max_gap", "tx_late_ratio", "tx_wknd_ratio"]
+    class_h = " UNION ALL ".join(hist_sql("mart", c, 30, "CAST(future_disengaged AS VARCHAR)", True, c)
+                                 for c in beh)
+    attr_h = " UNION ALL ".join(hist_sql("full_rows", c, 30, "CAST(future_disengaged AS VARCHAR)", False, c)
+                                for c in ["c_acctbal", "c_nationkey"])
+    sig = f"WITH {signal_ctes()}"
+    cols5 = ["buy_propensity", "redemption_risk", "engagement_score", "master_signal", "expected_client_value"]
+    corr = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS pearson FROM sig"
+                              for a in cols5 for b in cols5)
+    from cadence.operators.report import FEATURE_DICTIONARY
+    dict_rows = ", ".join("('{}', '{}', '{}')".format(*r) for r in FEATURE_DICTIONARY)
+    means = " UNION ALL ".join(f"SELECT '{f}' AS feature, avg({f}) AS mean FROM mart" for f, _, _ in FEATURE_DICTIONARY)
+    grid = f"({grid_sql()})"
+    density = f"""WITH {standin_ctes()},
+{scored_cte()},
+j AS (SELECT sc.score, cust.sanity_score FROM sc JOIN cust USING (customer_id)),
+gs AS (SELECT min(sanity_score) AS x0, max(sanity_score) AS x1, min(score) AS y0, max(score) AS y1 FROM j)
+SELECT cx, cy, count(*) AS count FROM (
+  SELECT CASE WHEN x1 - x0 <= 0 THEN 0 ELSE CAST(least(floor((sanity_score - x0) * 40 / (x1 - x0)), 39) AS INTEGER) END AS cx,
+         CASE WHEN y1 - y0 <= 0 THEN 0 ELSE CAST(least(floor((score - y0) * 40 / (y1 - y0)), 39) AS INTEGER) END AS cy
+  FROM j, gs) AS g GROUP BY cx, cy"""
+    return {
+        "v1_fold_table": f"""WITH tx AS ({tx_sql(ORDERS_MAPPING)}), {folds_values()}
+SELECT ft.*, c.obs_rows, c.pred_rows FROM ft LEFT JOIN (
+  SELECT fold, count(*) FILTER (WHERE date < obs_end) AS obs_rows, count(*) FILTER (WHERE date >= pred_start) AS pred_rows
+  FROM tx JOIN ft ON tx.date >= ft.obs_start AND tx.date < ft.pred_end GROUP BY fold) AS c USING (fold)""",
+        "v2_v3_fold_frame": rounded(f"{fb} SELECT * FROM ff",
+                                    ["tx_total", "tx_mean", "tx_std", "tx_cv"] + [share_name(t) for t in ORDERS_MAPPING.types]),
+        "v4_fold_results_standin": rounded(f"{fb} SELECT * FROM fr", ["roc_auc", "pr_auc", "brier"]),
+        "v5_fold_labels": rounded(f"""{fb}
+SELECT ft.fold, strftime(ft.obs_start, '%b') || '-' || strftime(ft.obs_end - 1, '%b') AS obs_window,
+       strftime(ft.pred_start, '%b') || '-' || strftime(ft.pred_end - 1, '%b') AS pred_window,
+       (SELECT avg(CAST(future_disengaged AS DOUBLE)) FROM ff WHERE ff.fold = ft.fold) AS target_rate FROM ft""",
+                                  ["target_rate"]),
+        "v6_v7_fold_stability": rounded(f"""{fb}
+SELECT avg(roc_auc) AS mean, stddev_samp(roc_auc) AS std, stddev_pop(roc_auc) AS std_pop,
+       avg(roc_auc) - stddev_pop(roc_auc) AS band_low, avg(roc_auc) + stddev_pop(roc_auc) AS band_high,
+       CASE WHEN stddev_samp(roc_auc) < 0.03e0 THEN 'stable' ELSE 'unstable' END AS verdict FROM fr""",
+                                        ["mean", "std", "std_pop", "band_low", "band_high"]),
+        "h3_histogram_recency": rounded(f"WITH {mart_ctes(ORDERS_MAPPING)} {hist_sql('mart', 'tx_recency', 30)}",
+                                        HIST_DBL),
+        "h4_h7_class_histograms": rounded(f"WITH {mart_ctes(ORDERS_MAPPING)} {class_h}", HIST_DBL),
+        "h7_attribute_histograms": rounded(f"WITH {split_ctes()} {attr_h}", HIST_DBL),
+        "h5_density_grid": density,
+        "h6_marker_size": rounded(f"""{sig} SELECT customer_id,
+  least(greatest(expected_client_value / (SELECT max(expected_client_value) FROM sig) * 60e0, 2e0), 60e0) AS marker_size
+FROM sig""", ["marker_size"]),
+        "r1_headline_kpis": rounded(f"""WITH g AS {grid}, f AS (WITH {fold_ctes()} SELECT * FROM fr), s AS (WITH {signal_ctes()} SELECT * FROM sig)
+SELECT (SELECT max(roc_auc) FILTER (WHERE setup = 'Full') FROM g) AS best_full_auc,
+       (SELECT max(roc_auc) FILTER (WHERE setup = 'Tx-strict') FROM g) AS best_tx_auc,
+       (SELECT avg(roc_auc) FROM f) AS fold_auc_mean, (SELECT stddev_samp(roc_auc) FROM f) AS fold_auc_std,
+       (SELECT count(*) FILTER (WHERE recommended_action = 'Upsell') FROM s) AS n_upsell""",
+                                    ["best_full_auc", "best_tx_auc", "fold_auc_mean", "fold_auc_std"]),
+        "r2_action_distribution": f"{sig} SELECT recommended_action, count(*) AS n FROM sig GROUP BY recommended_action",
+        "r3_signal_means": rounded(f"""{sig} SELECT avg(buy_propensity) AS mean_buy_propensity,
+  avg(redemption_risk) AS mean_redemption_risk, avg(engagement_score) AS mean_engagement_score,
+  avg(master_signal) AS mean_master_signal FROM sig""",
+                                   ["mean_buy_propensity", "mean_redemption_risk", "mean_engagement_score",
+                                    "mean_master_signal"]),
+        "r4_correlation_matrix": rounded(f"{sig} {corr}", ["pearson"]),
+        "r5_ecv_summary": rounded(f"""{sig} SELECT quantile_cont(expected_client_value, 0.5) AS median,
+  quantile_cont(expected_client_value, 0.99) AS p99, avg(expected_client_value) AS mean,
+  count(expected_client_value) AS n, max(expected_client_value) AS max FROM sig""",
+                                  ["median", "p99", "mean", "max"]),
+        "r6_frontier_summary": rounded(f"""{sig} SELECT avg(opportunity_frontier_score) AS mean,
+  max(opportunity_frontier_score) AS max, quantile_cont(opportunity_frontier_score, 0.5) AS median FROM sig""",
+                                       ["mean", "max", "median"]),
+        "r7_top100_total_ecv": rounded(f"""{sig} SELECT sum(expected_client_value) AS top_total_ecv, count(*) AS n
+FROM ({top_sql('expected_client_value')}) AS t""", ["top_total_ecv"]),
+        "r8_run_summary": rounded(f"""{sig}
+SELECT (SELECT count(*) FROM mart) AS n_customers,
+       (SELECT avg(CAST(future_disengaged AS DOUBLE)) FROM mart) AS disengaged_rate,
+       (SELECT avg(CAST(future_growth AS DOUBLE)) FROM mart) AS growth_rate,
+       (SELECT count(*) FILTER (WHERE recommended_action = 'Upsell') FROM sig) AS n_upsell,
+       (SELECT count(*) FILTER (WHERE recommended_action = 'Retention') FROM sig) AS n_retention,
+       (SELECT count(*) FILTER (WHERE recommended_action = 'Monitor') FROM sig) AS n_monitor,
+       (SELECT avg(master_signal) FROM sig) AS mean_master_signal""",
+                                  ["disengaged_rate", "growth_rate", "mean_master_signal"]),
+        "r9_metric_highlights": rounded(f"""WITH g AS {grid}
+SELECT g.*, roc_auc = (SELECT max(roc_auc) FROM g) AS best_roc_auc, pr_auc = (SELECT max(pr_auc) FROM g) AS best_pr_auc,
+  lift_top_decile = (SELECT max(lift_top_decile) FROM g) AS best_lift, brier = (SELECT min(brier) FROM g) AS best_brier
+FROM g""", METRIC_COLS),
+        "r10_feature_dictionary": rounded(f"""WITH {mart_ctes(ORDERS_MAPPING)},
+d AS (SELECT * FROM (VALUES {dict_rows}) AS v(feature, description, source)),
+m AS ({means})
+SELECT d.*, m.mean FROM d LEFT JOIN m USING (feature)""", ["mean"]),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(target_feature_sql())
     out.update(quality_split_sql())
     out.update(evaluation_sql())
     out.update(signal_sql())
+    out.update(report_sql())
     return out
