@@ -160,6 +160,8 @@ def all_queries() -> dict[str, Query]:
     out.update(signal_queries())
     from cadence.plans.catalog_report import report_queries
     out.update(report_queries())
+    from cadence.plans.catalog_models import model_queries
+    out.update(model_queries())
     return out
 
 

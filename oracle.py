@@ -729,6 +729,25 @@ SELECT d.*, m.mean FROM d LEFT JOIN m USING (feature)""", ["mean"]),
     }
 
 
+def model_sql() -> dict[str, str]:
+    base = f"WITH {standin_ctes()},\n{scored_cte()}"
+    return {
+        "m4_class_weights": rounded(f"""WITH {split_ctes()},
+tr AS (SELECT * FROM sp WHERE split = 'train'),
+c AS (SELECT count(*) AS n, sum(future_disengaged) AS p FROM tr)
+SELECT customer_id,
+  CASE WHEN future_disengaged = 1 THEN n / (2e0 * p) ELSE n / (2e0 * (n - p)) END AS w_balanced,
+  CASE WHEN future_disengaged = 1 THEN (CASE WHEN p > 0 THEN (n - p) / p ELSE 1e0 END) ELSE 1e0 END AS w_pos
+FROM tr, c""", ["w_balanced", "w_pos"]),
+        "c4_reliability_standin": rounded(f"""{base}
+SELECT bin, avg(score) AS mean_predicted, avg(CAST(label AS DOUBLE)) AS fraction_positive, count(*) AS n
+FROM (SELECT *, {' + '.join(f'CAST(score > {i * (1.0 / 10)!r}e0 AS INTEGER)' if 'e' not in repr(i * (1.0 / 10)) else f'CAST(score > {i * (1.0 / 10)!r} AS INTEGER)' for i in range(1, 10))} AS bin FROM sc) AS b
+GROUP BY bin""", ["mean_predicted", "fraction_positive"]),
+        "c5_score_summary_standin": rounded(f"{base}\nSELECT min(score) AS min, max(score) AS max, avg(score) AS mean FROM sc",
+                                            ["min", "max", "mean"]),
+    }
+
+
 def all_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out.update(target_feature_sql())
@@ -736,4 +755,5 @@ def all_sql() -> dict[str, str]:
     out.update(evaluation_sql())
     out.update(signal_sql())
     out.update(report_sql())
+    out.update(model_sql())
     return out
