@@ -76,6 +76,31 @@ def _save_load(spark, d):
     return load_result(spark, path)
 
 
+def attribution(spark, d, algo: str = "GBT"):
+    """M-8: attribution of the Full risk model on a 2000-row test sample."""
+    from cadence.operators import attribution as A
+    r = run_for(spark, d)
+    fit = r.risk_grid()[("Full", algo)][0]
+    frame, names, _ = r.prepared("Full", "future_disengaged")
+    rows = A.sample_rows(frame.where(F.col("split") == "test"), 2000)
+    if algo == "LR":
+        return A.linear_attribution(fit.model, frame.where(F.col("split") == "train"), rows, names)
+    return A.tree_attribution(fit.model, rows, names)
+
+
+def _attr_summary(algo):
+    def q(spark, d):
+        from cadence.operators import attribution as A
+        return A.attribution_summary(attribution(spark, d, algo))
+    return q
+
+
+def _attr_top5(spark, d):
+    from cadence.operators import attribution as A
+    long = attribution(spark, d, "GBT")
+    return A.top_feature_values(long, A.attribution_summary(long), 5)
+
+
 def model_queries():
     return {
         "m4_class_weights": _r(_weights),
@@ -83,6 +108,9 @@ def model_queries():
         "m6_feature_importance": _r(lambda s, d: M.feature_importance(
             s, run_for(s, d).risk_grid()[("Full", "GBT")][0])),
         "m7_lr_coefficients": _r(lambda s, d: M.coefficients(s, run_for(s, d).risk_grid()[("Full", "LR")][0])),
+        "m8_attribution_gbt": _r(_attr_summary("GBT")),
+        "m8_attribution_lr": _r(_attr_summary("LR")),
+        "m8_attribution_top5_rows": _r(_attr_top5),
         "m9_growth_model_grid": _r(lambda s, d: run_for(s, d).evaluation("growth", "test")),
         "m10_best_models": _r(_best),
         "c1_c2_calibrated_scores": _r(lambda s, d: run_for(s, d).scores()),

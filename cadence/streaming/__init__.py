@@ -1,0 +1,6 @@
+"""Intentionally empty.
+
+The method is a batch job over files: it has no stream source, watermark,
+windowed state or late-data rule. The periodic refresh mentioned in the
+reference is roadmap text, so no streaming operator is built here.
+"""
