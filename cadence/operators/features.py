@@ -96,52 +96,54 @@ def customer_aggregates(tx: DataFrame, w: WindowSpec, types, with_counts: bool =
 
 
 def daily_activity(tx: DataFrame, w: WindowSpec) -> DataFrame:
-    """(customer, day) pre-aggregate of the observation window, partitioned by
-    customer for the calendar-bounded windows that follow."""
+    """(customer, day) pre-aggregate of the observation window (map-side
+    combined, so a hot customer ships one row per day and input partition)."""
     return (tx.where(in_obs(w))
               .groupBy("customer_id", "date")
               .agg(F.count(F.lit(1)).alias("n"),
-                   F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount"))
-              .repartition("customer_id"))
-
-
-def max_gap(daily: DataFrame, w: WindowSpec) -> DataFrame:
-    """F-15: one event -> days to the window end; several events -> largest
-    day difference between consecutive events (0 when all on one day)."""
-    prev = F.lag("date").over(Window.partitionBy("customer_id").orderBy("date"))
-    g = daily.withColumn("_gap", F.datediff(F.col("date"), prev))
-    agg = g.groupBy("customer_id").agg(
-        F.sum("n").alias("_rows"), F.count(F.lit(1)).alias("_days"),
-        F.max("_gap").alias("_maxgap"), F.max("date").alias("_last"))
-    gap = (F.when(F.col("_rows") == 1, F.datediff(lit_date(w.obs_last_day), F.col("_last")))
-            .when(F.col("_days") == 1, F.lit(0))
-            .otherwise(F.col("_maxgap")))
-    return agg.select("customer_id", gap.cast("int").alias("tx_max_gap"))
+                   F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount")))
 
 
 def monthly_activity(daily: DataFrame) -> DataFrame:
-    """F-12: events and amount per (customer, month)."""
-    return (daily.groupBy("customer_id", F.trunc("date", "MM").alias("month"))
-                 .agg(F.sum("n").alias("mc"), F.sum("amount").alias("ma")))
-
-
-def monthly_trends(monthly: DataFrame) -> DataFrame:
-    """F-13 / F-14: OLS slope over the ordinal of observed months (empty
-    months skipped, trap X-3); fewer than two months -> 0 (X-4); the amount
-    slope is divided by the mean monthly amount, 0 when that mean is 0."""
+    """F-12: events and amount per (customer, month), with the largest
+    day-to-day gap inside the month (gap to the previous active day)."""
+    prev = F.lag("date").over(Window.partitionBy("customer_id").orderBy("date"))
+    d = daily.withColumn("_gap", F.datediff(F.col("date"), prev))
+    return (d.groupBy("customer_id", F.trunc("date", "MM").alias("month"))
+             .agg(F.sum("n").alias("mc"), F.sum("amount").alias("ma"),
+                  F.max("_gap").alias("_maxgap"), F.count(F.lit(1)).alias("_days"),
+                  F.max("date").alias("_last")))
+
+
+def calendar_features(monthly: DataFrame, w: WindowSpec) -> DataFrame:
+    """F-13 / F-14 / F-15 from the month table, all on one partitioning by
+    customer (the lag window, the month aggregate, the month-ordinal window
+    and this aggregate reuse a single exchange).
+
+    * trends: OLS slope over the ordinal of observed months (empty months
+      skipped, X-3); fewer than two months -> 0 (X-4); the amount slope is
+      divided by the mean monthly amount, 0 when that mean is 0;
+    * gap: one event -> days to the window end; several events -> largest
+      difference between consecutive event days (0 when all on one day, X-5).
+    """
     x = F.row_number().over(Window.partitionBy("customer_id").orderBy("month")) - 1
     m = monthly.withColumn("x", x.cast("double"))
     agg = m.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("_m"),
         F.regr_slope(F.col("mc").cast("double"), F.col("x")).alias("_cs"),
         F.regr_slope(F.col("ma"), F.col("x")).alias("_as"),
-        F.avg("ma").alias("_am"))
+        F.avg("ma").alias("_am"),
+        F.sum("mc").alias("_rows"), F.sum("_days").alias("_days"),
+        F.max("_maxgap").alias("_maxgap"), F.max("_last").alias("_last"))
     several = F.col("_m") >= 2
     count_trend = F.when(several, F.coalesce(F.col("_cs"), F.lit(0.0))).otherwise(F.lit(0.0))
     amt_trend = F.when(several & (F.col("_am") != 0),
                        F.coalesce(F.col("_as"), F.lit(0.0)) / F.col("_am")).otherwise(F.lit(0.0))
+    gap = (F.when(F.col("_rows") == 1, F.datediff(lit_date(w.obs_last_day), F.col("_last")))
+            .when(F.col("_days") == 1, F.lit(0))
+            .otherwise(F.col("_maxgap")))
     return agg.select("customer_id", count_trend.alias("tx_count_trend"),
-                      amt_trend.alias("tx_amt_trend"))
+                      amt_trend.alias("tx_amt_trend"), gap.cast("int").alias("tx_max_gap"))
 
 
 def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
@@ -151,9 +153,8 @@ def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
     when ``with_labels``, the window counts and both labels."""
     types = tuple(types)
     base = customer_aggregates(tx, w, types, with_counts=with_labels)
-    daily = daily_activity(tx, w)
-    parts = (base.join(monthly_trends(monthly_activity(daily)), "customer_id", "left")
-                 .join(max_gap(daily, w), "customer_id", "left"))
+    cal = calendar_features(monthly_activity(daily_activity(tx, w)), w)
+    parts = base.join(cal, "customer_id", "left")
     feat = tx_feature_columns(types)
     count_cols = ["obs_count", "fut_count"] if with_labels else []
     out = spine.select("customer_id").join(parts, "customer_id", "left")
