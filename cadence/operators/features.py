@@ -146,6 +146,18 @@ def calendar_features(monthly: DataFrame, w: WindowSpec) -> DataFrame:
                       amt_trend.alias("tx_amt_trend"), gap.cast("int").alias("tx_max_gap"))
 
 
+def infer_feature_groups(df: DataFrame, ordinal: dict, nominal: list[str],
+                         key: str = "customer_id") -> dict[str, list[str]]:
+    """F-17: numeric features are the integer/floating columns (by type, as
+    the reference selects by dtype); ordinal and nominal are named."""
+    from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType
+    numeric = [f.name for f in df.schema.fields
+               if f.name != key and isinstance(f.dataType, (IntegerType, LongType, DoubleType, FloatType))
+               and f.name not in ordinal and f.name not in nominal]
+    return {"numeric": numeric, "ordinal": [c for c in ordinal if c in df.columns],
+            "nominal": [c for c in nominal if c in df.columns]}
+
+
 def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
                   rules: LabelRules = LabelRules(), with_labels: bool = True) -> DataFrame:
     """F-18 (+ T3-T8): one row per spine customer with the 20 transaction

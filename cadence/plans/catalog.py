@@ -134,8 +134,38 @@ def _preprocess(spark, d):
     return round_doubles(pre.transform(df, keep=["customer_id", "split"]))
 
 
+def _profile(spark, d):
+    from cadence.sources import table_profile
+    return table_profile(raw_transactions(spark, d, ORDERS_MAPPING), "date")
+
+
+def _window_rows(spark, d):
+    """T1 / T2: log rows in the observation and prediction windows."""
+    w = ORDERS_MAPPING.windows
+    tx = raw_transactions(spark, d, ORDERS_MAPPING)
+    return tx.agg(F.count_if(T.in_obs(w)).alias("obs_rows"), F.count_if(T.in_pred(w)).alias("pred_rows"))
+
+
+def _feature_groups(spark, d):
+    """F-17 / F-19: inferred feature groups and the three setups."""
+    from cadence.operators.features import infer_feature_groups
+    from cadence.plans.pipeline import SETUPS, setup_columns
+    spec = FeatureSpec()
+    g = infer_feature_groups(Q.clean_customers(customers(spark, d), holdout=("sanity_score",)),
+                             dict(spec.ordinal), list(spec.nominal))
+    rows = [("customer", grp, c) for grp, cols in g.items() for c in cols]
+    for s in SETUPS:
+        num, ordn, nom = setup_columns(s, ORDERS_MAPPING.types)
+        rows += [(s, "numeric", c) for c in num] + [(s, "ordinal", c) for c in ordn] + [
+            (s, "nominal", c) for c in nom]
+    return spark.createDataFrame(rows, "setup string, feature_group string, feature string")
+
+
 def quality_split_queries() -> dict[str, Query]:
     return {
+        "s3_table_profile": _profile,
+        "t1_t2_window_rows": _window_rows,
+        "f17_f19_feature_groups": _feature_groups,
         "q1_q2_key_profile": _key_profile,
         "q3_null_profile": _null_profile,
         "q4_orphans_orders": _orphans(ORDERS_MAPPING),

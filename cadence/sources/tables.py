@@ -22,6 +22,15 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def read_csv_table(spark: SparkSession, path: str, schema: str | None = None,
+                   date_format: str = "yyyy-MM-dd") -> DataFrame:
+    """S-1 / S-2 for CSV inputs: header row, explicit schema when given
+    (inference otherwise), dates parsed with ``date_format``."""
+    r = spark.read.option("header", True).option("dateFormat", date_format)
+    r = r.schema(schema) if schema else r.option("inferSchema", True)
+    return r.csv(path)
+
+
 def _ts(d: dt.date) -> Column:
     return F.lit(dt.datetime(d.year, d.month, d.day))
 

@@ -235,7 +235,13 @@ r AS (SELECT customer_id, future_disengaged,
       FROM mart)
 SELECT customer_id, CASE WHEN pos / nc < 0.6e0 THEN 'train' WHEN pos / nc < 0.8e0 THEN 'val'
                          ELSE 'test' END AS split FROM r"""
+    w = o.windows
     return {
+        "s3_table_profile": f"""SELECT count(*) AS n_rows, 4 AS n_cols, min(CAST({o.date} AS DATE)) AS min_date,
+  max(CAST({o.date} AS DATE)) AS max_date FROM {o.table}""",
+        "t1_t2_window_rows": f"""SELECT count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.obs_start)} AND CAST({o.date} AS DATE) < {q(w.obs_end)}) AS obs_rows,
+  count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.pred_start)} AND CAST({o.date} AS DATE) < {q(w.pred_end)}) AS pred_rows
+FROM {o.table}""",
         "q1_q2_key_profile": f"""SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS n_cust_unique,
   (SELECT count(DISTINCT {o.customer_id}) FROM {o.table}) AS n_tx_unique,
   (SELECT count(*) - count(DISTINCT c_custkey) FROM customer) AS n_duplicated""",
