@@ -95,17 +95,25 @@ def predict(f: Fitted, df: DataFrame, key: str = "customer_id", label: str = "la
 
 
 def train_grid(frames: dict[str, DataFrame], names: dict[str, list[str]],
-               algos=ALGOS, params: ModelParams = ModelParams(), label: str = "label"):
+               algos=ALGOS, params: ModelParams = ModelParams(), label: str = "label",
+               parallelism: int = 4):
     """M-5 / M-9: every (setup, algorithm) fitted on the train split and
-    scored on val and test. Frames carry ``split``, ``label``, ``features``."""
-    out = {}
-    for setup, df in frames.items():
-        train = df.where(F.col("split") == "train")
-        for algo in algos:
-            f = fit(train, algo, params, label, names[setup], setup)
-            out[(setup, algo)] = (f, predict(f, df.where(F.col("split") == "val")),
-                                  predict(f, df.where(F.col("split") == "test")))
-    return out
+    scored on val and test. Frames carry ``split``, ``label``, ``features``.
+    Independent fits are submitted from ``parallelism`` driver threads (as
+    MLlib's tuning does), so small fits overlap instead of queueing."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    jobs = [(setup, algo) for setup in frames for algo in algos]
+
+    def one(job):
+        setup, algo = job
+        df = frames[setup]
+        f = fit(df.where(F.col("split") == "train"), algo, params, label, names[setup], setup)
+        return job, (f, predict(f, df.where(F.col("split") == "val")),
+                     predict(f, df.where(F.col("split") == "test")))
+
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as ex:
+        return dict(ex.map(one, jobs))
 
 
 def feature_importance(spark, f: Fitted, top: int = 20) -> DataFrame:

@@ -38,6 +38,7 @@ class RunConfig:
     folds: tuple = ORDERS_FOLDS
     wf_rounds: int = 200
     select_on: str = "val"          # D-2: "test" reproduces the reference's growth pick
+    parallelism: int = 4            # concurrent independent fits (driver threads)
 
 
 def setup_columns(setup: str, types, spec: FeatureSpec = FeatureSpec()):
@@ -112,14 +113,16 @@ class ModelRun:
         def go():
             frames = {s: self.prepared(s, "future_disengaged")[0] for s in SETUPS}
             names = {s: self.prepared(s, "future_disengaged")[1] for s in SETUPS}
-            return M.train_grid(frames, names, params=self.cfg.params)
+            return M.train_grid(frames, names, params=self.cfg.params,
+                                parallelism=self.cfg.parallelism)
         return self._once("risk_grid", go)
 
     def growth_grid(self):
         """M-9: the three algorithms on Tx-strict features, growth label."""
         def go():
             f, n, _ = self.prepared("Tx-strict", "future_growth")
-            return M.train_grid({"Tx-strict": f}, {"Tx-strict": n}, params=self.cfg.params)
+            return M.train_grid({"Tx-strict": f}, {"Tx-strict": n}, params=self.cfg.params,
+                                parallelism=self.cfg.parallelism)
         return self._once("growth_grid", go)
 
     def evaluation(self, which: str = "risk", part: str = "test") -> DataFrame:
@@ -219,8 +222,8 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     feat = [c for c in ff.columns if c not in ("fold", "customer_id", "obs_count", "fut_count",
                                                 "future_disengaged")]
     params = ModelParams(**{**cfg.params.__dict__, "gbt_rounds": cfg.wf_rounds})
-    rows = None
-    for f in cfg.folds:
+
+    def one(f):
         d = S.holdout_split(ff.where(F.col("fold") == f.fold), cfg.split.seed, 20)
         pre = P.fit_preprocessor(d.where(F.col("split") == "train"), feat, {}, [])
         x = P.assemble(pre.transform(d.withColumn("label", F.col("future_disengaged").cast("double")),
@@ -229,6 +232,12 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
         test = M.predict(fit, x.where(F.col("split") == "test"))
         r = E.rank_metrics(test).select("roc_auc", "pr_auc").crossJoin(E.brier(test))
         rate = d.agg(F.avg(F.col("future_disengaged").cast("double")).alias("target_rate"))
-        r = r.crossJoin(rate).select(F.lit(f.fold).alias("fold"), "*")
-        rows = r if rows is None else rows.unionByName(r)
+        return materialize(r.crossJoin(rate).select(F.lit(f.fold).alias("fold"), "*"))
+
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallelism, len(cfg.folds)))) as ex:
+        parts = list(ex.map(one, cfg.folds))
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
     return materialize(rows)
