@@ -102,3 +102,28 @@ def quantile_row(df: DataFrame, specs: dict[str, tuple[str, float]]) -> DataFram
     aggs = [F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))),
                          F.col("value"))).alias(a) for a, (c, p) in specs.items()]
     return qs.agg(*aggs)
+
+
+def grouped_quantile(df: DataFrame, key: str, value: str, prob: float = 0.5,
+                     out: str = "quantile") -> DataFrame:
+    """Exact per-group quantile (linear interpolation), NULLs skipped, for
+    groups of any size: one row per group ``(key, out)``.
+
+    A hot group is never gathered into one task: the ``(key, value)`` rows are
+    globally sorted (range partitions split a hot key by value), group start
+    offsets come from a distributed running sum over the per-group counts,
+    and the two bracketing rows of each group are fetched with an equi-join on
+    the global row number."""
+    v = df.select(F.col(key), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    ranked = running_totals(v, [F.col(key).asc(), F.col("_v").asc()], [], row_number_col="_rn")
+    counts = v.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    starts = running_totals(counts, [F.col(key).asc()], ["_n"], prefix="_cum", row_number_col=None)
+    pos = F.lit(float(prob)) * (F.col("_n") - 1)
+    t = (starts.withColumn("_start", F.col("_cum_n") - F.col("_n"))
+               .withColumn("_frac", pos - F.floor(pos))
+               .withColumn("_lo", F.col("_start") + F.floor(pos).cast("long") + 1)
+               .withColumn("_hi", F.col("_start") + F.ceil(pos).cast("long") + 1))
+    r = ranked.select("_rn", "_v")
+    lo = t.join(r.withColumnRenamed("_rn", "_lo").withColumnRenamed("_v", "_vlo"), "_lo")
+    both = lo.join(r.withColumnRenamed("_rn", "_hi").withColumnRenamed("_v", "_vhi"), "_hi")
+    return both.select(key, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(out))
