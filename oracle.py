@@ -242,6 +242,7 @@ SELECT customer_id, CASE WHEN pos / nc < 0.6e0 THEN 'train' WHEN pos / nc < 0.8e
         "t1_t2_window_rows": f"""SELECT count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.obs_start)} AND CAST({o.date} AS DATE) < {q(w.obs_end)}) AS obs_rows,
   count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.pred_start)} AND CAST({o.date} AS DATE) < {q(w.pred_end)}) AS pred_rows
 FROM {o.table}""",
+        "f17_f19_feature_groups": feature_groups_sql(),
         "q1_q2_key_profile": f"""SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS n_cust_unique,
   (SELECT count(DISTINCT {o.customer_id}) FROM {o.table}) AS n_tx_unique,
   (SELECT count(*) - count(DISTINCT c_custkey) FROM customer) AS n_duplicated""",
@@ -264,6 +265,21 @@ SELECT split, count(*) AS n, avg(CAST(future_disengaged AS DOUBLE)) AS pos_rate
     }
 
 
+def feature_groups_sql() -> str:
+    """Expected rows: customer attribute groups by type, then the setups."""
+    tx = tx_feature_columns(ORDERS_MAPPING.types)
+    rows = [("customer", "numeric", "c_acctbal"), ("customer", "numeric", "c_nationkey"),
+            ("customer", "ordinal", "income_bracket"), ("customer", "nominal", "c_mktsegment")]
+    rows += [("Full", "numeric", c) for c in ["c_acctbal", "c_nationkey"] + tx]
+    rows += [("Full", "ordinal", "income_bracket"), ("Full", "nominal", "c_mktsegment")]
+    rows += [("Tx-strict", "numeric", c) for c in tx]
+    rows += [("Cust-only", "numeric", "c_acctbal"), ("Cust-only", "numeric", "c_nationkey"),
+             ("Cust-only", "ordinal", "income_bracket"), ("Cust-only", "nominal", "c_mktsegment")]
+    vals = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in rows)
+    return (f"SELECT v.* FROM (VALUES {vals}) AS v(setup, feature_group, feature) "
+            f"WHERE EXISTS (SELECT 1 FROM customer)")
+
+
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
