@@ -101,6 +101,28 @@ def _attr_top5(spark, d):
     return A.top_feature_values(long, A.attribution_summary(long), 5)
 
 
+def _model_sweep(spark, d):
+    from cadence.operators import evaluate as E
+    return E.threshold_sweep(run_for(spark, d).best("risk")[1])
+
+
+def _model_report(spark, d):
+    from cadence.operators import evaluate as E
+    r = run_for(spark, d)
+    return E.classification_report(r.best("risk")[2], r.threshold())
+
+
+def _model_sanity(spark, d):
+    from cadence.operators import evaluate as E
+    from cadence.sources import customers
+    return E.sanity_check(run_for(spark, d).best("risk")[2], customers(spark, d))
+
+
+def _model_confusion(spark, d):
+    from cadence.operators import evaluate as E
+    return E.confusion_matrix(run_for(spark, d).best("risk")[2], 0.5)
+
+
 def model_queries():
     return {
         "m4_class_weights": _r(_weights),
@@ -111,6 +133,10 @@ def model_queries():
         "m8_attribution_gbt": _r(_attr_summary("GBT")),
         "m8_attribution_lr": _r(_attr_summary("LR")),
         "m8_attribution_top5_rows": _r(_attr_top5),
+        "e8_threshold_sweep_model": _r(_model_sweep),
+        "e10_classification_report_model": _r(_model_report),
+        "e11_confusion_matrix_model": _model_confusion,
+        "e13_sanity_check_model": _r(_model_sanity),
         "m9_growth_model_grid": _r(lambda s, d: run_for(s, d).evaluation("growth", "test")),
         "m10_best_models": _r(_best),
         "c1_c2_calibrated_scores": _r(lambda s, d: run_for(s, d).scores()),
