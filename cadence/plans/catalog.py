@@ -10,191 +10,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING
-from cadence.operators import targets as T
-from cadence.operators.features import RFM_COLS, share_name
+from cadence.config import ORDERS_MAPPING
+from cadence.plans.catalog_eval import evaluation_queries
+from cadence.plans.catalog_features import target_feature_queries
+from cadence.plans.catalog_models import model_queries
+from cadence.plans.catalog_prep import full_frame, quality_split_queries, split_frame  # noqa: F401
+from cadence.plans.catalog_report import report_queries
+from cadence.plans.catalog_signals import signal_queries
 from cadence.plans.common import mart, round_doubles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-LABEL_COLS = ["customer_id", "obs_count", "fut_count", "obs_monthly", "fut_monthly",
-              "activity_ratio", "future_disengaged", "future_growth"]
-
-
-def _mart_cols(m, cols):
-    return lambda spark, d: round_doubles(mart(spark, d, m).select(*cols))
-
-
-def _mart_all(m):
-    return lambda spark, d: round_doubles(mart(spark, d, m))
-
-
-def _class_dist(m, label):
-    return lambda spark, d: T.class_distribution(mart(spark, d, m), label)
-
-
-def _base_rate(m, label):
-    return lambda spark, d: round_doubles(T.base_rate(mart(spark, d, m), label))
-
-
-def target_feature_queries() -> dict[str, Query]:
-    o, e = ORDERS_MAPPING, EVENTS_MAPPING
-    shares = ["customer_id"] + [share_name(t) for t in o.types]
-    return {
-        "t_labels_orders": _mart_cols(o, LABEL_COLS),
-        "t_labels_events": _mart_cols(e, LABEL_COLS),
-        "t9_class_dist_disengaged": _class_dist(o, "future_disengaged"),
-        "t9_class_dist_growth": _class_dist(o, "future_growth"),
-        "t10_base_rate": _base_rate(o, "future_disengaged"),
-        "f01_f09_rfm": _mart_cols(o, ["customer_id"] + RFM_COLS),
-        "f10_type_shares": _mart_cols(o, shares),
-        "f11_weekend_ratio": _mart_cols(o, ["customer_id", "tx_wknd_ratio"]),
-        "f13_f14_trends": _mart_cols(o, ["customer_id", "tx_count_trend", "tx_amt_trend"]),
-        "f15_max_gap": _mart_cols(o, ["customer_id", "tx_max_gap"]),
-        "f16_late_ratio": _mart_cols(o, ["customer_id", "tx_late_ratio"]),
-        "f18_mart_orders": _mart_all(o),
-        "f18_mart_events": _mart_all(e),
-    }
-
-
-# ---------------------------------------------------------------- quality, split, prep
-from pyspark.sql import functions as F  # noqa: E402
-
-from cadence.config import FeatureSpec, SplitSpec  # noqa: E402
-from cadence.operators import prep as P  # noqa: E402
-from cadence.operators import quality as Q  # noqa: E402
-from cadence.operators import split as S  # noqa: E402
-from cadence.operators.features import tx_feature_columns  # noqa: E402
-from cadence.session import materialize  # noqa: E402
-from cadence.sources import customers, raw_transactions, read_table  # noqa: E402
-
-
-def _key_profile(spark, d):
-    return Q.key_profile(customers(spark, d), raw_transactions(spark, d, ORDERS_MAPPING))
-
-
-def _events_enriched(spark, d):
-    ev = read_table(spark, d, "events").groupBy(F.col("user_id").alias("customer_id")).agg(
-        F.count(F.lit(1)).alias("n_events"), F.sum("value").alias("total_value"),
-        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-    return customers(spark, d).join(ev, "customer_id", "left")
-
-
-def _null_profile(spark, d):
-    return Q.null_profile(_events_enriched(spark, d))
-
-
-def _orphans(m):
-    return lambda spark, d: Q.orphan_counts(customers(spark, d), raw_transactions(spark, d, m))
-
-
-def _clean_customers(spark, d):
-    return Q.clean_customers(customers(spark, d), holdout=("sanity_score",))
-
-
-def _sanity(spark, d):
-    return round_doubles(Q.sanity_holdout(customers(spark, d), "sanity_score"))
-
-
-def split_frame(spark, d, method="hash"):
-    """Orders mart with the 60/20/20 split column."""
-    return S.assign_split(mart(spark, d, ORDERS_MAPPING), SplitSpec(), label="future_disengaged",
-                          method=method)
-
-
-def full_frame(spark, d):
-    """Full setup rows: mart (features + labels + split) joined with the
-    cleaned customer attributes (F-19 / J-3)."""
-    cust = Q.clean_customers(customers(spark, d), holdout=("sanity_score",))
-    return split_frame(spark, d).join(cust, "customer_id", "inner")
-
-
-def _split(method):
-    return lambda spark, d: split_frame(spark, d, method).select("customer_id", "split")
-
-
-def _split_profile(spark, d):
-    return round_doubles(S.split_profile(split_frame(spark, d), "future_disengaged"))
-
-
-def _holdout(spark, d):
-    return S.holdout_split(customers(spark, d).select("customer_id"), 42, 20)
-
-
-def fit_full_preprocessor(df):
-    spec = FeatureSpec()
-    numeric = list(spec.numeric) + tx_feature_columns(ORDERS_MAPPING.types)
-    return P.fit_preprocessor(df.where(F.col("split") == "train"), numeric,
-                              dict(spec.ordinal), list(spec.nominal))
-
-
-def _preprocess(spark, d):
-    df = materialize(full_frame(spark, d))
-    pre = fit_full_preprocessor(df)
-    return round_doubles(pre.transform(df, keep=["customer_id", "split"]))
-
-
-def _profile(spark, d):
-    from cadence.sources import table_profile
-    return table_profile(raw_transactions(spark, d, ORDERS_MAPPING), "date")
-
-
-def _window_rows(spark, d):
-    """T1 / T2: log rows in the observation and prediction windows."""
-    w = ORDERS_MAPPING.windows
-    tx = raw_transactions(spark, d, ORDERS_MAPPING)
-    return tx.agg(F.count_if(T.in_obs(w)).alias("obs_rows"), F.count_if(T.in_pred(w)).alias("pred_rows"))
-
-
-def _feature_groups(spark, d):
-    """F-17 / F-19: inferred feature groups and the three setups."""
-    from cadence.operators.features import infer_feature_groups
-    from cadence.plans.pipeline import SETUPS, setup_columns
-    spec = FeatureSpec()
-    g = infer_feature_groups(Q.clean_customers(customers(spark, d), holdout=("sanity_score",)),
-                             dict(spec.ordinal), list(spec.nominal))
-    rows = [("customer", grp, c) for grp, cols in g.items() for c in cols]
-    for s in SETUPS:
-        num, ordn, nom = setup_columns(s, ORDERS_MAPPING.types)
-        rows += [(s, "numeric", c) for c in num] + [(s, "ordinal", c) for c in ordn] + [
-            (s, "nominal", c) for c in nom]
-    return spark.createDataFrame(rows, "setup string, feature_group string, feature string")
-
-
-def quality_split_queries() -> dict[str, Query]:
-    return {
-        "s3_table_profile": _profile,
-        "t1_t2_window_rows": _window_rows,
-        "f17_f19_feature_groups": _feature_groups,
-        "q1_q2_key_profile": _key_profile,
-        "q3_null_profile": _null_profile,
-        "q4_orphans_orders": _orphans(ORDERS_MAPPING),
-        "q4_orphans_events": _orphans(EVENTS_MAPPING),
-        "q5_q7_clean_customers": _clean_customers,
-        "q8_sanity_holdout": _sanity,
-        "p1_split_hash": _split("hash"),
-        "p1_split_exact": _split("exact"),
-        "p2_split_profile": _split_profile,
-        "p3_holdout_split": _holdout,
-        "p4_p9_preprocess_full": _preprocess,
-    }
-
 
 def all_queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    out.update(target_feature_queries())
-    out.update(quality_split_queries())
-    from cadence.plans.catalog_eval import evaluation_queries
-    out.update(evaluation_queries())
-    from cadence.plans.catalog_signals import signal_queries
-    out.update(signal_queries())
-    from cadence.plans.catalog_report import report_queries
-    out.update(report_queries())
-    from cadence.plans.catalog_models import model_queries
-    out.update(model_queries())
+    for part in (target_feature_queries, quality_split_queries, evaluation_queries,
+                 signal_queries, report_queries, model_queries):
+        out.update(part())
     return out
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers with their disengagement label and RFM features."""
+    """Customers with their labels and the 20 observation-window features."""
     return round_doubles(mart(spark, sf_dir, ORDERS_MAPPING))

@@ -16,7 +16,7 @@ WHAT_IF = 0.35
 
 
 def scored_split(spark, d, split: str = "test", score: str = "s_recency") -> DataFrame:
-    from cadence.plans.catalog import split_frame
+    from cadence.plans.catalog_prep import split_frame
     s = with_standins(split_frame(spark, d))
     return s.where(F.col("split") == split).select(
         "customer_id", F.col(LABEL).alias("label"), F.col(score).alias("score"))
@@ -27,7 +27,7 @@ def _r(f):
 
 
 def _grid(spark, d):
-    from cadence.plans.catalog import split_frame
+    from cadence.plans.catalog_prep import split_frame
     s = materialize(with_standins(split_frame(spark, d)).where(F.col("split") == "test"))
     cols = {("Full", "recency"): "s_recency", ("Full", "gap"): "s_gap",
             ("Tx-strict", "recency"): "s_recency", ("Tx-strict", "freq"): "s_freq"}

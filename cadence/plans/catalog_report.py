@@ -70,7 +70,7 @@ def _signals(spark, d):
 
 
 def _mart(spark, d):
-    from cadence.plans.catalog import split_frame
+    from cadence.plans.catalog_prep import split_frame
     return split_frame(spark, d)
 
 
@@ -79,7 +79,7 @@ def _class_hist(spark, d):
 
 
 def _attr_hist(spark, d):
-    from cadence.plans.catalog import full_frame
+    from cadence.plans.catalog_prep import full_frame
     return R.class_histograms(materialize(full_frame(spark, d)), ["c_acctbal", "c_nationkey"],
                               "future_disengaged", 30, None)
 

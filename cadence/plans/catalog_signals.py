@@ -12,7 +12,7 @@ from cadence.session import materialize
 
 
 def standin_frame(spark, d):
-    from cadence.plans.catalog import split_frame
+    from cadence.plans.catalog_prep import split_frame
     return with_standins(split_frame(spark, d))
 
 
@@ -34,7 +34,7 @@ def _engagement(spark, d):
 
 
 def _drill(spark, d):
-    from cadence.plans.catalog import split_frame
+    from cadence.plans.catalog_prep import split_frame
     t = R.drilldown_table(signals(spark, d), split_frame(spark, d))
     return t.select("client_id", F.explode("behaviour").alias("b")).select(
         "client_id", "b.feature", "b.value")
@@ -42,7 +42,7 @@ def _drill(spark, d):
 
 def _lookup(spark, d):
     """G-17 lookup of the client with the largest expected value."""
-    from cadence.plans.catalog import split_frame
+    from cadence.plans.catalog_prep import split_frame
     sig = signals(spark, d)
     top = R.top_opportunities(sig, 1).first()["customer_id"]
     return R.client_drilldown(sig, split_frame(spark, d), str(top)).drop("behaviour")
