@@ -11,6 +11,7 @@ partition is an ordinary partitioned window.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,7 +57,7 @@ def global_row_number(df: DataFrame, order: list[Column], col: str = "row_no") -
     return running_totals(df, order, [], row_number_col=col)
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+def exact_quantiles_sorted(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas' default) of several
     columns, NULLs skipped. Returns one row per (column, prob):
     ``(column, prob, n, value)``.
@@ -94,6 +95,80 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataF
                       (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
 
 
+def _unpivot(df: DataFrame, cols: list[str]) -> DataFrame:
+    return (df.select(F.explode(F.array(*[
+                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                for c in cols])).alias("_s"))
+              .select("_s.column", "_s.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
+                    buckets: int = 4096, max_passes: int = 40) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas' default) of several
+    columns, NULL/NaN skipped: one row per (column, prob) with
+    ``(column, prob, n, value)``.
+
+    Distributed selection without sorting: every pass is one scan that
+    counts the rows of each still-open value range in ``buckets`` equal-width
+    buckets (a bounded histogram: targets x buckets rows), the range shrinks
+    to the bucket holding the wanted order statistic, and a range holding a
+    single distinct value is resolved. Continuous data resolves in a handful
+    of passes; the range tables sent to the tasks are broadcast (a few rows
+    per target). Falls back to the sort-based version after ``max_passes``."""
+    spark = df.sparkSession
+    long = _unpivot(df, cols)
+    stats = {r["column"]: r for r in long.groupBy("column").agg(
+        F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()}
+    # targets: (column, rank) -> [lo, hi, below]
+    state: dict[tuple[str, int], list] = {}
+    for c in cols:
+        st = stats.get(c)
+        if st is None:
+            continue
+        for p in probs:
+            pos = p * (st["n"] - 1)
+            for rk in {int(np.floor(pos)), int(np.ceil(pos))}:
+                state[(c, rk)] = [st["mn"], st["mx"], 0]
+    for _ in range(max_passes):
+        open_t = [(i, k, v) for i, (k, v) in enumerate(state.items()) if v[0] < v[1]]
+        if not open_t:
+            break
+        tdf = spark.createDataFrame([(i, k[0], float(v[0]), float(v[1])) for i, k, v in open_t],
+                                    "tid int, column string, lo double, hi double")
+        b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets),
+                    F.lit(buckets - 1)).cast("int")
+        hist = (long.join(F.broadcast(tdf), "column")
+                .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+                .groupBy("tid", b.alias("b"))
+                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
+                .collect())
+        by_t: dict[int, list] = {}
+        for r in hist:
+            by_t.setdefault(r["tid"], []).append(r)
+        for i, k, v in open_t:
+            acc = v[2]
+            for r in sorted(by_t.get(i, []), key=lambda r: r["b"]):
+                if acc + r["c"] > k[1]:
+                    v[0], v[1], v[2] = r["bmin"], r["bmax"], acc
+                    break
+                acc += r["c"]
+    else:
+        if any(v[0] < v[1] for v in state.values()):
+            return exact_quantiles_sorted(df, cols, probs)
+    rows = []
+    for c in cols:
+        st = stats.get(c)
+        for p in probs:
+            if st is None:
+                rows.append((c, float(p), 0, None))
+                continue
+            pos = p * (st["n"] - 1)
+            lo, hi = state[(c, int(np.floor(pos)))][0], state[(c, int(np.ceil(pos)))][0]
+            frac = pos - np.floor(pos)
+            rows.append((c, float(p), int(st["n"]), float(lo + frac * (hi - lo))))
+    return spark.createDataFrame(rows, "column string, prob double, n long, value double")
+
+
 def quantile_row(df: DataFrame, specs: dict[str, tuple[str, float]]) -> DataFrame:
     """One-row frame ``{alias: quantile(column, prob)}`` for broadcast use."""
     cols = sorted({c for c, _ in specs.values()})
@@ -110,20 +185,20 @@ def grouped_quantile(df: DataFrame, key: str, value: str, prob: float = 0.5,
     groups of any size: one row per group ``(key, out)``.
 
     A hot group is never gathered into one task: the ``(key, value)`` rows are
-    globally sorted (range partitions split a hot key by value), group start
-    offsets come from a distributed running sum over the per-group counts,
-    and the two bracketing rows of each group are fetched with an equi-join on
+    globally sorted (range partitions split a hot key by value), so every
+    group occupies a contiguous range of global row numbers whose start is
+    ``min(row_no)`` (a partial-aggregated group-by); the one or two rows
+    bracketing each group's position are fetched with a single equi-join on
     the global row number."""
     v = df.select(F.col(key), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     ranked = running_totals(v, [F.col(key).asc(), F.col("_v").asc()], [], row_number_col="_rn")
-    counts = v.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    starts = running_totals(counts, [F.col(key).asc()], ["_n"], prefix="_cum", row_number_col=None)
+    g = ranked.groupBy(key).agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_n"))
     pos = F.lit(float(prob)) * (F.col("_n") - 1)
-    t = (starts.withColumn("_start", F.col("_cum_n") - F.col("_n"))
-               .withColumn("_frac", pos - F.floor(pos))
-               .withColumn("_lo", F.col("_start") + F.floor(pos).cast("long") + 1)
-               .withColumn("_hi", F.col("_start") + F.ceil(pos).cast("long") + 1))
-    r = ranked.select("_rn", "_v")
-    lo = t.join(r.withColumnRenamed("_rn", "_lo").withColumnRenamed("_v", "_vlo"), "_lo")
-    both = lo.join(r.withColumnRenamed("_rn", "_hi").withColumnRenamed("_v", "_vhi"), "_hi")
-    return both.select(key, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(out))
+    t = (g.withColumn("_frac", pos - F.floor(pos))
+          .withColumn("_lo", F.col("_first") + F.floor(pos).cast("long"))
+          .withColumn("_hi", F.col("_first") + F.ceil(pos).cast("long")))
+    wanted = t.select(key, "_frac", "_lo", "_hi", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rn"))
+    picked = wanted.join(ranked.select("_rn", "_v"), "_rn").groupBy(key, "_frac").agg(
+        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
+    return picked.select(key, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(out))

@@ -176,15 +176,20 @@ def infer_feature_groups(df: DataFrame, ordinal: dict, nominal: list[str],
 
 def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
                   rules: LabelRules = LabelRules(), with_labels: bool = True,
-                  median: str = "exact") -> DataFrame:
+                  median: str = "exact", columns: list[str] | None = None) -> DataFrame:
     """F-18 (+ T3-T8): one row per spine customer with the 20 transaction
     features (structural zero for customers without observation rows) and,
-    when ``with_labels``, the window counts and both labels."""
+    when ``with_labels``, the window counts and both labels. ``columns``
+    restricts the output (and the work: e.g. no median pass when
+    ``tx_median`` is not requested)."""
     types = tuple(types)
-    base = customer_aggregates(tx, w, types, with_counts=with_labels, median=median)
+    feat = tx_feature_columns(types)
+    if columns is not None:
+        feat = [c for c in feat if c in columns]
+    base = customer_aggregates(tx, w, types, with_counts=with_labels,
+                               median=median if "tx_median" in feat else "none")
     cal = calendar_features(monthly_activity(daily_activity(tx, w)), w)
     parts = base.join(cal, "customer_id", "left")
-    feat = tx_feature_columns(types)
     count_cols = ["obs_count", "fut_count"] if with_labels else []
     out = spine.select("customer_id").join(parts, "customer_id", "left")
     out = out.fillna(0, subset=count_cols + feat).fillna(0.0, subset=feat)

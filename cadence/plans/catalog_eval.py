@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cadence.operators import evaluate as E
 from cadence.plans.common import round_doubles
-from cadence.plans.standins import with_standins
+from cadence.plans.standins import STANDIN_NEEDS, with_standins
 from cadence.session import materialize
 from cadence.sources import customers
 
@@ -17,7 +17,7 @@ WHAT_IF = 0.35
 
 def scored_split(spark, d, split: str = "test", score: str = "s_recency") -> DataFrame:
     from cadence.plans.catalog_prep import split_frame
-    s = with_standins(split_frame(spark, d))
+    s = with_standins(split_frame(spark, d, columns=STANDIN_NEEDS))
     return s.where(F.col("split") == split).select(
         "customer_id", F.col(LABEL).alias("label"), F.col(score).alias("score"))
 
@@ -28,7 +28,7 @@ def _r(f):
 
 def _grid(spark, d):
     from cadence.plans.catalog_prep import split_frame
-    s = materialize(with_standins(split_frame(spark, d)).where(F.col("split") == "test"))
+    s = materialize(with_standins(split_frame(spark, d, columns=STANDIN_NEEDS)).where(F.col("split") == "test"))
     cols = {("Full", "recency"): "s_recency", ("Full", "gap"): "s_gap",
             ("Tx-strict", "recency"): "s_recency", ("Tx-strict", "freq"): "s_freq"}
     return E.evaluation_table({k: s.select("customer_id", F.col(LABEL).alias("label"),

@@ -10,6 +10,7 @@ from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING
 from cadence.operators import targets as T
 from cadence.operators.features import RFM_COLS, share_name
 from cadence.plans.common import mart, round_doubles
+from cadence.sources import customers, transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +18,15 @@ LABEL_COLS = ["customer_id", "obs_count", "fut_count", "obs_monthly", "fut_month
               "activity_ratio", "future_disengaged", "future_growth"]
 
 
+def label_table(spark, d, m):
+    """T3-T8 alone: one conditional-count aggregate joined to the spine."""
+    return T.labels(customers(spark, d), transactions(spark, d, m), m.windows)
+
+
+def _labels(m):
+    return lambda spark, d: round_doubles(label_table(spark, d, m).select(*LABEL_COLS))
+
+
 def _mart_cols(m, cols):
     return lambda spark, d: round_doubles(mart(spark, d, m).select(*cols))
 
@@ -26,19 +36,19 @@ def _mart_all(m):
 
 
 def _class_dist(m, label):
-    return lambda spark, d: T.class_distribution(mart(spark, d, m), label)
+    return lambda spark, d: T.class_distribution(label_table(spark, d, m), label)
 
 
 def _base_rate(m, label):
-    return lambda spark, d: round_doubles(T.base_rate(mart(spark, d, m), label))
+    return lambda spark, d: round_doubles(T.base_rate(label_table(spark, d, m), label))
 
 
 def target_feature_queries() -> dict[str, Query]:
     o, e = ORDERS_MAPPING, EVENTS_MAPPING
     shares = ["customer_id"] + [share_name(t) for t in o.types]
     return {
-        "t_labels_orders": _mart_cols(o, LABEL_COLS),
-        "t_labels_events": _mart_cols(e, LABEL_COLS),
+        "t_labels_orders": _labels(o),
+        "t_labels_events": _labels(e),
         "t9_class_dist_disengaged": _class_dist(o, "future_disengaged"),
         "t9_class_dist_growth": _class_dist(o, "future_growth"),
         "t10_base_rate": _base_rate(o, "future_disengaged"),

@@ -36,7 +36,7 @@ def _r(f):
 
 def _weights(spark, d):
     from cadence.plans.catalog_prep import split_frame
-    tr = split_frame(spark, d).where(F.col("split") == "train")
+    tr = split_frame(spark, d, columns=[]).where(F.col("split") == "train")
     return M.class_weights(tr, "future_disengaged").select("customer_id", "w_balanced", "w_pos")
 
 

@@ -42,10 +42,11 @@ def _sanity(spark, d):
     return round_doubles(Q.sanity_holdout(customers(spark, d), "sanity_score"))
 
 
-def split_frame(spark, d, method="hash"):
-    """Orders mart with the 60/20/20 split column."""
-    return S.assign_split(mart(spark, d, ORDERS_MAPPING), SplitSpec(), label="future_disengaged",
-                          method=method)
+def split_frame(spark, d, method="hash", columns=None):
+    """Orders mart (optionally only ``columns`` features) with the 60/20/20
+    split column."""
+    return S.assign_split(mart(spark, d, ORDERS_MAPPING, columns), SplitSpec(),
+                          label="future_disengaged", method=method)
 
 
 def full_frame(spark, d):
@@ -56,11 +57,11 @@ def full_frame(spark, d):
 
 
 def _split(method):
-    return lambda spark, d: split_frame(spark, d, method).select("customer_id", "split")
+    return lambda spark, d: split_frame(spark, d, method, columns=[]).select("customer_id", "split")
 
 
 def _split_profile(spark, d):
-    return round_doubles(S.split_profile(split_frame(spark, d), "future_disengaged"))
+    return round_doubles(S.split_profile(split_frame(spark, d, columns=[]), "future_disengaged"))
 
 
 def _holdout(spark, d):

@@ -69,13 +69,18 @@ def _signals(spark, d):
     return signals(spark, d)
 
 
-def _mart(spark, d):
+def _mart(spark, d, columns=None):
     from cadence.plans.catalog_prep import split_frame
-    return split_frame(spark, d)
+    return split_frame(spark, d, columns=columns)
+
+
+def _behaviour(spark, d):
+    from cadence.plans.standins import STANDIN_NEEDS
+    return _mart(spark, d, STANDIN_NEEDS)
 
 
 def _class_hist(spark, d):
-    return R.class_histograms(materialize(_mart(spark, d)), BEHAVIOUR, "future_disengaged", 30, 0.99)
+    return R.class_histograms(materialize(_behaviour(spark, d)), BEHAVIOUR, "future_disengaged", 30, 0.99)
 
 
 def _attr_hist(spark, d):
@@ -107,7 +112,7 @@ def report_queries():
         "v4_fold_results_standin": _r(fold_results),
         "v5_fold_labels": _r(_fold_labels),
         "v6_v7_fold_stability": _r(lambda s, d: V.fold_stability(fold_results(s, d))),
-        "h3_histogram_recency": _r(lambda s, d: R.histogram(_mart(s, d), "tx_recency", 30)),
+        "h3_histogram_recency": _r(lambda s, d: R.histogram(_behaviour(s, d), "tx_recency", 30)),
         "h4_h7_class_histograms": _r(_class_hist),
         "h7_attribute_histograms": _r(_attr_hist),
         "h5_density_grid": _density,
@@ -120,7 +125,7 @@ def report_queries():
         "r5_ecv_summary": _r(lambda s, d: R.ecv_summary(_signals(s, d))),
         "r6_frontier_summary": _r(lambda s, d: R.frontier_summary(_signals(s, d))),
         "r7_top100_total_ecv": _r(lambda s, d: R.top_ecv_total(RK.top_opportunities(_signals(s, d)))),
-        "r8_run_summary": _r(lambda s, d: R.run_summary(_mart(s, d), _signals(s, d))),
+        "r8_run_summary": _r(lambda s, d: R.run_summary(_mart(s, d, []), _signals(s, d))),
         "r9_metric_highlights": _r(_highlights),
         "r10_feature_dictionary": _r(lambda s, d: R.feature_dictionary(s, _mart(s, d))),
     }

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from cadence.operators import ranking as R
 from cadence.operators import signals as G
 from cadence.plans.common import round_doubles
-from cadence.plans.standins import with_standins
+from cadence.plans.standins import STANDIN_NEEDS, with_standins
 from cadence.session import materialize
 
 
 def standin_frame(spark, d):
     from cadence.plans.catalog_prep import split_frame
-    return with_standins(split_frame(spark, d))
+    return with_standins(split_frame(spark, d, columns=STANDIN_NEEDS))
 
 
 def signals(spark, d):
@@ -35,7 +35,7 @@ def _engagement(spark, d):
 
 def _drill(spark, d):
     from cadence.plans.catalog_prep import split_frame
-    t = R.drilldown_table(signals(spark, d), split_frame(spark, d))
+    t = R.drilldown_table(signals(spark, d), split_frame(spark, d, columns=STANDIN_NEEDS))
     return t.select("client_id", F.explode("behaviour").alias("b")).select(
         "client_id", "b.feature", "b.value")
 
@@ -45,7 +45,7 @@ def _lookup(spark, d):
     from cadence.plans.catalog_prep import split_frame
     sig = signals(spark, d)
     top = R.top_opportunities(sig, 1).first()["customer_id"]
-    return R.client_drilldown(sig, split_frame(spark, d), str(top)).drop("behaviour")
+    return R.client_drilldown(sig, split_frame(spark, d, columns=STANDIN_NEEDS), str(top)).drop("behaviour")
 
 
 def signal_queries():

@@ -18,7 +18,8 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
                        for f in df.schema.fields])
 
 
-def mart(spark: SparkSession, sf_dir: str, m: TxMapping) -> DataFrame:
+def mart(spark: SparkSession, sf_dir: str, m: TxMapping,
+         columns: list[str] | None = None) -> DataFrame:
     """Feature mart with labels for a mapping (one row per customer)."""
     return customer_mart(customers(spark, sf_dir), transactions(spark, sf_dir, m),
-                         m.windows, m.types)
+                         m.windows, m.types, columns=columns)

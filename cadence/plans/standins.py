@@ -17,6 +17,11 @@ STANDIN_SOURCES = {"s_recency": "tx_recency", "s_gap": "tx_max_gap", "s_late": "
                    "s_freq": "tx_freq"}
 
 
+# Behaviour columns the stand-in scores, signals and drill-down read.
+STANDIN_NEEDS = ["tx_count", "tx_total", "tx_freq", "tx_recency", "tx_max_gap", "tx_count_trend",
+                 "tx_late_ratio", "tx_wknd_ratio"]
+
+
 def with_standins(mart: DataFrame) -> DataFrame:
     """Adds s_recency, s_gap, s_late, s_freq (min-max over all customers),
     ``rr_raw`` = s_recency and ``bp_raw`` = s_late."""

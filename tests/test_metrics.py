@@ -118,3 +118,15 @@ def test_grouped_quantile_matches_pandas_with_hot_key(spark):
     assert set(got) == set(exp)
     for k, v in exp.items():
         assert got[k] == pytest.approx(v)
+
+
+def test_histogram_selection_matches_sort_based(spark):
+    from cadence.functions.ordered import exact_quantiles_sorted
+    rng = np.random.default_rng(8)
+    rows = [(float(v), float(w)) for v, w in zip(np.round(rng.lognormal(3, 2, 3000), 4),
+                                                  np.repeat([1.0, 2.0, 7.5], 1000))]
+    df = spark.createDataFrame(rows, "a double, b double")
+    probs = [0.0, 0.08, 0.5, 0.92, 0.99, 1.0]
+    a = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, ["a", "b"], probs).collect()}
+    b = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles_sorted(df, ["a", "b"], probs).collect()}
+    assert a == pytest.approx(b)
