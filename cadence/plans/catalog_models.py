@@ -123,6 +123,22 @@ def _model_confusion(spark, d):
     return E.confusion_matrix(run_for(spark, d).best("risk")[2], 0.5)
 
 
+def _model_setups(spark, d):
+    from cadence.operators import evaluate as E
+    return E.setup_comparison(run_for(spark, d).evaluation("risk", "test"))
+
+
+def _model_kpis(spark, d):
+    from cadence.operators import report as R
+    r = run_for(spark, d)
+    return R.headline_kpis(r.evaluation("risk", "test"), r.walk_forward(), r.signals())
+
+
+def _model_highlights(spark, d):
+    from cadence.operators import report as R
+    return R.metric_highlights(run_for(spark, d).evaluation("risk", "test"))
+
+
 def model_queries():
     return {
         "m4_class_weights": _r(_weights),
@@ -137,6 +153,9 @@ def model_queries():
         "e10_classification_report_model": _r(_model_report),
         "e11_confusion_matrix_model": _model_confusion,
         "e13_sanity_check_model": _r(_model_sanity),
+        "e14_setup_comparison_model": _r(_model_setups),
+        "r1_headline_kpis_model": _r(_model_kpis),
+        "r9_metric_highlights_model": _r(_model_highlights),
         "m9_growth_model_grid": _r(lambda s, d: run_for(s, d).evaluation("growth", "test")),
         "m10_best_models": _r(_best),
         "c1_c2_calibrated_scores": _r(lambda s, d: run_for(s, d).scores()),
