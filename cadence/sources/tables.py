@@ -31,10 +31,6 @@ def read_csv_table(spark: SparkSession, path: str, schema: str | None = None,
     return r.csv(path)
 
 
-def _ts(d: dt.date) -> Column:
-    return F.lit(dt.datetime(d.year, d.month, d.day))
-
-
 def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
                  start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Transaction log in ``[start, end)`` (default: observation start to
@@ -45,8 +41,10 @@ def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
     end = end or w.pred_end
     src = read_table(spark, sf_dir, mapping.table)
     ts = F.col(mapping.date)
+    kind = src.schema[mapping.date].dataType.simpleString()
+    lo, hi = (F.lit(start).cast(kind), F.lit(end).cast(kind))   # midnight in the column's own type
     return (
-        src.where((ts >= _ts(start)) & (ts < _ts(end)) & F.col(mapping.customer_id).isNotNull())
+        src.where((ts >= lo) & (ts < hi) & F.col(mapping.customer_id).isNotNull())
         .select(
             F.col(mapping.customer_id).cast("long").alias("customer_id"),
             F.to_date(ts).alias("date"),

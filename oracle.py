@@ -38,6 +38,9 @@ WHERE {m.date} >= CAST({q(start)} AS TIMESTAMP) AND {m.date} < CAST({q(end)} AS
   AND {m.customer_id} IS NOT NULL"""
 
 
+INT_SQL = {"tx_count": "BIGINT", "tx_recency": "INTEGER", "tx_span": "INTEGER", "tx_max_gap": "INTEGER"}
+
+
 def mart_ctes(m: TxMapping, rules: LabelRules = LabelRules()) -> str:
     """CTEs ``tx``, ``mart`` (features + labels, one row per customer)."""
     w = m.windows
@@ -113,7 +116,8 @@ mart AS (
     CAST(fut_count = 0 OR activity_ratio < {rules.disengage_ratio}e0 AS INTEGER) AS future_disengaged,
     CAST(fut_monthly >= {rules.growth_factor}e0 * obs_monthly OR (obs_monthly = 0 AND fut_count > 0) AS INTEGER)
       AS future_growth,
-    {", ".join(f"coalesce(f.{c}, 0) AS {c}" for c in tx_feature_columns(m.types))}
+    {", ".join(f"CAST(coalesce(f.{c}, 0) AS {INT_SQL[c]}) AS {c}" if c in INT_SQL else f"coalesce(f.{c}, 0) AS {c}"
+               for c in tx_feature_columns(m.types))}
   FROM lab l LEFT JOIN feat f USING (customer_id))"""
 
 
@@ -620,7 +624,7 @@ ff AS (SELECT s.fold, s.customer_id, coalesce(a.oc, 0) AS obs_count, coalesce(a.
          coalesce(a.tx_count, 0) AS tx_count, coalesce(a.tx_total, 0e0) AS tx_total,
          coalesce(a.tx_mean, 0e0) AS tx_mean, coalesce(a.sd, 0e0) AS tx_std,
          coalesce(coalesce(a.sd, 0e0) / greatest(a.tx_mean, 1e0), 0e0) AS tx_cv,
-         coalesce(date_diff('day', a.last_d, s.obs_end - 1), 0) AS tx_recency, {shares},
+         CAST(coalesce(date_diff('day', a.last_d, s.obs_end - 1), 0) AS INTEGER) AS tx_recency, {shares},
          CAST(coalesce(a.fc, 0) = 0 OR (CASE WHEN coalesce(a.oc, 0) / s.obs_periods > 0
               THEN (coalesce(a.fc, 0) / s.pred_periods) / (coalesce(a.oc, 0) / s.obs_periods)
               WHEN coalesce(a.fc, 0) > 0 THEN 1e0 ELSE 0e0 END) < 0.2e0 AS INTEGER) AS future_disengaged
