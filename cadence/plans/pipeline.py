@@ -241,3 +241,32 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     for p in parts[1:]:
         rows = rows.unionByName(p)
     return materialize(rows)
+
+
+def save_run(run: ModelRun, out_dir: str) -> dict[str, str]:
+    """S-4: write every result table of a run as Parquet and every fitted
+    model as an MLlib model folder (plus the preprocessors as JSON) under
+    ``out_dir`` (shared storage on a cluster)."""
+    import json
+    import os
+
+    from cadence.sources import save_model, save_result
+
+    paths: dict[str, str] = {}
+    for name, df in model_run(run.spark, run.sf_dir, run.cfg).items():
+        paths[name] = save_result(df, os.path.join(out_dir, "tables", name))
+    for (setup, algo), (fitted, _, _) in run.risk_grid().items():
+        paths[f"model_risk_{setup}_{algo}"] = save_model(
+            fitted.model, os.path.join(out_dir, "models", "risk", setup, algo))
+    for (setup, algo), (fitted, _, _) in run.growth_grid().items():
+        paths[f"model_growth_{setup}_{algo}"] = save_model(
+            fitted.model, os.path.join(out_dir, "models", "growth", setup, algo))
+    cr, cb = run.calibrators()
+    paths["calibrator_risk"] = save_model(cr, os.path.join(out_dir, "models", "calibrator", "risk"))
+    paths["calibrator_growth"] = save_model(cb, os.path.join(out_dir, "models", "calibrator", "growth"))
+    pre = {f"{s}:{lab}": run.prepared(s, lab)[2].to_json()
+           for s, lab in [(s, "future_disengaged") for s in SETUPS] + [("Tx-strict", "future_growth")]}
+    meta = run.spark.createDataFrame(list(pre.items()), "setup string, preprocessor string")
+    paths["preprocessors"] = save_result(meta, os.path.join(out_dir, "tables", "preprocessors"))
+    paths["threshold"] = json.dumps({"threshold": run.threshold()})
+    return paths
