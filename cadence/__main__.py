@@ -23,7 +23,11 @@ def main() -> None:
     ap.add_argument("--out", required=True, help="output folder for result tables and models")
     ap.add_argument("--select-on", default="val", choices=["val", "test"])
     args = ap.parse_args()
-    spark = SparkSession.builder.appName("cadence").getOrCreate()
+    spark = (SparkSession.builder.appName("cadence")
+             .config("spark.ui.enabled", "false")
+             .config("spark.sql.adaptive.enabled", "true")
+             .config("spark.sql.adaptive.skewJoin.enabled", "true")
+             .getOrCreate())
     ensure_checkpoint_dir(spark)
     run = ModelRun(spark, args.data, RunConfig(select_on=args.select_on))
     print(json.dumps(save_run(run, args.out), indent=1))
