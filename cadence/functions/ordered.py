@@ -20,6 +20,10 @@ from cadence.session import ensure_checkpoint_dir
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id: low 33 bits = row in partition
 
 
+def _sum_type(t: str) -> str:
+    return "long" if t in ("tinyint", "smallint", "int", "bigint") else "double"
+
+
 def running_totals(df: DataFrame, order: list[Column], sum_cols: list[str],
                    prefix: str = "cum_", row_number_col: str | None = "row_no") -> DataFrame:
     """Append inclusive running sums ``prefix+c`` for each ``c`` in
@@ -33,15 +37,19 @@ def running_totals(df: DataFrame, order: list[Column], sum_cols: list[str],
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
         .checkpoint(eager=True)
     )
+    # One row per partition (bounded by the partition count, as in RDD.zipWithIndex):
+    # exclusive prefix sums over partitions become a broadcast offset table.
     part_tot = ranked.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part_tot.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o_n"),
-        *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}")
-          for c in sum_cols],
-    )
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in sum_cols]).collect()
+    acc = {k: 0 for k in ["_n"] + [f"_t_{c}" for c in sum_cols]}
+    rows = []
+    for r in sorted(part_tot, key=lambda r: r["_part"]):
+        rows.append(tuple([r["_part"], acc["_n"]] + [acc[f"_t_{c}"] for c in sum_cols]))
+        for k in acc:
+            acc[k] += r[k] or 0
+    types = {f.name: f.dataType.simpleString() for f in ranked.schema.fields}
+    schema = ", ".join(["_part int", "_o_n long"] + [f"_o_{c} {_sum_type(types[c])}" for c in sum_cols])
+    offsets = df.sparkSession.createDataFrame(rows, schema)
     within = Window.partitionBy("_part").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = ranked.join(F.broadcast(offsets), "_part")

@@ -8,7 +8,7 @@ the 0.01 grid and suffix-sums <= 101 bucket rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.functions.ordered import running_totals
@@ -37,10 +37,11 @@ def cumulative_scores(df: DataFrame, label: str = "label", score: str = "score",
     if not by:
         return c
     g = t.groupBy(*by).agg(F.sum("pos").alias("_gp"), F.sum("neg").alias("_gn"))
-    before = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    offs = g.select(*by, F.coalesce(F.sum("_gp").over(before), F.lit(0)).alias("_op"),
-                    F.coalesce(F.sum("_gn").over(before), F.lit(0)).alias("_on"))
-    return (c.join(F.broadcast(offs), by)
+    g = running_totals(g, [F.col(x).asc() for x in by], ["_gp", "_gn"], prefix="_c",
+                       row_number_col=None)
+    offs = g.select(*by, (F.col("_c_gp") - F.col("_gp")).alias("_op"),
+                    (F.col("_c_gn") - F.col("_gn")).alias("_on"))
+    return (c.join(offs, by)
              .withColumn("cum_pos", F.col("cum_pos") - F.col("_op"))
              .withColumn("cum_neg", F.col("cum_neg") - F.col("_on"))
              .drop("_op", "_on"))
