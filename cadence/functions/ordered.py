@@ -79,9 +79,13 @@ def exact_quantiles_sorted(df: DataFrame, cols: list[str], probs: list[float]) -
                 F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
                 for c in cols])).alias("_s"))
               .select("_s.column", "_s.v").where(F.col("v").isNotNull()))
-    counts = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("column", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    counts = sorted(long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect(),
+                    key=lambda r: r["column"])
+    srows, acc = [], 0
+    for r in counts:                      # one row per column: a bounded table
+        srows.append((r["column"], r["n"], acc))
+        acc += r["n"]
+    starts = spark.createDataFrame(srows, "column string, n long, start long")
     pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
     pos = F.col("prob") * (F.col("n") - 1)
     targets = (starts.crossJoin(pr)

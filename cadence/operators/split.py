@@ -9,7 +9,7 @@ in one task).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.config import SplitSpec
@@ -29,9 +29,15 @@ def _label_fraction(df: DataFrame, label: str, key: str, seed: int) -> DataFrame
     base = df.withColumn("_h", h)
     ranked = running_totals(base, [F.col(label).asc(), F.col("_h").asc(), F.col(key).asc()], [],
                             row_number_col="_rn")
-    counts = base.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    before = Window.orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(label, "_nc", F.coalesce(F.sum("_nc").over(before), F.lit(0)).alias("_st"))
+    # one row per class (a bounded table): class sizes and start offsets
+    counts = sorted(base.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")).collect(),
+                    key=lambda r: r[label])
+    rows, acc = [], 0
+    for r in counts:
+        rows.append((r[label], r["_nc"], acc))
+        acc += r["_nc"]
+    ltype = base.schema[label].dataType.simpleString()
+    starts = df.sparkSession.createDataFrame(rows, f"{label} {ltype}, _nc long, _st long")
     out = ranked.join(F.broadcast(starts), label)
     return out.withColumn("_frac", (F.col("_rn") - F.col("_st") - 1) / F.col("_nc"))
 
