@@ -48,16 +48,39 @@ def discover_types(tx: DataFrame) -> tuple[str, ...]:
     return tuple(sorted(r[0] for r in rows))
 
 
+HOT_ROWS = 1_000_000   # a customer above this many rows takes the distributed median
+MAX_HOT = 10_000       # at most this many hot keys travel as a literal set
+
+
+def hot_customers(tx_obs: DataFrame, value: str, hot_rows: int | None = None,
+                  max_hot: int | None = None) -> list | None:
+    """Keys with more than ``hot_rows`` non-null values; ``None`` when there
+    are more than ``max_hot`` of them (then no literal set is built)."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    max_hot = MAX_HOT if max_hot is None else max_hot
+    rows = (tx_obs.groupBy("customer_id").agg(F.count(value).alias("_c"))
+            .where(F.col("_c") > hot_rows).select("customer_id").limit(max_hot + 1).collect())
+    if len(rows) > max_hot:
+        return None
+    return [r[0] for r in rows]
+
+
 def customer_aggregates(tx: DataFrame, w: WindowSpec, types, with_counts: bool = True,
                         median: str = "exact") -> DataFrame:
     """F-1 ... F-11 and F-16 (+ T3 label counts) in one grouped aggregate.
 
-    ``median``: "exact" computes the per-customer median as a distributed
-    order statistic (``grouped_quantile``: safe for a customer holding a third
-    of the log); "approx" uses ``percentile_approx`` (a bounded, mergeable
-    sketch inside the same aggregate); "inline" uses Spark's exact
-    ``median`` aggregate, whose final buffer holds every distinct amount of a
-    customer in one task (fine when customers are small)."""
+    ``median`` (all exact except "approx"):
+
+    * "exact" (default) splits hot customers off: a narrow count pass finds
+      customers with more than ``HOT_ROWS`` observation rows (at most
+      ``MAX_HOT`` keys are shipped as a literal set, else everything takes
+      the distributed path); the others get Spark's exact ``median`` inside
+      the main aggregate (a buffer of at most ``HOT_ROWS`` values per group),
+      the hot ones the distributed order statistic of ``grouped_quantile``;
+    * "distributed": the order statistic for every customer;
+    * "approx": ``percentile_approx`` (bounded, mergeable sketch);
+    * "inline": Spark's exact ``median`` for every customer (unbounded per
+      group: only for data without hot customers)."""
     o = in_obs(w)
     amt = F.when(o, F.col("amount"))
     d = F.when(o, F.col("date"))
@@ -80,15 +103,31 @@ def customer_aggregates(tx: DataFrame, w: WindowSpec, types, with_counts: bool =
     ]
     aggs += [F.count_if(o & (F.col("type") == F.lit(t))).alias("_n_" + share_name(t))
              for t in types]
+    hot = None
+    if median == "exact":
+        hot = hot_customers(tx.where(o), "amount")
+        if hot is None:
+            median = "distributed"
     if median == "inline":
         aggs.append(F.median(amt).alias("tx_median"))
     elif median == "approx":
         aggs.append(F.percentile_approx(amt, 0.5, 10000).cast("double").alias("tx_median"))
+    elif median == "exact":
+        cold = ~F.col("customer_id").isin(hot) if hot else F.lit(True)
+        aggs.append(F.median(F.when(cold, amt)).alias("_med_cold"))
     a = tx.groupBy("customer_id").agg(*aggs)
-    if median == "exact":
+    if median == "distributed":
         med = grouped_quantile(tx.where(o).select("customer_id", "amount"), "customer_id", "amount",
                                0.5, "tx_median")
         a = a.join(med, "customer_id", "left")
+    elif median == "exact":
+        if hot:
+            rows = tx.where(o & F.col("customer_id").isin(hot)).select("customer_id", "amount")
+            med = grouped_quantile(rows, "customer_id", "amount", 0.5, "_med_hot")
+            a = a.join(F.broadcast(med), "customer_id", "left")     # <= MAX_HOT rows
+            a = a.withColumn("tx_median", F.coalesce(F.col("_med_hot"), F.col("_med_cold")))
+        else:
+            a = a.withColumn("tx_median", F.col("_med_cold"))
     std = F.coalesce(F.col("_std"), F.lit(0.0))
     span = F.when(F.col("_last").isNotNull(),
                   F.greatest(days_between(F.col("_last"), F.col("_first")), F.lit(1)))

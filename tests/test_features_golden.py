@@ -102,3 +102,22 @@ def test_no_leakage_from_future_rows(spark):
     a, b = mart(spark, obs + fut)[0], mart(spark, obs)[0]
     feats = [k for k in a if k.startswith("tx_") or k.startswith("sh_")]
     assert {k: a[k] for k in feats} == {k: b[k] for k in feats}
+
+
+@pytest.mark.parametrize("hot_rows,max_hot", [(1_000_000, 10_000), (5, 10_000), (5, 0)])
+def test_median_paths_agree(spark, monkeypatch, hot_rows, max_hot):
+    """Cold (inline), hot-split and fully distributed medians give pandas' median."""
+    import numpy as np
+    from cadence.operators import features as FT
+    monkeypatch.setattr(FT, "HOT_ROWS", hot_rows)
+    monkeypatch.setattr(FT, "MAX_HOT", max_hot)
+    rng = np.random.default_rng(3)
+    rows = [(0, "2023-0%d-1%d" % (1 + i % 9, i % 10), "deposit", float(np.round(rng.exponential(50), 2)))
+            for i in range(40)]
+    rows += [(1, "2023-02-11", "deposit", 3.0), (1, "2023-02-12", "payment", 8.0),
+             (2, "2023-04-01", "deposit", 5.0)]
+    out = mart(spark, rows, n_customers=4)
+    for k in (0, 1, 2):
+        vals = [a for kk, _, _, a in rows if kk == k]
+        assert out[k]["tx_median"] == pytest.approx(float(np.median(vals)))
+    assert out[3]["tx_median"] == 0.0
