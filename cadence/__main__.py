@@ -22,12 +22,16 @@ def main() -> None:
     ap.add_argument("--data", required=True, help="folder with customer/orders/... parquet tables")
     ap.add_argument("--out", required=True, help="output folder for result tables and models")
     ap.add_argument("--select-on", default="val", choices=["val", "test"])
+    ap.add_argument("--shuffle-partitions", type=int, default=None,
+                    help="override spark.sql.shuffle.partitions (default: the session's)")
     args = ap.parse_args()
     spark = (SparkSession.builder.appName("cadence")
              .config("spark.ui.enabled", "false")
              .config("spark.sql.adaptive.enabled", "true")
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .getOrCreate())
+    if args.shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.shuffle_partitions))
     ensure_checkpoint_dir(spark)
     run = ModelRun(spark, args.data, RunConfig(select_on=args.select_on))
     print(json.dumps(save_run(run, args.out), indent=1))
