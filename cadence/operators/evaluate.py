@@ -156,11 +156,12 @@ def threshold_sweep(df: DataFrame, label: str = "label", score: str = "score",
          .otherwise(_grid_bucket(F.col(score))))
     buckets = df.groupBy(b.alias("b")).agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg"))
     th = spark.range(lo, hi + 1).select(F.col("id").cast("int").alias("m"))
-    tot = buckets.agg(F.sum("pos").alias("P"))
+    # every threshold row sees all (<= 103) bucket rows: totals come from the same aggregate
     j = th.crossJoin(F.broadcast(buckets)).groupBy("m").agg(
         F.sum(F.when(F.col("b") >= F.col("m"), F.col("pos")).otherwise(0)).alias("tp"),
-        F.sum(F.when(F.col("b") >= F.col("m"), F.col("neg")).otherwise(0)).alias("fp"))
-    j = j.crossJoin(F.broadcast(tot)).withColumn("fn", F.col("P") - F.col("tp"))
+        F.sum(F.when(F.col("b") >= F.col("m"), F.col("neg")).otherwise(0)).alias("fp"),
+        F.sum("pos").alias("P"))
+    j = j.withColumn("fn", F.col("P") - F.col("tp"))
     return j.select((F.col("m") / F.lit(100.0)).alias("threshold"),
                     *prf_columns(F.col("tp"), F.col("fp"), F.col("fn")))
 
