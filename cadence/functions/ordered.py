@@ -115,7 +115,7 @@ def _unpivot(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    buckets: int = 4096, max_passes: int = 40) -> DataFrame:
+                    buckets: int = 1024, max_passes: int = 40) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas' default) of several
     columns, NULL/NaN skipped: one row per (column, prob) with
     ``(column, prob, n, value)``.
