@@ -39,6 +39,7 @@ class RunConfig:
     wf_rounds: int = 200
     select_on: str = "val"          # D-2: "test" reproduces the reference's growth pick
     parallelism: int = 4            # concurrent independent fits (driver threads)
+    split_method: str = "hash"      # "exact": per-class proportions, as a stratified split
 
 
 def setup_columns(setup: str, types, spec: FeatureSpec = FeatureSpec()):
@@ -58,7 +59,7 @@ def base_frame(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     m = cfg.mapping
     cust = customers(spark, sf_dir)
     mart = customer_mart(cust, transactions(spark, sf_dir, m), m.windows, m.types)
-    mart = S.assign_split(mart, cfg.split)
+    mart = S.assign_split(mart, cfg.split, label="future_disengaged", method=cfg.split_method)
     attrs = Q.clean_customers(cust, holdout=("sanity_score",))
     return materialize(mart.join(attrs, "customer_id", "inner"))
 
@@ -224,7 +225,13 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     params = ModelParams(**{**cfg.params.__dict__, "gbt_rounds": cfg.wf_rounds})
 
     def one(f):
-        d = S.holdout_split(ff.where(F.col("fold") == f.fold), cfg.split.seed, 20)
+        fold_rows = ff.where(F.col("fold") == f.fold)
+        if cfg.split_method == "exact":
+            d = S.assign_split(fold_rows, SplitSpec(cfg.split.seed, 80, 0), label="future_disengaged",
+                               method="exact").withColumn(
+                "split", F.when(F.col("split") == "train", "train").otherwise("test"))
+        else:
+            d = S.holdout_split(fold_rows, cfg.split.seed, 20)
         pre = P.fit_preprocessor(d.where(F.col("split") == "train"), feat, {}, [])
         x = P.assemble(pre.transform(d.withColumn("label", F.col("future_disengaged").cast("double")),
                                      keep=["customer_id", "split", "label"]), pre.output_names)
