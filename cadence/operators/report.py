@@ -28,7 +28,7 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: str | None = None) ->
     lo = F.when(F.col("mx") == F.col("mn"), F.col("mn") - 0.5).otherwise(F.col("mn"))
     hi = F.when(F.col("mx") == F.col("mn"), F.col("mx") + 0.5).otherwise(F.col("mx"))
     st = st.select("series", "n", lo.alias("lo"), hi.alias("hi"))
-    j = d.join(F.broadcast(st), "series")
+    j = d.join(st, "series")   # one row per series: AQE broadcasts it when it is small
     b = F.least(F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))),
                 F.lit(bins - 1)).cast("int")
     w = (F.col("hi") - F.col("lo")) / bins
