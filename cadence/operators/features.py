@@ -5,12 +5,14 @@ Plan shape (per customer key ``k``):
 * one grouped aggregate over the raw log computes the RFM block, type shares,
   weekend ratio, the early/late counts and - in the same pass - the two label
   counts (conditional aggregates, map-side combined, so a customer with a
-  third of all rows costs one partial row per input partition);
+  third of all rows costs one partial row per input partition); the exact
+  median is part of it for ordinary customers and a distributed order
+  statistic for hot ones (see ``customer_aggregates``);
 * a (k, day) pre-aggregate feeds the gap and the monthly trends: after it a
   customer has at most one row per calendar day, so the per-customer windows
   (lag over days, ordinal over months) are bounded by the calendar, not by the
-  customer's row count. The day table is hash-partitioned on ``k`` once and
-  the month aggregate, both windows and the joins reuse that partitioning.
+  customer's row count. The day table is shuffled by ``k`` once; the month
+  aggregate, both windows and the final aggregate reuse that partitioning.
 """
 
 from __future__ import annotations
