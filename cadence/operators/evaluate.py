@@ -105,7 +105,7 @@ def top_decile(df: DataFrame, label: str = "label", score: str = "score",
     out = tot.crossJoin(top).withColumn("k", k.cast("long"))
     top_pos = F.coalesce(F.col("top_pos"), F.lit(0))
     p_at_k = top_pos / F.col("k")
-    base = F.col("n_pos") / F.col("n")
+    base = F.when(F.col("n") > 0, F.col("n_pos") / F.col("n")).otherwise(F.lit(0.0))
     return out.select(
         "k",
         p_at_k.alias("precision_at_k"),

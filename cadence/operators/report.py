@@ -75,7 +75,8 @@ def density_grid(df: DataFrame, x: str, y: str, gridsize: int = 40) -> DataFrame
 def marker_size(df: DataFrame, col: str, smin: float = 2.0, smax: float = 60.0) -> DataFrame:
     """H-6: value / max * 60 clipped to [2, 60]."""
     mx = df.agg(F.max(col).alias("_mx"))
-    size = F.least(F.greatest(F.col(col) / F.col("_mx") * smax, F.lit(smin)), F.lit(smax))
+    rel = F.when(F.col("_mx") != 0, F.col(col) / F.col("_mx")).otherwise(F.lit(0.0))
+    size = F.least(F.greatest(rel * smax, F.lit(smin)), F.lit(smax))
     return df.crossJoin(F.broadcast(mx)).withColumn("marker_size", size).drop("_mx")
 
 

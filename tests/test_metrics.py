@@ -130,3 +130,11 @@ def test_histogram_selection_matches_sort_based(spark):
     a = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, ["a", "b"], probs).collect()}
     b = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles_sorted(df, ["a", "b"], probs).collect()}
     assert a == pytest.approx(b)
+
+
+def test_metrics_on_empty_input(spark):
+    df = spark.createDataFrame([], "customer_id long, label int, score double")
+    r = E.top_decile(df).first()
+    assert r["precision_at_k"] == 0.0 and r["lift_top_decile"] == 0.0
+    m = E.rank_metrics(df).collect()
+    assert m == [] or m[0]["roc_auc"] is None
