@@ -86,3 +86,12 @@ def test_quality(spark):
     assert clean.columns == ["customer_id", "flag"] and dict(clean.dtypes)["flag"] == "int"
     with pytest.raises(ValueError):
         Q.assert_unique(cust)
+
+
+def test_sink_roundtrip_and_missing_path(spark, tmp_path):
+    from cadence.sources import load_result, save_result
+    df = spark.createDataFrame([(1, 0.5), (2, 0.25)], "customer_id long, score double")
+    path = save_result(df, str(tmp_path / "t"))
+    assert sorted(r["customer_id"] for r in load_result(spark, path).collect()) == [1, 2]
+    with pytest.raises(FileNotFoundError):
+        load_result(spark, str(tmp_path / "missing"))
