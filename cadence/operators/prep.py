@@ -91,11 +91,12 @@ def fit_preprocessor(train: DataFrame, numeric: list[str], ordinal: dict[str, li
             s = stats[f"s_{i}"]
             p.scales[c] = 1.0 if s is None or s < _EPS else s
     for c in nominal:
-        counts = (train.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("n")))
-        top = counts.orderBy(F.col("n").desc(), F.col(c).asc()).first()
-        p.modes[c] = top[c] if top else ""
-        cats = {r[0] for r in counts.select(c).collect()} | {p.modes[c]}
-        p.categories[c] = sorted(cats)
+        # one row per level of a nominal column (high-cardinality strings are dropped upstream)
+        counts = (train.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v"))
+                  .agg(F.count(F.lit(1)).alias("n")).collect())
+        ranked = sorted(counts, key=lambda r: (-r["n"], r["v"]))
+        p.modes[c] = ranked[0]["v"] if ranked else ""
+        p.categories[c] = sorted({r["v"] for r in counts} | {p.modes[c]})
     return p
 
 
