@@ -21,6 +21,13 @@ def signals(spark, d):
     return materialize(G.signal_table(materialize(standin_frame(spark, d))))
 
 
+def signals_events(spark, d):
+    """The same signal chain on the events mapping (most customers inactive)."""
+    from cadence.config import EVENTS_MAPPING
+    from cadence.plans.common import mart
+    return G.signal_table(materialize(with_standins(mart(spark, d, EVENTS_MAPPING, STANDIN_NEEDS))))
+
+
 def _r(f):
     return lambda spark, d: round_doubles(f(spark, d))
 
@@ -53,6 +60,7 @@ def signal_queries():
         "g1_minmax_scale": _r(_minmax),
         "g2_engagement": _r(_engagement),
         "g1_g8_signal_table": _r(signals),
+        "g1_g8_signal_table_events": _r(signals_events),
         "g5_formulation_corr": _r(lambda s, d: G.formulation_correlation(signals(s, d))),
         "g9_top_opportunities": _r(lambda s, d: R.top_opportunities(signals(s, d))),
         "g10_top_frontier": _r(lambda s, d: R.top_n(signals(s, d), "opportunity_frontier_score")),

@@ -325,8 +325,9 @@ def mm(col: str, src: str | None = None) -> str:
             f"ELSE ({x} - min({x}) OVER ()) / (max({x}) OVER () - min({x}) OVER ()) END")
 
 
-def standin_ctes() -> str:
-    return f"""{split_ctes()},
+def standin_ctes(m: TxMapping = ORDERS_MAPPING) -> str:
+    head = split_ctes() if m is ORDERS_MAPPING else f"{mart_ctes(m)},\nsp AS (SELECT * FROM mart)"
+    return f"""{head},
 st AS (SELECT *, {mm('s_recency', 'tx_recency')} AS s_recency, {mm('s_gap', 'tx_max_gap')} AS s_gap,
               {mm('s_late', 'tx_late_ratio')} AS s_late, {mm('s_freq', 'tx_freq')} AS s_freq
        FROM sp)"""
@@ -483,8 +484,8 @@ TOP_COLS = ["customer_id", "buy_propensity", "redemption_risk", "engagement_scor
             "expected_client_value", "opportunity_frontier_score", "recommended_action"]
 
 
-def signal_ctes(p: SignalParams = SignalParams()) -> str:
-    return f"""{standin_ctes()},
+def signal_ctes(p: SignalParams = SignalParams(), m: TxMapping = ORDERS_MAPPING) -> str:
+    return f"""{standin_ctes(m)},
 e1 AS (SELECT customer_id, tx_total, s_late AS bp_raw, s_recency AS rr_raw,
          {mm('x', 'tx_freq')} AS f_n, {mm('x', 'tx_recency')} AS r_n,
          {mm('x', 'tx_max_gap')} AS g_n, {mm('x', 'tx_count_trend')} AS t_n FROM st),
@@ -561,6 +562,8 @@ FROM ps, md"""
                                    ["s_recency", "s_gap", "s_late", "s_freq"]),
         "g2_engagement": rounded(f"{base} SELECT customer_id, engagement_raw FROM e2", ["engagement_raw"]),
         "g1_g8_signal_table": rounded(f"{base} SELECT * FROM sig", SIG_DOUBLES),
+        "g1_g8_signal_table_events": rounded(f"WITH {signal_ctes(m=EVENTS_MAPPING)} SELECT * FROM sig",
+                                             SIG_DOUBLES),
         "g5_formulation_corr": rounded(f"{base} SELECT corr(co_additive, master_signal) AS corr_additive_master FROM sig",
                                        ["corr_additive_master"]),
         "g9_top_opportunities": rounded(f"{base} {top_sql('expected_client_value')}", top_dbl),
