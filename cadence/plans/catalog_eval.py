@@ -22,6 +22,16 @@ def scored_split(spark, d, split: str = "test", score: str = "s_recency") -> Dat
         "customer_id", F.col(LABEL).alias("label"), F.col(score).alias("score"))
 
 
+def _events_rank(spark, d):
+    """E-1 / E-2 on the events mapping over all customers: most scores tie at
+    zero activity, a stress case for the tie handling."""
+    from cadence.config import EVENTS_MAPPING
+    from cadence.plans.common import mart
+    s = with_standins(mart(spark, d, EVENTS_MAPPING, STANDIN_NEEDS))
+    return E.rank_metrics(s.select("customer_id", F.col(LABEL).alias("label"),
+                                   F.col("s_recency").alias("score")))
+
+
 def _r(f):
     return lambda spark, d: round_doubles(f(spark, d))
 
@@ -49,6 +59,7 @@ def evaluation_queries():
     t = scored_split
     return {
         "e1_e2_rank_metrics": _r(lambda s, d: E.rank_metrics(t(s, d))),
+        "e1_e2_rank_metrics_events": _r(_events_rank),
         "e3_brier": _r(lambda s, d: E.brier(t(s, d))),
         "e4_threshold_metrics": _r(lambda s, d: E.threshold_metrics(t(s, d), 0.5)),
         "e5_e6_top_decile": _r(lambda s, d: E.top_decile(t(s, d))),

@@ -454,6 +454,9 @@ UNION ALL SELECT score, CASE WHEN P > 0 THEN cum_pos / P ELSE 0e0 END,
   CASE WHEN cum_pos + cum_neg > 0 THEN cum_pos / (cum_pos + cum_neg) ELSE 0e0 END FROM {cum}"""
     return {
         "e1_e2_rank_metrics": rounded(f"{base}\n{rank_sql()}", ["roc_auc", "pr_auc"]),
+        "e1_e2_rank_metrics_events": rounded(
+            f"WITH {standin_ctes(EVENTS_MAPPING)},\nsc AS (SELECT customer_id, future_disengaged AS label, "
+            f"s_recency AS score FROM st)\n{rank_sql()}", ["roc_auc", "pr_auc"]),
         "e3_brier": rounded(f"{base}\nSELECT avg(power(score - label, 2)) AS brier FROM sc", ["brier"]),
         "e4_threshold_metrics": rounded(f"{base}\n{threshold_sql('sc', 0.5)}",
                                         ["threshold", "precision", "recall", "f1"]),
