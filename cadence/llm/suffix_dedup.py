@@ -27,15 +27,22 @@ from cadence.llm.repeats import Kind, merged, repeat_ranges
 WINDOW = 400
 
 
-def two_stage_order(text: bytes, depth: int) -> np.ndarray:
-    """Starts of all suffixes of ``text``, ordered by their first ``depth`` bytes."""
+def two_stage_order(text: bytes, depth: int, wanted: np.ndarray | None = None) -> np.ndarray:
+    """Starts of suffixes of ``text``, ordered by their first ``depth`` bytes:
+    all of them, or at least those marked in ``wanted`` (directly sorted are
+    then only the suffixes that these are or are induced from)."""
     t = np.frombuffer(text, np.uint8)
     n = len(t)
     step = np.ones(n, np.int8)  # the last suffix is larger than the empty one after it
     step[:-1] = np.sign(t[:-1].astype(np.int16) - t[1:])
     at = np.where(step != 0, np.arange(n), n - 1)
     smaller = step[np.minimum.accumulate(at[::-1])[::-1]] < 0
-    direct = np.array(sorted(np.flatnonzero(smaller).tolist(), key=lambda i: text[i:i + depth]), np.int64)
+    seeds = np.flatnonzero(smaller)
+    if wanted is not None:
+        ahead = np.minimum.accumulate(np.where(smaller, np.arange(n), n)[::-1])[::-1]
+        seeds = np.unique(ahead[wanted])
+        seeds = seeds[seeds < n]
+    direct = np.array(sorted(seeds.tolist(), key=lambda i: text[i:i + depth]), np.int64)
     first = t[direct]
     edges = np.searchsorted(first, np.arange(257))
     induced: list[list[np.ndarray]] = [[] for _ in range(256)]
@@ -89,7 +96,7 @@ def repeated_windows(block: list[tuple], size: int) -> list[tuple]:
     lens = np.array([len(s[-1]) for s in block])
     begin = np.concatenate(([0], np.cumsum(lens + 1)[:-1]))
     room = np.repeat(begin + lens, lens + 1) - np.arange(len(text))
-    order = two_stage_order(text, size)
+    order = two_stage_order(text, size, room >= size)
     agree = common_prefixes(text, order, room, size)
     again = np.zeros(len(text) + 1, bool)
     again[order[:-1][agree]] = True
