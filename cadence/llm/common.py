@@ -46,22 +46,20 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, limit: int,
-                    train_only: bool = True) -> list[tuple[str, int]]:
-    """At most ``limit`` labelled ``(text, label)`` rows for fitting, the
-    smallest by a hash of the id, so the choice does not depend on file order.
-    Labels are made unique by id first (the largest label wins)."""
-    one = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
-           .groupBy("doc_id").agg(F.max(label).cast("int").alias("_y")))
-    pick = one
+def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int,
+                  train_only: bool = True) -> DataFrame:
+    """At most ``limit`` labelled rows ``(body, y)`` for fitting, the smallest by
+    a hash of the id, so the choice does not depend on the order of files. Rows
+    without id, label or text do not take part; of several labels of one id the
+    largest counts."""
+    pick = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+            .groupBy("doc_id").agg(F.max(label).alias("y")))
     if train_only:
         pick = pick.where(~held_out())
     pick = pick.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    rows = (docs.select("doc_id", "text").join(F.broadcast(pick), "doc_id")
-            .where(F.col("text").isNotNull())
+    return (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id")
             .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).limit(limit)
-            .select("text", "_y").collect())
-    return [(r["text"], r["_y"]) for r in rows]
+            .select(text_bytes().alias("body"), "y"))
 
 
 def columns(batch: pa.RecordBatch, *names: str) -> list[list]:

@@ -1,4 +1,5 @@
-"""Registered queries of the subpackage: name -> (spark, sf_dir) -> DataFrame."""
+"""Registered queries of the subpackage: name -> (spark, sf_dir) -> DataFrame,
+and DuckDB SQL for those that SQL can express over whole tables."""
 
 from __future__ import annotations
 
@@ -6,19 +7,81 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.llm import simhash, suffix_dedup, suffix_tree_dedup
+import corpus_pipeline
+from cadence.llm import (
+    decontaminate,
+    langid,
+    nbsvm,
+    pii,
+    quality_rules,
+    sentencepiece_unigram,
+    simhash,
+    suffix_dedup,
+    suffix_tree_dedup,
+    token_counts,
+)
 from cadence.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _labels(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/labels.parquet")
+
+
+def _items(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/benchmark.parquet")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_quality_rules": lambda s, d: quality_rules.digest(documents(s, d), _labels(s, d)),
         "op2_simhash_near_dedup": lambda s, d: simhash.digest(documents(s, d)),
+        "op3_sentencepiece": lambda s, d: sentencepiece_unigram.encode(documents(s, d)),
+        "op4_quality_classifier": lambda s, d: nbsvm.digest(documents(s, d), _labels(s, d)),
         "op5_suffix_array_dedup": lambda s, d: suffix_dedup.digest(documents(s, d)),
+        "op6_pii": lambda s, d: pii.detect(documents(s, d)),
+        "op7_benchmark_decontamination": lambda s, d: decontaminate.digest(documents(s, d), _items(s, d)),
+        "op8_language_id": lambda s, d: langid.digest(documents(s, d)),
+        "op9_token_counts": lambda s, d: token_counts.count_redacted(documents(s, d)),
         "op10_substring_dedup": lambda s, d: suffix_tree_dedup.digest(documents(s, d)),
+        "pipeline": corpus_pipeline.run,
     }
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP7_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT item_id, w, least(13, len(w)) AS n, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0),
+ig AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS g FROM iw),
+sizes AS (SELECT DISTINCT n FROM ig),
+dw AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n),
+h AS (SELECT dw.doc_id, dw.i, dw.n, ig.item_id FROM dw JOIN ig ON ig.n = dw.n AND ig.g = array_to_string(dw.w[dw.i:dw.i + dw.n - 1], ' ')),
+hw AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM h) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hw.n_hit, 0) AS n_hit, coalesce(hi.n_items, 0) AS n_items,
+  sha256(coalesce(hi.s, '')) AS items_sha256, coalesce(hw.n_hit, 0) > 0 AND 20 * coalesce(hw.n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+"""
+
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)),
+m AS (SELECT k, min(doc_id) AS low FROM g GROUP BY k HAVING count(*) > 1),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM g JOIN m USING (k) WHERE low < doc_id),
+rr AS (SELECT doc_id, count(*) AS n, list(p) AS ps FROM r GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS t FROM
+      (SELECT d.doc_id, unnest(d.w) AS x, unnest(range(1, len(d.w) + 1)) AS p FROM d JOIN rr USING (doc_id)) a
+      ANTI JOIN r ON r.doc_id = a.doc_id AND r.p = a.p GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(rr.n, 0) AS n_removed,
+  sha256(CASE WHEN rr.n IS NULL THEN array_to_string(d.w, ' ') ELSE coalesce(kept.t, '') END) AS kept_sha256
+FROM d LEFT JOIN rr USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {"op7_benchmark_decontamination": OP7_SQL, "op10_substring_dedup": OP10_SQL}
