@@ -19,21 +19,22 @@ def _d(s: str) -> dt.date:
 class WindowSpec:
     """Half-open observation and prediction windows on dates.
 
-    ``obs = [obs_start, obs_end)``, ``pred = [pred_start, pred_end)``.
+    ``obs = [obs_start, obs_end)``, ``pred = [pred_start, pred_end)``; without
+    ``obs_start`` or ``pred_end`` a window is open on that side.
     ``late_start`` splits the observation window into an early and a late
     part for the late/early activity ratio; ``*_periods`` are the divisors
     that turn counts into per-period rates.
     """
 
-    obs_start: dt.date
     obs_end: dt.date
     late_start: dt.date
     pred_start: dt.date
-    pred_end: dt.date
     obs_periods: float
     pred_periods: float
     early_periods: float
     late_periods: float
+    obs_start: dt.date | None = None
+    pred_end: dt.date | None = None
 
     @property
     def obs_last_day(self) -> dt.date:
@@ -43,11 +44,9 @@ class WindowSpec:
 
 # Windows for the driver's tables (fixed values, see FIXTURES.md section 2).
 ORDERS_WINDOWS = WindowSpec(
-    obs_start=_d("1995-01-01"),
     obs_end=_d("2000-01-01"),
     late_start=_d("1998-05-01"),
     pred_start=_d("2000-01-01"),
-    pred_end=_d("2001-09-01"),
     obs_periods=60.0,
     pred_periods=20.0,
     early_periods=40.0,
@@ -55,11 +54,9 @@ ORDERS_WINDOWS = WindowSpec(
 )
 
 EVENTS_WINDOWS = WindowSpec(
-    obs_start=_d("2024-01-01"),
     obs_end=_d("2024-01-22"),
     late_start=_d("2024-01-15"),
     pred_start=_d("2024-01-22"),
-    pred_end=_d("2024-01-29"),
     obs_periods=3.0,
     pred_periods=1.0,
     early_periods=2.0,
@@ -78,15 +75,16 @@ class LabelRules:
 
 @dataclass(frozen=True)
 class TxMapping:
-    """How a source table maps onto (customer_id, date, type, amount)."""
+    """How a source table maps onto (customer_id, date, type, amount). The
+    types come from the data unless ``types`` names them."""
 
     table: str
     customer_id: str
     date: str
     type: str
     amount: str
-    types: tuple[str, ...]
     windows: WindowSpec
+    types: tuple[str, ...] | None = None
 
 
 ORDERS_MAPPING = TxMapping(
@@ -95,7 +93,6 @@ ORDERS_MAPPING = TxMapping(
     date="o_orderdate",
     type="o_orderstatus",
     amount="o_totalprice",
-    types=("F", "O", "P"),
     windows=ORDERS_WINDOWS,
 )
 
@@ -105,14 +102,12 @@ EVENTS_MAPPING = TxMapping(
     date="ts",
     type="event_type",
     amount="value",
-    types=("click", "error", "purchase", "signup", "view"),
     windows=EVENTS_WINDOWS,
 )
 
 
 # Ordinal category orders of the reference's encoder.
 INCOME_ORDER = ("Low", "Medium", "High", "Very High")
-SENTIMENT_ORDER = ("Negative", "Neutral", "Positive")
 
 # Cuts of c_acctbal that stand in for the income bracket.
 INCOME_CUTS = (2500.0, 5000.0, 7500.0)
@@ -203,7 +198,9 @@ class Fold:
     pred_periods: float
 
 
-# Expanding-window folds for the orders mapping (FIXTURES.md section 2).
+# Expanding-window folds for the orders mapping (FIXTURES.md section 2); they
+# all observe from this day on.
+ORDERS_FOLDS_START = _d("1995-01-01")
 ORDERS_FOLDS = (
     Fold(1, _d("1998-01-01"), _d("1998-01-01"), _d("1999-01-01"), 36.0, 12.0),
     Fold(2, _d("1998-07-01"), _d("1998-07-01"), _d("1999-07-01"), 42.0, 12.0),

@@ -29,4 +29,5 @@ def days_between(later: Column, earlier: Column) -> Column:
 
 
 def clip01(c: Column) -> Column:
-    return F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
+    """Clipped to [0, 1]; NULL stays NULL (``least`` alone would skip it)."""
+    return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0)))

@@ -65,120 +65,110 @@ def global_row_number(df: DataFrame, order: list[Column], col: str = "row_no") -
     return running_totals(df, order, [], row_number_col=col)
 
 
-def exact_quantiles_sorted(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas' default) of several
-    columns, NULLs skipped. Returns one row per (column, prob):
-    ``(column, prob, n, value)``.
+#: Values of one bracket that the driver takes at last.
+BRACKET_VALUES = 8192
+_ACCURACY = 10_000
 
-    Distributed: the columns are unpivoted to ``(column, v)``, globally ranked
-    by one range-partitioned sort (``running_totals``), and only the two rows
-    bracketing each requested position are picked with a broadcast join on
-    the rank. No task ever holds a whole column."""
-    spark = df.sparkSession
-    long = (df.select(F.explode(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                for c in cols])).alias("_s"))
-              .select("_s.column", "_s.v").where(F.col("v").isNotNull()))
-    counts = sorted(long.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect(),
-                    key=lambda r: r["column"])
-    srows, acc = [], 0
-    for r in counts:                      # one row per column: a bounded table
-        srows.append((r["column"], r["n"], acc))
-        acc += r["n"]
-    starts = spark.createDataFrame(srows, "column string, n long, start long")
-    pr = spark.createDataFrame([(float(p),) for p in probs], "prob double")
-    pos = F.col("prob") * (F.col("n") - 1)
-    targets = (starts.crossJoin(pr)
-               .withColumn("lo", F.floor(pos).cast("long"))
-               .withColumn("hi", F.ceil(pos).cast("long"))
-               .withColumn("frac", pos - F.floor(pos))
-               .withColumn("lo_rn", F.col("start") + F.col("lo") + 1)
-               .withColumn("hi_rn", F.col("start") + F.col("hi") + 1))
-    ranked = running_totals(long, [F.col("column").asc(), F.col("v").asc()], [],
-                            row_number_col="rn").select("rn", "v")
-    lo = ranked.withColumnRenamed("rn", "lo_rn").withColumnRenamed("v", "v_lo")
-    hi = ranked.withColumnRenamed("rn", "hi_rn").withColumnRenamed("v", "v_hi")
-    t = F.broadcast(targets)
-    picked_lo = lo.join(t.select("column", "prob", "lo_rn"), "lo_rn")
-    picked_hi = hi.join(t.select("column", "prob", "hi_rn"), "hi_rn")
-    out = (targets.join(picked_lo.select("column", "prob", "v_lo"), ["column", "prob"], "left")
-                  .join(picked_hi.select("column", "prob", "v_hi"), ["column", "prob"], "left"))
-    return out.select("column", "prob", "n",
-                      (F.col("v_lo") + F.col("frac") * (F.col("v_hi") - F.col("v_lo"))).alias("value"))
-
-
-def _unpivot(df: DataFrame, cols: list[str]) -> DataFrame:
-    return (df.select(F.explode(F.array(*[
-                F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                for c in cols])).alias("_s"))
-              .select("_s.column", "_s.v").where(F.col("v").isNotNull() & ~F.isnan("v")))
-
-
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float],
-                    buckets: int = 1024, max_passes: int = 40) -> DataFrame:
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas' default) of several
     columns, NULL/NaN skipped: one row per (column, prob) with
     ``(column, prob, n, value)``.
 
-    Distributed selection without sorting: every pass is one scan that
-    counts the rows of each still-open value range in ``buckets`` equal-width
-    buckets (a bounded histogram: targets x buckets rows), the range shrinks
-    to the bucket holding the wanted order statistic, and a range holding a
-    single distinct value is resolved. Continuous data resolves in a handful
-    of passes; the range tables sent to the tasks are broadcast (a few rows
-    per target). Falls back to the sort-based version after ``max_passes``."""
+    One aggregate brackets every wanted order statistic between two values of
+    ``percentile_approx``; the next one counts what lies below and inside each
+    bracket, which also proves that the bracket holds it. A bracket with more
+    than ``BRACKET_VALUES`` rows is narrowed by its own percentiles, about two
+    thousandfold a round; one of a single value is resolved, however many rows
+    have it. The last job takes the brackets' values with their counts."""
     spark = df.sparkSession
-    long = _unpivot(df, cols)
-    stats = {r["column"]: r for r in long.groupBy("column").agg(
-        F.count(F.lit(1)).alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx")).collect()}
-    # targets: (column, rank) -> [lo, hi, below]
-    state: dict[tuple[str, int], list] = {}
-    for c in cols:
-        st = stats.get(c)
-        if st is None:
-            continue
-        for p in probs:
-            pos = p * (st["n"] - 1)
-            for rk in {int(np.floor(pos)), int(np.ceil(pos))}:
-                state[(c, rk)] = [st["mn"], st["mx"], 0]
-    for _ in range(max_passes):
-        open_t = [(i, k, v) for i, (k, v) in enumerate(state.items()) if v[0] < v[1]]
-        if not open_t:
+
+    def value(c: str) -> Column:
+        v = F.col(f"`{c}`").cast("double")
+        return F.when(~F.isnan(v), v)
+
+    vals = df.select(*[value(c).alias(f"v{i}") for i, c in enumerate(cols)])
+    eps = 2.0 / _ACCURACY
+    grid = [x for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps))]
+    first = vals.agg(*[e for i in range(len(cols)) for e in (
+        F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"), F.max(f"v{i}").alias(f"hi{i}"),
+        F.percentile_approx(f"v{i}", grid, _ACCURACY).alias(f"q{i}"))]).first()
+    # (column, prob) -> bracket, the two wanted ranks
+    state = {}
+    for i in range(len(cols)):
+        n = first[f"n{i}"]
+        for k, p in enumerate(probs):
+            if n:
+                pos = p * (n - 1)
+                lo, hi = first[f"q{i}"][2 * k:2 * k + 2]
+                state[(i, k)] = {"lo": lo, "hi": hi, "ranks": (int(np.floor(pos)), int(np.ceil(pos))),
+                                 "all": (first[f"lo{i}"], first[f"hi{i}"])}
+    todo = list(state)
+    while todo:
+        cond = {t: F.col(f"v{t[0]}").between(F.lit(state[t]["lo"]), F.lit(state[t]["hi"])) for t in todo}
+        got = vals.agg(*[e for j, t in enumerate(todo) for e in (
+            F.count_if(F.col(f"v{t[0]}") < F.lit(state[t]["lo"])).alias(f"b{j}"), F.count_if(cond[t]).alias(f"c{j}"))]).first()
+        wide = []
+        for j, t in enumerate(todo):
+            s = state[t]
+            s["below"], s["inside"] = got[f"b{j}"], got[f"c{j}"]
+            if not s["below"] <= s["ranks"][0] <= s["ranks"][1] < s["below"] + s["inside"]:
+                s["lo"], s["hi"] = s["all"]  # the approximation missed: start from the whole range
+                s["below"], s["inside"] = 0, first[f"n{t[0]}"]
+            if s["lo"] < s["hi"] and s["inside"] > BRACKET_VALUES:
+                wide.append(t)
+        if not wide:
             break
-        tdf = spark.createDataFrame([(i, k[0], float(v[0]), float(v[1])) for i, k, v in open_t],
-                                    "tid int, column string, lo double, hi double")
-        b = F.least(F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * buckets),
-                    F.lit(buckets - 1)).cast("int")
-        hist = (long.join(F.broadcast(tdf), "column")
-                .where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
-                .groupBy("tid", b.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("bmin"), F.max("v").alias("bmax"))
-                .collect())
-        by_t: dict[int, list] = {}
-        for r in hist:
-            by_t.setdefault(r["tid"], []).append(r)
-        for i, k, v in open_t:
-            acc = v[2]
-            for r in sorted(by_t.get(i, []), key=lambda r: r["b"]):
-                if acc + r["c"] > k[1]:
-                    v[0], v[1], v[2] = r["bmin"], r["bmax"], acc
-                    break
-                acc += r["c"]
-    else:
-        if any(v[0] < v[1] for v in state.values()):
-            return exact_quantiles_sorted(df, cols, probs)
-    rows = []
-    for c in cols:
-        st = stats.get(c)
-        for p in probs:
-            if st is None:
-                rows.append((c, float(p), 0, None))
+
+        def near(t: tuple, side: int) -> float:
+            s = state[t]
+            share = (s["ranks"][0 if side < 0 else 1] - s["below"]) / s["inside"]
+            return min(1.0, max(0.0, share + side * eps))
+
+        cut = vals.agg(*[F.percentile_approx(
+            F.when(F.col(f"v{t[0]}").between(F.lit(state[t]["lo"]), F.lit(state[t]["hi"])), F.col(f"v{t[0]}")),
+            [near(t, -1), near(t, 1)], _ACCURACY).alias(f"q{j}") for j, t in enumerate(wide)]).first()
+        stuck = []
+        for j, t in enumerate(wide):
+            s = state[t]
+            s["all"] = (s["lo"], s["hi"])
+            if tuple(cut[f"q{j}"]) == s["all"]:
+                stuck.append(t)  # few values, many rows: their counts decide
+            s["lo"], s["hi"] = cut[f"q{j}"]
+        todo = [t for t in wide if t not in stuck]
+    held: dict[tuple, list] = {}
+    open_t = [t for t in state if state[t]["lo"] < state[t]["hi"]]
+    if open_t:
+        inside = F.array(*[F.when(F.col(f"v{t[0]}").between(F.lit(state[t]["lo"]), F.lit(state[t]["hi"])),
+                                  F.struct(F.lit(j).alias("t"), F.col(f"v{t[0]}").alias("v")))
+                           for j, t in enumerate(open_t)])
+        rows = (vals.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("s"))
+                .groupBy("s.t", "s.v").agg(F.count(F.lit(1)).alias("c")).collect())
+        for r in rows:
+            held.setdefault(open_t[r["t"]], []).append((r["v"], r["c"]))
+
+    def at(t: tuple, rank: int) -> float:
+        s = state[t]
+        if t not in held:
+            return s["lo"]
+        left = rank - s["below"]
+        for v, c in sorted(held[t]):
+            if left < c:
+                return v
+            left -= c
+        raise AssertionError("the bracket does not hold its rank")
+
+    out = []
+    for i, c in enumerate(cols):
+        for k, p in enumerate(probs):
+            n = first[f"n{i}"]
+            if not n:
+                out.append((c, float(p), 0, None))
                 continue
-            pos = p * (st["n"] - 1)
-            lo, hi = state[(c, int(np.floor(pos)))][0], state[(c, int(np.ceil(pos)))][0]
-            frac = pos - np.floor(pos)
-            rows.append((c, float(p), int(st["n"]), float(lo + frac * (hi - lo))))
-    return spark.createDataFrame(rows, "column string, prob double, n long, value double")
+            lo, hi = (at((i, k), r) for r in state[(i, k)]["ranks"])
+            frac = p * (n - 1) - np.floor(p * (n - 1))
+            out.append((c, float(p), int(n), float(lo if lo == hi else lo + frac * (hi - lo))))
+    return spark.createDataFrame(out, "column string, prob double, n long, value double")
 
 
 def quantile_row(df: DataFrame, specs: dict[str, tuple[str, float]]) -> DataFrame:
@@ -196,21 +186,24 @@ def grouped_quantile(df: DataFrame, key: str, value: str, prob: float = 0.5,
     """Exact per-group quantile (linear interpolation), NULLs skipped, for
     groups of any size: one row per group ``(key, out)``.
 
-    A hot group is never gathered into one task: the ``(key, value)`` rows are
-    globally sorted (range partitions split a hot key by value), so every
-    group occupies a contiguous range of global row numbers whose start is
-    ``min(row_no)`` (a partial-aggregated group-by); the one or two rows
-    bracketing each group's position are fetched with a single equi-join on
-    the global row number."""
-    v = df.select(F.col(key), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-    ranked = running_totals(v, [F.col(key).asc(), F.col("_v").asc()], [], row_number_col="_rn")
-    g = ranked.groupBy(key).agg(F.min("_rn").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    Equal values are counted first, so a value that a hot group repeats is one
+    row and the global sort can split every group; running counts then say
+    which one or two values hold a group's wanted places."""
+    v = (df.select(F.col(key), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+         .groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    ranked = running_totals(v, [F.col(key).asc(), F.col("_v").asc()], ["_c"], row_number_col=None)
+    first = F.col("cum__c") - F.col("_c")
+    g = ranked.groupBy(key).agg(F.min(first).alias("_first"), F.sum("_c").alias("_n"))
     pos = F.lit(float(prob)) * (F.col("_n") - 1)
     t = (g.withColumn("_frac", pos - F.floor(pos))
           .withColumn("_lo", F.col("_first") + F.floor(pos).cast("long"))
           .withColumn("_hi", F.col("_first") + F.ceil(pos).cast("long")))
-    wanted = t.select(key, "_frac", "_lo", "_hi", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rn"))
-    picked = wanted.join(ranked.select("_rn", "_v"), "_rn").groupBy(key, "_frac").agg(
-        F.max(F.when(F.col("_rn") == F.col("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_rn") == F.col("_hi"), F.col("_v"))).alias("_vhi"))
+    j = ranked.join(t, key)
+
+    def holds(c: str) -> Column:
+        return (first <= F.col(c)) & (F.col(c) < F.col("cum__c"))
+
+    picked = j.where(holds("_lo") | holds("_hi")).groupBy(key, "_frac").agg(
+        F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"))
     return picked.select(key, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(out))

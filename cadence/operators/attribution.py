@@ -9,8 +9,7 @@
   contributions plus the bias add up to the model's margin (boosted trees) or
   probability (forests).
 
-The explained rows are a seeded sample (``orderBy(md5(key)).limit(n)``): the
-sample size is the feature of this report, as in the reference.
+Every row handed in is explained.
 """
 
 from __future__ import annotations
@@ -25,11 +24,6 @@ from pyspark.sql import functions as F
 TOP = 20
 
 
-def sample_rows(df: DataFrame, n: int = 2000, key: str = "customer_id") -> DataFrame:
-    """Deterministic sample of n rows (hash order of the key)."""
-    return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
-
-
 def linear_attribution(model, background: DataFrame, rows: DataFrame, names: list[str],
                        key: str = "customer_id") -> DataFrame:
     """Long format (key, feature, contribution) for a logistic model."""

@@ -1,9 +1,10 @@
 """Probability calibration (C-1 ... C-5).
 
 Isotonic regression on the validation split of a prefit model. The rows are
-first collapsed to one weighted point per distinct score (ties pooled), so the
-pool-adjacent-violators pass - which MLlib finishes on the driver - sees at
-most the number of distinct scores, not the number of customers.
+first collapsed to one weighted point per distinct score (ties pooled).
+MLlib pools the violators of each range of scores in its task and finishes the
+pooled points on the driver; with continuous scores the collapse saves little,
+so the driver's share grows with the pooled points of the validation split.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadence.functions.columns import clip01
 from cadence.operators.evaluate import brier
 
 
@@ -25,11 +27,11 @@ def fit_isotonic(scored_val: DataFrame, score: str = "score", label: str = "labe
 
 
 def apply_isotonic(model, scored: DataFrame, score: str = "score", out: str = "calibrated") -> DataFrame:
-    """C-2: calibrated probability for every row (clipped to [0, 1])."""
-    v = scored.withColumn("_cal_in", F.col(score).cast("double"))
+    """C-2: calibrated probability for every row (clipped to [0, 1]); NULL for
+    a NULL score."""
+    v = scored.withColumn("_cal_in", F.coalesce(F.col(score).cast("double"), F.lit(0.0)))
     res = model.setFeaturesCol("_cal_in").setPredictionCol("_cal").transform(v)
-    return res.withColumn(out, F.least(F.greatest(F.col("_cal"), F.lit(0.0)), F.lit(1.0))).drop(
-        "_cal_in", "_cal")
+    return res.withColumn(out, F.when(F.col(score).isNotNull(), clip01(F.col("_cal")))).drop("_cal_in", "_cal")
 
 
 def brier_comparison(rows: dict[str, tuple[DataFrame, str, str, str]]) -> DataFrame:

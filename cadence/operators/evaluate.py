@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.functions.columns import clip01
 from cadence.functions.ordered import running_totals
 
 
@@ -138,7 +139,7 @@ def evaluation_table(scored: dict[tuple[str, str], DataFrame], label: str = "lab
 
 def _grid_bucket(score: Column) -> Column:
     """Largest m in [0, 100] with m / 100.0 <= score (exact on the double grid)."""
-    s = F.least(F.greatest(score, F.lit(0.0)), F.lit(1.0))
+    s = clip01(score)
     m0 = F.floor(s * 100).cast("int")
     up = F.when(s >= (m0 + 1) / F.lit(100.0), 1).otherwise(0)
     down = F.when(s < m0 / F.lit(100.0), 1).otherwise(0)

@@ -6,8 +6,7 @@ Plan shape (per customer key ``k``):
   weekend ratio, the early/late counts and - in the same pass - the two label
   counts (conditional aggregates, map-side combined, so a customer with a
   third of all rows costs one partial row per input partition); the exact
-  median is part of it for ordinary customers and a distributed order
-  statistic for hot ones (see ``customer_aggregates``);
+  median is a distributed order statistic beside it, only when asked for;
 * a (k, day) pre-aggregate feeds the gap and the monthly trends: after it a
   customer has at most one row per calendar day, so the per-customer windows
   (lag over days, ordinal over months) are bounded by the calendar, not by the
@@ -21,6 +20,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from cadence.config import LabelRules, WindowSpec
 from cadence.functions.columns import days_between, is_weekend, lit_date, safe_ratio
@@ -43,46 +43,12 @@ def tx_feature_columns(types: tuple[str, ...] | list[str]) -> list[str]:
     return RFM_COLS + [share_name(t) for t in types] + TAIL_COLS
 
 
-def discover_types(tx: DataFrame) -> tuple[str, ...]:
-    """Distinct non-null types (a small categorical domain) for callers that
-    do not declare them; sorted like the reference's pivot columns."""
-    rows = tx.select("type").where(F.col("type").isNotNull()).distinct().collect()
-    return tuple(sorted(r[0] for r in rows))
-
-
-HOT_ROWS = 1_000_000   # a customer above this many rows takes the distributed median
-MAX_HOT = 10_000       # at most this many hot keys travel as a literal set
-
-
-def hot_customers(tx_obs: DataFrame, value: str, hot_rows: int | None = None,
-                  max_hot: int | None = None) -> list | None:
-    """Keys with more than ``hot_rows`` non-null values; ``None`` when there
-    are more than ``max_hot`` of them (then no literal set is built)."""
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    max_hot = MAX_HOT if max_hot is None else max_hot
-    rows = (tx_obs.groupBy("customer_id").agg(F.count(value).alias("_c"))
-            .where(F.col("_c") > hot_rows).select("customer_id").limit(max_hot + 1).collect())
-    if len(rows) > max_hot:
-        return None
-    return [r[0] for r in rows]
-
-
 def customer_aggregates(tx: DataFrame, w: WindowSpec, types, with_counts: bool = True,
-                        median: str = "exact") -> DataFrame:
-    """F-1 ... F-11 and F-16 (+ T3 label counts) in one grouped aggregate.
-
-    ``median`` (all exact except "approx"):
-
-    * "exact" (default) splits hot customers off: a narrow count pass finds
-      customers with more than ``HOT_ROWS`` observation rows (at most
-      ``MAX_HOT`` keys are shipped as a literal set, else everything takes
-      the distributed path); the others get Spark's exact ``median`` inside
-      the main aggregate (a buffer of at most ``HOT_ROWS`` values per group),
-      the hot ones the distributed order statistic of ``grouped_quantile``;
-    * "distributed": the order statistic for every customer;
-    * "approx": ``percentile_approx`` (bounded, mergeable sketch);
-    * "inline": Spark's exact ``median`` for every customer (unbounded per
-      group: only for data without hot customers)."""
+                        median: bool = True) -> DataFrame:
+    """F-1 ... F-11 and F-16 (+ T3 label counts) in one grouped aggregate; the
+    exact median, if asked for, is the order statistic of ``grouped_quantile``
+    (distinct amounts with their counts, sorted over the cluster), the same for
+    every customer."""
     o = in_obs(w)
     amt = F.when(o, F.col("amount"))
     d = F.when(o, F.col("date"))
@@ -105,31 +71,11 @@ def customer_aggregates(tx: DataFrame, w: WindowSpec, types, with_counts: bool =
     ]
     aggs += [F.count_if(o & (F.col("type") == F.lit(t))).alias("_n_" + share_name(t))
              for t in types]
-    hot = None
-    if median == "exact":
-        hot = hot_customers(tx.where(o), "amount")
-        if hot is None:
-            median = "distributed"
-    if median == "inline":
-        aggs.append(F.median(amt).alias("tx_median"))
-    elif median == "approx":
-        aggs.append(F.percentile_approx(amt, 0.5, 10000).cast("double").alias("tx_median"))
-    elif median == "exact":
-        cold = ~F.col("customer_id").isin(hot) if hot else F.lit(True)
-        aggs.append(F.median(F.when(cold, amt)).alias("_med_cold"))
     a = tx.groupBy("customer_id").agg(*aggs)
-    if median == "distributed":
+    if median:
         med = grouped_quantile(tx.where(o).select("customer_id", "amount"), "customer_id", "amount",
                                0.5, "tx_median")
         a = a.join(med, "customer_id", "left")
-    elif median == "exact":
-        if hot:
-            rows = tx.where(o & F.col("customer_id").isin(hot)).select("customer_id", "amount")
-            med = grouped_quantile(rows, "customer_id", "amount", 0.5, "_med_hot")
-            a = a.join(F.broadcast(med), "customer_id", "left")     # <= MAX_HOT rows
-            a = a.withColumn("tx_median", F.coalesce(F.col("_med_hot"), F.col("_med_cold")))
-        else:
-            a = a.withColumn("tx_median", F.col("_med_cold"))
     std = F.coalesce(F.col("_std"), F.lit(0.0))
     span = F.when(F.col("_last").isNotNull(),
                   F.greatest(days_between(F.col("_last"), F.col("_first")), F.lit(1)))
@@ -205,11 +151,10 @@ def calendar_features(monthly: DataFrame, w: WindowSpec) -> DataFrame:
 
 def infer_feature_groups(df: DataFrame, ordinal: dict, nominal: list[str],
                          key: str = "customer_id") -> dict[str, list[str]]:
-    """F-17: numeric features are the integer/floating columns (by type, as
-    the reference selects by dtype); ordinal and nominal are named."""
-    from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType
+    """F-17: numeric features are the columns of any numeric type; ordinal and
+    nominal are named."""
     numeric = [f.name for f in df.schema.fields
-               if f.name != key and isinstance(f.dataType, (IntegerType, LongType, DoubleType, FloatType))
+               if f.name != key and isinstance(f.dataType, NumericType)
                and f.name not in ordinal and f.name not in nominal]
     return {"numeric": numeric, "ordinal": [c for c in ordinal if c in df.columns],
             "nominal": [c for c in nominal if c in df.columns]}
@@ -217,7 +162,7 @@ def infer_feature_groups(df: DataFrame, ordinal: dict, nominal: list[str],
 
 def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
                   rules: LabelRules = LabelRules(), with_labels: bool = True,
-                  median: str = "exact", columns: list[str] | None = None) -> DataFrame:
+                  columns: list[str] | None = None) -> DataFrame:
     """F-18 (+ T3-T8): one row per spine customer with the 20 transaction
     features (structural zero for customers without observation rows) and,
     when ``with_labels``, the window counts and both labels. ``columns``
@@ -228,7 +173,7 @@ def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
     if columns is not None:
         feat = [c for c in feat if c in columns]
     base = customer_aggregates(tx, w, types, with_counts=with_labels,
-                               median=median if "tx_median" in feat else "none")
+                               median="tx_median" in feat)
     cal = calendar_features(monthly_activity(daily_activity(tx, w)), w)
     parts = base.join(cal, "customer_id", "left")
     count_cols = ["obs_count", "fut_count"] if with_labels else []

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from cadence.functions.ordered import exact_quantiles
 
+#: Levels of a nominal column; more raise an error.
+MAX_LEVELS = 1000
 _EPS = 10 * 2.220446049250313e-16
 
 
@@ -30,6 +32,12 @@ def _colname(prefix: str, value: str) -> str:
     return f"{prefix}_{re.sub(r'[^0-9A-Za-z_]', '_', str(value))}"
 
 
+def _number(c: str):
+    """A numeric column as DOUBLE; NaN is missing, as NULL is."""
+    d = F.col(c).cast("double")
+    return F.when(~F.isnan(d), d)
+
+
 @dataclass
 class Preprocessor:
     numeric: list[str]
@@ -53,7 +61,7 @@ class Preprocessor:
         exprs = [F.col(c) for c in (keep or [])]
         for c in self.numeric:
             med = self.medians.get(c)
-            x = F.coalesce(F.col(c).cast("double"), F.lit(med)) if med is not None else F.col(c).cast("double")
+            x = _number(c) if med is None else F.coalesce(_number(c), F.lit(med))
             exprs.append(((x - F.lit(self.means[c])) / F.lit(self.scales[c])).alias(c))
         for c, order in self.ordinal.items():
             e = F.lit(-1.0)
@@ -81,7 +89,7 @@ def fit_preprocessor(train: DataFrame, numeric: list[str], ordinal: dict[str, li
     if numeric:
         for r in exact_quantiles(train, list(numeric), [0.5]).collect():
             p.medians[r["column"]] = r["value"]
-        imputed = [F.coalesce(F.col(c).cast("double"), F.lit(p.medians.get(c))).alias(c)
+        imputed = [F.coalesce(_number(c), F.lit(p.medians.get(c))).alias(c)
                    for c in numeric]
         stats = train.select(*imputed).agg(
             *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(numeric)],
@@ -91,9 +99,11 @@ def fit_preprocessor(train: DataFrame, numeric: list[str], ordinal: dict[str, li
             s = stats[f"s_{i}"]
             p.scales[c] = 1.0 if s is None or s < _EPS else s
     for c in nominal:
-        # one row per level of a nominal column (high-cardinality strings are dropped upstream)
+        # one row per level, up to a stated limit: beyond it a column is no category
         counts = (train.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v"))
-                  .agg(F.count(F.lit(1)).alias("n")).collect())
+                  .agg(F.count(F.lit(1)).alias("n")).limit(MAX_LEVELS + 1).collect())
+        if len(counts) > MAX_LEVELS:
+            raise ValueError(f"{c} has more than {MAX_LEVELS} levels; drop or group it first")
         ranked = sorted(counts, key=lambda r: (-r["n"], r["v"]))
         p.modes[c] = ranked[0]["v"] if ranked else ""
         p.categories[c] = sorted({r["v"] for r in counts} | {p.modes[c]})

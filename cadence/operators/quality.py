@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, DecimalType, FractionalType
 
 from cadence.config import DROP_STRINGS, LEAKAGE_EXCLUDE
 
@@ -35,9 +35,16 @@ def assert_unique(df: DataFrame, key: str = "customer_id") -> DataFrame:
 
 
 def null_profile(df: DataFrame) -> DataFrame:
-    """Q-3: columns with NULLs, ``n_null`` and ``pct`` (1 dp), in one pass."""
+    """Q-3: columns with missing values (NULL, or NaN in a floating column),
+    ``n_null`` and ``pct`` (1 dp), in one pass."""
     total = F.count(F.lit(1)).alias("_n")
-    sums = [F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(c) for c in df.columns]
+
+    def missing(c: str):
+        col = F.col(f"`{c}`")
+        return (col.isNull() | F.isnan(col)) if isinstance(df.schema[c].dataType, FractionalType) and not isinstance(
+            df.schema[c].dataType, DecimalType) else col.isNull()
+
+    sums = [F.sum(missing(c).cast("long")).alias(c) for c in df.columns]
     one = df.agg(total, *sums)
     stacked = one.select("_n", F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("n_null")) for c in df.columns

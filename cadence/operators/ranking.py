@@ -81,30 +81,14 @@ def interpretation(signals: DataFrame, p: SignalParams = SignalParams()) -> Data
             .when(rr > p.retention_rr, "retention")
             .when((bp > p.emerging_bp) & (rr < p.emerging_rr), "emerging")
             .otherwise("monitor"))
-    # Wording of the four tiers and their sub-grades.
-    upsell = F.concat(
-        F.lit("Strong upsell opportunity. Growth propensity "), f2(bp),
-        F.lit(", disengagement risk "), f2(rr), F.lit(". Engagement is "),
-        F.when(eng > 0.5, "strong").otherwise("moderate"), F.lit(" ("), f2(eng),
-        F.lit("). Recommendation: propose premium products, increase wallet share, "
-              "and schedule a proactive review meeting."))
-    retention = F.concat(
-        F.lit("Retention priority. Disengagement risk "), f2(rr),
-        F.lit(". Buy propensity is "), F.when(bp > 0.4, "still positive").otherwise("low"),
-        F.lit(" ("), f2(bp), F.lit(") and engagement is "),
-        F.when(eng < 0.3, "weakening").otherwise("moderate"), F.lit(" ("), f2(eng),
-        F.lit("). Recommendation: proactive outreach, loyalty incentives, "
-              "and a service-quality review."))
-    emerging = F.concat(
-        F.lit("Emerging opportunity. Growth propensity "), f2(bp),
-        F.lit(" with acceptable risk "), f2(rr),
-        F.lit(". Recommendation: nurture the relationship with targeted content and "
-              "periodic check-ins to move the client toward the upsell zone."))
-    monitor = F.concat(
-        F.lit("Monitor. Signals are mixed - buy propensity "), f2(bp),
-        F.lit(", redemption risk "), f2(rr), F.lit(", engagement "), f2(eng),
-        F.lit(". Recommendation: maintain standard service and revisit at the next "
-              "model refresh."))
+    grade = lambda c, cut, high, low: F.when(c > cut, high).otherwise(low)
+    scores = F.concat(F.lit(" [growth "), f2(bp), F.lit(", risk "), f2(rr), F.lit(", engagement "), f2(eng), F.lit("]"))
+    upsell = F.concat(F.lit("Likely to grow and unlikely to leave; "), grade(eng, 0.5, "highly", "fairly"),
+                      F.lit(" active. Offer more."), scores)
+    retention = F.concat(F.lit("Likely to leave; "), grade(bp, 0.4, "some", "little"), F.lit(" growth left, "),
+                         F.when(eng < 0.3, "activity fading").otherwise("still active"), F.lit(". Get in touch soon."), scores)
+    emerging = F.concat(F.lit("May grow, at a risk worth taking. Keep in contact."), scores)
+    monitor = F.concat(F.lit("No clear direction. Look again after the next run."), scores)
     text = (F.when(tier == "upsell", upsell).when(tier == "retention", retention)
             .when(tier == "emerging", emerging).otherwise(monitor))
     return signals.select("customer_id", tier.alias("tier"), text.alias("interpretation"))

@@ -39,9 +39,11 @@ def histogram(df: DataFrame, col: str, bins: int = 30, by: str | None = None) ->
 
 
 def clip_upper(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
-    """H-4: clip a column at its (exact, linear) quantile over all rows."""
+    """H-4: clip a column at its (exact, linear) quantile over all rows; NULL
+    stays NULL."""
     qr = quantile_row(df, {"_clip": (col, q)})
-    return df.crossJoin(F.broadcast(qr)).withColumn(col, F.least(F.col(col), F.col("_clip"))).drop("_clip")
+    return df.crossJoin(F.broadcast(qr)).withColumn(
+        col, F.when(F.col(col).isNotNull(), F.least(F.col(col), F.col("_clip")))).drop("_clip")
 
 
 def class_histograms(df: DataFrame, cols: list[str], label: str, bins: int = 30,
@@ -76,7 +78,7 @@ def marker_size(df: DataFrame, col: str, smin: float = 2.0, smax: float = 60.0)
     """H-6: value / max * 60 clipped to [2, 60]."""
     mx = df.agg(F.max(col).alias("_mx"))
     rel = F.when(F.col("_mx") != 0, F.col(col) / F.col("_mx")).otherwise(F.lit(0.0))
-    size = F.least(F.greatest(rel * smax, F.lit(smin)), F.lit(smax))
+    size = F.when(F.col(col).isNotNull(), F.least(F.greatest(rel * smax, F.lit(smin)), F.lit(smax)))
     return df.crossJoin(F.broadcast(mx)).withColumn("marker_size", size).drop("_mx")
 
 
@@ -155,7 +157,7 @@ def headline_kpis(evaluation: DataFrame, folds: DataFrame, signals: DataFrame) -
     return e.crossJoin(f).crossJoin(s)
 
 
-# The feature dictionary (name, description, source).
+# The feature dictionary (name, description, source).
 FEATURE_DICTIONARY = [
     ("tx_count", "Number of transactions in the observation window", "transactions"),
     ("tx_total", "Total transaction amount", "transactions"),

@@ -109,11 +109,12 @@ def strategic_segments(signals: DataFrame, risk_mid: float = 0.5) -> DataFrame:
     vs its median; label anchors at the 92nd and 8th percentile."""
     p99 = quantile_row(signals, {"_p99": ("expected_client_value", 0.99)})
     c = signals.crossJoin(F.broadcast(p99)).withColumn(
-        "ecv_clipped", F.least(F.col("expected_client_value"), F.col("_p99")))
+        "ecv_clipped", F.when(F.col("expected_client_value").isNotNull(),
+                              F.least(F.col("expected_client_value"), F.col("_p99"))))
     qs = quantile_row(c, {"_mid": ("ecv_clipped", 0.5), "_top": ("ecv_clipped", 0.92),
                           "_bot": ("ecv_clipped", 0.08)})
     j = c.crossJoin(F.broadcast(qs))
-    hv = F.col("ecv_clipped") >= F.col("_mid")
+    hv = F.coalesce(F.col("ecv_clipped") >= F.col("_mid"), F.lit(False))   # without a value: not high
     lr = F.col("redemption_risk") < risk_mid
     seg = (F.when(hv & lr, "STRATEGIC UPSELL").when(hv & ~lr, "RETENTION PRIORITY")
            .when(~hv & lr, "STABLE / LOW PRIORITY").otherwise("MONITOR"))

@@ -18,13 +18,15 @@ from cadence.functions.columns import lit_date
 def in_obs(w: WindowSpec, date: Column | None = None) -> Column:
     """T1: observation predicate."""
     d = F.col("date") if date is None else date
-    return (d >= lit_date(w.obs_start)) & (d < lit_date(w.obs_end))
+    inside = d < lit_date(w.obs_end)
+    return inside if w.obs_start is None else (d >= lit_date(w.obs_start)) & inside
 
 
 def in_pred(w: WindowSpec, date: Column | None = None) -> Column:
-    """T2: prediction predicate (bounded)."""
+    """T2: prediction predicate, open at the top without ``pred_end``."""
     d = F.col("date") if date is None else date
-    return (d >= lit_date(w.pred_start)) & (d < lit_date(w.pred_end))
+    inside = d >= lit_date(w.pred_start)
+    return inside if w.pred_end is None else inside & (d < lit_date(w.pred_end))
 
 
 def window_counts(tx: DataFrame, w: WindowSpec) -> DataFrame:

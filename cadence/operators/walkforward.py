@@ -1,7 +1,7 @@
 """Expanding-window walk-forward validation (V-1 ... V-7).
 
 All folds are built in ONE job: the log is pre-aggregated to
-(customer, period, type) with count, amount count, sum, sum of squares and
+(customer, period, type) with count, amount count, sum, squared deviations and
 last date - period = month when every fold edge is a month start (the
 reference's folds are), else day - and that much smaller table is range-joined
 to the broadcast fold table (J-7). A customer with a third of all rows still
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.config import STABILITY_STD, Fold
@@ -39,7 +39,7 @@ def period_aggregate(tx: DataFrame, grain: str) -> DataFrame:
     p = F.trunc("date", "MM") if grain == "MM" else F.col("date")
     return tx.groupBy("customer_id", p.alias("period"), "type").agg(
         F.count(F.lit(1)).alias("n"), F.count("amount").alias("n_amt"),
-        F.sum("amount").alias("s"), F.sum(F.col("amount") * F.col("amount")).alias("ss"),
+        F.sum("amount").alias("s"), (F.var_pop("amount") * F.count("amount")).alias("m2"),
         F.max("date").alias("last"))
 
 
@@ -51,6 +51,12 @@ def fold_frame(spark: SparkSession, tx: DataFrame, spine: DataFrame, folds: tupl
     ft = fold_table(spark, folds, obs_start)
     pre = period_aggregate(tx.where(F.col("date") >= lit_date(obs_start)),
                            period_grain(folds, obs_start))
+    # sums around the customer's own mean, so that the variance does not cancel
+    own = Window.partitionBy("customer_id")
+    centre = F.sum("s").over(own) / F.nullif(F.sum("n_amt").over(own), F.lit(0))
+    pre = pre.withColumn("_c", F.when(F.col("n_amt") > 0, centre))
+    off = F.col("s") - F.col("n_amt") * F.col("_c")
+    pre = pre.withColumn("d", off).withColumn("ss", F.col("m2") + off * off / F.nullif(F.col("n_amt"), F.lit(0)))
     j = pre.join(F.broadcast(ft), (F.col("period") >= F.col("obs_start")) & (
         F.col("period") < F.col("pred_end")))
     o = (F.col("period") < F.col("obs_end"))
@@ -58,13 +64,13 @@ def fold_frame(spark: SparkSession, tx: DataFrame, spine: DataFrame, folds: tupl
     aggs = [
         F.sum(F.when(o, F.col("n"))).alias("oc"), F.sum(F.when(fu, F.col("n"))).alias("fc"),
         F.sum(F.when(o, F.col("n_amt"))).alias("tx_count"), F.sum(F.when(o, F.col("s"))).alias("tx_total"),
-        F.sum(F.when(o, F.col("ss"))).alias("_ss"), F.max(F.when(o, F.col("last"))).alias("_last"),
+        F.sum(F.when(o, F.col("ss"))).alias("_ss"), F.sum(F.when(o, F.col("d"))).alias("_d"), F.max(F.when(o, F.col("last"))).alias("_last"),
         F.sum(F.when(o & F.col("type").isNotNull(), F.col("n"))).alias("_typed"),
     ] + [F.sum(F.when(o & (F.col("type") == t), F.col("n"))).alias("_n_" + share_name(t)) for t in types]
     a = j.groupBy("fold", "customer_id").agg(*aggs)
     n, s = F.col("tx_count").cast("double"), F.col("tx_total")
     mean = F.when(n > 0, s / n)
-    var = F.when(n >= 2, F.greatest((F.col("_ss") - s * s / n) / (n - 1), F.lit(0.0)))
+    var = F.when(n >= 2, F.greatest((F.col("_ss") - F.col("_d") * F.col("_d") / n) / (n - 1), F.lit(0.0)))
     a = (a.withColumn("tx_mean", mean)
           .withColumn("tx_std", F.coalesce(F.sqrt(var), F.lit(0.0))))
     a = a.withColumn("tx_cv", F.col("tx_std") / F.greatest(F.col("tx_mean"), F.lit(1.0)))

@@ -10,7 +10,7 @@ from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING
 from cadence.operators import targets as T
 from cadence.operators.features import RFM_COLS, share_name
 from cadence.plans.common import mart, round_doubles
-from cadence.sources import customers, transactions
+from cadence.sources import customers, log_types, transactions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,15 @@ def _labels(m):
 
 
 def _mart_cols(m, cols):
-    return lambda spark, d: round_doubles(mart(spark, d, m).select(*cols))
+    return lambda spark, d: round_doubles(mart(spark, d, m, cols).select(*cols))
+
+
+def _type_shares(m):
+    """F-10: a share column for every type of the log."""
+    def query(spark, d):
+        shares = [share_name(t) for t in log_types(spark, d, m)]
+        return round_doubles(mart(spark, d, m, shares).select("customer_id", *shares))
+    return query
 
 
 def _mart_all(m):
@@ -45,7 +53,6 @@ def _base_rate(m, label):
 
 def target_feature_queries() -> dict[str, Query]:
     o, e = ORDERS_MAPPING, EVENTS_MAPPING
-    shares = ["customer_id"] + [share_name(t) for t in o.types]
     return {
         "t_labels_orders": _labels(o),
         "t_labels_events": _labels(e),
@@ -53,7 +60,7 @@ def target_feature_queries() -> dict[str, Query]:
         "t9_class_dist_growth": _class_dist(o, "future_growth"),
         "t10_base_rate": _base_rate(o, "future_disengaged"),
         "f01_f09_rfm": _mart_cols(o, ["customer_id"] + RFM_COLS),
-        "f10_type_shares": _mart_cols(o, shares),
+        "f10_type_shares": _type_shares(o),
         "f11_weekend_ratio": _mart_cols(o, ["customer_id", "tx_wknd_ratio"]),
         "f13_f14_trends": _mart_cols(o, ["customer_id", "tx_count_trend", "tx_amt_trend"]),
         "f15_max_gap": _mart_cols(o, ["customer_id", "tx_max_gap"]),

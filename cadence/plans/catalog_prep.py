@@ -12,7 +12,7 @@ from cadence.operators import targets as T
 from cadence.operators.features import tx_feature_columns
 from cadence.plans.common import mart, round_doubles
 from cadence.session import materialize
-from cadence.sources import customers, raw_transactions, read_table
+from cadence.sources import customers, log_types, raw_transactions, read_table
 
 
 def _key_profile(spark, d):
@@ -68,16 +68,16 @@ def _holdout(spark, d):
     return S.holdout_split(customers(spark, d).select("customer_id"), 42, 20)
 
 
-def fit_full_preprocessor(df):
+def fit_full_preprocessor(df, types):
     spec = FeatureSpec()
-    numeric = list(spec.numeric) + tx_feature_columns(ORDERS_MAPPING.types)
+    numeric = list(spec.numeric) + tx_feature_columns(types)
     return P.fit_preprocessor(df.where(F.col("split") == "train"), numeric,
                               dict(spec.ordinal), list(spec.nominal))
 
 
 def _preprocess(spark, d):
     df = materialize(full_frame(spark, d))
-    pre = fit_full_preprocessor(df)
+    pre = fit_full_preprocessor(df, log_types(spark, d, ORDERS_MAPPING))
     return round_doubles(pre.transform(df, keep=["customer_id", "split"]))
 
 
@@ -93,26 +93,21 @@ def _window_rows(spark, d):
     return tx.agg(F.count_if(T.in_obs(w)).alias("obs_rows"), F.count_if(T.in_pred(w)).alias("pred_rows"))
 
 
-def _feature_groups(spark, d):
-    """F-17 / F-19: inferred feature groups and the three setups."""
-    from cadence.operators.features import infer_feature_groups
-    from cadence.plans.pipeline import SETUPS, setup_columns
-    spec = FeatureSpec()
-    g = infer_feature_groups(Q.clean_customers(customers(spark, d), holdout=("sanity_score",)),
-                             dict(spec.ordinal), list(spec.nominal))
-    rows = [("customer", grp, c) for grp, cols in g.items() for c in cols]
-    for s in SETUPS:
-        num, ordn, nom = setup_columns(s, ORDERS_MAPPING.types)
-        rows += [(s, "numeric", c) for c in num] + [(s, "ordinal", c) for c in ordn] + [
-            (s, "nominal", c) for c in nom]
-    return spark.createDataFrame(rows, "setup string, feature_group string, feature string")
+def _setup_rows(setup):
+    """F-19: the rows of a feature setup, before preprocessing."""
+    def query(spark, d):
+        from cadence.plans.pipeline import setup_columns
+        num, ordn, nom = setup_columns(setup, log_types(spark, d, ORDERS_MAPPING))
+        return round_doubles(full_frame(spark, d).select("customer_id", *num, *ordn, *nom))
+    return query
 
 
 def quality_split_queries():
     return {
         "s3_table_profile": _profile,
         "t1_t2_window_rows": _window_rows,
-        "f17_f19_feature_groups": _feature_groups,
+        "f19_tx_strict_rows": _setup_rows("Tx-strict"),
+        "f19_cust_only_rows": _setup_rows("Cust-only"),
         "q1_q2_key_profile": _key_profile,
         "q3_null_profile": _null_profile,
         "q4_orphans_orders": _orphans(ORDERS_MAPPING),

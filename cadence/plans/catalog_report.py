@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadence.config import ORDERS_FOLDS, ORDERS_MAPPING
+from cadence.config import ORDERS_FOLDS, ORDERS_FOLDS_START, ORDERS_MAPPING
 from cadence.operators import evaluate as E
 from cadence.operators import ranking as RK
 from cadence.operators import report as R
@@ -12,9 +12,9 @@ from cadence.operators import walkforward as V
 from cadence.operators.split import hash_bucket
 from cadence.plans.common import round_doubles
 from cadence.session import materialize
-from cadence.sources import customers, transactions
+from cadence.sources import customers, log_types, transactions
 
-BEHAVIOUR = ["tx_count", "tx_total", "tx_recency", "tx_max_gap", "tx_late_ratio", "tx_wknd_ratio"]
+BEHAVIOUR = RK.BEHAVIOUR_COLS
 
 
 def _r(f):
@@ -24,13 +24,13 @@ def _r(f):
 def fold_frame(spark, d):
     m = ORDERS_MAPPING
     return V.fold_frame(spark, transactions(spark, d, m), customers(spark, d), ORDERS_FOLDS,
-                        m.windows.obs_start, m.types)
+                        ORDERS_FOLDS_START, log_types(spark, d, m))
 
 
 def _fold_table(spark, d):
     """V-1: fold configuration with the log rows each window covers."""
     m = ORDERS_MAPPING
-    ft = V.fold_table(spark, ORDERS_FOLDS, m.windows.obs_start)
+    ft = V.fold_table(spark, ORDERS_FOLDS, ORDERS_FOLDS_START)
     tx = transactions(spark, d, m)
     j = tx.join(F.broadcast(ft), (F.col("date") >= F.col("obs_start")) & (F.col("date") < F.col("pred_end")))
     c = j.groupBy("fold").agg(
@@ -61,7 +61,7 @@ def fold_results(spark, d):
 
 def _fold_labels(spark, d):
     ff = fold_frame(spark, d)
-    return V.fold_labels_summary(ff, V.fold_table(spark, ORDERS_FOLDS, ORDERS_MAPPING.windows.obs_start))
+    return V.fold_labels_summary(ff, V.fold_table(spark, ORDERS_FOLDS, ORDERS_FOLDS_START))
 
 
 def _signals(spark, d):

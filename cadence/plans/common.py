@@ -8,7 +8,7 @@ from pyspark.sql.types import DoubleType
 
 from cadence.config import TxMapping
 from cadence.operators.features import customer_mart
-from cadence.sources import customers, transactions
+from cadence.sources import customers, log_types, transactions
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -22,4 +22,4 @@ def mart(spark: SparkSession, sf_dir: str, m: TxMapping,
          columns: list[str] | None = None) -> DataFrame:
     """Feature mart with labels for a mapping (one row per customer)."""
     return customer_mart(customers(spark, sf_dir), transactions(spark, sf_dir, m),
-                         m.windows, m.types, columns=columns)
+                         m.windows, log_types(spark, sf_dir, m), columns=columns)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.config import (
-    FeatureSpec, ModelParams, ORDERS_FOLDS, ORDERS_MAPPING, SignalParams, SplitSpec, TxMapping,
+    FeatureSpec, ModelParams, ORDERS_FOLDS, ORDERS_FOLDS_START, ORDERS_MAPPING, SignalParams, SplitSpec, TxMapping,
 )
 from cadence.operators import calibrate as C
 from cadence.operators import evaluate as E
@@ -24,7 +24,7 @@ from cadence.operators import split as S
 from cadence.operators import walkforward as V
 from cadence.operators.features import customer_mart, tx_feature_columns
 from cadence.session import materialize
-from cadence.sources import customers, transactions
+from cadence.sources import customers, log_types, transactions
 
 SETUPS = ("Full", "Tx-strict", "Cust-only")
 
@@ -58,7 +58,7 @@ def base_frame(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     """Mart + labels + split + cleaned customer attributes, materialised."""
     m = cfg.mapping
     cust = customers(spark, sf_dir)
-    mart = customer_mart(cust, transactions(spark, sf_dir, m), m.windows, m.types)
+    mart = customer_mart(cust, transactions(spark, sf_dir, m), m.windows, log_types(spark, sf_dir, m))
     mart = S.assign_split(mart, cfg.split, label="future_disengaged", method=cfg.split_method)
     attrs = Q.clean_customers(cust, holdout=("sanity_score",))
     return materialize(mart.join(attrs, "customer_id", "inner"))
@@ -105,9 +105,13 @@ class ModelRun:
     def base(self) -> DataFrame:
         return self._once("base", lambda: base_frame(self.spark, self.sf_dir, self.cfg))
 
+    @property
+    def types(self) -> tuple[str, ...]:
+        return self._once("types", lambda: log_types(self.spark, self.sf_dir, self.cfg.mapping))
+
     def prepared(self, setup: str, label: str):
         return self._once(("prep", setup, label),
-                          lambda: prepare(self.base, setup, label, self.cfg.mapping.types))
+                          lambda: prepare(self.base, setup, label, self.types))
 
     def risk_grid(self):
         """M-5: 3 setups x 3 algorithms on the disengagement label."""
@@ -219,7 +223,7 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     fit boosted trees (``wf_rounds``); evaluate on its 20 % hold-out."""
     m = cfg.mapping
     ff = materialize(V.fold_frame(spark, transactions(spark, sf_dir, m), customers(spark, sf_dir),
-                                  cfg.folds, m.windows.obs_start, m.types))
+                                  cfg.folds, ORDERS_FOLDS_START, log_types(spark, sf_dir, m)))
     feat = [c for c in ff.columns if c not in ("fold", "customer_id", "obs_count", "fut_count",
                                                 "future_disengaged")]
     params = ModelParams(**{**cfg.params.__dict__, "gbt_rounds": cfg.wf_rounds})

@@ -6,6 +6,7 @@ is for tests, the bench and the smoke entry only.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,6 +23,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -33,8 +35,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when the
-    session names none (local tests) fall back to a fresh scratch folder."""
+    """The shared folder of ``spark.checkpoint.dir``. A session on one machine
+    (master ``local``) that names none gets a scratch folder; on a cluster that
+    is an error, since executors would write to their own disks."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -42,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not shared:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="cadence-ckpt-")
     sc.setCheckpointDir(shared)
     return sc.getCheckpointDir() or shared

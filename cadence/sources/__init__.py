@@ -1,5 +1,6 @@
 from cadence.sources.tables import (  # noqa: F401
     customers,
+    log_types,
     raw_transactions,
     read_table,
     table_profile,

@@ -34,26 +34,40 @@ def read_csv_table(spark: SparkSession, path: str, schema: str | None = None,
 def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
                  start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Transaction log in ``[start, end)`` (default: observation start to
-    prediction end of the mapping's windows). Null keys are dropped, as a
-    group-by on the key would drop them. ``date`` is a DATE (trap X-2)."""
+    prediction end of the mapping's windows, each open if not given). Null keys
+    are dropped, as a group-by on the key would drop them. ``date`` is a DATE
+    (trap X-2); an amount that is not a number is NULL."""
     w = mapping.windows
     start = start or w.obs_start
     end = end or w.pred_end
     src = read_table(spark, sf_dir, mapping.table)
     ts = F.col(mapping.date)
     kind = src.schema[mapping.date].dataType.simpleString()
-    lo, hi = (F.lit(start).cast(kind), F.lit(end).cast(kind))   # midnight in the column's own type
+    if start is not None:                         # midnight in the column's own type
+        src = src.where(ts >= F.lit(start).cast(kind))
+    if end is not None:
+        src = src.where(ts < F.lit(end).cast(kind))
     return (
-        src.where((ts >= lo) & (ts < hi) & F.col(mapping.customer_id).isNotNull())
+        src.where(F.col(mapping.customer_id).isNotNull() & ts.isNotNull())
         .select(
             F.col(mapping.customer_id).cast("long").alias("customer_id"),
             F.to_date(ts).alias("date"),
             F.col(mapping.type).cast("string").alias("type"),
-            F.col(mapping.amount).cast("double").alias("amount"),
+            number(F.col(mapping.amount)).alias("amount"),
         )
     )
 
 
+def log_types(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> tuple[str, ...]:
+    """The mapping's declared types, else all types of the log (one distinct
+    over a categorical column), sorted."""
+    if mapping.types is not None:
+        return tuple(mapping.types)
+    t = F.col(mapping.type).cast("string").alias("type")
+    rows = read_table(spark, sf_dir, mapping.table).select(t).where("type is not null").distinct().collect()
+    return tuple(sorted(r[0] for r in rows))
+
+
 def raw_transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> DataFrame:
     """The whole log mapped to (customer_id, date, type, amount), no window."""
     src = read_table(spark, sf_dir, mapping.table)
@@ -61,10 +75,16 @@ def raw_transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> Da
         F.col(mapping.customer_id).cast("long").alias("customer_id"),
         F.to_date(F.col(mapping.date)).alias("date"),
         F.col(mapping.type).cast("string").alias("type"),
-        F.col(mapping.amount).cast("double").alias("amount"),
+        number(F.col(mapping.amount)).alias("amount"),
     )
 
 
+def number(c: Column) -> Column:
+    """As DOUBLE, NULL where it is not a number."""
+    d = c.cast("double")
+    return F.when(~F.isnan(d), d)
+
+
 def income_bracket(balance: Column) -> Column:
     """Ordinal stand-in: fixed cuts of the account balance."""
     lo, mid, hi = INCOME_CUTS
@@ -83,7 +103,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
     return c.select(
         F.col("c_custkey").cast("long").alias("customer_id"),
-        F.col("c_acctbal").cast("double").alias("c_acctbal"),
+        number(F.col("c_acctbal")).alias("c_acctbal"),
         F.col("c_nationkey").cast("int").alias("c_nationkey"),
         F.col("c_mktsegment"),
         income_bracket(F.col("c_acctbal")).alias("income_bracket"),

@@ -7,11 +7,35 @@ same config values; everything else is spelled out in SQL.
 
 from __future__ import annotations
 
+import datetime as dt
+from types import SimpleNamespace
+
 from cadence.config import (
     EVENTS_MAPPING, INCOME_CUTS, LabelRules, ORDERS_FOLDS, ORDERS_MAPPING, SignalParams,
     SplitSpec, TxMapping,
 )
-from cadence.operators.features import share_name, tx_feature_columns
+
+# The oracle states its own windows, types and names.
+WINDOWS = {
+    "orders": SimpleNamespace(
+        obs_end=dt.date(2000, 1, 1), obs_last_day=dt.date(1999, 12, 31), late_start=dt.date(1998, 5, 1),
+        pred_start=dt.date(2000, 1, 1), obs_periods=60.0, pred_periods=20.0, early_periods=40.0, late_periods=20.0),
+    "events": SimpleNamespace(
+        obs_end=dt.date(2024, 1, 22), obs_last_day=dt.date(2024, 1, 21), late_start=dt.date(2024, 1, 15),
+        pred_start=dt.date(2024, 1, 22), obs_periods=3.0, pred_periods=1.0, early_periods=2.0, late_periods=1.0),
+}
+FOLDS_START = dt.date(1995, 1, 1)
+TYPES = {"orders": ("F", "O", "P"), "events": ("click", "error", "purchase", "signup", "view")}
+
+
+def share_name(t: str) -> str:
+    return "sh_" + t.lower()
+
+
+def tx_feature_columns(types) -> list[str]:
+    return ["tx_count", "tx_total", "tx_mean", "tx_median", "tx_std", "tx_min", "tx_max", "tx_cv", "tx_recency",
+            "tx_span", "tx_freq", *map(share_name, types), "tx_wknd_ratio", "tx_count_trend", "tx_amt_trend",
+            "tx_max_gap", "tx_late_ratio"]
 
 
 def q(d) -> str:
@@ -27,15 +51,12 @@ def rounded(sql: str, cols: list[str], digits: int = 6) -> str:
 
 
 def tx_sql(m: TxMapping, start=None, end=None) -> str:
-    w = m.windows
-    start = start or w.obs_start
-    end = end or w.pred_end
+    bounds = "".join(f" AND {m.date} {op} CAST({q(x)} AS TIMESTAMP)" for op, x in ((">=", start), ("<", end)) if x)
     return f"""
 SELECT CAST({m.customer_id} AS BIGINT) AS customer_id, CAST({m.date} AS DATE) AS date,
        CAST({m.type} AS VARCHAR) AS type, CAST({m.amount} AS DOUBLE) AS amount
 FROM {m.table}
-WHERE {m.date} >= CAST({q(start)} AS TIMESTAMP) AND {m.date} < CAST({q(end)} AS TIMESTAMP)
-  AND {m.customer_id} IS NOT NULL"""
+WHERE {m.date} IS NOT NULL AND {m.customer_id} IS NOT NULL{bounds}"""
 
 
 INT_SQL = {"tx_count": "BIGINT", "tx_recency": "INTEGER", "tx_span": "INTEGER", "tx_max_gap": "INTEGER"}
@@ -43,16 +64,16 @@ INT_SQL = {"tx_count": "BIGINT", "tx_recency": "INTEGER", "tx_span": "INTEGER",
 
 def mart_ctes(m: TxMapping, rules: LabelRules = LabelRules()) -> str:
     """CTEs ``tx``, ``mart`` (features + labels, one row per customer)."""
-    w = m.windows
-    obs = f"date >= {q(w.obs_start)} AND date < {q(w.obs_end)}"
-    fut = f"date >= {q(w.pred_start)} AND date < {q(w.pred_end)}"
+    w = WINDOWS[m.table]
+    obs = f"date < {q(w.obs_end)}"
+    fut = f"date >= {q(w.pred_start)}"
     late = q(w.late_start)
     last = q(w.obs_last_day)
     type_counts = ",\n    ".join(
-        f"count(*) FILTER (WHERE type = '{t}') AS n_{share_name(t)}" for t in m.types)
+        f"count(*) FILTER (WHERE type = '{t}') AS n_{share_name(t)}" for t in TYPES[m.table])
     shares = ",\n    ".join(
         f"CASE WHEN coalesce(a.n_typed, 0) = 0 THEN 0e0 ELSE a.n_{share_name(t)} / a.n_typed END"
-        f" AS {share_name(t)}" for t in m.types)
+        f" AS {share_name(t)}" for t in TYPES[m.table])
     return f"""
 tx AS ({tx_sql(m)}),
 obs AS (SELECT * FROM tx WHERE {obs}),
@@ -117,7 +138,7 @@ mart AS (
     CAST(fut_monthly >= {rules.growth_factor}e0 * obs_monthly OR (obs_monthly = 0 AND fut_count > 0) AS INTEGER)
       AS future_growth,
     {", ".join(f"CAST(coalesce(f.{c}, 0) AS {INT_SQL[c]}) AS {c}" if c in INT_SQL else f"coalesce(f.{c}, 0) AS {c}"
-               for c in tx_feature_columns(m.types))}
+               for c in tx_feature_columns(TYPES[m.table]))}
   FROM lab l LEFT JOIN feat f USING (customer_id))"""
 
 
@@ -126,7 +147,7 @@ MART_DOUBLES_BASE = ["obs_monthly", "fut_monthly", "activity_ratio"]
 
 def mart_doubles(m: TxMapping) -> list[str]:
     ints = {"tx_count", "tx_recency", "tx_span", "tx_max_gap"}
-    return MART_DOUBLES_BASE + [c for c in tx_feature_columns(m.types) if c not in ints]
+    return MART_DOUBLES_BASE + [c for c in tx_feature_columns(TYPES[m.table]) if c not in ints]
 
 
 def mart_sql(m: TxMapping, cols: list[str] | None = None) -> str:
@@ -158,7 +179,7 @@ FROM mart""", ["pos_rate", "imbalance_ratio"])
 
 def target_feature_sql() -> dict[str, str]:
     o, e = ORDERS_MAPPING, EVENTS_MAPPING
-    shares = ["customer_id"] + [share_name(t) for t in o.types]
+    shares = ["customer_id"] + [share_name(t) for t in TYPES[o.table]]
     return {
         "t_labels_orders": mart_sql(o, LABEL_COLS),
         "t_labels_events": mart_sql(e, LABEL_COLS),
@@ -239,14 +260,16 @@ r AS (SELECT customer_id, future_disengaged,
       FROM mart)
 SELECT customer_id, CASE WHEN pos / nc < 0.6e0 THEN 'train' WHEN pos / nc < 0.8e0 THEN 'val'
                          ELSE 'test' END AS split FROM r"""
-    w = o.windows
+    w = WINDOWS[o.table]
     return {
         "s3_table_profile": f"""SELECT count(*) AS n_rows, 4 AS n_cols, min(CAST({o.date} AS DATE)) AS min_date,
   max(CAST({o.date} AS DATE)) AS max_date FROM {o.table}""",
-        "t1_t2_window_rows": f"""SELECT count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.obs_start)} AND CAST({o.date} AS DATE) < {q(w.obs_end)}) AS obs_rows,
-  count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.pred_start)} AND CAST({o.date} AS DATE) < {q(w.pred_end)}) AS pred_rows
+        "t1_t2_window_rows": f"""SELECT count(*) FILTER (WHERE CAST({o.date} AS DATE) < {q(w.obs_end)}) AS obs_rows,
+  count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.pred_start)}) AS pred_rows
 FROM {o.table}""",
-        "f17_f19_feature_groups": feature_groups_sql(),
+        "f19_tx_strict_rows": mart_sql(o, ["customer_id"] + tx_feature_columns(TYPES["orders"])),
+        "f19_cust_only_rows": rounded(f"WITH {CUST_CTE} SELECT customer_id, c_acctbal, c_nationkey, income_bracket, "
+                                      f"c_mktsegment FROM cust", ["c_acctbal"]),
         "q1_q2_key_profile": f"""SELECT (SELECT count(DISTINCT c_custkey) FROM customer) AS n_cust_unique,
   (SELECT count(DISTINCT {o.customer_id}) FROM {o.table}) AS n_tx_unique,
   (SELECT count(*) - count(DISTINCT c_custkey) FROM customer) AS n_duplicated""",
@@ -269,26 +292,11 @@ SELECT split, count(*) AS n, avg(CAST(future_disengaged AS DOUBLE)) AS pos_rate
     }
 
 
-def feature_groups_sql() -> str:
-    """Expected rows: customer attribute groups by type, then the setups."""
-    tx = tx_feature_columns(ORDERS_MAPPING.types)
-    rows = [("customer", "numeric", "c_acctbal"), ("customer", "numeric", "c_nationkey"),
-            ("customer", "ordinal", "income_bracket"), ("customer", "nominal", "c_mktsegment")]
-    rows += [("Full", "numeric", c) for c in ["c_acctbal", "c_nationkey"] + tx]
-    rows += [("Full", "ordinal", "income_bracket"), ("Full", "nominal", "c_mktsegment")]
-    rows += [("Tx-strict", "numeric", c) for c in tx]
-    rows += [("Cust-only", "numeric", "c_acctbal"), ("Cust-only", "numeric", "c_nationkey"),
-             ("Cust-only", "ordinal", "income_bracket"), ("Cust-only", "nominal", "c_mktsegment")]
-    vals = ", ".join(f"('{a}', '{b}', '{c}')" for a, b, c in rows)
-    return (f"SELECT v.* FROM (VALUES {vals}) AS v(setup, feature_group, feature) "
-            f"WHERE EXISTS (SELECT 1 FROM customer)")
-
-
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
 def preprocess_sql() -> str:
-    numeric = ["c_acctbal", "c_nationkey"] + tx_feature_columns(ORDERS_MAPPING.types)
+    numeric = ["c_acctbal", "c_nationkey"] + tx_feature_columns(TYPES["orders"])
     med = ", ".join(f"median({c}) AS md_{i}" for i, c in enumerate(numeric))
     imp = ", ".join(f"coalesce({c}, s1.md_{i}) AS {c}" for i, c in enumerate(numeric))
     mom = ", ".join(f"avg({c}) AS mu_{i}, stddev_pop({c}) AS sd_{i}" for i, c in enumerate(numeric))
@@ -527,17 +535,13 @@ def signal_sql() -> dict[str, str]:
     bp, rr, eng = (f2.format(c) for c in ("buy_propensity", "redemption_risk", "engagement_score"))
     interp = f"""{base}
 SELECT customer_id, tier, CASE tier
-  WHEN 'upsell' THEN 'Strong upsell opportunity. Growth propensity ' || {bp} || ', disengagement risk ' || {rr}
-    || '. Engagement is ' || CASE WHEN engagement_score > 0.5e0 THEN 'strong' ELSE 'moderate' END || ' (' || {eng}
-    || '). Recommendation: propose premium products, increase wallet share, and schedule a proactive review meeting.'
-  WHEN 'retention' THEN 'Retention priority. Disengagement risk ' || {rr} || '. Buy propensity is '
-    || CASE WHEN buy_propensity > 0.4e0 THEN 'still positive' ELSE 'low' END || ' (' || {bp} || ') and engagement is '
-    || CASE WHEN engagement_score < 0.3e0 THEN 'weakening' ELSE 'moderate' END || ' (' || {eng}
-    || '). Recommendation: proactive outreach, loyalty incentives, and a service-quality review.'
-  WHEN 'emerging' THEN 'Emerging opportunity. Growth propensity ' || {bp} || ' with acceptable risk ' || {rr}
-    || '. Recommendation: nurture the relationship with targeted content and periodic check-ins to move the client toward the upsell zone.'
-  ELSE 'Monitor. Signals are mixed - buy propensity ' || {bp} || ', redemption risk ' || {rr} || ', engagement ' || {eng}
-    || '. Recommendation: maintain standard service and revisit at the next model refresh.' END AS interpretation
+  WHEN 'upsell' THEN 'Likely to grow and unlikely to leave; ' || CASE WHEN engagement_score > 0.5e0 THEN 'highly' ELSE 'fairly' END
+    || ' active. Offer more.'
+  WHEN 'retention' THEN 'Likely to leave; ' || CASE WHEN buy_propensity > 0.4e0 THEN 'some' ELSE 'little' END || ' growth left, '
+    || CASE WHEN engagement_score < 0.3e0 THEN 'activity fading' ELSE 'still active' END || '. Get in touch soon.'
+  WHEN 'emerging' THEN 'May grow, at a risk worth taking. Keep in contact.'
+  ELSE 'No clear direction. Look again after the next run.' END
+  || ' [growth ' || {bp} || ', risk ' || {rr} || ', engagement ' || {eng} || ']' AS interpretation
 FROM (SELECT *, CASE WHEN buy_propensity > 0.6e0 AND redemption_risk < 0.3e0 THEN 'upsell'
                      WHEN redemption_risk > 0.6e0 THEN 'retention'
                      WHEN buy_propensity > 0.4e0 AND redemption_risk < 0.5e0 THEN 'emerging'
@@ -603,8 +607,8 @@ WHERE CAST(customer_id AS VARCHAR) = (SELECT CAST(customer_id AS VARCHAR) FROM s
 
 # ---------------------------------------------------------------- walk-forward, charts, reports
 def folds_values() -> str:
-    w = ORDERS_MAPPING.windows
-    rows = ", ".join(f"({f.fold}, {q(w.obs_start)}, {q(f.obs_end)}, {q(f.pred_start)}, {q(f.pred_end)}, "
+    w = WINDOWS["orders"]
+    rows = ", ".join(f"({f.fold}, {q(FOLDS_START)}, {q(f.obs_end)}, {q(f.pred_start)}, {q(f.pred_end)}, "
                      f"{f.obs_periods}e0, {f.pred_periods}e0)" for f in ORDERS_FOLDS)
     return (f"ft AS (SELECT * FROM (VALUES {rows}) AS f(fold, obs_start, obs_end, pred_start, pred_end, "
             f"obs_periods, pred_periods))")
@@ -613,9 +617,9 @@ def folds_values() -> str:
 def fold_ctes() -> str:
     o = ORDERS_MAPPING
     ob = "date < obs_end"
-    counts = ", ".join(f"count(*) FILTER (WHERE {ob} AND type = '{t}') AS n_{share_name(t)}" for t in o.types)
+    counts = ", ".join(f"count(*) FILTER (WHERE {ob} AND type = '{t}') AS n_{share_name(t)}" for t in TYPES[o.table])
     shares = ", ".join(f"coalesce(CASE WHEN a.typed > 0 THEN a.n_{share_name(t)} / a.typed END, 0e0) AS {share_name(t)}"
-                       for t in o.types)
+                       for t in TYPES[o.table])
     return f"""tx AS ({tx_sql(o)}),
 {folds_values()},
 j AS (SELECT tx.*, ft.fold, ft.obs_start, ft.obs_end, ft.pred_start, ft.pred_end
@@ -699,7 +703,7 @@ SELECT ft.*, c.obs_rows, c.pred_rows FROM ft LEFT JOIN (
   SELECT fold, count(*) FILTER (WHERE date < obs_end) AS obs_rows, count(*) FILTER (WHERE date >= pred_start) AS pred_rows
   FROM tx JOIN ft ON tx.date >= ft.obs_start AND tx.date < ft.pred_end GROUP BY fold) AS c USING (fold)""",
         "v2_v3_fold_frame": rounded(f"{fb} SELECT * FROM ff",
-                                    ["tx_total", "tx_mean", "tx_std", "tx_cv"] + [share_name(t) for t in ORDERS_MAPPING.types]),
+                                    ["tx_total", "tx_mean", "tx_std", "tx_cv"] + [share_name(t) for t in TYPES["orders"]]),
         "v4_fold_results_standin": rounded(f"{fb} SELECT * FROM fr", ["roc_auc", "pr_auc", "brier"]),
         "v5_fold_labels": rounded(f"""{fb}
 SELECT ft.fold, strftime(ft.obs_start, '%b') || '-' || strftime(ft.obs_end - 1, '%b') AS obs_window,

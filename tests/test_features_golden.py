@@ -104,13 +104,9 @@ def test_no_leakage_from_future_rows(spark):
     assert {k: a[k] for k in feats} == {k: b[k] for k in feats}
 
 
-@pytest.mark.parametrize("hot_rows,max_hot", [(1_000_000, 10_000), (5, 10_000), (5, 0)])
-def test_median_paths_agree(spark, monkeypatch, hot_rows, max_hot):
-    """Cold (inline), hot-split and fully distributed medians give pandas' median."""
+def test_median_of_every_customer(spark):
+    """Hot, small and absent customers get pandas' median by the one path."""
     import numpy as np
-    from cadence.operators import features as FT
-    monkeypatch.setattr(FT, "HOT_ROWS", hot_rows)
-    monkeypatch.setattr(FT, "MAX_HOT", max_hot)
     rng = np.random.default_rng(3)
     rows = [(0, "2023-0%d-1%d" % (1 + i % 9, i % 10), "deposit", float(np.round(rng.exponential(50), 2)))
             for i in range(40)]
@@ -121,3 +117,28 @@ def test_median_paths_agree(spark, monkeypatch, hot_rows, max_hot):
         vals = [a for kk, _, _, a in rows if kk == k]
         assert out[k]["tx_median"] == pytest.approx(float(np.median(vals)))
     assert out[3]["tx_median"] == 0.0
+
+
+def test_windows_without_bounds_are_open(spark):
+    import dataclasses
+    rows = [(0, "2019-05-01", "deposit", 1.0), (0, "2023-11-05", "payment", 9.0), (0, "2031-01-01", "payment", 7.0)]
+    tx = spark.createDataFrame([(k, D(d), t, a) for k, d, t, a in rows], "customer_id long, date date, type string, amount double")
+    spine = spark.createDataFrame([(0,)], "customer_id long")
+    whole = dataclasses.replace(W, obs_start=None, pred_end=None)
+    r = customer_mart(spine, tx, whole, TYPES).first()
+    assert (r["obs_count"], r["fut_count"]) == (1, 2)
+    r = customer_mart(spine, tx, W, TYPES).first()
+    assert (r["obs_count"], r["fut_count"]) == (0, 1)
+
+
+def test_fold_std_of_large_amounts_does_not_cancel(spark):
+    from cadence.config import Fold
+    from cadence.operators.walkforward import fold_frame
+    rows = [(0, "2023-01-05", "deposit", 1e9), (0, "2023-02-05", "deposit", 1e9 + 1), (0, "2023-02-06", "deposit", 1e9 + 2),
+            (1, "2023-01-05", "deposit", None), (2, "2023-01-05", "payment", 5.0)]
+    tx = spark.createDataFrame([(k, D(d), t, a) for k, d, t, a in rows], "customer_id long, date date, type string, amount double")
+    spine = spark.createDataFrame([(0,), (1,), (2,)], "customer_id long")
+    fold = Fold(1, D("2023-04-01"), D("2023-04-01"), D("2023-07-01"), 3.0, 3.0)
+    out = {r["customer_id"]: r for r in fold_frame(spark, tx, spine, (fold,), D("2023-01-01"), TYPES).collect()}
+    assert out[0]["tx_std"] == pytest.approx(1.0) and out[0]["tx_count"] == 3
+    assert out[1]["tx_std"] == 0.0 and out[2]["tx_total"] == 5.0

@@ -53,3 +53,56 @@ def test_fold_frame_month_and_day_grain_agree(spark):
     assert a[1]["tx_std"] == pytest.approx(np.std(amounts, ddof=1))
     assert a[1]["tx_recency"] == (dt.date(2020, 6, 30) - dt.date(2020, 6, 17)).days
     assert a[1]["sh_a"] == 0.5
+
+
+def test_null_is_not_clipped_to_the_top(spark):
+    from cadence.functions.columns import clip01
+    from cadence.operators.report import class_histograms, clip_upper, marker_size
+    from cadence.operators.signals import strategic_segments
+    df = spark.createDataFrame([(1.0, 0), (2.0, 1), (3.0, 0), (None, 1), (None, 0)], "x double, y int")
+    got = sorted((r.x for r in clip_upper(df, "x").collect()), key=lambda v: (v is None, v or 0))
+    assert got[3:] == [None, None] and got[2] < 3.0
+    assert sum(r["count"] for r in class_histograms(df, ["x"], "y").collect()) == 3
+    assert [r.marker_size is None for r in marker_size(df, "x").collect()].count(True) == 2
+    assert df.select(clip01(df.x).alias("c")).where("c is null").count() == 2
+    s = spark.createDataFrame([(1, 0.1, 5.0), (2, 0.1, 9.0), (3, 0.1, None)],
+                              "customer_id long, redemption_risk double, expected_client_value double")
+    assert {r.customer_id: r.segment for r in strategic_segments(s).collect()}[3] == "STABLE / LOW PRIORITY"
+
+
+def test_nan_is_missing(spark):
+    from cadence.operators.prep import fit_preprocessor
+    from cadence.operators.quality import null_profile
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "x double")
+    p = fit_preprocessor(df, ["x"], {}, [])
+    assert (p.medians["x"], p.means["x"]) == (2.0, 2.0)
+    assert sorted(round(r.x, 6) for r in p.transform(df).collect()) == [-1.414214, 0.0, 0.0, 1.414214]
+    assert null_profile(df).first().n_null == 2
+
+
+def test_feature_groups_take_any_numeric_type(spark):
+    from cadence.operators.features import infer_feature_groups
+    df = spark.createDataFrame([], "customer_id long, a smallint, b decimal(9,2), c double, d string, e tinyint")
+    assert infer_feature_groups(df, {}, ["d"])["numeric"] == ["a", "b", "c", "e"]
+
+
+def test_leakage_and_booleans_leave(spark):
+    from cadence.config import DROP_STRINGS, LEAKAGE_EXCLUDE
+    from cadence.operators.quality import clean_customers
+    names = [*LEAKAGE_EXCLUDE, *DROP_STRINGS]
+    df = spark.createDataFrame([(1, True, *["x"] * len(names))],
+                               "customer_id long, flag boolean, " + ", ".join(f"{n} string" for n in names))
+    out = clean_customers(df)
+    assert out.columns == ["customer_id", "flag"] and out.first().flag == 1
+
+
+def test_a_cluster_needs_a_shared_checkpoint_folder():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from cadence.session import ensure_checkpoint_dir
+    none = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: none, master="spark://host:7077")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=none))
