@@ -118,7 +118,7 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     ``n_removed``, ``n_spans`` and ``spans`` (removed byte ranges)."""
     if size < 136:
         raise ValueError("the window has at least 136 bytes")
-    kind = Kind(size, ((size - 8) // 3 // 8 * 8, size - 16, size), word=False)
+    kind = Kind(size, ((size - 8) // 6 // 8 * 8, size - 16, size), word=False)
     ranges = repeat_ranges(docs, kind, lambda block: repeated_windows(block, size), "count")
     k = keyed(docs)
     both = k.join(ranges, same_row(k, ranges), "left").select(k["doc_id"], "body", "ranges")

@@ -108,7 +108,7 @@ def remove_earlier(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     ``n_removed``."""
     if size < 12:
         raise ValueError("the window has at least 12 words")
-    kind = Kind(size, (size // 5, size - 4, size), word=True)
+    kind = Kind(size, (size // 8, size - 4, size), word=True)
     ranges = repeat_ranges(docs, kind, lambda block: earlier_windows(block, size), "docs")
     k = keyed(docs)
     both = k.join(ranges, same_row(k, ranges), "left").select(k["doc_id"], "body", "ranges")
