@@ -5,8 +5,8 @@ three bytes, hashed, length-normalised) is fitted per bit. A text goes to the
 codeword with the least logistic loss, each bit weighted by its training
 accuracy; a small lead over the second marks it ambiguous.
 
-Fitting uses at most ``limit`` rows per language with a crc32 remainder other
-than 1 and a language. Results: one row per input row. ``und`` with score 0
+Fitting uses at most ``ROWS_PER_LANGUAGE`` rows per language, and ``ROWS`` in
+all, with a crc32 remainder other than 1 and a language. Results: one row per input row. ``und`` with score 0
 for a null text, one without a letter, or when there is nothing to learn from.
 """
 
@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 from cadence.llm.common import columns, held_out, text_bytes
 
-ROWS_PER_LANGUAGE = 600
+#: Rows to fit on, of all languages and of one.
+ROWS, ROWS_PER_LANGUAGE = 6000, 600
 SPACE = 4096
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -94,12 +95,13 @@ def fit_model(x: np.ndarray, names: list[str], rounds: int = 150, decay: float =
     return Model(languages, code, w, b, np.clip(2 * right - 1, 0.01, None))
 
 
-def fit(docs: DataFrame, limit: int = ROWS_PER_LANGUAGE) -> Model | None:
+def fit(docs: DataFrame, rows_in_all: int = ROWS, per_language: int = ROWS_PER_LANGUAGE) -> Model | None:
     by = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     usable = (docs.select("doc_id", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
               .groupBy("doc_id").agg(F.min("lang").alias("lang")))
     # the candidates shrink before the window: a third of all rows may have one language
     total = usable.groupBy("lang").count()
+    limit = max(1, min(per_language, rows_in_all // max(1, total.count())))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     pick = (usable.join(total, "lang").where(share * F.col("count") < 4.0 * limit)
             .withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= limit).select("doc_id", "lang"))

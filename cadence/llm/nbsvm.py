@@ -89,7 +89,7 @@ def fit_weights(sets: list[np.ndarray], good: np.ndarray, cost: float = 1.0, rou
         return np.zeros(SIZE), 0.0
     ratio = log_ratios(sets, good)
     values = [ratio[s] for s in sets]
-    values = [v / max(1e-9, float(np.sqrt(v @ v))) for v in values]
+    values = [(v / max(1e-9, float(np.sqrt(v @ v)))).astype(np.float32) for v in values]
     y = np.where(good, 1.0, -1.0)
     upper = cost * np.where(good, 1.0, good.sum() / max(1, (~good).sum()) / 2)
     w, bias, dual = np.zeros(SIZE), 0.0, np.zeros(len(sets))
@@ -115,12 +115,14 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> tuple[n
     """``(weights, scale, intercept)``; ``scale`` gives a text's length."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [indicators(b).tolist() for b in columns(batch, "body")[0]]
-            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.list_(pa.int32())), batch.column(1).cast(pa.int32())],
+            sets = [indicators(b).tobytes() for b in columns(batch, "body")[0]]
+            yield pa.RecordBatch.from_arrays([pa.array(sets, pa.binary()), batch.column(1).cast(pa.int32())],
                                              names=["s", "y"])
 
-    rows = labelled_rows(docs, labels, "quality", limit).mapInArrow(run, "s array<int>, y int").collect()
-    sets, good = [np.array(r["s"], np.int32) for r in rows], np.array([r["y"] == 1 for r in rows], bool)
+    rows = labelled_rows(docs, labels, "quality", limit).mapInArrow(run, "s binary, y int").collect()
+    rows.sort(key=lambda r: (bytes(r["s"]), r["y"]))  # whatever order they come in
+    sets, good = [np.frombuffer(bytes(r["s"]), np.int32) for r in rows], np.array([r["y"] == 1 for r in rows], bool)
+    del rows
     weights, bias = fit_weights(sets, good)
     ratio = log_ratios(sets, good) if len(sets) else np.zeros(SIZE)
     return weights.astype(np.float32), (ratio ** 2).astype(np.float32), bias
