@@ -1,9 +1,9 @@
 """Personal data: regular expressions propose, checksums confirm, context scores.
 
 Base kinds (email, ip, card, phone) are taken whenever their rule holds. Added
-kinds start from a score for the pattern, gain by a valid checksum (IBAN: mod
-97) and by context words just before the span, and are taken at 0.5 or more;
-they never replace a base span. Positions are code points, the end exclusive.
+kinds need a valid checksum where they have one (IBAN: mod 97), start from a
+score for the pattern, gain by context words just before the span, and are
+taken at 0.5 or more; they never replace a base span. Positions are code points, the end exclusive.
 
 Every pattern is linear in the text: matches cannot start inside a run of
 their own characters. Results: one row per input row; a null text is empty.
@@ -100,7 +100,8 @@ def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str,
     """Validated or contextual spans that do not touch base spans or each other."""
     proposed = []
     for m in _IBAN.finditer(text):
-        proposed.append((0.2 + 0.5 * mod97(m[0].replace(" ", "")), "iban", *m.span()))
+        if mod97(m[0].replace(" ", "")):
+            proposed.append((0.7, "iban", *m.span()))
     for m in _SSN.finditer(text):
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":
             proposed.append((0.3, "ssn", *m.span()))
