@@ -101,7 +101,10 @@ def fit(docs: DataFrame, rows_in_all: int = ROWS, per_language: int = ROWS_PER_L
               .groupBy("doc_id").agg(F.min("lang").alias("lang")))
     # the candidates shrink before the window: a third of all rows may have one language
     total = usable.groupBy("lang").count()
-    limit = max(1, min(per_language, rows_in_all // max(1, total.count())))
+    languages = total.count()
+    limit = max(1, min(per_language, rows_in_all // max(1, languages)))
+    if languages <= rows_in_all:  # a checked size; else joined by shuffle
+        total = F.broadcast(total)
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     pick = (usable.join(total, "lang").where(share * F.col("count") < 4.0 * limit)
             .withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= limit).select("doc_id", "lang"))
