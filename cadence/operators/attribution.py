@@ -113,7 +113,8 @@ def tree_attribution(model, rows: DataFrame, names: list[str], key: str = "custo
                     node[rows_i] = child
             yield pd.DataFrame({key: pdf[key].to_numpy(), "c": list(contrib), "bias": bias})
 
-    out = src.mapInPandas(run, f"{key} long, c array<double>, bias double")
+    kind = rows.schema[key].dataType.simpleString()
+    out = src.mapInPandas(run, f"{key} {kind}, c array<double>, bias double")
     long = _long(out, names, key)
     b = out.select(key, F.lit("_bias_").alias("feature"), F.col("bias").alias("contribution"))
     return long.unionByName(b)

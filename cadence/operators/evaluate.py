@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cadence.functions.columns import clip01
 from cadence.functions.ordered import running_totals
+from cadence.session import materialize
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -30,29 +31,49 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score",
 def cumulative_scores(df: DataFrame, label: str = "label", score: str = "score",
                       by: list[str] | None = None) -> DataFrame:
     """Score table with running ``cum_pos``/``cum_neg`` by descending score,
-    restarted in each group of ``by`` (group offsets are a small table)."""
+    restarted in each group of ``by``: groups follow each other in the order, so
+    a group's offset is the smallest sum in front of one of its rows."""
     by = by or []
     t = score_table(df, label, score, by)
     c = running_totals(t, [*[F.col(g).asc() for g in by], F.col("score").desc()],
                        ["pos", "neg"], row_number_col=None)
     if not by:
         return c
-    g = t.groupBy(*by).agg(F.sum("pos").alias("_gp"), F.sum("neg").alias("_gn"))
-    g = running_totals(g, [F.col(x).asc() for x in by], ["_gp", "_gn"], prefix="_c",
-                       row_number_col=None)
-    offs = g.select(*by, (F.col("_c_gp") - F.col("_gp")).alias("_op"),
-                    (F.col("_c_gn") - F.col("_gn")).alias("_on"))
-    return (c.join(offs, by)
+    offs = c.groupBy(*_group(by)).agg(F.min(F.col("cum_pos") - F.col("pos")).alias("_op"),
+                                      F.min(F.col("cum_neg") - F.col("neg")).alias("_on"))
+    return (c.join(_few(offs), _same_group(c, offs, by))
              .withColumn("cum_pos", F.col("cum_pos") - F.col("_op"))
              .withColumn("cum_neg", F.col("cum_neg") - F.col("_on"))
-             .drop("_op", "_on"))
+             .drop("_op", "_on", *[f"_{g}" for g in by]))
+
+
+#: Rows of a table of groups that is broadcast (a count decides).
+MAX_GROUPS = 10_000
+
+
+def _group(by: list[str]) -> list[Column]:
+    return [F.col(g).alias(f"_{g}") for g in by]
+
+
+def _same_group(rows: DataFrame, groups: DataFrame, by: list[str]) -> Column:
+    cond = F.lit(True)
+    for g in by:
+        cond = cond & rows[g].eqNullSafe(groups[f"_{g}"])
+    return cond
+
+
+def _few(groups: DataFrame) -> DataFrame:
+    return F.broadcast(groups) if groups.limit(MAX_GROUPS + 1).count() <= MAX_GROUPS else groups
 
 
 def rank_metrics(df: DataFrame, label: str = "label", score: str = "score",
                  by: list[str] | None = None) -> DataFrame:
     """E-1 ROC AUC (ties count one half) and E-2 average precision (step sum).
     One row (per group): n, n_pos, roc_auc, pr_auc (NULL when a class is missing)."""
-    c = cumulative_scores(df, label, score, by)
+    return _rank(cumulative_scores(df, label, score, by), by)
+
+
+def _rank(c: DataFrame, by: list[str] | None) -> DataFrame:
     P, N = F.sum("pos"), F.sum("neg")
     auc_num = F.sum(F.col("neg") * ((F.col("cum_pos") - F.col("pos")) + F.col("pos") / 2.0))
     ap_num = F.sum(F.col("pos") * (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))))
@@ -96,45 +117,65 @@ def threshold_metrics(df: DataFrame, threshold: float = 0.5, label: str = "label
 def top_decile(df: DataFrame, label: str = "label", score: str = "score",
                key: str = "customer_id") -> DataFrame:
     """E-5 / E-6: precision@k, recall@k and lift for k = max(n // 10, 1);
-    ties broken by key ascending (X-17); distributed row numbers."""
-    ranked = running_totals(df.select(key, label, score),
-                            [F.col(score).desc(), F.col(key).asc()], [], row_number_col="rn")
-    tot = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("n_pos"))
-    k = F.greatest(F.floor(F.col("n") / 10), F.lit(1))
-    top = (ranked.crossJoin(F.broadcast(tot)).where(F.col("rn") <= k)
-                 .agg(F.sum(F.col(label).cast("long")).alias("top_pos")))
-    out = tot.crossJoin(top).withColumn("k", k.cast("long"))
-    top_pos = F.coalesce(F.col("top_pos"), F.lit(0))
+    ties broken by key ascending (X-17). One row, also for no input."""
+    one = df.select(F.lit(1).alias("_all"), key, label, score)
+    found = _top_decile(one, cumulative_scores(one, label, score, ["_all"]), label, score, key, ["_all"])
+    spine = df.sparkSession.range(1).select(F.lit(1).alias("_all"))
+    return spine.join(found, "_all", "left").select(
+        F.coalesce("k", F.lit(1)).cast("long").alias("k"),
+        *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("precision_at_k", "recall_at_k", "lift_top_decile")])
+
+
+def _top_decile(df: DataFrame, c: DataFrame, label: str, score: str, key: str, by: list[str]) -> DataFrame:
+    """Per group: the score table ``c`` names the score of the k-th row and the
+    positives above it; only the rows of that score are ranked by key."""
+    tot = c.groupBy(*_group(by)).agg(F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("n_pos"))
+    tot = tot.withColumn("k", F.greatest(F.floor(F.col("n") / 10), F.lit(1)).cast("long"))
+    upto = F.col("cum_pos") + F.col("cum_neg")
+    before = upto - F.col("pos") - F.col("neg")
+    edge = materialize(
+        c.join(_few(tot), _same_group(c, tot, by)).where((upto >= F.col("k")) & (before < F.col("k")))
+        .select(*[f"_{g}" for g in by], "n", "n_pos", "k", F.col("score").alias("_edge"),
+                (F.col("cum_pos") - F.col("pos")).alias("_above"), (F.col("k") - before).alias("_need")))
+    tied = df.join(_few(edge), _same_group(df, edge, by) & df[score].eqNullSafe(edge["_edge"]))
+    ranked = running_totals(
+        tied.select(*by, F.col(key).alias("_key"), F.col(label).cast("long").alias("_y"), "_need"),
+        [*[F.col(g).asc() for g in by], F.col("_key").asc()], [], row_number_col="rn")
+    first = ranked.groupBy(*_group(by)).agg(F.min("rn").alias("_first"))
+    taken = (ranked.join(_few(first), _same_group(ranked, first, by)).where(F.col("rn") - F.col("_first") < F.col("_need"))
+             .groupBy(*by).agg(F.sum("_y").alias("_taken")))
+    top_pos = F.col("_above") + F.coalesce("_taken", F.lit(0))
     p_at_k = top_pos / F.col("k")
-    base = F.when(F.col("n") > 0, F.col("n_pos") / F.col("n")).otherwise(F.lit(0.0))
-    return out.select(
-        "k",
+    return edge.join(taken, _same_group(taken, edge, by), "left").select(
+        *[F.col(f"_{g}").alias(g) for g in by], "k",
         p_at_k.alias("precision_at_k"),
         (top_pos / F.greatest(F.col("n_pos"), F.lit(1))).alias("recall_at_k"),
-        (p_at_k / F.greatest(base, F.lit(1e-9))).alias("lift_top_decile"))
-
-
-def evaluation_row(df: DataFrame, label: str = "label", score: str = "score",
-                   key: str = "customer_id", threshold: float = 0.5) -> DataFrame:
-    """One metric row: ROC AUC, PR AUC, Brier, F1/precision/recall at 0.5,
-    P@10%, R@10%, lift (the reference's evaluation columns)."""
-    r = rank_metrics(df, label, score).select("roc_auc", "pr_auc")
-    b = brier(df, label, score)
-    t = threshold_metrics(df, threshold, label, score).select("f1", "precision", "recall")
-    k = top_decile(df, label, score, key).select("precision_at_k", "recall_at_k", "lift_top_decile")
-    return r.crossJoin(b).crossJoin(t).crossJoin(k)
+        (p_at_k / F.greatest(F.col("n_pos") / F.col("n"), F.lit(1e-9))).alias("lift_top_decile"))
 
 
 def evaluation_table(scored: dict[tuple[str, str], DataFrame], label: str = "label",
-                     score: str = "score", key: str = "customer_id") -> DataFrame:
-    """E-7: union of metric rows per (setup, model), setup asc, AUC desc."""
-    rows = [evaluation_row(df, label, score, key).select(
-                F.lit(s).alias("setup"), F.lit(m).alias("model"), "*")
-            for (s, m), df in scored.items()]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.orderBy(F.col("setup").asc(), F.col("roc_auc").desc(), F.col("model").asc())
+                     score: str = "score", key: str = "customer_id", threshold: float = 0.5) -> DataFrame:
+    """E-7: one metric row per (setup, model), setup asc, AUC desc: ROC AUC, PR
+    AUC, Brier, F1/precision/recall at the threshold, P@10%, R@10% and lift. All
+    configurations go through one long frame, whose scores are computed once."""
+    by = ["setup", "model"]
+    rows = None
+    for (s, m), df in scored.items():
+        part = df.select(F.lit(s).alias("setup"), F.lit(m).alias("model"), key, label, score)
+        rows = part if rows is None else rows.unionByName(part)
+    rows = materialize(rows)
+    c = cumulative_scores(rows, label, score, by)
+    y, hat = F.col(label) == 1, F.col(score) >= F.lit(float(threshold))
+    counts = rows.groupBy(*by).agg(
+        F.avg(F.pow(F.col(score) - F.col(label).cast("double"), 2)).alias("brier"),
+        F.count_if(hat & y).alias("tp"), F.count_if(hat & ~y).alias("fp"), F.count_if(~hat & y).alias("fn"))
+    t = counts.select(*by, "brier", *prf_columns(F.col("tp"), F.col("fp"), F.col("fn")))
+    k = _top_decile(rows, c, label, score, key, by).drop("k")
+    spine = rows.sparkSession.createDataFrame(list(scored), "setup string, model string")
+    out = spine.join(_rank(c, by).drop("n", "n_pos"), by, "left").join(t, by, "left").join(k, by, "left")
+    none = ["f1", "precision", "recall", "precision_at_k", "recall_at_k", "lift_top_decile"]
+    return (out.select(*by, "roc_auc", "pr_auc", "brier", *[F.coalesce(x, F.lit(0.0)).alias(x) for x in none])
+            .orderBy(F.col("setup").asc(), F.col("roc_auc").desc(), F.col("model").asc()))
 
 
 def _grid_bucket(score: Column) -> Column:

@@ -125,15 +125,26 @@ def top_ecv_total(top: DataFrame) -> DataFrame:
                    F.count(F.lit(1)).alias("n"))
 
 
-def run_summary(labels: DataFrame, signals: DataFrame) -> DataFrame:
-    """R-8: one-row summary of a run."""
+def _best_row(evaluation: DataFrame, target: str) -> DataFrame:
+    """The configuration with the largest AUC (to nine digits; ties by name)."""
+    return (evaluation.orderBy(F.round("roc_auc", 9).desc_nulls_last(), "setup", "model").limit(1)
+            .select(F.col("setup").alias(f"best_{target}_setup"), F.col("model").alias(f"best_{target}_model"),
+                    F.col("roc_auc").alias(f"best_{target}_auc")))
+
+
+def run_summary(labels: DataFrame, signals: DataFrame, risk: DataFrame, growth: DataFrame) -> DataFrame:
+    """R-8: one-row summary of a run. ``labels`` has the split; ``risk`` and
+    ``growth`` are evaluation tables."""
     lab = labels.agg(F.count(F.lit(1)).alias("n_customers"),
+                     *[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test")],
                      F.avg(F.col("future_disengaged").cast("double")).alias("disengaged_rate"),
                      F.avg(F.col("future_growth").cast("double")).alias("growth_rate"))
     act = signals.agg(*[F.count_if(F.col("recommended_action") == a).alias(f"n_{a.lower()}")
                         for a in ("Upsell", "Retention", "Monitor")],
-                      F.avg("master_signal").alias("mean_master_signal"))
-    return lab.crossJoin(act)
+                      *[F.avg(c).alias(f"mean_{c}")
+                        for c in ("master_signal", "engagement_score", "expected_client_value")])
+    best = _best_row(risk, "risk").crossJoin(_best_row(growth, "growth"))
+    return lab.crossJoin(act).join(best, F.lit(True), "left")
 
 
 def metric_highlights(table: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
                  start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
     """Transaction log in ``[start, end)`` (default: observation start to
     prediction end of the mapping's windows, each open if not given). Null keys
-    are dropped, as a group-by on the key would drop them. ``date`` is a DATE
+    are dropped, as a group-by on the key would drop them; keys keep their type. ``date`` is a DATE
     (trap X-2); an amount that is not a number is NULL."""
     w = mapping.windows
     start = start or w.obs_start
@@ -50,7 +50,7 @@ def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
     return (
         src.where(F.col(mapping.customer_id).isNotNull() & ts.isNotNull())
         .select(
-            F.col(mapping.customer_id).cast("long").alias("customer_id"),
+            F.col(mapping.customer_id).alias("customer_id"),
             F.to_date(ts).alias("date"),
             F.col(mapping.type).cast("string").alias("type"),
             number(F.col(mapping.amount)).alias("amount"),
@@ -72,7 +72,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> Da
     """The whole log mapped to (customer_id, date, type, amount), no window."""
     src = read_table(spark, sf_dir, mapping.table)
     return src.select(
-        F.col(mapping.customer_id).cast("long").alias("customer_id"),
+        F.col(mapping.customer_id).alias("customer_id"),
         F.to_date(F.col(mapping.date)).alias("date"),
         F.col(mapping.type).cast("string").alias("type"),
         number(F.col(mapping.amount)).alias("amount"),
@@ -102,7 +102,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     held-out sanity score (balance scaled to [0, 1], unrelated to activity)."""
     c = read_table(spark, sf_dir, "customer")
     return c.select(
-        F.col("c_custkey").cast("long").alias("customer_id"),
+        F.col("c_custkey").alias("customer_id"),
         number(F.col("c_acctbal")).alias("c_acctbal"),
         F.col("c_nationkey").cast("int").alias("c_nationkey"),
         F.col("c_mktsegment"),

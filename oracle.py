@@ -745,15 +745,27 @@ SELECT (SELECT max(roc_auc) FILTER (WHERE setup = 'Full') FROM g) AS best_full_a
                                        ["mean", "max", "median"]),
         "r7_top100_total_ecv": rounded(f"""{sig} SELECT sum(expected_client_value) AS top_total_ecv, count(*) AS n
 FROM ({top_sql('expected_client_value')}) AS t""", ["top_total_ecv"]),
-        "r8_run_summary": rounded(f"""{sig}
+        "r8_run_summary": rounded(f"""WITH gr AS {grid}, {signal_ctes()},
+rs AS (SELECT {split_case(hash_bucket_sql('customer_id'))} AS split FROM mart),
+br AS (SELECT * FROM gr ORDER BY round(roc_auc, 9) DESC, setup, model LIMIT 1),
+bg AS (SELECT * FROM gr WHERE setup = 'Tx-strict' ORDER BY round(roc_auc, 9) DESC, setup, model LIMIT 1)
 SELECT (SELECT count(*) FROM mart) AS n_customers,
+       (SELECT count(*) FROM rs WHERE split = 'train') AS n_train,
+       (SELECT count(*) FROM rs WHERE split = 'val') AS n_val,
+       (SELECT count(*) FROM rs WHERE split = 'test') AS n_test,
        (SELECT avg(CAST(future_disengaged AS DOUBLE)) FROM mart) AS disengaged_rate,
        (SELECT avg(CAST(future_growth AS DOUBLE)) FROM mart) AS growth_rate,
        (SELECT count(*) FILTER (WHERE recommended_action = 'Upsell') FROM sig) AS n_upsell,
        (SELECT count(*) FILTER (WHERE recommended_action = 'Retention') FROM sig) AS n_retention,
        (SELECT count(*) FILTER (WHERE recommended_action = 'Monitor') FROM sig) AS n_monitor,
-       (SELECT avg(master_signal) FROM sig) AS mean_master_signal""",
-                                  ["disengaged_rate", "growth_rate", "mean_master_signal"]),
+       (SELECT avg(master_signal) FROM sig) AS mean_master_signal,
+       (SELECT avg(engagement_score) FROM sig) AS mean_engagement_score,
+       (SELECT avg(expected_client_value) FROM sig) AS mean_expected_client_value,
+       (SELECT setup FROM br) AS best_risk_setup, (SELECT model FROM br) AS best_risk_model, (SELECT roc_auc FROM br) AS best_risk_auc,
+       (SELECT setup FROM bg) AS best_growth_setup, (SELECT model FROM bg) AS best_growth_model,
+       (SELECT roc_auc FROM bg) AS best_growth_auc""",
+                                  ["disengaged_rate", "growth_rate", "mean_master_signal", "mean_engagement_score",
+                                   "mean_expected_client_value", "best_risk_auc", "best_growth_auc"]),
         "r9_metric_highlights": rounded(f"""WITH g AS {grid}
 SELECT g.*, roc_auc = (SELECT max(roc_auc) FROM g) AS best_roc_auc, pr_auc = (SELECT max(pr_auc) FROM g) AS best_pr_auc,
   lift_top_decile = (SELECT max(lift_top_decile) FROM g) AS best_lift, brier = (SELECT min(brier) FROM g) AS best_brier

@@ -142,3 +142,22 @@ def test_metrics_on_empty_input(spark):
     assert r["precision_at_k"] == 0.0 and r["lift_top_decile"] == 0.0
     m = E.rank_metrics(df).collect()
     assert m == [] or m[0]["roc_auc"] is None
+
+
+def test_evaluation_table_matches_single_runs(spark):
+    a = scored(spark, [0.9, 0.5, 0.5, 0.5, 0.1] * 6, [1, 0, 1, 0, 0] * 6)
+    b = scored(spark, [0.2, 0.2, 0.8], [0, 1, 1])
+    none = a.limit(0)
+    t = {r["model"]: r for r in E.evaluation_table({("s", "a"): a, ("s", "b"): b, ("s", "none"): none}).collect()}
+    for name, df in (("a", a), ("b", b)):
+        rank, top, brier = E.rank_metrics(df).first(), E.top_decile(df).first(), E.brier(df).first()
+        assert t[name]["roc_auc"] == pytest.approx(rank["roc_auc"])
+        assert t[name]["pr_auc"] == pytest.approx(rank["pr_auc"])
+        assert t[name]["precision_at_k"] == pytest.approx(top["precision_at_k"])
+        assert t[name]["brier"] == pytest.approx(brier["brier"])
+    assert t["none"]["roc_auc"] is None and t["none"]["precision_at_k"] == 0.0
+
+
+def test_string_keys_and_ties(spark):
+    df = spark.createDataFrame([(f"C{i:02d}", int(i < 2), 0.5) for i in range(20)], "customer_id string, label int, score double")
+    assert E.top_decile(df).first()["precision_at_k"] == 1.0

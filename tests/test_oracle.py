@@ -13,7 +13,7 @@ QUERIES = ["t_labels_orders", "t_labels_events", "f18_mart_orders", "f18_mart_ev
            "q3_null_profile", "p1_split_exact", "e1_e2_rank_metrics", "e5_e6_top_decile",
            "e8_threshold_sweep", "e10_classification_report", "g1_g8_signal_table",
            "g15_strategic_segments", "v2_v3_fold_frame", "v4_fold_results_standin",
-           "h4_h7_class_histograms", "r5_ecv_summary"]
+           "h4_h7_class_histograms", "r5_ecv_summary", "r8_run_summary"]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
 
