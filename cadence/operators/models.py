@@ -18,7 +18,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel, GBTClassifier, LogisticRegression, LogisticRegressionModel,
+    RandomForestClassificationModel, RandomForestClassifier,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -26,6 +29,7 @@ from pyspark.sql import functions as F
 from cadence.config import ModelParams
 
 ALGOS = ("LR", "RF", "GBT")
+LOADERS = {"LR": LogisticRegressionModel, "RF": RandomForestClassificationModel, "GBT": GBTClassificationModel}
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -6,8 +6,10 @@ plus walk-forward validation. Frames reused by several jobs are checkpointed
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass, field
 
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +21,14 @@ from cadence.operators import evaluate as E
 from cadence.operators import models as M
 from cadence.operators import prep as P
 from cadence.operators import quality as Q
+from cadence.operators import ranking as RK
+from cadence.operators import report as R
 from cadence.operators import signals as G
 from cadence.operators import split as S
 from cadence.operators import walkforward as V
 from cadence.operators.features import customer_mart, tx_feature_columns
 from cadence.session import materialize
-from cadence.sources import customers, log_types, transactions
+from cadence.sources import customers, load_result, log_types, save_model, save_result, transactions
 
 SETUPS = ("Full", "Tx-strict", "Cust-only")
 
@@ -198,7 +202,7 @@ def model_run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig()) ->
     """Every result table of a full run."""
     r = ModelRun(spark, sf_dir, cfg)
     _, _, test_rr = r.best("risk")
-    rr_cal, _ = r.calibrated_test()
+    rr_cal, bp_cal = r.calibrated_test()
     return {
         "risk_eval_test": r.evaluation("risk", "test"),
         "risk_eval_val": r.evaluation("risk", "val"),
@@ -211,13 +215,35 @@ def model_run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig()) ->
         "lr_coefficients": M.coefficients(spark, r.risk_grid()[("Full", "LR")][0]),
         "brier_comparison": r.brier_comparison(),
         "reliability_rr": C.reliability_curve(rr_cal, "label", "calibrated"),
+        "reliability_bp": C.reliability_curve(bp_cal, "label", "calibrated"),
         "scores": r.scores(),
         "signals": r.signals(),
+        "top_opportunities": RK.top_opportunities(r.signals()),
         "walk_forward": r.walk_forward(),
         "fold_stability": V.fold_stability(r.walk_forward()),
+        "run_summary": R.run_summary(r.base, r.signals(), r.evaluation("risk", "test"), r.evaluation("growth", "test")),
+        "features": r.base,
+        "splits": r.base.select("customer_id", "split", "future_disengaged", "future_growth"),
+        "predictions_risk": _predictions(r.risk_grid()),
+        "predictions_growth": _predictions(r.growth_grid()),
+        "threshold": spark.createDataFrame([(float(r.threshold()),)], "threshold double"),
+        "best_models": spark.createDataFrame(
+            [(w, f.setup, f.algo) for w, f in (("risk", r.best("risk")[0]), ("growth", r.best("growth")[0]))],
+            "target string, setup string, model string"),
     }
 
 
+def _predictions(grid: dict) -> DataFrame:
+    """Scores of every configuration on the validation and the test part."""
+    out = None
+    for (setup, algo), (_, val, test) in grid.items():
+        for part, df in (("val", val), ("test", test)):
+            rows = df.select(F.lit(setup).alias("setup"), F.lit(algo).alias("model"), F.lit(part).alias("split"),
+                             "customer_id", "label", "score")
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     """V-4: per fold, median-impute + standardise on the fold's train part and
     fit boosted trees (``wf_rounds``); evaluate on its 20 % hold-out."""
@@ -258,11 +284,6 @@ def save_run(run: ModelRun, out_dir: str) -> dict[str, str]:
     """S-4: write every result table of a run as Parquet and every fitted
     model as an MLlib model folder (plus the preprocessors as JSON) under
     ``out_dir`` (shared storage on a cluster)."""
-    import json
-    import os
-
-    from cadence.sources import save_model, save_result
-
     paths: dict[str, str] = {}
     for name, df in model_run(run.spark, run.sf_dir, run.cfg).items():
         paths[name] = save_result(df, os.path.join(out_dir, "tables", name))
@@ -279,5 +300,42 @@ def save_run(run: ModelRun, out_dir: str) -> dict[str, str]:
            for s, lab in [(s, "future_disengaged") for s in SETUPS] + [("Tx-strict", "future_growth")]}
     meta = run.spark.createDataFrame(list(pre.items()), "setup string, preprocessor string")
     paths["preprocessors"] = save_result(meta, os.path.join(out_dir, "tables", "preprocessors"))
-    paths["threshold"] = json.dumps({"threshold": run.threshold()})
     return paths
+
+
+class SavedRun:
+    """S-5: what :func:`save_run` wrote, read back to look up tables and to
+    score frames that the run has not seen."""
+
+    def __init__(self, spark: SparkSession, out_dir: str):
+        self.spark, self.out_dir = spark, out_dir
+        self.chosen = {b["target"]: (b["setup"], b["model"]) for b in self.table("best_models").collect()}
+
+    def table(self, name: str) -> DataFrame:
+        return load_result(self.spark, os.path.join(self.out_dir, "tables", name))
+
+    def threshold(self) -> float:
+        return self.table("threshold").first()["threshold"]
+
+    def preprocessor(self, setup: str, label: str) -> P.Preprocessor:
+        row = self.table("preprocessors").where(F.col("setup") == f"{setup}:{label}").first()
+        return P.Preprocessor.from_json(row["preprocessor"])
+
+    def model(self, which: str, setup: str, algo: str):
+        return M.LOADERS[algo].load(os.path.join(self.out_dir, "models", which, setup, algo))
+
+    def score(self, frame: DataFrame) -> DataFrame:
+        """``customer_id, rr_raw, bp_raw`` of a frame with the run's features:
+        the chosen models' scores, calibrated."""
+        out = None
+        for which, label, name in (("risk", "future_disengaged", "rr_raw"), ("growth", "future_growth", "bp_raw")):
+            setup, algo = self.chosen[which]
+            pre = self.preprocessor(setup, label)
+            x = pre.transform(frame.withColumn("label", F.lit(0.0)), keep=["customer_id", "label"])
+            fitted = M.Fitted(setup, algo, self.model(which, setup, algo), pre.output_names)
+            scored = M.predict(fitted, P.assemble(x, pre.output_names))
+            calibrator = IsotonicRegressionModel.load(os.path.join(self.out_dir, "models", "calibrator", which))
+            one = C.apply_isotonic(calibrator, _calib_input(fitted, scored), "cal_x").select(
+                "customer_id", F.col("calibrated").alias(name))
+            out = one if out is None else out.join(one, "customer_id")
+        return out
