@@ -114,9 +114,10 @@ def spanning_links(fps: np.ndarray, most: int) -> list[tuple[int, int]]:
 
 def links(fps: DataFrame, most: int = MAX_BITS) -> DataFrame:
     """Links ``(x, y)`` between distinct fingerprints ``fps(fp)`` that connect
-    what is within ``most`` bits. ``most`` is 2 to 4."""
-    if not 2 <= most <= 4:
-        raise ValueError("the halves' balls cover distances of 2 to 4 bits")
+    what is within ``most`` bits. ``most`` is 2 or 4: half of it is the radius at
+    which the members of a large key meet."""
+    if most not in (2, 4):
+        raise ValueError("distances of 2 or 4 bits only")
     flips = F.array(*[F.lit(m) for m in ball(32, 1)])
     halves = F.array(F.shiftrightunsigned("fp", 32), F.col("fp").bitwiseAND(0xFFFFFFFF))
     entries = (fps.select("fp", F.posexplode(halves).alias("half", "value"))
