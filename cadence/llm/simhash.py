@@ -14,6 +14,9 @@ the smallest member found at such a meeting point links to all others. Two
 fingerprints are within 4 bits exactly if they have a common one within 2 of
 both, so this is exact too, and linear.
 
+Rows of a fingerprint that many rows share (fewer than ``HOT_SHARE`` such
+fingerprints exist) get their component by a broadcast and stay where they are.
+
 Components come from rounds of neighbour minima and pointer jumps over stored
 tables; nothing is collected but the count that ends the rounds.
 
@@ -40,6 +43,8 @@ MAX_BITS = 4
 SEED = 42
 #: Members of one key that a task compares with each other.
 MEET_LIMIT = 16_384
+#: A fingerprint with more than one row in so many is hot; there are fewer than this.
+HOT_SHARE = 1000
 
 _LANES = np.uint64(0x0101010101010101)
 
@@ -210,13 +215,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BIT
     """``(doc_id, th, fp, root, component_id)`` for every row; ``root`` is the
     component's smallest fingerprint."""
     fps = stored(fingerprints(docs, shingle), "fingerprints")
-    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "nodes")
+    nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("n")), "nodes")
+    n_rows = nodes.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT_SHARE > n_rows
     root = components(links(nodes.select("fp"), most))
     member = nodes.join(root, nodes["fp"] == root["node"], "left").select(
-        F.col("fp").alias("_fp"), "lowest", F.coalesce("root", "fp").alias("root"))
+        F.col("fp").alias("_fp"), "lowest", hot.alias("hot"), F.coalesce("root", "fp").alias("root"))
     lowest = member.groupBy(F.col("root").alias("_root")).agg(F.min("lowest").alias("component_id"))
-    named = member.join(lowest, member["root"] == lowest["_root"]).select("_fp", "root", "component_id")
-    return fps.join(named, fps["fp"] == named["_fp"]).select("doc_id", "th", "fp", "root", "component_id")
+    named = stored(member.join(lowest, member["root"] == lowest["_root"])
+                   .select("_fp", "hot", "root", "component_id"), "named")
+    few, rest = F.broadcast(named.where("hot")), named.where("not hot")
+    at_few = fps["fp"] == few["_fp"]
+    other = fps.join(few.select("_fp"), at_few, "left_anti")
+    out = ("doc_id", "th", "fp", "root", "component_id")
+    return fps.join(few, at_few).select(*out).unionByName(
+        other.join(rest, other["fp"] == rest["_fp"]).select(*out))
 
 
 def digest(docs: DataFrame) -> DataFrame:
