@@ -75,8 +75,9 @@ class LabelRules:
 
 @dataclass(frozen=True)
 class TxMapping:
-    """How a source table maps onto (customer_id, date, type, amount). The
-    types come from the data unless ``types`` names them."""
+    """How a source table (``format``: parquet or csv) maps onto (customer_id,
+    date, type, amount); the key may be a SQL expression. The types come from
+    the data unless ``types`` names them."""
 
     table: str
     customer_id: str
@@ -85,6 +86,7 @@ class TxMapping:
     amount: str
     windows: WindowSpec
     types: tuple[str, ...] | None = None
+    format: str = "parquet"
 
 
 ORDERS_MAPPING = TxMapping(
@@ -126,6 +128,22 @@ class FeatureSpec:
         return list(self.numeric) + list(self.ordinal) + list(self.nominal)
 
 
+@dataclass(frozen=True)
+class CustomerMapping:
+    """How a customer table (``format``: parquet or csv) maps onto
+    ``customer_id``, attributes and ``sanity_score``. Sources are column names
+    or SQL expressions; without ``columns`` all other columns are attributes.
+    ``ordinal`` gives the category orders; the other attributes are numeric or
+    nominal by type."""
+
+    table: str
+    customer_id: str
+    columns: dict[str, str] | None = None
+    ordinal: dict = field(default_factory=dict)
+    sanity: str | None = None
+    format: str = "parquet"
+
+
 # The reference's leakage exclusion list (dropped if present).
 LEAKAGE_EXCLUDE = (
     "churn_probability", "customer_lifetime_value", "clv_segment",

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from cadence.functions.ordered import quantile_row
+from cadence.operators.features import share_name
 
 SIGNALS_5 = ["buy_propensity", "redemption_risk", "engagement_score", "master_signal",
              "expected_client_value"]
@@ -189,12 +191,22 @@ FEATURE_DICTIONARY = [
 ]
 
 
-def feature_dictionary(spark, mart: DataFrame | None = None) -> DataFrame:
-    """R-10: the dictionary, with the mean of each feature when a mart is given."""
-    d = spark.createDataFrame(FEATURE_DICTIONARY, "feature string, description string, source string")
-    if mart is None:
-        return d
-    cols = [f for f, _, _ in FEATURE_DICTIONARY if f in mart.columns]
-    means = mart.agg(*[F.avg(c).alias(c) for c in cols]).select(F.explode(F.array(*[
+def _feature_means(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.agg(*[F.avg(c).alias(c) for c in cols]).select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean")) for c in cols])).alias("s")).select("s.*")
-    return d.join(means, "feature", "left")
+
+
+def feature_dictionary(spark, mart: DataFrame, types=(), attributes: DataFrame | None = None) -> DataFrame:
+    """R-10: every feature of the mart, a share for each of ``types`` and every
+    customer attribute included, with its mean (NULL where it is no number)."""
+    entries = FEATURE_DICTIONARY + [
+        (share_name(t), f"Share of transactions of type {t}", "transactions") for t in types]
+    means = _feature_means(mart, [f for f, _, _ in entries if f in mart.columns])
+    if attributes is not None:
+        own = [f for f in attributes.schema.fields if f.name != "customer_id"]
+        entries += [(f.name, f"Customer attribute {f.name}", "customers") for f in own]
+        numbers = [f.name for f in own if isinstance(f.dataType, NumericType)]
+        if numbers:
+            means = means.unionByName(_feature_means(attributes, numbers))
+    d = spark.createDataFrame(entries, "feature string, description string, source string")
+    return d.join(F.broadcast(means), "feature", "left")  # a row per feature

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING
+from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING, CustomerMapping
 from cadence.operators import targets as T
 from cadence.operators.features import RFM_COLS, share_name
 from cadence.plans.common import mart, round_doubles
@@ -23,6 +24,13 @@ def label_table(spark, d, m):
     return T.labels(customers(spark, d), transactions(spark, d, m), m.windows)
 
 
+def _string_key_labels(spark, d):
+    """T3-T8 with keys that are strings, by mappings (S-1, S-2)."""
+    own = CustomerMapping("customer", "concat('C', c_custkey)", columns={})
+    tx = transactions(spark, d, m := replace(ORDERS_MAPPING, customer_id="concat('C', o_custkey)"))
+    return round_doubles(T.labels(customers(spark, d, own), tx, m.windows).select(*LABEL_COLS))
+
+
 def _labels(m):
     return lambda spark, d: round_doubles(label_table(spark, d, m).select(*LABEL_COLS))
 
@@ -56,6 +64,7 @@ def target_feature_queries() -> dict[str, Query]:
     return {
         "t_labels_orders": _labels(o),
         "t_labels_events": _labels(e),
+        "s1_s2_string_key_labels": _string_key_labels,
         "t9_class_dist_disengaged": _class_dist(o, "future_disengaged"),
         "t9_class_dist_growth": _class_dist(o, "future_growth"),
         "t10_base_rate": _base_rate(o, "future_disengaged"),

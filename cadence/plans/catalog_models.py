@@ -16,7 +16,7 @@ from cadence.operators import models as M
 from cadence.operators import ranking as RK
 from cadence.operators import walkforward as V
 from cadence.plans.common import round_doubles
-from cadence.plans.pipeline import ModelRun
+from cadence.plans.pipeline import ModelRun, calibration_properties, score_properties
 from cadence.session import ensure_checkpoint_dir
 from cadence.sources import load_result, save_result
 
@@ -128,6 +128,26 @@ def _model_setups(spark, d):
     return E.setup_comparison(run_for(spark, d).evaluation("risk", "test"))
 
 
+def _best_standin(spark, d):
+    from cadence.plans.catalog_eval import _grid
+    return M.best_model(_grid(spark, d))
+
+
+def _brier_standin(spark, d):
+    """C-3 with the squared stand-in score as the calibrated one."""
+    from cadence.plans.catalog_eval import scored_split
+    s = scored_split(spark, d).withColumn("calibrated", F.col("score") * F.col("score"))
+    return C.brier_comparison({"recency": (s, "label", "score", "calibrated")})
+
+
+def _attribution_sums(spark, d):
+    """M-8: rows whose contributions and bias do not add up to the margin."""
+    sums = attribution(spark, d, "GBT").groupBy("customer_id").agg(F.sum("contribution").alias("total"))
+    scored = run_for(spark, d).risk_grid()[("Full", "GBT")][2]
+    off = F.col("total").isNull() | (F.abs(F.col("total") - F.col("margin")) > 1e-6)
+    return scored.join(sums, "customer_id", "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_off"))
+
+
 def _model_kpis(spark, d):
     from cadence.operators import report as R
     r = run_for(spark, d)
@@ -154,10 +174,14 @@ def model_queries():
         "e11_confusion_matrix_model": _model_confusion,
         "e13_sanity_check_model": _r(_model_sanity),
         "e14_setup_comparison_model": _r(_model_setups),
-        "r1_headline_kpis_model": _r(_model_kpis),
         "r9_metric_highlights_model": _r(_model_highlights),
         "m9_growth_model_grid": _r(lambda s, d: run_for(s, d).evaluation("growth", "test")),
         "m10_best_models": _r(_best),
+        "m10_best_standin": _r(_best_standin),
+        "m5_m9_score_properties": lambda s, d: score_properties(run_for(s, d)),
+        "m8_attribution_sums": _attribution_sums,
+        "c2_calibration_properties": lambda s, d: calibration_properties(run_for(s, d)),
+        "c3_brier_standin": _r(_brier_standin),
         "c1_c2_calibrated_scores": _r(lambda s, d: run_for(s, d).scores()),
         "c3_brier_comparison": _r(lambda s, d: run_for(s, d).brier_comparison()),
         "c4_reliability_curve": _r(_reliability),
@@ -166,6 +190,7 @@ def model_queries():
         "c5_score_summary_standin": _r(_summary_standin),
         "v4_walk_forward_gbt": _r(lambda s, d: run_for(s, d).walk_forward()),
         "v6_walk_forward_stability": _r(lambda s, d: V.fold_stability(run_for(s, d).walk_forward())),
+        "r1_headline_kpis_model": _r(_model_kpis),
         "pipeline_signals": _r(lambda s, d: run_for(s, d).signals()),
         "pipeline_top_opportunities": _r(lambda s, d: RK.top_opportunities(run_for(s, d).signals())),
         "s4_s5_save_load_signals": _r(_save_load),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING, FeatureSpec, SplitSpec
+from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING, CustomerMapping, FeatureSpec, SplitSpec
 from cadence.operators import prep as P
 from cadence.operators import quality as Q
 from cadence.operators import split as S
@@ -38,6 +38,16 @@ def _clean_customers(spark, d):
     return Q.clean_customers(customers(spark, d), holdout=("sanity_score",))
 
 
+#: The customer table under names of the exclusion lists, with a boolean.
+LISTED = CustomerMapping("customer", "c_custkey", columns={
+    "customer_segment": "c_mktsegment", "location": "c_name", "in_debt": "c_acctbal < 0", "balance": "c_acctbal",
+    "churn_probability": "c_acctbal / 10000"}, sanity="c_nationkey")
+
+
+def _clean_listed(spark, d):
+    return round_doubles(Q.clean_customers(customers(spark, d, LISTED), holdout=("sanity_score",)))
+
+
 def _sanity(spark, d):
     return round_doubles(Q.sanity_holdout(customers(spark, d), "sanity_score"))
 
@@ -113,6 +123,7 @@ def quality_split_queries():
         "q4_orphans_orders": _orphans(ORDERS_MAPPING),
         "q4_orphans_events": _orphans(EVENTS_MAPPING),
         "q5_q7_clean_customers": _clean_customers,
+        "q5_q7_clean_listed": _clean_listed,
         "q8_sanity_holdout": _sanity,
         "p1_split_hash": _split("hash"),
         "p1_split_exact": _split("exact"),

@@ -9,6 +9,7 @@ from cadence.operators import evaluate as E
 from cadence.operators import ranking as RK
 from cadence.operators import report as R
 from cadence.operators import walkforward as V
+from cadence.operators.quality import clean_customers
 from cadence.operators.split import hash_bucket
 from cadence.plans.common import round_doubles
 from cadence.session import materialize
@@ -106,6 +107,11 @@ def _run_summary(spark, d):
     return R.run_summary(_mart(spark, d, []), _signals(spark, d), grid, grid.where(F.col("setup") == "Tx-strict"))
 
 
+def _dictionary(spark, d):
+    return R.feature_dictionary(spark, _mart(spark, d), log_types(spark, d, ORDERS_MAPPING),
+                                clean_customers(customers(spark, d), holdout=("sanity_score",)))
+
+
 def _highlights(spark, d):
     from cadence.plans.catalog_eval import _grid
     return R.metric_highlights(_grid(spark, d))
@@ -133,5 +139,5 @@ def report_queries():
         "r7_top100_total_ecv": _r(lambda s, d: R.top_ecv_total(RK.top_opportunities(_signals(s, d)))),
         "r8_run_summary": _r(_run_summary),
         "r9_metric_highlights": _r(_highlights),
-        "r10_feature_dictionary": _r(lambda s, d: R.feature_dictionary(s, _mart(s, d))),
+        "r10_feature_dictionary": _r(_dictionary),
     }

@@ -10,11 +10,11 @@ import os
 from dataclasses import dataclass, field
 
 from pyspark.ml.regression import IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cadence.config import (
-    FeatureSpec, ModelParams, ORDERS_FOLDS, ORDERS_FOLDS_START, ORDERS_MAPPING, SignalParams, SplitSpec, TxMapping,
+    CustomerMapping, FeatureSpec, ModelParams, ORDERS_FOLDS, ORDERS_FOLDS_START, ORDERS_MAPPING, SignalParams, SplitSpec, TxMapping,
 )
 from cadence.operators import calibrate as C
 from cadence.operators import evaluate as E
@@ -26,7 +26,7 @@ from cadence.operators import report as R
 from cadence.operators import signals as G
 from cadence.operators import split as S
 from cadence.operators import walkforward as V
-from cadence.operators.features import customer_mart, tx_feature_columns
+from cadence.operators.features import customer_mart, infer_feature_groups, tx_feature_columns
 from cadence.session import materialize
 from cadence.sources import customers, load_result, log_types, save_model, save_result, transactions
 
@@ -36,6 +36,7 @@ SETUPS = ("Full", "Tx-strict", "Cust-only")
 @dataclass
 class RunConfig:
     mapping: TxMapping = ORDERS_MAPPING
+    customers: CustomerMapping | None = None   # None: the driver's customer table
     params: ModelParams = field(default_factory=ModelParams)
     signal: SignalParams = field(default_factory=SignalParams)
     split: SplitSpec = field(default_factory=SplitSpec)
@@ -58,20 +59,34 @@ def setup_columns(setup: str, types, spec: FeatureSpec = FeatureSpec()):
     raise ValueError(setup)
 
 
+def attributes(spark: SparkSession, sf_dir: str, mapping: CustomerMapping | None = None) -> DataFrame:
+    """Key and cleaned attributes of every customer."""
+    return Q.clean_customers(customers(spark, sf_dir, mapping), holdout=("sanity_score",))
+
+
+def attribute_spec(attrs: DataFrame, mapping: CustomerMapping | None = None) -> FeatureSpec:
+    """F-17: the attribute groups, by type where a mapping gives no order."""
+    if mapping is None:
+        return FeatureSpec()
+    ordinal = {c: o for c, o in mapping.ordinal.items() if c in attrs.columns}
+    nominal = [c for c, t in attrs.dtypes if t == "string" and c != "customer_id" and c not in ordinal]
+    groups = infer_feature_groups(attrs, ordinal, nominal)
+    return FeatureSpec(tuple(groups["numeric"]), ordinal, tuple(nominal))
+
+
 def base_frame(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     """Mart + labels + split + cleaned customer attributes, materialised."""
     m = cfg.mapping
-    cust = customers(spark, sf_dir)
-    mart = customer_mart(cust, transactions(spark, sf_dir, m), m.windows, log_types(spark, sf_dir, m))
+    attrs = attributes(spark, sf_dir, cfg.customers)
+    mart = customer_mart(attrs, transactions(spark, sf_dir, m), m.windows, log_types(spark, sf_dir, m))
     mart = S.assign_split(mart, cfg.split, label="future_disengaged", method=cfg.split_method)
-    attrs = Q.clean_customers(cust, holdout=("sanity_score",))
     return materialize(mart.join(attrs, "customer_id", "inner"))
 
 
-def prepare(base: DataFrame, setup: str, label: str, types):
+def prepare(base: DataFrame, setup: str, label: str, types, spec: FeatureSpec = FeatureSpec()):
     """P-9 / P-10: fit the setup's preprocessor on train, transform all rows,
     assemble the vector. Returns (frame, names, preprocessor)."""
-    num, ordn, nom = setup_columns(setup, types)
+    num, ordn, nom = setup_columns(setup, types, spec)
     pre = P.fit_preprocessor(base.where(F.col("split") == "train"), num, ordn, nom)
     x = pre.transform(base.withColumn("label", F.col(label).cast("double")),
                       keep=["customer_id", "split", "label"])
@@ -113,9 +128,14 @@ class ModelRun:
     def types(self) -> tuple[str, ...]:
         return self._once("types", lambda: log_types(self.spark, self.sf_dir, self.cfg.mapping))
 
+    @property
+    def spec(self) -> FeatureSpec:
+        return self._once("spec", lambda: attribute_spec(
+            attributes(self.spark, self.sf_dir, self.cfg.customers), self.cfg.customers))
+
     def prepared(self, setup: str, label: str):
         return self._once(("prep", setup, label),
-                          lambda: prepare(self.base, setup, label, self.types))
+                          lambda: prepare(self.base, setup, label, self.types, self.spec))
 
     def risk_grid(self):
         """M-5: 3 setups x 3 algorithms on the disengagement label."""
@@ -203,14 +223,13 @@ def model_run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig()) ->
     r = ModelRun(spark, sf_dir, cfg)
     _, _, test_rr = r.best("risk")
     rr_cal, bp_cal = r.calibrated_test()
-    return {
+    tables = {
         "risk_eval_test": r.evaluation("risk", "test"),
         "risk_eval_val": r.evaluation("risk", "val"),
         "growth_eval_test": r.evaluation("growth", "test"),
         "threshold_sweep": E.threshold_sweep(r.best("risk")[1]),
         "classification_report": E.classification_report(test_rr, r.threshold()),
         "confusion_matrix": E.confusion_matrix(test_rr, 0.5),
-        "sanity_check": E.sanity_check(test_rr, customers(spark, sf_dir)),
         "feature_importance": M.feature_importance(spark, r.risk_grid()[("Full", "GBT")][0]),
         "lr_coefficients": M.coefficients(spark, r.risk_grid()[("Full", "LR")][0]),
         "brier_comparison": r.brier_comparison(),
@@ -231,6 +250,10 @@ def model_run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig()) ->
             [(w, f.setup, f.algo) for w, f in (("risk", r.best("risk")[0]), ("growth", r.best("growth")[0]))],
             "target string, setup string, model string"),
     }
+    external = customers(spark, sf_dir, cfg.customers)
+    if "sanity_score" in external.columns:
+        tables["sanity_check"] = E.sanity_check(test_rr, external)
+    return tables
 
 
 def _predictions(grid: dict) -> DataFrame:
@@ -248,7 +271,7 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     """V-4: per fold, median-impute + standardise on the fold's train part and
     fit boosted trees (``wf_rounds``); evaluate on its 20 % hold-out."""
     m = cfg.mapping
-    ff = materialize(V.fold_frame(spark, transactions(spark, sf_dir, m), customers(spark, sf_dir),
+    ff = materialize(V.fold_frame(spark, transactions(spark, sf_dir, m), customers(spark, sf_dir, cfg.customers),
                                   cfg.folds, ORDERS_FOLDS_START, log_types(spark, sf_dir, m)))
     feat = [c for c in ff.columns if c not in ("fold", "customer_id", "obs_count", "fut_count",
                                                 "future_disengaged")]
@@ -280,6 +303,34 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     return materialize(rows)
 
 
+def score_properties(run: ModelRun) -> DataFrame:
+    """M-5 / M-9: per configuration and part, the scored customers and how many
+    scores are missing or outside [0, 1]."""
+    both = _predictions(run.risk_grid()).select(F.lit("risk").alias("target"), "*").unionByName(
+        _predictions(run.growth_grid()).select(F.lit("growth").alias("target"), "*"))
+    return both.groupBy("target", "setup", "model", "split").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("customer_id").alias("n_customers"),
+        F.sum("label").alias("n_pos"),
+        F.count_if(F.col("score").isNull() | ~F.col("score").between(0, 1)).alias("n_bad"))
+
+
+def calibration_properties(run: ModelRun) -> DataFrame:
+    """C-2: per signal, the test rows, calibrated scores outside [0, 1], and
+    places where they fall while the raw score rises (between the 101 cells of
+    the raw score)."""
+    out = None
+    for signal, df in zip(("risk", "growth"), run.calibrated_test(), strict=True):
+        cells = df.groupBy(F.floor(F.col("score") * 100).alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("calibrated").alias("lo"), F.max("calibrated").alias("hi"),
+            F.count_if(F.col("calibrated").isNull() | ~F.col("calibrated").between(0, 1)).alias("bad"))
+        falls = F.col("lo") < F.lag("hi").over(Window.partitionBy(F.lit(signal)).orderBy("cell")) - 1e-12
+        one = cells.withColumn("falls", falls).agg(
+            F.sum("n").alias("n"), F.sum("bad").alias("n_bad"), F.count_if("falls").alias("n_falls"))
+        one = one.select(F.lit(signal).alias("signal"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def save_run(run: ModelRun, out_dir: str) -> dict[str, str]:
     """S-4: write every result table of a run as Parquet and every fitted
     model as an MLlib model folder (plus the preprocessors as JSON) under

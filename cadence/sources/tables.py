@@ -14,14 +14,23 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadence.config import INCOME_CUTS, INCOME_ORDER, TxMapping
+from pyspark.sql.types import DoubleType, FloatType
 
+from cadence.config import INCOME_CUTS, INCOME_ORDER, CustomerMapping, TxMapping
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = os.path.join(sf_dir, f"{name}.parquet")
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, fmt: str = "parquet") -> DataFrame:
+    path = os.path.join(sf_dir, f"{name}.{fmt}")
+    if fmt == "csv":
+        return read_csv_table(spark, path)
     return spark.read.parquet(path)
 
 
+def source(df: DataFrame, name: str) -> Column:
+    """A column of ``df``, or a SQL expression over its columns."""
+    return df[f"`{name}`"] if name in df.columns else F.expr(name)
+
+
 def read_csv_table(spark: SparkSession, path: str, schema: str | None = None,
                    date_format: str = "yyyy-MM-dd") -> DataFrame:
     """S-1 / S-2 for CSV inputs: header row, explicit schema when given
@@ -40,7 +49,7 @@ def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
     w = mapping.windows
     start = start or w.obs_start
     end = end or w.pred_end
-    src = read_table(spark, sf_dir, mapping.table)
+    src = read_table(spark, sf_dir, mapping.table, mapping.format)
     ts = F.col(mapping.date)
     kind = src.schema[mapping.date].dataType.simpleString()
     if start is not None:                         # midnight in the column's own type
@@ -48,9 +57,9 @@ def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
     if end is not None:
         src = src.where(ts < F.lit(end).cast(kind))
     return (
-        src.where(F.col(mapping.customer_id).isNotNull() & ts.isNotNull())
+        src.where(source(src, mapping.customer_id).isNotNull() & ts.isNotNull())
         .select(
-            F.col(mapping.customer_id).alias("customer_id"),
+            source(src, mapping.customer_id).alias("customer_id"),
             F.to_date(ts).alias("date"),
             F.col(mapping.type).cast("string").alias("type"),
             number(F.col(mapping.amount)).alias("amount"),
@@ -64,15 +73,15 @@ def log_types(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> tuple[str
     if mapping.types is not None:
         return tuple(mapping.types)
     t = F.col(mapping.type).cast("string").alias("type")
-    rows = read_table(spark, sf_dir, mapping.table).select(t).where("type is not null").distinct().collect()
+    rows = read_table(spark, sf_dir, mapping.table, mapping.format).select(t).where("type is not null").distinct().collect()
     return tuple(sorted(r[0] for r in rows))
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> DataFrame:
     """The whole log mapped to (customer_id, date, type, amount), no window."""
-    src = read_table(spark, sf_dir, mapping.table)
+    src = read_table(spark, sf_dir, mapping.table, mapping.format)
     return src.select(
-        F.col(mapping.customer_id).alias("customer_id"),
+        source(src, mapping.customer_id).alias("customer_id"),
         F.to_date(F.col(mapping.date)).alias("date"),
         F.col(mapping.type).cast("string").alias("type"),
         number(F.col(mapping.amount)).alias("amount"),
@@ -97,9 +106,25 @@ def income_bracket(balance: Column) -> Column:
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer snapshot: key, numeric, ordinal and nominal attributes and a
-    held-out sanity score (balance scaled to [0, 1], unrelated to activity)."""
+def mapped_customers(src: DataFrame, m: CustomerMapping) -> DataFrame:
+    """``customer_id``, the mapping's attributes and, if it names one,
+    ``sanity_score``. A number that is NaN is NULL."""
+    taken = m.columns if m.columns is not None else {
+        c: c for c in src.columns if c not in (m.customer_id, m.sanity)}
+    out = [source(src, m.customer_id).alias("customer_id"), *(source(src, s).alias(c) for c, s in taken.items())]
+    if m.sanity:
+        out.append(source(src, m.sanity).cast("double").alias("sanity_score"))
+    df = src.select(*out)
+    return df.select(*[number(df[f"`{f.name}`"]).alias(f.name) if isinstance(f.dataType, (DoubleType, FloatType))
+                       else df[f"`{f.name}`"] for f in df.schema.fields])
+
+
+def customers(spark: SparkSession, sf_dir: str, mapping: CustomerMapping | None = None) -> DataFrame:
+    """Customer snapshot of the mapping. Without one, the driver's table: key,
+    numeric, ordinal and nominal attributes and a held-out sanity score
+    (balance scaled to [0, 1], unrelated to activity)."""
+    if mapping is not None:
+        return mapped_customers(read_table(spark, sf_dir, mapping.table, mapping.format), mapping)
     c = read_table(spark, sf_dir, "customer")
     return c.select(
         F.col("c_custkey").alias("customer_id"),

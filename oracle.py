@@ -182,6 +182,8 @@ def target_feature_sql() -> dict[str, str]:
     shares = ["customer_id"] + [share_name(t) for t in TYPES[o.table]]
     return {
         "t_labels_orders": mart_sql(o, LABEL_COLS),
+        "s1_s2_string_key_labels": "SELECT * REPLACE ('C' || CAST(customer_id AS VARCHAR) AS customer_id) "
+                                   f"FROM ({mart_sql(o, LABEL_COLS)}) AS t",
         "t_labels_events": mart_sql(e, LABEL_COLS),
         "t9_class_dist_disengaged": class_dist_sql("future_disengaged"),
         "t9_class_dist_growth": class_dist_sql("future_growth"),
@@ -279,6 +281,8 @@ SELECT column_name, n_null, round(n_null * 100e0 / n, 1) AS pct FROM ({null_unio
         "q4_orphans_events": orphans(e),
         "q5_q7_clean_customers": f"WITH {CUST_CTE} SELECT customer_id, c_acctbal, c_nationkey, "
                                  f"c_mktsegment, income_bracket FROM cust",
+        "q5_q7_clean_listed": "SELECT c_custkey AS customer_id, CAST(c_acctbal < 0 AS INTEGER) AS in_debt, "
+                              "round(c_acctbal, 6) AS balance FROM customer",
         "q8_sanity_holdout": rounded(f"WITH {CUST_CTE} SELECT customer_id, sanity_score FROM cust",
                                      ["sanity_score"]),
         "p1_split_hash": f"WITH {split_ctes()} SELECT customer_id, split FROM sp",
@@ -686,8 +690,13 @@ def report_sql() -> dict[str, str]:
     corr = " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS pearson FROM sig"
                               for a in cols5 for b in cols5)
     from cadence.operators.report import FEATURE_DICTIONARY
-    dict_rows = ", ".join("('{}', '{}', '{}')".format(*r) for r in FEATURE_DICTIONARY)
-    means = " UNION ALL ".join(f"SELECT '{f}' AS feature, avg({f}) AS mean FROM mart" for f, _, _ in FEATURE_DICTIONARY)
+    entries = FEATURE_DICTIONARY + [(share_name(t), f"Share of transactions of type {t}", "transactions")
+                                    for t in TYPES["orders"]]
+    attrs = ("c_acctbal", "c_nationkey", "c_mktsegment", "income_bracket")
+    dict_rows = ", ".join("('{}', '{}', '{}')".format(*r) for r in
+                          entries + [(c, f"Customer attribute {c}", "customers") for c in attrs])
+    means = " UNION ALL ".join([f"SELECT '{f}' AS feature, avg({f}) AS mean FROM mart" for f, _, _ in entries]
+                               + [f"SELECT '{c}' AS feature, avg({c}) AS mean FROM cust" for c in attrs[:2]])
     grid = f"({grid_sql()})"
     density = f"""WITH {standin_ctes()},
 {scored_cte()},
@@ -771,6 +780,7 @@ SELECT g.*, roc_auc = (SELECT max(roc_auc) FROM g) AS best_roc_auc, pr_auc = (SE
   lift_top_decile = (SELECT max(lift_top_decile) FROM g) AS best_lift, brier = (SELECT min(brier) FROM g) AS best_brier
 FROM g""", METRIC_COLS),
         "r10_feature_dictionary": rounded(f"""WITH {mart_ctes(ORDERS_MAPPING)},
+{CUST_CTE},
 d AS (SELECT * FROM (VALUES {dict_rows}) AS v(feature, description, source)),
 m AS ({means})
 SELECT d.*, m.mean FROM d LEFT JOIN m USING (feature)""", ["mean"]),
@@ -779,7 +789,27 @@ SELECT d.*, m.mean FROM d LEFT JOIN m USING (feature)""", ["mean"]),
 
 def model_sql() -> dict[str, str]:
     base = f"WITH {standin_ctes()},\n{scored_cte()}"
+    configs = ", ".join(
+        [f"('risk', '{s}', '{a}')" for s in ("Full", "Tx-strict", "Cust-only") for a in ("LR", "RF", "GBT")]
+        + [f"('growth', 'Tx-strict', '{a}')" for a in ("LR", "RF", "GBT")])
+    zero = "CAST(0 AS BIGINT)"
     return {
+        "m10_best_standin": rounded(f"""SELECT setup, model, roc_auc FROM ({grid_sql()}) AS g
+QUALIFY row_number() OVER (PARTITION BY setup ORDER BY roc_auc DESC, model) = 1""", ["roc_auc"]),
+        "m5_m9_score_properties": f"""WITH {split_ctes()},
+c AS (SELECT * FROM (VALUES {configs}) AS v(target, setup, model))
+SELECT target, setup, model, split, count(*) AS n, count(DISTINCT customer_id) AS n_customers,
+  CAST(sum(CASE WHEN target = 'risk' THEN future_disengaged ELSE future_growth END) AS BIGINT) AS n_pos, {zero} AS n_bad
+FROM sp, c WHERE split <> 'train' GROUP BY target, setup, model, split""",
+        "m8_attribution_sums": f"WITH {split_ctes()}\nSELECT count(*) AS n, {zero} AS n_off FROM sp WHERE split = 'test'",
+        "c2_calibration_properties": f"""WITH {split_ctes()}
+SELECT signal, count(*) AS n, {zero} AS n_bad, {zero} AS n_falls
+FROM sp, (VALUES ('risk'), ('growth')) AS v(signal) WHERE split = 'test' GROUP BY signal""",
+        "c3_brier_standin": rounded(f"""{base}
+SELECT 'recency' AS signal, avg(power(score - label, 2)) AS brier_before,
+  avg(power(score * score - label, 2)) AS brier_after,
+  avg(power(score - label, 2)) - avg(power(score * score - label, 2)) AS improvement FROM sc""",
+                                    ["brier_before", "brier_after", "improvement"]),
         "m4_class_weights": rounded(f"""WITH {split_ctes()},
 tr AS (SELECT * FROM sp WHERE split = 'train'),
 c AS (SELECT count(*) AS n, sum(future_disengaged) AS p FROM tr)
