@@ -1,8 +1,8 @@
 """Personal data: regular expressions propose, checksums confirm, context scores.
 
 Base kinds (email, ip, card, phone) are taken whenever their rule holds. Added
-kinds need a valid checksum where they have one (IBAN: mod 97), start from a
-score for the pattern, gain by context words just before the span, and are
+kinds need a valid checksum where they have one (IBAN: mod 97 over the length
+that its country has), start from a score for the pattern, gain by context words just before the span, and are
 taken at 0.5 or more; they never replace a base span. Positions are code points, the end exclusive.
 
 Every pattern is linear in the text: matches cannot start inside a run of
@@ -32,7 +32,14 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}))")  # as far as one may go on
+_ALNUM = frozenset(string.ascii_letters + string.digits)
+#: How long an IBAN is, by country.
+_IBAN_LENGTH = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,XK 21:CH,HR,LI,LV "
+    "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:PT,ST "
+    "26:IS,TR 27:FR,GR,IT,MC,MR,SM 28:AL,AZ,CY,DO,GT,HU,LB,PL,SV 29:BR,PS,QA,UA 30:JO,KW,MU 31:MT,SC 32:LC").split())
+    for c in cs.split(",")}
 _SSN = re.compile(r"(?<![0-9-])([0-9]{3})-([0-9]{2})-([0-9]{4})(?![0-9-])")
 _SECRET = re.compile(r"[A-Za-z0-9+/_]{16,}+={0,2}")
 _ISH = re.compile(r"[0-9@]")
@@ -54,6 +61,38 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Valid IBANs that do not overlap. Words and numbers behind one space look
+    like more of it, so the country gives the length; for a country without a
+    known one, the longest end of 15 to 34 characters that passes counts, where
+    no IBAN of a known length is."""
+    known, other = [], []
+    for m in _IBAN.finditer(text):
+        ends = [m.start() + i + 1 for i, c in enumerate(m[1]) if c != " "]
+        length = _IBAN_LENGTH.get(m[1][:2])
+        for n in (length,) if length else range(len(ends), 14, -1):
+            if n <= len(ends) and text[ends[n - 1]:ends[n - 1] + 1] not in _ALNUM \
+                    and mod97(text[m.start():ends[n - 1]].replace(" ", "")):
+                (known if length else other).append((m.start(), ends[n - 1]))
+                break
+    out, fixed = [], _apart(known)
+    starts = [s for s, _ in fixed]
+    for s, e in other:
+        i = bisect_right(starts, e - 1) - 1
+        if i < 0 or fixed[i][1] <= s:
+            out.append((s, e))
+    return sorted(fixed + _apart(out))
+
+
+def _apart(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of sorted spans, those that start behind the last one taken."""
+    out: list[tuple[int, int]] = []
+    for s, e in spans:
+        if not out or s >= out[-1][1]:
+            out.append((s, e))
+    return out
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """The leftmost matches, found from each @: the part before it is the run
     of its characters since the last match."""
@@ -99,9 +138,7 @@ def ordered(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
 def added_spans(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     """Validated or contextual spans that do not touch base spans or each other."""
     proposed = []
-    for m in _IBAN.finditer(text):
-        if mod97(m[0].replace(" ", "")):
-            proposed.append((0.7, "iban", *m.span()))
+    proposed += [(0.7, "iban", s, e) for s, e in ibans(text)]
     for m in _SSN.finditer(text):
         if m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":
             proposed.append((0.3, "ssn", *m.span()))

@@ -169,6 +169,40 @@ def test_added_spans_are_confirmed():
     assert ("ssn", "123-45-6789") in kinds and not any("0130 01" in v for _, v in kinds)
 
 
+@pytest.mark.parametrize("iban", ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "NO93 8601 1117 947",
+                                  "FR14 2004 1010 0505 0001 3M02 606", "MT84MALT011000012345MTLCAST001S"])
+@pytest.mark.parametrize("before, after", [
+    ("IBAN ", " BIC COBADEFF"), ("", " 20 EUR"), ("pay ", " A"), ("REF AB12 ", " 7 X 123456789 GMBH"), ("QQ12 ", ""),
+    ("", " 20Eur"), ("", " DE89 3704 0044 0532 0130 01"), ("", "\n20 EUR")])
+def test_iban_ends_where_its_country_says(iban, before, after):
+    text = before + iban + after
+    assert pii.ibans(text) == [(len(before), len(before) + len(iban))]
+    assert iban not in pii.redacted(text)
+
+
+def test_iban_of_any_country_and_none():
+    def made(country, bban):
+        return next(x for k in range(2, 99) if pii.mod97((x := f"{country}{k:02d}{bban}")))
+    for bban in ("ABCD1234567", "0123456789" * 3):  # the shortest and the longest
+        x = made("QX", bban)
+        assert pii.ibans(f"to {x}.") == [(3, 3 + len(x))]
+        assert pii.ibans(f"to {x} ...") == [(3, 3 + len(x))]
+    short = made("QX", "ABCD1234567")
+    assert any(s == 3 and e >= 3 + len(short) for s, e in pii.ibans(f"to {short} BIC"))
+    both = "DE89 3704 0044 0532 0130 00 GB82 WEST 1234 5698 7654 32 20 EUR"
+    assert [both[s:e] for s, e in pii.ibans(both)] == [both[:27], both[28:55]]
+    for text in ("DE89 3704 0044 0532 0130 01 BIC", "DE89 3704 0044 0532 0130 00X", "XDE89 3704 0044 0532 0130 00",
+                 "DE89  3704 0044 0532 0130 00", "DE89 3704 0044 0532 0130 0"):
+        assert pii.ibans(text) == [], text
+
+
+def test_redacted_text_holds_no_iban(spark):
+    rows = [(1, "IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFF"), (2, "DE89 3704 0044 0532 0130 00 20 EUR")]
+    assert [r.spans for r in pii.detect(frame(spark, rows)).orderBy("doc_id").collect()] == ["iban:5:32", "iban:0:27"]
+    assert [r.text for r in pii.redact(frame(spark, rows)).orderBy("doc_id").collect()] == [
+        "IBAN <iban> BIC COBADEFF", "<iban> 20 EUR"]
+
+
 def test_detect_and_redact(spark):
     text = "é mail a.b@c.de or +1 (632) 555-4827"
     rows = [*edge_rows(), (50, text)]
