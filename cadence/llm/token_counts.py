@@ -11,6 +11,10 @@ The byte-level vocabulary is a public file, given by path. Results: one row
 per input row; a null or empty text has no tokens. Edits are ``(start, end,
 replacement)`` in code points of the original text, and do not overlap; they
 are clipped to the text.
+
+Kept state is the leaves' tokens and their lengths. Edits empty, merge and
+stretch leaves, so a text is cut where its state says, not anew, and a state
+that does not fit its text is refused.
 """
 
 from __future__ import annotations
@@ -19,9 +23,11 @@ import base64
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cadence.llm import pii
 from cadence.llm.common import columns
@@ -56,13 +62,25 @@ def leaves(text: str, size: int = LEAF) -> list[str]:
     return out
 
 
+def cut(text: str, lengths: list[int]) -> list[str]:
+    """The text in parts of these lengths, which must be all of it."""
+    if not lengths or any(n is None or n < 0 for n in lengths) or sum(lengths) != len(text):
+        raise ValueError(f"state has leaves of {sum(n or 0 for n in lengths)} characters, the text has {len(text)}")
+    ends = list(accumulate(lengths))
+    return [text[e - n:e] for e, n in zip(ends, lengths, strict=True)]
+
+
 class CountTree:
     """Sums of characters and tokens over the leaves of one document."""
 
     def __init__(self, text: str, count: Callable[[str], int], size: int = LEAF,
-                 known: list[int] | None = None) -> None:
+                 known: list[int] | None = None, lengths: list[int] | None = None) -> None:
+        """``known`` and ``lengths`` are the tokens and characters of the leaves;
+        ``known`` alone is that of a text which has not been edited."""
         self.count = count
-        self.parts = leaves(text, size) or [""]
+        self.parts = leaves(text, size) or [""] if lengths is None else cut(text, lengths)
+        if known is not None and len(known) != len(self.parts):
+            raise ValueError(f"state has {len(known)} token counts for {len(self.parts)} leaves")
         n = 1
         while n < len(self.parts):
             n *= 2
@@ -86,6 +104,9 @@ class CountTree:
     def leaf_tokens(self) -> list[int]:
         return self.tokens[self.n:self.n + len(self.parts)]
 
+    def leaf_chars(self) -> list[int]:
+        return self.chars[self.n:self.n + len(self.parts)]
+
     def _find(self, pos: int) -> tuple[int, int]:
         """The leaf with the character ``pos`` (the last one at the end), and
         the place in it."""
@@ -156,7 +177,7 @@ def redactions(text: str) -> list[Edit]:
 
 
 def trees(docs: DataFrame, path: str = RANKS) -> DataFrame:
-    """State to keep: ``(doc_id, n_tokens, leaf_tokens)`` per document."""
+    """State to keep: ``(doc_id, n_tokens, leaf_tokens, leaf_chars)`` per document."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,33 +186,44 @@ def trees(docs: DataFrame, path: str = RANKS) -> DataFrame:
             built = [CountTree(t or "", count) for t in columns(batch, "text")[0]]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([t.total for t in built], pa.int64()),
-                 pa.array([t.leaf_tokens() for t in built], pa.list_(pa.int32()))], names=["doc_id", "n_tokens", "leaf_tokens"])
+                 pa.array([t.leaf_tokens() for t in built], pa.list_(pa.int32())),
+                 pa.array([t.leaf_chars() for t in built], pa.list_(pa.int32()))],
+                names=["doc_id", "n_tokens", "leaf_tokens", "leaf_chars"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, n_tokens long, leaf_tokens array<int>")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {id_type}, n_tokens long, leaf_tokens array<int>, leaf_chars array<int>")
 
 
 def recount(docs: DataFrame, path: str = RANKS) -> DataFrame:
-    """``docs`` has ``leaf_tokens`` (from :func:`trees`; null: count anew) and
-    ``edits array<struct<start:int,end:int,text:string>>``. Returns ``(doc_id,
-    n_tokens, leaf_tokens, encoded)`` after the edits; ``encoded`` is how many
-    characters they made encode."""
+    """``docs`` has the text, its ``leaf_tokens`` and ``leaf_chars`` (from
+    :func:`trees` or the last recount; without either: count anew) and ``edits
+    array<struct<start:int,end:int,text:string>>``. Returns ``(doc_id, n_tokens,
+    leaf_tokens, encoded, leaf_chars, text)`` after the edits, ready for the next
+    ones; ``encoded`` is how many characters they made encode. State that does
+    not fit the text is an error."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    if "leaf_chars" not in docs.columns:  # counts alone do not say which part of the text they are of
+        docs = docs.withColumn("leaf_chars", F.lit(None).cast("array<int>"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = counter(path)
         for batch in batches:
             out = []
-            for text, known, edits in zip(*columns(batch, "text", "leaf_tokens", "edits"), strict=True):
-                tree = CountTree(text or "", count, known=known or None)
+            for text, known, lengths, edits in zip(*columns(batch, "text", "leaf_tokens", "leaf_chars", "edits"), strict=True):
+                kept = {"known": known, "lengths": lengths} if known and lengths else {}
+                tree = CountTree(text or "", count, **kept)
                 tree.apply([(e["start"], e["end"], e["text"] or "") for e in edits or []])
-                out.append((tree.total, tree.leaf_tokens(), tree.encoded))
+                after = tree.text()
+                out.append((tree.total, tree.leaf_tokens(), tree.encoded, tree.leaf_chars(),
+                            None if text is None and not after else after))
+            cols = list(zip(*out, strict=True)) if out else [[]] * 5
+            types = [pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.list_(pa.int32()), pa.string()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([o[0] for o in out], pa.int64()),
-                 pa.array([o[1] for o in out], pa.list_(pa.int32())), pa.array([o[2] for o in out], pa.int64())],
-                names=["doc_id", "n_tokens", "leaf_tokens", "encoded"])
+                [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))],
+                names=["doc_id", "n_tokens", "leaf_tokens", "encoded", "leaf_chars", "text"])
 
-    return docs.select("doc_id", "text", "leaf_tokens", "edits").mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, leaf_tokens array<int>, encoded long")
+    return docs.select("doc_id", "text", "leaf_tokens", "leaf_chars", "edits").mapInArrow(
+        run, f"doc_id {id_type}, n_tokens long, leaf_tokens array<int>, encoded long, leaf_chars array<int>, text string")
 
 
 def count_redacted(docs: DataFrame, path: str = RANKS) -> DataFrame:

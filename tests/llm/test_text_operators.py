@@ -328,6 +328,50 @@ def test_count_frames(spark):
     assert token_counts.count_redacted(frame(spark, [])).collect() == []
 
 
+def test_kept_trees_last_for_further_rounds(spark):
+    count, r = token_counts.counter(), random.Random(5)
+    texts = {i: "".join(r.choice(["some ", "wörter, ", "x", "12 ", "it's ", "\n"]) for _ in range(900)) for i in range(6)}
+    texts |= {6: "", 7: None, 8: "short"}
+    docs = frame(spark, texts.items()).select("doc_id", "text")
+    state = docs.join(token_counts.trees(docs).drop("n_tokens"), "doc_id").collect()
+    schema = "doc_id long, text string, leaf_tokens array<int>, leaf_chars array<int>, " \
+             "edits array<struct<start:int,end:int,text:string>>"
+    for _ in range(3):
+        rows = []
+        for s in state:
+            old, edits, at = texts[s.doc_id] or "", [], 0
+            while at <= len(old):
+                a = r.randint(at, min(len(old), at + 900))
+                b = min(len(old), a + r.choice([0, 3, 700]))
+                edits.append((a, b, r.choice(["", " new words", "y" * 500, "é"])))
+                at = b + 300
+            new = old
+            for a, b, x in reversed(edits):
+                new = new[:a] + x + new[b:]
+            texts[s.doc_id] = new
+            rows.append((s.doc_id, s.text, s.leaf_tokens, s.leaf_chars, edits))
+        state = token_counts.recount(spark.createDataFrame(rows, schema)).collect()
+        assert len(state) == len(texts)
+        for s in state:
+            assert (s.text or "") == texts[s.doc_id] and s.n_tokens == count(texts[s.doc_id]) == sum(s.leaf_tokens)
+            assert sum(s.leaf_chars) == len(texts[s.doc_id]) and len(s.leaf_chars) == len(s.leaf_tokens)
+    kept = [(s.doc_id, s.text, s.leaf_tokens, s.leaf_chars, [(0, 1, "Z")]) for s in state if s.doc_id == 0]
+    again = token_counts.recount(spark.createDataFrame(kept, schema)).first()
+    assert 0 < again.encoded < len(again.text) and again.n_tokens == count("Z" + kept[0][1][1:])
+    assert token_counts.recount(spark.createDataFrame(kept, schema).drop("leaf_chars")).first().n_tokens == again.n_tokens
+
+
+def test_state_of_another_text_is_refused():
+    count, text = token_counts.counter(), "some words here " * 200
+    tree = token_counts.CountTree(text, count)
+    known, lengths = tree.leaf_tokens(), tree.leaf_chars()
+    assert token_counts.CountTree(text, count, known=known, lengths=lengths).total == count(text)
+    for bad in ({"known": known, "lengths": [*lengths[:-1], lengths[-1] + 1]}, {"known": known[1:], "lengths": lengths},
+                {"known": known[1:]}, {"known": known, "lengths": []}, {"known": known, "lengths": [-1, *lengths[1:-1], 1]}):
+        with pytest.raises(ValueError):
+            token_counts.CountTree(text, count, **bad)
+
+
 # op7
 
 def words_of(text):
