@@ -238,12 +238,22 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
+    """What :func:`one_of_each_component` keeps, with every id once: of components
+    that the same id heads, one row stays."""
+    kept = one_of_each_component(docs, shingle, most)
+    return kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
+
+
+def one_of_each_component(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
     """Stage: of each component the row with the smallest id stays (of rows
-    that repeat that id, one), with all its columns. Of a component without any
-    id, one row stays."""
+    that repeat that id in it, the one with the smallest hash of the text), with
+    all its columns. Of a component without any id, one row stays."""
     found = near_duplicates(docs, shingle, most)
-    keep = found.where("component_id is not null").select(F.col("component_id").alias("_keep")).distinct()
-    named = docs.join(keep, docs["doc_id"] == keep["_keep"], "left_semi").dropDuplicates(["doc_id"])
+    keep = (found.where("doc_id = component_id").groupBy("root")
+            .agg(F.first("doc_id").alias("_keep"), F.min("th").alias("_th")))
+    rows = docs.withColumn("_row_th", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    named = (rows.join(keep, (rows["doc_id"] == keep["_keep"]) & (rows["_row_th"] == keep["_th"]), "left_semi")
+             .dropDuplicates(["doc_id", "_row_th"]).select(*docs.columns))
     alone = found.where("component_id is null").groupBy("root").agg(F.min("th").alias("_th")).select("_th")
     th = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     nameless = docs.where("doc_id is null").join(alone, th == alone["_th"], "left_semi").dropDuplicates(["text"])

@@ -7,6 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import types as T
 
+import corpus_pipeline
 from cadence.llm import simhash
 
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
@@ -108,6 +109,19 @@ def test_stage_keeps_one_row_of_each_component(spark):
     assert sorted(k for k in kept if k is not None) == sorted(comps) and kept.count(None) == 1
 
 
+def test_rows_that_repeat_an_id_stay_with_their_component(spark):
+    a, b, c = ("the first text is about a river and its banks", "another text tells of trains and of their stations",
+               "a third one has some numbers and a list of names")
+    both = [(5, a), (5, b), (5, a), (8, a), (9, b)]  # one id heads two components
+    copy = [(3, b), (5, a), (5, b), (6, c), (6, None), (7, ""), (None, c)]
+    for rows, want in ((both, [(5, a), (5, b)]), (copy, [(3, b), (5, a), (6, None), (6, c)])):
+        for order in (rows, rows[::-1]):
+            frame = spark.createDataFrame([(d, t, "x", "y") for d, t in order], SCHEMA)
+            out = corpus_pipeline.simhash_near_dedup(spark, frame, "")
+            assert out.columns == frame.columns
+            assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted(want, key=str)
+
+
 def test_empty(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert simhash.digest(none).collect() == [] and simhash.one_of_each(none).collect() == []
