@@ -50,12 +50,14 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int,
                   train_only: bool = True) -> DataFrame:
     """At most ``limit`` labelled rows ``(body, y)`` for fitting, the smallest by
     a hash of the id, so the choice does not depend on the order of files. Rows
-    without id, label or text do not take part; of several labels of one id the
-    largest counts, of several texts the smallest."""
+    without id, label or text, and labels of other documents, do not take part
+    nor count; of several labels of one id the largest counts, of several texts
+    the smallest."""
     pick = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
             .groupBy("doc_id").agg(F.max(label).alias("y")))
     if train_only:
         pick = pick.where(~held_out())
+    pick = pick.join(docs.where("text is not null").select("doc_id"), "doc_id", "left_semi")
     pick = pick.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     return (docs.select("doc_id", "text").where("text is not null").join(F.broadcast(pick), "doc_id")
             .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y"))

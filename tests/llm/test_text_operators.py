@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cadence.llm import (
+    common,
     decontaminate,
     langid,
     nbsvm,
@@ -95,6 +96,15 @@ def test_classifier_on_held_out_rows(spark):
     assert test and np.mean([r.predicted == r.quality for r in test]) >= 0.9
 
 
+def test_labels_of_other_documents_leave_the_sample_alone(spark):
+    docs = frame(spark, [(i, f"text {i}") for i in range(40)] + [(i, None) for i in range(40, 400)])
+    labels = labels_of(spark, [(i, i % 2, 0) for i in range(4000)])
+    for limit, want in ((10, 10), (100, 40)):
+        rows = common.labelled_rows(docs, labels, "quality", limit, train_only=False).collect()
+        assert len(rows) == want and all(int(bytes(r.body).split()[1]) % 2 == r.y for r in rows)
+    assert common.labelled_rows(docs, labels, "quality", 100).count() == sum(not held(i) for i in range(40))
+
+
 def test_classifier_edges(spark):
     rows = edge_rows()
     few = labels_of(spark, [(i, i % 2, 0) for i in range(8)])
