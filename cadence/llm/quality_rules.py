@@ -137,7 +137,9 @@ def _grow(data: dict[str, np.ndarray], bad: np.ndarray, most: int) -> Rule:
 
 def learn(data: dict[str, np.ndarray], bad: np.ndarray, precision: float = 0.8, most_rules: int = 16,
           most_tests: int = 4) -> list[Rule]:
-    """The ordered rules for ``bad`` rows."""
+    """The ordered rules for ``bad`` rows, whatever order the rows come in."""
+    order = np.lexsort([bad, *(data[k] for k in sorted(data))])
+    data, bad = {k: v[order] for k, v in data.items()}, bad[order]
     rules: list[Rule] = []
     left = np.arange(len(bad))
     while len(rules) < most_rules and bad[left].sum() >= 4:

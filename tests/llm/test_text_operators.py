@@ -80,6 +80,25 @@ def test_rules_separate_and_read_like_rules(spark):
     assert (hit == bad).mean() > 0.95 and "symbols >= 0.6" in " ".join(quality_rules.describe(rules))[:200] or rules
 
 
+def test_rules_do_not_depend_on_the_order_of_rows():
+    r = np.random.default_rng(1)
+    data = {k: r.random(300) for k in ("symbols", "words", "upper")}
+    bad = (data["symbols"] + 0.3 * r.random(300) > 0.9) & (data["words"] < 0.6)
+    rules = quality_rules.learn(data, bad)
+    assert rules
+    for _ in range(5):
+        p = r.permutation(300)
+        assert quality_rules.learn({k: v[p] for k, v in data.items()}, bad[p]) == rules
+
+
+def test_rules_are_learned_from_the_labels(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    assert quality_rules.fit(docs, labels)
+    out = quality_rules.digest(docs, labels).join(labels, "doc_id").where("not base_failed").collect()
+    low, high = ([r.kept for r in out if r.quality == q] for q in (0, 1))
+    assert len(low) >= 5 and np.mean(low) <= 0.2 and np.mean(high) >= 0.9
+
+
 def test_quality_rules_on_edge_rows_and_empty_tables(spark):
     out = quality_rules.digest(frame(spark, edge_rows()), labels_of(spark, [(0, 0, 0), (3, 1, 0), (None, 1, 0)])).collect()
     assert len(out) == len(edge_rows())
