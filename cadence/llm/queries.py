@@ -10,8 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from cadence.llm import (
     decontaminate,
+    exact_dedup,
     langid,
+    lexical_search,
     nbsvm,
+    periodic_runs,
     pii,
     quality_rules,
     sentencepiece_unigram,
@@ -45,6 +48,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_language_id": lambda s, d: langid.digest(documents(s, d)),
         "op9_token_counts": lambda s, d: token_counts.count_redacted(documents(s, d)),
         "op10_substring_dedup": lambda s, d: suffix_tree_dedup.digest(documents(s, d)),
+        "op11_periodic_runs": lambda s, d: periodic_runs.digest(documents(s, d)),
+        "op12_exact_dedup": lambda s, d: exact_dedup.membership(documents(s, d)),
+        "op13_lexical_search": lambda s, d: lexical_search.search(documents(s, d), _items(s, d)),
         "pipeline": corpus_pipeline.run,
     }
 
@@ -83,5 +89,29 @@ FROM d LEFT JOIN rr USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents),
+g AS (SELECT t, min(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
+FROM d JOIN g USING (t)
+"""
+
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d) GROUP BY doc_id, term),
+al AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) AS BIGINT) AS wgt
+       FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), al),
+m AS (SELECT doc_id, 100 - 90 + ((90 * len(w) * n_docs) // n_terms) AS m FROM d, al WHERE len(w) > 0),
+sc AS (SELECT b.item_id, tf.doc_id, sum(wgt * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+       FROM b JOIN tf USING (term) JOIN wt USING (term) JOIN m USING (doc_id) GROUP BY b.item_id, tf.doc_id)
+SELECT item_id, CAST(rk AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rk FROM sc WHERE score > 0)
+WHERE rk <= 10
+"""
+
+
 def llm_sql() -> dict[str, str]:
-    return {"op7_benchmark_decontamination": OP7_SQL, "op10_substring_dedup": OP10_SQL}
+    return {"op7_benchmark_decontamination": OP7_SQL, "op10_substring_dedup": OP10_SQL,
+            "op12_exact_dedup": OP12_SQL, "op13_lexical_search": OP13_SQL}
