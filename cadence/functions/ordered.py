@@ -11,11 +11,13 @@ partition is an ordinary partitioned window.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadence.session import ensure_checkpoint_dir
+from cadence.session import ensure_checkpoint_dir, materialize
 
 _POS_MASK = (1 << 33) - 1  # monotonically_increasing_id: low 33 bits = row in partition
 
@@ -65,145 +67,215 @@ def global_row_number(df: DataFrame, order: list[Column], col: str = "row_no") -
     return running_totals(df, order, [], row_number_col=col)
 
 
-#: Values of one bracket that the driver takes at last.
+#: Values strictly inside a bracket that one task puts in order at last.
 BRACKET_VALUES = 8192
 _ACCURACY = 10_000
+_GRID = 64
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """Exact quantiles with linear interpolation (pandas' default) of several
-    columns, NULL/NaN skipped: one row per (column, prob) with
-    ``(column, prob, n, value)``.
-
-    One aggregate brackets every wanted order statistic between two values of
-    ``percentile_approx``; the next one counts what lies below and inside each
-    bracket, which also proves that the bracket holds it. A bracket with more
-    than ``BRACKET_VALUES`` rows is narrowed by its own percentiles, about two
-    thousandfold a round; one of a single value is resolved, however many rows
-    have it. The last job takes the brackets' values with their counts."""
-    spark = df.sparkSession
-
-    def value(c: str) -> Column:
-        v = F.col(f"`{c}`").cast("double")
-        return F.when(~F.isnan(v), v)
-
-    vals = df.select(*[value(c).alias(f"v{i}") for i, c in enumerate(cols)])
+def _value(c: str) -> Column:
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
+
+
+@dataclass
+class OrderStatistic:
+    """Neighbours of a quantile's place: values at its floor and ceiling."""
+
+    n: int
+    low: float | None
+    high: float | None
+    frac: float
+
+    def value(self, most: float | None = None) -> float | None:
+        """Linear interpolation, of values cut off at ``most`` if given."""
+        if self.low is None:
+            return None
+        lo, hi = (self.low, self.high) if most is None else (min(self.low, most), min(self.high, most))
+        return float(lo if lo == hi else lo + self.frac * (hi - lo))
+
+
+def order_statistics(df: DataFrame, cols: list[str], probs: list[float]) -> dict[tuple[str, float], OrderStatistic]:
+    """The two order statistics of every (column, prob), NULL/NaN skipped.
+
+    One aggregate brackets every wanted place between two values of
+    ``percentile_approx``. The next one counts what lies below a bracket, *at*
+    each of its ends and strictly inside. A place among the equal values at an
+    end is resolved by the counts, however many rows have that value (zeros of
+    silent customers), and these rows leave the bracket. Up to
+    ``BRACKET_VALUES`` values strictly inside are put in order by one task in
+    that same aggregate; more are cut by a grid of their own percentiles and
+    counted again. The driver gets counts, grid points and the results, never
+    the values."""
+    vals = df.select(*[_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
     eps = 2.0 / _ACCURACY
     grid = [x for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps))]
     first = vals.agg(*[e for i in range(len(cols)) for e in (
         F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"), F.max(f"v{i}").alias(f"hi{i}"),
         F.percentile_approx(f"v{i}", grid, _ACCURACY).alias(f"q{i}"))]).first()
-    # (column, prob) -> bracket, the two wanted ranks
-    state = {}
-    for i in range(len(cols)):
+    out: dict[tuple[str, float], OrderStatistic] = {}
+    todo: list[dict] = []
+    for i, c in enumerate(cols):
         n = first[f"n{i}"]
         for k, p in enumerate(probs):
+            pos = p * (n - 1) if n else 0.0
+            out[c, p] = OrderStatistic(n, None, None, pos - np.floor(pos))
             if n:
-                pos = p * (n - 1)
                 lo, hi = first[f"q{i}"][2 * k:2 * k + 2]
-                state[(i, k)] = {"lo": lo, "hi": hi, "ranks": (int(np.floor(pos)), int(np.ceil(pos))),
-                                 "all": (first[f"lo{i}"], first[f"hi{i}"])}
-    todo = list(state)
+                # the approximation is off by n / _ACCURACY places at most
+                todo.append({"at": out[c, p], "v": F.col(f"v{i}"), "lo": lo, "hi": hi, "most": int(n * (2 * eps + 2 / _ACCURACY)) + 2,
+                             "ranks": (int(np.floor(pos)), int(np.ceil(pos))), "all": (first[f"lo{i}"], first[f"hi{i}"], n)})
     while todo:
-        cond = {t: F.col(f"v{t[0]}").between(F.lit(state[t]["lo"]), F.lit(state[t]["hi"])) for t in todo}
-        got = vals.agg(*[e for j, t in enumerate(todo) for e in (
-            F.count_if(F.col(f"v{t[0]}") < F.lit(state[t]["lo"])).alias(f"b{j}"), F.count_if(cond[t]).alias(f"c{j}"))]).first()
-        wide = []
+        aggs = []
         for j, t in enumerate(todo):
-            s = state[t]
-            s["below"], s["inside"] = got[f"b{j}"], got[f"c{j}"]
-            if not s["below"] <= s["ranks"][0] <= s["ranks"][1] < s["below"] + s["inside"]:
-                s["lo"], s["hi"] = s["all"]  # the approximation missed: start from the whole range
-                s["below"], s["inside"] = 0, first[f"n{t[0]}"]
-            if s["lo"] < s["hi"] and s["inside"] > BRACKET_VALUES:
-                wide.append(t)
-        if not wide:
-            break
-
-        def near(t: tuple, side: int) -> float:
-            s = state[t]
-            share = (s["ranks"][0 if side < 0 else 1] - s["below"]) / s["inside"]
-            return min(1.0, max(0.0, share + side * eps))
-
-        cut = vals.agg(*[F.percentile_approx(
-            F.when(F.col(f"v{t[0]}").between(F.lit(state[t]["lo"]), F.lit(state[t]["hi"])), F.col(f"v{t[0]}")),
-            [near(t, -1), near(t, 1)], _ACCURACY).alias(f"q{j}") for j, t in enumerate(wide)]).first()
-        stuck = []
-        for j, t in enumerate(wide):
-            s = state[t]
-            s["all"] = (s["lo"], s["hi"])
-            if tuple(cut[f"q{j}"]) == s["all"]:
-                stuck.append(t)  # few values, many rows: their counts decide
-            s["lo"], s["hi"] = cut[f"q{j}"]
-        todo = [t for t in wide if t not in stuck]
-    held: dict[tuple, list] = {}
-    open_t = [t for t in state if state[t]["lo"] < state[t]["hi"]]
-    if open_t:
-        inside = F.array(*[F.when(F.col(f"v{t[0]}").between(F.lit(state[t]["lo"]), F.lit(state[t]["hi"])),
-                                  F.struct(F.lit(j).alias("t"), F.col(f"v{t[0]}").alias("v")))
-                           for j, t in enumerate(open_t)])
-        rows = (vals.select(F.explode(F.filter(inside, lambda x: x.isNotNull())).alias("s"))
-                .groupBy("s.t", "s.v").agg(F.count(F.lit(1)).alias("c")).collect())
-        for r in rows:
-            held.setdefault(open_t[r["t"]], []).append((r["v"], r["c"]))
-
-    def at(t: tuple, rank: int) -> float:
-        s = state[t]
-        if t not in held:
-            return s["lo"]
-        left = rank - s["below"]
-        for v, c in sorted(held[t]):
-            if left < c:
-                return v
-            left -= c
-        raise AssertionError("the bracket does not hold its rank")
-
-    out = []
-    for i, c in enumerate(cols):
-        for k, p in enumerate(probs):
-            n = first[f"n{i}"]
-            if not n:
-                out.append((c, float(p), 0, None))
+            v, lo, hi = t["v"], F.lit(t["lo"]), F.lit(t["hi"])
+            within = (v > lo) & (v < hi)
+            below, at_lo, inner = F.count_if(v < lo), F.count_if(v == lo), F.count_if(within)
+            aggs += [below.alias(f"b{j}"), at_lo.alias(f"l{j}"), inner.alias(f"i{j}"),
+                     F.count_if((v == hi) & (v > lo)).alias(f"h{j}")]
+            if t["most"] <= BRACKET_VALUES:
+                ordered = F.sort_array(F.collect_list(F.when(within, v)))
+                place = [F.lit(r) - below - at_lo for r in t["ranks"]]
+                aggs += [F.get(ordered, F.when(x >= 0, x).otherwise(-1).cast("int")).alias(f"{e}{j}") for e, x in zip("xy", place, strict=True)]
+            else:
+                aggs.append(F.percentile_approx(F.when(within, v), [g / _GRID for g in range(_GRID + 1)], _ACCURACY).alias(f"g{j}"))
+        got = vals.agg(*aggs).first().asDict()
+        again = []
+        for j, t in enumerate(todo):
+            below, at_lo, inner, at_hi = (got[f"{e}{j}"] for e in "blih")
+            if not below <= t["ranks"][0] <= t["ranks"][1] < below + at_lo + inner + at_hi:
+                t["lo"], t["hi"], t["most"] = t["all"]  # the approximation missed: the whole range
+                again.append(t)
                 continue
-            lo, hi = (at((i, k), r) for r in state[(i, k)]["ranks"])
-            frac = p * (n - 1) - np.floor(p * (n - 1))
-            out.append((c, float(p), int(n), float(lo if lo == hi else lo + frac * (hi - lo))))
-    return spark.createDataFrame(out, "column string, prob double, n long, value double")
+
+            def known(rank: int, e: str) -> float | None:
+                left = rank - below
+                return t["lo"] if left < at_lo else t["hi"] if left >= at_lo + inner else got.get(f"{e}{j}")
+
+            ends = known(t["ranks"][0], "x"), known(t["ranks"][1], "y")
+            if None not in ends:
+                t["at"].low, t["at"].high = ends
+                continue
+            if inner > BRACKET_VALUES:
+                cuts = [t["lo"], t["lo"], *got[f"g{j}"], t["hi"], t["hi"]] if got.get(f"g{j}") else [t["lo"], t["hi"]]
+                cells = [int(_GRID * min(max(r - below - at_lo, 0), inner - 1) / inner) for r in t["ranks"]]
+                if f"g{j}" in got:
+                    t["all"] = (t["lo"], t["hi"], inner + at_lo + at_hi)
+                    t["lo"], t["hi"] = cuts[cells[0] + 1], cuts[cells[1] + 4]
+            t["most"] = inner
+            again.append(t)
+        todo = again
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation (pandas' default) of several
+    columns: one row per (column, prob) with ``(column, prob, n, value)``."""
+    got = order_statistics(df, cols, probs)
+    return df.sparkSession.createDataFrame(
+        [(c, float(p), got[c, p].n, got[c, p].value()) for c in cols for p in probs],
+        "column string, prob double, n long, value double")
+
+
+def quantile_values(df: DataFrame, specs: dict[str, tuple[str, float]]) -> dict[str, float | None]:
+    """``{alias: quantile(column, prob)}``."""
+    got = order_statistics(df, sorted({c for c, _ in specs.values()}), sorted({p for _, p in specs.values()}))
+    return {a: got[cp].value() for a, cp in specs.items()}
 
 
 def quantile_row(df: DataFrame, specs: dict[str, tuple[str, float]]) -> DataFrame:
-    """One-row frame ``{alias: quantile(column, prob)}`` for broadcast use."""
-    cols = sorted({c for c, _ in specs.values()})
-    probs = sorted({p for _, p in specs.values()})
-    qs = exact_quantiles(df, cols, probs)
-    aggs = [F.max(F.when((F.col("column") == c) & (F.col("prob") == F.lit(float(p))),
-                         F.col("value"))).alias(a) for a, (c, p) in specs.items()]
-    return qs.agg(*aggs)
-
-
-def grouped_quantile(df: DataFrame, key: str, value: str, prob: float = 0.5,
-                     out: str = "quantile") -> DataFrame:
-    """Exact per-group quantile (linear interpolation), NULLs skipped, for
-    groups of any size: one row per group ``(key, out)``.
-
-    Equal values are counted first, so a value that a hot group repeats is one
-    row and the global sort can split every group; running counts then say
-    which one or two values hold a group's wanted places."""
-    v = (df.select(F.col(key), F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
-         .groupBy(key, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ranked = running_totals(v, [F.col(key).asc(), F.col("_v").asc()], ["_c"], row_number_col=None)
-    first = F.col("cum__c") - F.col("_c")
-    g = ranked.groupBy(key).agg(F.min(first).alias("_first"), F.sum("_c").alias("_n"))
-    pos = F.lit(float(prob)) * (F.col("_n") - 1)
-    t = (g.withColumn("_frac", pos - F.floor(pos))
-          .withColumn("_lo", F.col("_first") + F.floor(pos).cast("long"))
-          .withColumn("_hi", F.col("_first") + F.ceil(pos).cast("long")))
-    j = ranked.join(t, key)
-
-    def holds(c: str) -> Column:
-        return (first <= F.col(c)) & (F.col(c) < F.col("cum__c"))
-
-    picked = j.where(holds("_lo") | holds("_hi")).groupBy(key, "_frac").agg(
-        F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"))
-    return picked.select(key, (F.col("_vlo") + F.col("_frac") * (F.col("_vhi") - F.col("_vlo"))).alias(out))
+    """One-row frame ``{alias: quantile(column, prob)}``."""
+    got = quantile_values(df, specs)
+    return df.sparkSession.createDataFrame([tuple(got.values())], ", ".join(f"`{a}` double" for a in got))
+
+
+#: Values of a group that its sketch holds exactly.
+MEDIAN_SKETCH = 1024
+#: Half width, as a share of the group, of a larger group's first bracket.
+_NEAR = 0.02
+#: Values of one group that a task puts in order at last.
+GROUP_VALUES = 1 << 16
+#: Groups whose state is broadcast (a count decides).
+_FEW_GROUPS = 100_000
+
+
+def sketch_bounds(sketch: str, n: str) -> tuple[Column, Column, Column, Column]:
+    """From a KLL sketch of ``n`` values: the two middle values (NULL beyond
+    ``MEDIAN_SKETCH``, where a sketch starts to drop values), and a bracket of
+    the median. A rank just above one half names the upper middle value: the
+    sketch rounds ``rank * n`` up, and ``n / (4 MEDIAN_SKETCH)`` is below one."""
+    def at(rank: float) -> Column:
+        return F.when(F.col(n) > 0, F.kll_sketch_get_quantile_double(F.col(sketch), F.lit(rank)))
+
+    whole = F.col(n) <= MEDIAN_SKETCH
+    return (F.when(whole, at(0.5)), F.when(whole, at(0.5 + 1 / (4 * MEDIAN_SKETCH))), at(0.5 - _NEAR), at(0.5 + _NEAR))
+
+
+def bracket_medians(df: DataFrame, groups: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Exact medians ``(keys, median)`` of ``groups``: keys, ``n`` values, a
+    bracket ``lo, hi`` thought to hold the median, extrema ``mn, mx``.
+
+    Every round joins ``df`` with the open groups and counts, map-side combined,
+    what lies below, at the ends of and strictly inside each bracket. A place at
+    an end is resolved by counts. A bracket known to hold at most
+    ``GROUP_VALUES`` values is put in order in the same round; a larger one is
+    cut by a grid of its own sketch, a missed one starts again from the whole
+    range. The state is one row a group, checkpointed, so no round depends on
+    the ones before; a hot group's values are never in one task."""
+    rows = df.select(*keys, _value(value).alias("_v")).where("_v is not null")
+    state = materialize(groups.select(*keys, "n", "lo", "hi", "mn", "mx", F.col("n").alias("most")))
+    done = None
+    while True:
+        left = state.count()
+        if done is not None and not left:
+            return done
+        v, lo, hi = F.col("_v"), F.col("lo"), F.col("hi")
+        within = (v > lo) & (v < hi)
+        direct = F.col("most") <= GROUP_VALUES
+        grid = [g / _GRID for g in range(_GRID + 1)]
+        j = rows.join(F.broadcast(state) if left <= _FEW_GROUPS else state, keys)
+        counts = j.groupBy(*keys, "n", "lo", "hi", "mn", "mx", "most").agg(
+            F.count_if(v < lo).alias("below"), F.count_if(v == lo).alias("at_lo"), F.count_if(within).alias("inner"),
+            F.count_if((v == hi) & (v > lo)).alias("at_hi"),
+            F.sort_array(F.collect_list(F.when(within & direct, v))).alias("values"),
+            F.kll_sketch_agg_double(F.when(within & ~direct, v), F.lit(MEDIAN_SKETCH)).alias("sketch"))
+        first, last = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+        edge = F.col("below") + F.col("at_lo")
+
+        def at(rank: Column) -> Column:
+            return (F.when(rank < edge, lo).when(rank >= edge + F.col("inner"), hi)
+                    .when(direct, F.get("values", (rank - edge).cast("int"))))
+
+        held = (F.col("below") <= first) & (last < edge + F.col("inner") + F.col("at_hi"))
+        cuts = F.when(~direct & (F.col("inner") > 0),
+                      F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(g) for g in grid])))
+        seen = materialize(counts.select(*keys, "n", "mn", "mx", "lo", "hi", "inner", held.alias("held"), cuts.alias("cuts"),
+                                         F.when(held, (at(first) + at(last)) / 2).alias("median"),
+                                         (first - edge).alias("r0"), (last - edge).alias("r1")))
+        found = seen.where("median is not null").select(*keys, "median")
+        done = found if done is None else done.unionByName(found)
+
+        def cut(rank: str, side: int) -> Column:
+            cell = F.floor(F.col(rank) * _GRID / F.col("inner")) + side
+            return F.when((cell < 0) | (F.col(rank) < 0), F.col("lo")).when((cell > _GRID) | (F.col(rank) >= F.col("inner")), F.col("hi")) \
+                .otherwise(F.get("cuts", F.greatest(F.least(cell, F.lit(_GRID)), F.lit(0)).cast("int")))
+
+        state = materialize(seen.where("median is null").select(
+            *keys, "n", F.when(F.col("held"), cut("r0", -2)).otherwise(F.col("mn")).alias("lo"),
+            F.when(F.col("held"), cut("r1", 3)).otherwise(F.col("mx")).alias("hi"), "mn", "mx",
+            F.when(F.col("held"), F.col("inner")).otherwise(F.col("n")).alias("most")))
+
+
+def grouped_median(df: DataFrame, keys: list[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median of every group, of any size, NULL/NaN skipped: one row per
+    group with a value. No sort: a sketch per group, and for groups that are
+    larger than it a count inside the bracket it gives."""
+    rows = df.select(*keys, _value(value).alias("_v")).where("_v is not null")
+    s = materialize(rows.groupBy(*keys).agg(
+        F.count("_v").alias("n"), F.min("_v").alias("mn"), F.max("_v").alias("mx"),
+        F.kll_sketch_agg_double("_v", F.lit(MEDIAN_SKETCH)).alias("sketch")))
+    low, high, lo, hi = sketch_bounds("sketch", "n")
+    s = s.select(*keys, "n", "mn", "mx", ((low + high) / 2).alias(out), lo.alias("lo"), hi.alias("hi"))
+    small = s.where(F.col("n") <= MEDIAN_SKETCH).select(*keys, out)
+    large = s.where(F.col("n") > MEDIAN_SKETCH)
+    return small.unionByName(bracket_medians(rows, large, keys, "_v").select(*keys, F.col("median").alias(out)))

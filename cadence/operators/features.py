@@ -1,30 +1,32 @@
 """Observation-window behaviour features (F-1 ... F-19).
 
-Plan shape (per customer key ``k``):
-
-* one grouped aggregate over the raw log computes the RFM block, type shares,
-  weekend ratio, the early/late counts and - in the same pass - the two label
-  counts (conditional aggregates, map-side combined, so a customer with a
-  third of all rows costs one partial row per input partition); the exact
-  median is a distributed order statistic beside it, only when asked for;
-* a (k, day) pre-aggregate feeds the gap and the monthly trends: after it a
-  customer has at most one row per calendar day, so the per-customer windows
-  (lag over days, ordinal over months) are bounded by the calendar, not by the
-  customer's row count. The day table is shuffled by ``k`` once; the month
-  aggregate, both windows and the final aggregate reuse that partitioning.
+Plan shape (per customer key ``k``): one scan of the log is reduced to a
+``(k, day)`` table of mergeable parts: row counts, amount moments, extrema,
+counts per type and a bounded sketch of the amounts (partly aggregated before
+the shuffle, so a customer with a third of all rows ships one row per day and
+input partition). Everything else comes from that table: labels, RFM block,
+type shares, calendar features and the exact median. It is shuffled by ``k``
+once and sorted by day; the windows over it and the customer aggregate keep
+that order.
+
+The median is exact. A sketch holds all amounts of a customer up to
+``MEDIAN_SKETCH`` of them; customers with more get a bracket from their sketch
+and their median by counting (``functions.ordered.bracket_medians``), which
+reads the log again for those customers only.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from cadence.config import LabelRules, WindowSpec
-from cadence.functions.columns import days_between, is_weekend, lit_date, safe_ratio
-from cadence.functions.ordered import grouped_quantile
+from cadence.functions.columns import is_weekend, lit_date, safe_ratio
+from cadence.functions.ordered import MEDIAN_SKETCH, bracket_medians, sketch_bounds
 from cadence.operators.targets import in_obs, in_pred, label_columns
 
 RFM_COLS = ["tx_count", "tx_total", "tx_mean", "tx_median", "tx_std", "tx_min", "tx_max",
@@ -33,120 +35,124 @@ TAIL_COLS = ["tx_wknd_ratio", "tx_count_trend", "tx_amt_trend", "tx_max_gap", "t
 INT_COLS = {"tx_count": "long", "tx_recency": "int", "tx_span": "int", "tx_max_gap": "int"}
 
 
-def share_name(t: str) -> str:
-    """F-10 naming: ``sh_<lower(type)>`` (non-identifier characters become _)."""
-    return "sh_" + re.sub(r"[^0-9a-z_]", "_", t.lower())
+def share_names(types: Sequence[str]) -> dict[str, str]:
+    """F-10 naming: type -> ``sh_<lower(type)>`` (non-identifier characters
+    become _). Types that would share a name are numbered in their order."""
+    names: dict[str, str] = {}
+    taken: set[str] = set()
+    for t in types:
+        base = name = "sh_" + re.sub(r"[^0-9a-z_]", "_", t.lower())
+        n = 1
+        while name in taken:
+            n += 1
+            name = f"{base}_{n}"
+        taken.add(name)
+        names[t] = name
+    return names
 
 
-def tx_feature_columns(types: tuple[str, ...] | list[str]) -> list[str]:
+def tx_feature_columns(types: Sequence[str]) -> list[str]:
     """The transaction feature list in reference order (20 for four types)."""
-    return RFM_COLS + [share_name(t) for t in types] + TAIL_COLS
-
-
-def customer_aggregates(tx: DataFrame, w: WindowSpec, types, with_counts: bool = True,
-                        median: bool = True) -> DataFrame:
-    """F-1 ... F-11 and F-16 (+ T3 label counts) in one grouped aggregate; the
-    exact median, if asked for, is the order statistic of ``grouped_quantile``
-    (distinct amounts with their counts, sorted over the cluster), the same for
-    every customer."""
-    o = in_obs(w)
-    amt = F.when(o, F.col("amount"))
-    d = F.when(o, F.col("date"))
-    aggs: list[Column] = []
-    if with_counts:
-        aggs += [F.count_if(o).alias("obs_count"), F.count_if(in_pred(w)).alias("fut_count")]
-    aggs += [
-        F.count(amt).alias("tx_count"),                  # count ignores null amounts (X-8)
-        F.sum(amt).alias("tx_total"),
-        F.avg(amt).alias("tx_mean"),
-        F.stddev_samp(amt).alias("_std"),
-        F.min(amt).alias("tx_min"),
-        F.max(amt).alias("tx_max"),
-        F.min(d).alias("_first"),
-        F.max(d).alias("_last"),
-        F.count(F.when(o, F.col("type"))).alias("_n_typed"),
-        F.avg(F.when(o, is_weekend(F.col("date")).cast("double"))).alias("tx_wknd_ratio"),
-        F.count_if(o & (F.col("date") < lit_date(w.late_start))).alias("_early"),
-        F.count_if(o & (F.col("date") >= lit_date(w.late_start))).alias("_late"),
-    ]
-    aggs += [F.count_if(o & (F.col("type") == F.lit(t))).alias("_n_" + share_name(t))
-             for t in types]
-    a = tx.groupBy("customer_id").agg(*aggs)
-    if median:
-        med = grouped_quantile(tx.where(o).select("customer_id", "amount"), "customer_id", "amount",
-                               0.5, "tx_median")
-        a = a.join(med, "customer_id", "left")
-    std = F.coalesce(F.col("_std"), F.lit(0.0))
-    span = F.when(F.col("_last").isNotNull(),
-                  F.greatest(days_between(F.col("_last"), F.col("_first")), F.lit(1)))
-    late_ratio = (
-        F.when(F.col("_early") > 0,
-               (F.col("_late") / F.lit(float(w.late_periods)))
-               / (F.col("_early") / F.lit(float(w.early_periods))))
-        .when(F.col("_late") > 0, F.lit(2.0))
-        .otherwise(F.lit(0.0))
-    )
-    a = (a.withColumn("tx_std", std)
-          .withColumn("tx_cv", std / F.greatest(F.col("tx_mean"), F.lit(1.0)))
-          .withColumn("tx_recency", F.datediff(lit_date(w.obs_last_day), F.col("_last")))
-          .withColumn("tx_span", span)
-          .withColumn("tx_freq", F.col("tx_count").cast("double") / F.col("tx_span"))
-          .withColumn("tx_late_ratio", late_ratio))
-    for t in types:
-        n = share_name(t)
-        a = a.withColumn(n, safe_ratio(F.col("_n_" + n), F.col("_n_typed")))
-    return a.drop(*[c for c in a.columns if c.startswith("_")])
-
-
-def daily_activity(tx: DataFrame, w: WindowSpec) -> DataFrame:
-    """(customer, day) pre-aggregate of the observation window (map-side
-    combined, so a hot customer ships one row per day and input partition)."""
-    return (tx.where(in_obs(w))
-              .groupBy("customer_id", "date")
-              .agg(F.count(F.lit(1)).alias("n"),
-                   F.coalesce(F.sum("amount"), F.lit(0.0)).alias("amount")))
-
-
-def monthly_activity(daily: DataFrame) -> DataFrame:
-    """F-12: events and amount per (customer, month), with the largest
-    day-to-day gap inside the month (gap to the previous active day)."""
-    prev = F.lag("date").over(Window.partitionBy("customer_id").orderBy("date"))
-    d = daily.withColumn("_gap", F.datediff(F.col("date"), prev))
-    return (d.groupBy("customer_id", F.trunc("date", "MM").alias("month"))
-             .agg(F.sum("n").alias("mc"), F.sum("amount").alias("ma"),
-                  F.max("_gap").alias("_maxgap"), F.count(F.lit(1)).alias("_days"),
-                  F.max("date").alias("_last")))
-
-
-def calendar_features(monthly: DataFrame, w: WindowSpec) -> DataFrame:
-    """F-13 / F-14 / F-15 from the month table, all on one partitioning by
-    customer (the lag window, the month aggregate, the month-ordinal window
-    and this aggregate reuse a single exchange).
-
-    * trends: OLS slope over the ordinal of observed months (empty months
-      skipped, X-3); fewer than two months -> 0 (X-4); the amount slope is
-      divided by the mean monthly amount, 0 when that mean is 0;
+    return RFM_COLS + list(share_names(types).values()) + TAIL_COLS
+
+
+def daily_activity(tx: DataFrame, types: Sequence[str]) -> DataFrame:
+    """(customer, day) table of mergeable parts. Columns that no feature asks
+    for are pruned from the aggregate (the sketch, if no median is wanted)."""
+    n_amt = F.count("amount")
+    return tx.groupBy("customer_id", "date").agg(
+        F.count(F.lit(1)).alias("n"), n_amt.alias("n_amt"), F.sum("amount").alias("s"),
+        (F.var_pop("amount") * n_amt).alias("m2"), F.min("amount").alias("mn"), F.max("amount").alias("mx"),
+        F.count("type").alias("n_typed"),
+        *[F.count_if(F.col("type") == F.lit(t)).alias(f"t{i}") for i, t in enumerate(types)],
+        F.when(n_amt > 0, F.kll_sketch_agg_double("amount", F.lit(MEDIAN_SKETCH))).alias("sketch"))
+
+
+def placed_days(days: DataFrame) -> DataFrame:
+    """Adds, per customer, the previous active day, the ordinal ``x`` of the
+    month among the active months, and a centre for the variance (one sort)."""
+    own = Window.partitionBy("customer_id")
+    upto = own.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = days.withColumn("prev", F.lag("date").over(own.orderBy("date")))
+    same_month = F.coalesce(F.trunc("prev", "MM") == F.trunc("date", "MM"), F.lit(False))
+    return (d.withColumn("x", F.sum((~same_month).cast("long")).over(upto))
+            .withColumn("centre", F.sum("s").over(own) / F.nullif(F.sum("n_amt").over(own), F.lit(0))))
+
+
+def window_features(days: DataFrame, keys: list[str], o: Column, prev_in: Column, last_day: Column,
+                    late_start: Column, early_periods: Column, late_periods: Column, types: Sequence[str],
+                    extra: Sequence[Column] = ()) -> DataFrame:
+    """F-1 ... F-16 over the days ``o`` of each ``keys`` group of placed days.
+
+    * variance: day sums around the customer's centre, so large amounts do not
+      cancel;
+    * trends: OLS slope over the ordinal of active months (empty months
+      skipped, X-3) in closed form; fewer than two months -> 0 (X-4); the amount
+      slope is divided by the mean monthly amount, 0 when that mean is 0;
     * gap: one event -> days to the window end; several events -> largest
-      difference between consecutive event days (0 when all on one day, X-5).
-    """
-    x = F.row_number().over(Window.partitionBy("customer_id").orderBy("month")) - 1
-    m = monthly.withColumn("x", x.cast("double"))
-    agg = m.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("_m"),
-        F.regr_slope(F.col("mc").cast("double"), F.col("x")).alias("_cs"),
-        F.regr_slope(F.col("ma"), F.col("x")).alias("_as"),
-        F.avg("ma").alias("_am"),
-        F.sum("mc").alias("_rows"), F.sum("_days").alias("_days"),
-        F.max("_maxgap").alias("_maxgap"), F.max("_last").alias("_last"))
-    several = F.col("_m") >= 2
-    count_trend = F.when(several, F.coalesce(F.col("_cs"), F.lit(0.0))).otherwise(F.lit(0.0))
-    amt_trend = F.when(several & (F.col("_am") != 0),
-                       F.coalesce(F.col("_as"), F.lit(0.0)) / F.col("_am")).otherwise(F.lit(0.0))
-    gap = (F.when(F.col("_rows") == 1, F.datediff(lit_date(w.obs_last_day), F.col("_last")))
-            .when(F.col("_days") == 1, F.lit(0))
-            .otherwise(F.col("_maxgap")))
-    return agg.select("customer_id", count_trend.alias("tx_count_trend"),
-                      amt_trend.alias("tx_amt_trend"), gap.cast("int").alias("tx_max_gap"))
+      difference between consecutive active days (0 when all on one day, X-5).
+
+    ``tx_median`` is NULL for groups of more than ``MEDIAN_SKETCH`` amounts;
+    ``_lo``, ``_hi`` bracket it."""
+    def inside(c: str | Column) -> Column:
+        return F.when(o, F.col(c) if isinstance(c, str) else c)
+
+    x, amt = F.col("x"), F.coalesce("s", F.lit(0.0))
+    off = F.col("s") - F.col("n_amt") * F.col("centre")
+    a = days.groupBy(*keys).agg(
+        *extra,
+        F.sum(inside("n")).alias("_n"), F.sum(inside("n_amt")).alias("_na"), F.sum(inside("s")).alias("tx_total"),
+        F.sum(inside(F.col("m2") + off * off / F.nullif(F.col("n_amt"), F.lit(0)))).alias("_ss"),
+        F.sum(inside(off)).alias("_off"), F.min(inside("mn")).alias("tx_min"), F.max(inside("mx")).alias("tx_max"),
+        F.min(inside("date")).alias("_first"), F.max(inside("date")).alias("_last"),
+        F.sum(inside("n_typed")).alias("_typed"), *[F.sum(inside(f"t{i}")).alias(f"_t{i}") for i in range(len(types))],
+        F.sum(inside(F.when(is_weekend(F.col("date")), F.col("n")).otherwise(0))).alias("_wknd"),
+        F.sum(F.when(o & (F.col("date") < late_start), F.col("n"))).alias("_early"),
+        F.sum(F.when(o & (F.col("date") >= late_start), F.col("n"))).alias("_late"),
+        F.count_if(o).alias("_days"), F.max(F.when(o & prev_in, F.datediff("date", "prev"))).alias("_gap"),
+        F.min(inside("x")).alias("_x0"), F.max(inside("x")).alias("_x1"),
+        F.sum(inside(x * F.col("n"))).alias("_xn"), F.sum(inside(x * amt)).alias("_xa"), F.sum(inside(amt)).alias("_sa"),
+        F.kll_merge_agg_double(inside("sketch"), F.lit(MEDIAN_SKETCH)).alias("_sketch"),
+        F.max(last_day).alias("_end"), F.max(early_periods).alias("_ep"), F.max(late_periods).alias("_lp"))
+    na = F.coalesce("_na", F.lit(0))
+    n = na.cast("double")
+    std = F.sqrt(F.when(na >= 2, F.greatest((F.col("_ss") - F.col("_off") * F.col("_off") / n) / (n - 1), F.lit(0.0))))
+    months = (F.col("_x1") - F.col("_x0") + 1).cast("double")
+
+    def slope(xy: str, y: str) -> Column:
+        own = F.col(xy) - F.col("_x0") * F.col(y) - (months - 1) / 2 * F.col(y)
+        return F.when(months >= 2, own / (months * (months * months - 1) / 12))
+
+    early, late = F.coalesce("_early", F.lit(0)), F.coalesce("_late", F.lit(0))
+    low, high, lo, hi = sketch_bounds("_sketch", "_na")
+    a = (a.withColumn("tx_count", na).withColumn("tx_mean", F.when(na > 0, F.col("tx_total") / n))
+          .withColumn("tx_std", F.coalesce(std, F.lit(0.0)))
+          .withColumn("tx_median", (low + high) / 2).withColumn("_lo", lo).withColumn("_hi", hi)
+          .withColumn("tx_recency", F.datediff("_end", "_last"))
+          .withColumn("tx_span", F.when(F.col("_last").isNotNull(), F.greatest(F.datediff("_last", "_first"), F.lit(1))))
+          .withColumn("tx_wknd_ratio", F.col("_wknd") / F.nullif(F.col("_n").cast("double"), F.lit(0.0)))
+          .withColumn("tx_count_trend", F.coalesce(slope("_xn", "_n"), F.lit(0.0)))
+          .withColumn("tx_amt_trend", F.when(F.col("_sa") != 0, F.coalesce(
+              slope("_xa", "_sa") / (F.col("_sa") / months), F.lit(0.0))).otherwise(F.lit(0.0)))
+          .withColumn("tx_max_gap", F.when(F.col("_n") == 1, F.datediff("_end", "_last"))
+                      .when(F.col("_days") == 1, F.lit(0)).otherwise(F.col("_gap")).cast("int"))
+          .withColumn("tx_late_ratio", F.when(early > 0, (late / F.col("_lp")) / (early / F.col("_ep")))
+                      .when(late > 0, F.lit(2.0)).otherwise(F.lit(0.0))))
+    a = (a.withColumn("tx_cv", F.col("tx_std") / F.greatest(F.col("tx_mean"), F.lit(1.0)))
+          .withColumn("tx_freq", na.cast("double") / F.col("tx_span")))
+    for i, name in enumerate(share_names(types).values()):
+        a = a.withColumn(name, safe_ratio(F.col(f"_t{i}"), F.col("_typed")))
+    return a
+
+
+def exact_medians(features: DataFrame, keys: list[str], amounts: DataFrame) -> DataFrame:
+    """``features`` with the medians that their sketches do not hold, from a
+    count of ``amounts`` (keys, ``amount``) inside the groups' brackets."""
+    large = features.where(F.col("_na") > MEDIAN_SKETCH).select(
+        *keys, F.col("_na").alias("n"), F.col("_lo").alias("lo"), F.col("_hi").alias("hi"),
+        F.col("tx_min").alias("mn"), F.col("tx_max").alias("mx"))
+    counted = bracket_medians(amounts, large, keys, "amount").withColumnRenamed("median", "_counted")
+    return features.join(counted, keys, "left").withColumn("tx_median", F.coalesce("tx_median", "_counted"))
 
 
 def infer_feature_groups(df: DataFrame, ordinal: dict, nominal: list[str],
@@ -160,27 +166,31 @@ def infer_feature_groups(df: DataFrame, ordinal: dict, nominal: list[str],
             "nominal": [c for c in nominal if c in df.columns]}
 
 
-def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
+def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types: Sequence[str],
                   rules: LabelRules = LabelRules(), with_labels: bool = True,
-                  columns: list[str] | None = None) -> DataFrame:
+                  columns: list[str] | None = None, heaviest: int | None = None) -> DataFrame:
     """F-18 (+ T3-T8): one row per spine customer with the 20 transaction
     features (structural zero for customers without observation rows) and,
     when ``with_labels``, the window counts and both labels. ``columns``
-    restricts the output (and the work: e.g. no median pass when
-    ``tx_median`` is not requested)."""
+    restricts the output and the work. ``heaviest`` is a known bound on the
+    amounts of one customer: up to ``MEDIAN_SKETCH`` no second read is needed
+    for the medians; without it the customers are looked at first."""
     types = tuple(types)
     feat = tx_feature_columns(types)
     if columns is not None:
         feat = [c for c in feat if c in columns]
-    base = customer_aggregates(tx, w, types, with_counts=with_labels,
-                               median="tx_median" in feat)
-    cal = calendar_features(monthly_activity(daily_activity(tx, w)), w)
-    parts = base.join(cal, "customer_id", "left")
+    days = placed_days(daily_activity(tx, types))
+    o = in_obs(w)
+    counts = [F.sum(F.when(o, F.col("n"))).alias("obs_count"), F.sum(F.when(in_pred(w), F.col("n"))).alias("fut_count")]
+    parts = window_features(days, ["customer_id"], o, in_obs(w, F.col("prev")), lit_date(w.obs_last_day),
+                            lit_date(w.late_start), F.lit(float(w.early_periods)), F.lit(float(w.late_periods)),
+                            types, counts)
+    if "tx_median" in feat and (heaviest is None or heaviest > MEDIAN_SKETCH):
+        parts = exact_medians(parts, ["customer_id"], tx.where(o).select("customer_id", "amount"))
     count_cols = ["obs_count", "fut_count"] if with_labels else []
-    out = spine.select("customer_id").join(parts, "customer_id", "left")
-    out = out.fillna(0, subset=count_cols + feat).fillna(0.0, subset=feat)
-    out = out.select("customer_id", *count_cols,
-                     *[F.col(c).cast(INT_COLS.get(c, "double")).alias(c) for c in feat])
+    out = spine.select("customer_id").join(parts.select("customer_id", *count_cols, *feat), "customer_id", "left")
+    out = out.select("customer_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in count_cols],
+                     *[F.coalesce(F.col(c), F.lit(0)).cast(INT_COLS.get(c, "double")).alias(c) for c in feat])
     if with_labels:
         out = label_columns(out, w, rules)
         out = out.select("customer_id", "obs_count", "fut_count", "obs_monthly", "fut_monthly",
@@ -188,6 +198,6 @@ def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types,
     return out
 
 
-def transaction_features(spine: DataFrame, tx: DataFrame, w: WindowSpec, types) -> DataFrame:
+def transaction_features(spine: DataFrame, tx: DataFrame, w: WindowSpec, types: Sequence[str]) -> DataFrame:
     """The 20 transaction features alone (no labels)."""
     return customer_mart(spine, tx, w, types, with_labels=False)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from cadence.functions.ordered import quantile_row
-from cadence.operators.features import share_name
+from cadence.operators.features import share_names
 
 SIGNALS_5 = ["buy_propensity", "redemption_risk", "engagement_score", "master_signal",
              "expected_client_value"]
@@ -200,7 +200,7 @@ def feature_dictionary(spark, mart: DataFrame, types=(), attributes: DataFrame |
     """R-10: every feature of the mart, a share for each of ``types`` and every
     customer attribute included, with its mean (NULL where it is no number)."""
     entries = FEATURE_DICTIONARY + [
-        (share_name(t), f"Share of transactions of type {t}", "transactions") for t in types]
+        (name, f"Share of transactions of type {t}", "transactions") for t, name in share_names(types).items()]
     means = _feature_means(mart, [f for f, _, _ in entries if f in mart.columns])
     if attributes is not None:
         own = [f for f in attributes.schema.fields if f.name != "customer_id"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cadence.config import STABILITY_STD, Fold
 from cadence.functions.columns import lit_date
-from cadence.operators.features import share_name
+from cadence.operators.features import share_names
 
 
 def fold_table(spark: SparkSession, folds: tuple[Fold, ...], obs_start: dt.date) -> DataFrame:
@@ -61,12 +61,13 @@ def fold_frame(spark: SparkSession, tx: DataFrame, spine: DataFrame, folds: tupl
         F.col("period") < F.col("pred_end")))
     o = (F.col("period") < F.col("obs_end"))
     fu = (F.col("period") >= F.col("pred_start")) & (F.col("period") < F.col("pred_end"))
+    names = share_names(types)
     aggs = [
         F.sum(F.when(o, F.col("n"))).alias("oc"), F.sum(F.when(fu, F.col("n"))).alias("fc"),
         F.sum(F.when(o, F.col("n_amt"))).alias("tx_count"), F.sum(F.when(o, F.col("s"))).alias("tx_total"),
         F.sum(F.when(o, F.col("ss"))).alias("_ss"), F.sum(F.when(o, F.col("d"))).alias("_d"), F.max(F.when(o, F.col("last"))).alias("_last"),
         F.sum(F.when(o & F.col("type").isNotNull(), F.col("n"))).alias("_typed"),
-    ] + [F.sum(F.when(o & (F.col("type") == t), F.col("n"))).alias("_n_" + share_name(t)) for t in types]
+    ] + [F.sum(F.when(o & (F.col("type") == t), F.col("n"))).alias("_n_" + name) for t, name in names.items()]
     a = j.groupBy("fold", "customer_id").agg(*aggs)
     n, s = F.col("tx_count").cast("double"), F.col("tx_total")
     mean = F.when(n > 0, s / n)
@@ -74,14 +75,13 @@ def fold_frame(spark: SparkSession, tx: DataFrame, spine: DataFrame, folds: tupl
     a = (a.withColumn("tx_mean", mean)
           .withColumn("tx_std", F.coalesce(F.sqrt(var), F.lit(0.0))))
     a = a.withColumn("tx_cv", F.col("tx_std") / F.greatest(F.col("tx_mean"), F.lit(1.0)))
-    for t in types:
-        a = a.withColumn(share_name(t), F.when(F.col("_typed") > 0,
-                                                F.col("_n_" + share_name(t)) / F.col("_typed")))
+    for name in names.values():
+        a = a.withColumn(name, F.when(F.col("_typed") > 0, F.col("_n_" + name) / F.col("_typed")))
     sp = spine.select("customer_id").crossJoin(F.broadcast(ft))
     out = sp.join(a, ["fold", "customer_id"], "left")
     out = out.withColumn("tx_recency", F.datediff(F.date_sub(F.col("obs_end"), 1), F.col("_last")))
-    feat = ["tx_count", "tx_total", "tx_mean", "tx_std", "tx_cv", "tx_recency"] + [
-        share_name(t) for t in types]
+    feat = ["tx_count", "tx_total", "tx_mean", "tx_std", "tx_cv", "tx_recency",
+            *names.values()]
     out = out.fillna(0, subset=["oc", "fc"] + feat).fillna(0.0, subset=feat)
     om = F.col("oc") / F.col("obs_periods")
     fm = F.col("fc") / F.col("pred_periods")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadence.config import EVENTS_MAPPING, ORDERS_MAPPING, CustomerMapping
 from cadence.operators import targets as T
-from cadence.operators.features import RFM_COLS, share_name
+from cadence.operators.features import RFM_COLS, share_names
 from cadence.plans.common import mart, round_doubles
 from cadence.sources import customers, log_types, transactions
 
@@ -42,7 +42,7 @@ def _mart_cols(m, cols):
 def _type_shares(m):
     """F-10: a share column for every type of the log."""
     def query(spark, d):
-        shares = [share_name(t) for t in log_types(spark, d, m)]
+        shares = list(share_names(log_types(spark, d, m)).values())
         return round_doubles(mart(spark, d, m, shares).select("customer_id", *shares))
     return query
 

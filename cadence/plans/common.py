@@ -8,7 +8,7 @@ from pyspark.sql.types import DoubleType
 
 from cadence.config import TxMapping
 from cadence.operators.features import customer_mart
-from cadence.sources import customers, log_types, transactions
+from cadence.sources import customers, log_profile, log_types, transactions
 
 
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -20,6 +20,12 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 
 def mart(spark: SparkSession, sf_dir: str, m: TxMapping,
          columns: list[str] | None = None) -> DataFrame:
-    """Feature mart with labels for a mapping (one row per customer)."""
+    """Feature mart with labels for a mapping (one row per customer). The log
+    is read twice: for its types (and, for medians, its largest customer), and
+    for the mart."""
+    if columns is None or "tx_median" in columns:
+        types, heaviest = log_profile(spark, sf_dir, m)
+    else:
+        types, heaviest = log_types(spark, sf_dir, m), None
     return customer_mart(customers(spark, sf_dir), transactions(spark, sf_dir, m),
-                         m.windows, log_types(spark, sf_dir, m), columns=columns)
+                         m.windows, types, columns=columns, heaviest=heaviest)

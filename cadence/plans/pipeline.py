@@ -28,7 +28,7 @@ from cadence.operators import split as S
 from cadence.operators import walkforward as V
 from cadence.operators.features import customer_mart, infer_feature_groups, tx_feature_columns
 from cadence.session import materialize
-from cadence.sources import customers, load_result, log_types, save_model, save_result, transactions
+from cadence.sources import customers, load_result, log_profile, log_types, save_model, save_result, transactions
 
 SETUPS = ("Full", "Tx-strict", "Cust-only")
 
@@ -78,7 +78,8 @@ def base_frame(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     """Mart + labels + split + cleaned customer attributes, materialised."""
     m = cfg.mapping
     attrs = attributes(spark, sf_dir, cfg.customers)
-    mart = customer_mart(attrs, transactions(spark, sf_dir, m), m.windows, log_types(spark, sf_dir, m))
+    types, heaviest = log_profile(spark, sf_dir, m)
+    mart = customer_mart(attrs, transactions(spark, sf_dir, m), m.windows, types, heaviest=heaviest)
     mart = S.assign_split(mart, cfg.split, label="future_disengaged", method=cfg.split_method)
     return materialize(mart.join(attrs, "customer_id", "inner"))
 

@@ -1,8 +1,10 @@
 from cadence.sources.tables import (  # noqa: F401
     customers,
+    log_profile,
     log_types,
     raw_transactions,
     read_table,
+    source_profile,
     table_profile,
     transactions,
 )

@@ -67,14 +67,38 @@ def transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping,
     )
 
 
-def log_types(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> tuple[str, ...]:
-    """The mapping's declared types, else all types of the log (one distinct
-    over a categorical column), sorted."""
+#: Types of a log; more raise an error (each is a column of the mart).
+MAX_TYPES = 500
+
+
+def _observed(spark: SparkSession, sf_dir: str, mapping: TxMapping, obs_end: dt.date | None) -> DataFrame:
+    w = mapping.windows
+    return transactions(spark, sf_dir, mapping, w.obs_start, obs_end or w.obs_end)
+
+
+def _checked(types: list[str]) -> tuple[str, ...]:
+    if len(types) > MAX_TYPES:
+        raise ValueError(f"the log has more than {MAX_TYPES} types; group them, or name those wanted in the mapping")
+    return tuple(sorted(types))
+
+
+def log_types(spark: SparkSession, sf_dir: str, mapping: TxMapping, obs_end: dt.date | None = None) -> tuple[str, ...]:
+    """The mapping's declared types, else all types of the observation window
+    (to ``obs_end``), sorted."""
     if mapping.types is not None:
         return tuple(mapping.types)
-    t = F.col(mapping.type).cast("string").alias("type")
-    rows = read_table(spark, sf_dir, mapping.table, mapping.format).select(t).where("type is not null").distinct().collect()
-    return tuple(sorted(r[0] for r in rows))
+    rows = (_observed(spark, sf_dir, mapping, obs_end).select("type").where("type is not null").distinct()
+            .limit(MAX_TYPES + 1).collect())
+    return _checked([r[0] for r in rows])
+
+
+def log_profile(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> tuple[tuple[str, ...], int]:
+    """:func:`log_types` and a bound on the observed amounts of one customer
+    (the largest count of a customer and type, times the types), in one read."""
+    per = _observed(spark, sf_dir, mapping, None).groupBy("customer_id", "type").agg(F.count("amount").alias("n"))
+    rows = per.groupBy("type").agg(F.max("n").alias("n")).limit(MAX_TYPES + 2).collect()
+    found = _checked([r["type"] for r in rows if r["type"] is not None])
+    return tuple(mapping.types or found), sum(r["n"] for r in rows)
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> DataFrame:
@@ -140,5 +164,18 @@ def table_profile(df: DataFrame, date_col: str | None = None) -> DataFrame:
     """S-3: one row with row count, column count and date range."""
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).alias("n_cols")]
     if date_col:
-        aggs += [F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date")]
+        aggs += [F.min(date_col).cast("date").alias("min_date"), F.max(date_col).cast("date").alias("max_date")]
     return df.agg(*aggs)
+
+
+def source_profile(spark: SparkSession, sf_dir: str, mapping: TxMapping,
+                   customer: CustomerMapping | None = None) -> DataFrame:
+    """S-3 for both source tables as they are, with all their columns: one row
+    per table."""
+    log = read_table(spark, sf_dir, mapping.table, mapping.format)
+    who = read_table(spark, sf_dir, customer.table if customer else "customer", customer.format if customer else "parquet")
+    none = F.lit(None).cast("date")
+    return (table_profile(log, mapping.date).select(F.lit(mapping.table).alias("table_name"), "*")
+            .unionByName(table_profile(who).select(F.lit(customer.table if customer else "customer").alias("table_name"), "*",
+                                                   none.alias("min_date"), none.alias("max_date"))))
+
