@@ -78,6 +78,10 @@ def _value(c: str) -> Column:
     return F.when(~F.isnan(v), v)
 
 
+def _sql(x: float) -> str:
+    return f"{x!r}D" if np.isfinite(x) else f"double('{x}')"
+
+
 @dataclass
 class OrderStatistic:
     """Neighbours of a quantile's place: values at its floor and ceiling."""
@@ -109,10 +113,10 @@ def order_statistics(df: DataFrame, cols: list[str], probs: list[float]) -> dict
     the values."""
     vals = df.select(*[_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
     eps = 2.0 / _ACCURACY
-    grid = [x for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps))]
-    first = vals.agg(*[e for i in range(len(cols)) for e in (
-        F.count(f"v{i}").alias(f"n{i}"), F.min(f"v{i}").alias(f"lo{i}"), F.max(f"v{i}").alias(f"hi{i}"),
-        F.percentile_approx(f"v{i}", grid, _ACCURACY).alias(f"q{i}"))]).first()
+    grid = ", ".join(f"{x!r}D" for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps)))
+    first = vals.agg(*[F.expr(e) for i in range(len(cols)) for e in (
+        f"count(v{i}) AS n{i}", f"min(v{i}) AS lo{i}", f"max(v{i}) AS hi{i}",
+        f"percentile_approx(v{i}, array({grid}), {_ACCURACY}) AS q{i}")]).first()
     out: dict[tuple[str, float], OrderStatistic] = {}
     todo: list[dict] = []
     for i, c in enumerate(cols):
@@ -123,23 +127,22 @@ def order_statistics(df: DataFrame, cols: list[str], probs: list[float]) -> dict
             if n:
                 lo, hi = first[f"q{i}"][2 * k:2 * k + 2]
                 # the approximation is off by n / _ACCURACY places at most
-                todo.append({"at": out[c, p], "v": F.col(f"v{i}"), "lo": lo, "hi": hi, "most": int(n * (2 * eps + 2 / _ACCURACY)) + 2,
+                todo.append({"at": out[c, p], "v": f"v{i}", "lo": lo, "hi": hi, "most": int(n * (2 * eps + 2 / _ACCURACY)) + 2,
                              "ranks": (int(np.floor(pos)), int(np.ceil(pos))), "all": (first[f"lo{i}"], first[f"hi{i}"], n)})
+    steps = ", ".join(f"{g / _GRID}D" for g in range(_GRID + 1))
     while todo:
         aggs = []
         for j, t in enumerate(todo):
-            v, lo, hi = t["v"], F.lit(t["lo"]), F.lit(t["hi"])
-            within = (v > lo) & (v < hi)
-            below, at_lo, inner = F.count_if(v < lo), F.count_if(v == lo), F.count_if(within)
-            aggs += [below.alias(f"b{j}"), at_lo.alias(f"l{j}"), inner.alias(f"i{j}"),
-                     F.count_if((v == hi) & (v > lo)).alias(f"h{j}")]
+            v, lo, hi = t["v"], _sql(t["lo"]), _sql(t["hi"])
+            within = f"{v} > {lo} AND {v} < {hi}"
+            below, at_lo = f"count_if({v} < {lo})", f"count_if({v} = {lo})"
+            aggs += [f"{below} AS b{j}", f"{at_lo} AS l{j}", f"count_if({within}) AS i{j}", f"count_if({v} = {hi} AND {v} > {lo}) AS h{j}"]
             if t["most"] <= BRACKET_VALUES:
-                ordered = F.sort_array(F.collect_list(F.when(within, v)))
-                place = [F.lit(r) - below - at_lo for r in t["ranks"]]
-                aggs += [F.get(ordered, F.when(x >= 0, x).otherwise(-1).cast("int")).alias(f"{e}{j}") for e, x in zip("xy", place, strict=True)]
+                held = f"sort_array(collect_list(CASE WHEN {within} THEN {v} END))"
+                aggs += [f"get({held}, CAST(greatest({r} - {below} - {at_lo}, -1) AS INT)) AS {e}{j}" for e, r in zip("xy", t["ranks"], strict=True)]
             else:
-                aggs.append(F.percentile_approx(F.when(within, v), [g / _GRID for g in range(_GRID + 1)], _ACCURACY).alias(f"g{j}"))
-        got = vals.agg(*aggs).first().asDict()
+                aggs.append(f"percentile_approx(CASE WHEN {within} THEN {v} END, array({steps}), {_ACCURACY}) AS g{j}")
+        got = vals.agg(*map(F.expr, aggs)).first().asDict()
         again = []
         for j, t in enumerate(todo):
             below, at_lo, inner, at_hi = (got[f"{e}{j}"] for e in "blih")

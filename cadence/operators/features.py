@@ -75,13 +75,13 @@ def placed_days(days: DataFrame) -> DataFrame:
     upto = own.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = days.withColumn("prev", F.lag("date").over(own.orderBy("date")))
     same_month = F.coalesce(F.trunc("prev", "MM") == F.trunc("date", "MM"), F.lit(False))
-    return (d.withColumn("x", F.sum((~same_month).cast("long")).over(upto))
-            .withColumn("centre", F.sum("s").over(own) / F.nullif(F.sum("n_amt").over(own), F.lit(0))))
+    return d.withColumns({"x": F.sum((~same_month).cast("long")).over(upto),
+                          "centre": F.sum("s").over(own) / F.nullif(F.sum("n_amt").over(own), F.lit(0))})
 
 
 def window_features(days: DataFrame, keys: list[str], o: Column, prev_in: Column, last_day: Column,
                     late_start: Column, early_periods: Column, late_periods: Column, types: Sequence[str],
-                    extra: Sequence[Column] = ()) -> DataFrame:
+                    counts: dict[str, Column] | None = None) -> DataFrame:
     """F-1 ... F-16 over the days ``o`` of each ``keys`` group of placed days.
 
     * variance: day sums around the customer's centre, so large amounts do not
@@ -92,15 +92,16 @@ def window_features(days: DataFrame, keys: list[str], o: Column, prev_in: Column
     * gap: one event -> days to the window end; several events -> largest
       difference between consecutive active days (0 when all on one day, X-5).
 
-    ``tx_median`` is NULL for groups of more than ``MEDIAN_SKETCH`` amounts;
+    ``counts`` names further row counts by their condition. ``tx_median`` is NULL for groups of more than ``MEDIAN_SKETCH`` amounts;
     ``_lo``, ``_hi`` bracket it."""
     def inside(c: str | Column) -> Column:
         return F.when(o, F.col(c) if isinstance(c, str) else c)
 
     x, amt = F.col("x"), F.coalesce("s", F.lit(0.0))
     off = F.col("s") - F.col("n_amt") * F.col("centre")
+    counts = counts or {}
     a = days.groupBy(*keys).agg(
-        *extra,
+        *[F.sum(F.when(c, F.col("n"))).alias(name) for name, c in counts.items()],
         F.sum(inside("n")).alias("_n"), F.sum(inside("n_amt")).alias("_na"), F.sum(inside("s")).alias("tx_total"),
         F.sum(inside(F.col("m2") + off * off / F.nullif(F.col("n_amt"), F.lit(0)))).alias("_ss"),
         F.sum(inside(off)).alias("_off"), F.min(inside("mn")).alias("tx_min"), F.max(inside("mx")).alias("tx_max"),
@@ -125,24 +126,24 @@ def window_features(days: DataFrame, keys: list[str], o: Column, prev_in: Column
 
     early, late = F.coalesce("_early", F.lit(0)), F.coalesce("_late", F.lit(0))
     low, high, lo, hi = sketch_bounds("_sketch", "_na")
-    a = (a.withColumn("tx_count", na).withColumn("tx_mean", F.when(na > 0, F.col("tx_total") / n))
-          .withColumn("tx_std", F.coalesce(std, F.lit(0.0)))
-          .withColumn("tx_median", (low + high) / 2).withColumn("_lo", lo).withColumn("_hi", hi)
-          .withColumn("tx_recency", F.datediff("_end", "_last"))
-          .withColumn("tx_span", F.when(F.col("_last").isNotNull(), F.greatest(F.datediff("_last", "_first"), F.lit(1))))
-          .withColumn("tx_wknd_ratio", F.col("_wknd") / F.nullif(F.col("_n").cast("double"), F.lit(0.0)))
-          .withColumn("tx_count_trend", F.coalesce(slope("_xn", "_n"), F.lit(0.0)))
-          .withColumn("tx_amt_trend", F.when(F.col("_sa") != 0, F.coalesce(
-              slope("_xa", "_sa") / (F.col("_sa") / months), F.lit(0.0))).otherwise(F.lit(0.0)))
-          .withColumn("tx_max_gap", F.when(F.col("_n") == 1, F.datediff("_end", "_last"))
-                      .when(F.col("_days") == 1, F.lit(0)).otherwise(F.col("_gap")).cast("int"))
-          .withColumn("tx_late_ratio", F.when(early > 0, (late / F.col("_lp")) / (early / F.col("_ep")))
-                      .when(late > 0, F.lit(2.0)).otherwise(F.lit(0.0))))
-    a = (a.withColumn("tx_cv", F.col("tx_std") / F.greatest(F.col("tx_mean"), F.lit(1.0)))
-          .withColumn("tx_freq", na.cast("double") / F.col("tx_span")))
-    for i, name in enumerate(share_names(types).values()):
-        a = a.withColumn(name, safe_ratio(F.col(f"_t{i}"), F.col("_typed")))
-    return a
+    total, end, last = F.col("tx_total"), F.col("_end"), F.col("_last")
+    mean = F.when(na > 0, total / n)
+    std = F.coalesce(std, F.lit(0.0))
+    span = F.when(last.isNotNull(), F.greatest(F.datediff(last, F.col("_first")), F.lit(1)))
+    amt_slope = slope("_xa", "_sa") / (F.col("_sa") / months)
+    return a.select(
+        *keys, *counts, "tx_total", "tx_min", "tx_max", "_na", na.alias("tx_count"), mean.alias("tx_mean"), std.alias("tx_std"),
+        ((low + high) / 2).alias("tx_median"), lo.alias("_lo"), hi.alias("_hi"),
+        (std / F.greatest(mean, F.lit(1.0))).alias("tx_cv"),
+        F.datediff(end, last).alias("tx_recency"), span.alias("tx_span"), (n / span).alias("tx_freq"),
+        *[safe_ratio(F.col(f"_t{i}"), F.col("_typed")).alias(name) for i, name in enumerate(share_names(types).values())],
+        (F.col("_wknd") / F.nullif(F.col("_n").cast("double"), F.lit(0.0))).alias("tx_wknd_ratio"),
+        F.coalesce(slope("_xn", "_n"), F.lit(0.0)).alias("tx_count_trend"),
+        F.when(F.col("_sa") != 0, F.coalesce(amt_slope, F.lit(0.0))).otherwise(F.lit(0.0)).alias("tx_amt_trend"),
+        F.when(F.col("_n") == 1, F.datediff(end, last)).when(F.col("_days") == 1, F.lit(0))
+        .otherwise(F.col("_gap")).cast("int").alias("tx_max_gap"),
+        F.when(early > 0, (late / F.col("_lp")) / (early / F.col("_ep"))).when(late > 0, F.lit(2.0))
+        .otherwise(F.lit(0.0)).alias("tx_late_ratio"))
 
 
 def exact_medians(features: DataFrame, keys: list[str], amounts: DataFrame) -> DataFrame:
@@ -181,10 +182,9 @@ def customer_mart(spine: DataFrame, tx: DataFrame, w: WindowSpec, types: Sequenc
         feat = [c for c in feat if c in columns]
     days = placed_days(daily_activity(tx, types))
     o = in_obs(w)
-    counts = [F.sum(F.when(o, F.col("n"))).alias("obs_count"), F.sum(F.when(in_pred(w), F.col("n"))).alias("fut_count")]
     parts = window_features(days, ["customer_id"], o, in_obs(w, F.col("prev")), lit_date(w.obs_last_day),
                             lit_date(w.late_start), F.lit(float(w.early_periods)), F.lit(float(w.late_periods)),
-                            types, counts)
+                            types, {"obs_count": o, "fut_count": in_pred(w)})
     if "tx_median" in feat and (heaviest is None or heaviest > MEDIAN_SKETCH):
         parts = exact_medians(parts, ["customer_id"], tx.where(o).select("customer_id", "amount"))
     count_cols = ["obs_count", "fut_count"] if with_labels else []

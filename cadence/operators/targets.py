@@ -45,20 +45,18 @@ def spine_fill(spine: DataFrame, parts: DataFrame, cols: list[str]) -> DataFrame
 
 def label_columns(df: DataFrame, w: WindowSpec, rules: LabelRules = LabelRules()) -> DataFrame:
     """T5-T8 on a frame with ``obs_count`` and ``fut_count``."""
-    obs_m = F.col("obs_count").cast("double") / F.lit(float(w.obs_periods))
-    fut_m = F.col("fut_count").cast("double") / F.lit(float(w.pred_periods))
-    df = df.withColumn("obs_monthly", obs_m).withColumn("fut_monthly", fut_m)
+    df = df.withColumns({"obs_monthly": F.col("obs_count").cast("double") / F.lit(float(w.obs_periods)),
+                         "fut_monthly": F.col("fut_count").cast("double") / F.lit(float(w.pred_periods))})
     ratio = (
         F.when(F.col("obs_monthly") > 0, F.col("fut_monthly") / F.col("obs_monthly"))
         .when(F.col("fut_count") > 0, F.lit(1.0))
         .otherwise(F.lit(0.0))
     )
-    df = df.withColumn("activity_ratio", ratio)
-    diseng = (F.col("fut_count") == 0) | (F.col("activity_ratio") < F.lit(rules.disengage_ratio))
+    diseng = (F.col("fut_count") == 0) | (ratio < F.lit(rules.disengage_ratio))
     growth = (F.col("fut_monthly") >= F.lit(rules.growth_factor) * F.col("obs_monthly")) | (
         (F.col("obs_monthly") == 0) & (F.col("fut_count") > 0))
-    return (df.withColumn("future_disengaged", diseng.cast("int"))
-              .withColumn("future_growth", growth.cast("int")))
+    return df.withColumns({"activity_ratio": ratio, "future_disengaged": diseng.cast("int"),
+                           "future_growth": growth.cast("int")})
 
 
 def labels(spine: DataFrame, tx: DataFrame, w: WindowSpec,
