@@ -2,25 +2,31 @@
 
 * Linear model: closed form ``coef_j * (x_j - mean_j)`` with the background
   mean of the training rows (MLlib ``Summarizer``) - pure column expressions.
-* Tree ensembles: path attribution. The fitted trees (a bounded structure:
-  trees x nodes) are read once into a node table and broadcast; each Arrow
-  batch of rows walks all trees in NumPy inside ``mapInPandas`` and credits
-  every split with the change of the node value along the row's path. The
-  contributions plus the bias add up to the model's margin (boosted trees) or
-  probability (forests).
+* Tree ensembles: path-dependent Shapley values. The nodes of the fitted trees
+  are read as a table from the saved model; every leaf becomes a product of one
+  condition per feature, whose Shapley values have a closed form by a
+  polynomial. Arrow batches of rows are explained in ``mapInPandas`` against
+  the broadcast leaves.
 
 Every row handed in is explained.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from cadence.session import ensure_checkpoint_dir
+
 TOP = 20
 
 
@@ -42,75 +48,120 @@ def _long(arr: DataFrame, names: list[str], key: str) -> DataFrame:
                       .alias("z")).select(key, "z.feature", "z.contribution")
 
 
-def _tree_nodes(java_tree, value_of) -> list[tuple]:
-    """Flatten one MLlib tree: (node, feature, threshold, left, right, value)."""
-    out: list[list] = []
-
-    def walk(node) -> int:
-        idx = len(out)
-        out.append([idx, -1, 0.0, -1, -1, value_of(node)])
-        if node.getClass().getSimpleName() == "InternalNode":
-            split = node.split()
-            out[idx][1] = int(split.featureIndex())
-            out[idx][2] = float(split.threshold())
-            out[idx][3] = walk(node.leftChild())
-            out[idx][4] = walk(node.rightChild())
-        return idx
-
-    walk(java_tree.rootNode())
-    return [tuple(r) for r in out]
-
-
-def tree_table(model) -> tuple[list[np.ndarray], np.ndarray, bool]:
-    """Node arrays per tree, tree weights and whether values are margins."""
-    java = model._java_obj
-    trees = java.trees()
-    weights = np.array(list(model.treeWeights), dtype=float)
-    is_gbt = java.getClass().getSimpleName().startswith("GBT")
-
-    def reg_value(node):
-        return float(node.prediction())
-
-    def cls_value(node):
-        st = list(node.impurityStats().stats())
-        tot = sum(st)
-        return float(st[1] / tot) if tot > 0 and len(st) > 1 else 0.0
-
-    value_of = reg_value if is_gbt else cls_value
-    tables = [np.array(_tree_nodes(t, value_of), dtype=float) for t in trees]
-    if not is_gbt:
-        weights = weights / weights.sum()
-    return tables, weights, is_gbt
+def node_table(model, spark: SparkSession) -> DataFrame:
+    """The nodes of a fitted tree ensemble as a table: ``tree, node, feature,
+    threshold, left, right, cover`` (weight of the training rows that reached
+    the node), ``value`` and the tree's ``weight``. Read from the saved model.
+    Values are margins (boosted trees) or probabilities of class 1 (forests);
+    the trees' weighted values add up to those of the model."""
+    path = f"{ensure_checkpoint_dir(spark)}/trees-{uuid.uuid4().hex}"
+    model.write().save(path)
+    boosted = isinstance(model, GBTClassificationModel)
+    stats = F.col("nodeData.impurityStats")
+    total = F.aggregate(stats, F.lit(0.0), lambda x, y: x + y)
+    value = F.col("nodeData.prediction") if boosted else F.when(total > 0, stats[1] / total).otherwise(0.0)
+    weights = [float(w) for w in model.treeWeights]
+    if not boosted:
+        weights = [w / sum(weights) for w in weights]
+    per_tree = spark.createDataFrame(list(enumerate(weights)), "treeID int, weight double")
+    split = F.col("nodeData.split")
+    return spark.read.parquet(f"{path}/data").join(F.broadcast(per_tree), "treeID").select(
+        F.col("treeID").alias("tree"), F.col("nodeData.id").alias("node"), split["featureIndex"].alias("feature"),
+        split["numCategories"].alias("categories"),
+        F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"), F.col("nodeData.leftChild").alias("left"),
+        F.col("nodeData.rightChild").alias("right"), (stats[0] if boosted else total).alias("cover"),
+        value.alias("value"), "weight")
+
+
+@dataclass
+class Leaf:
+    """A leaf with the conditions of its path, one a feature: ``low < x <=
+    high``, met by the share ``met`` of the training rows on the way."""
+
+    value: float
+    features: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    met: np.ndarray
+
+
+def leaves(nodes: list[Row]) -> list[Leaf]:
+    """All leaves of a node table; a value is the leaf's times its tree's weight."""
+    at = {(r["tree"], r["node"]): r for r in nodes}
+    if any(r["left"] >= 0 and r["categories"] >= 0 for r in nodes):
+        raise ValueError("categorical splits are not explained")
+    found = []
+    pending = [(r, {}) for (_, node), r in sorted(at.items()) if node == 0]
+    while pending:
+        r, path = pending.pop()
+        if r["left"] < 0:
+            own = sorted(path)
+            low, high, met = (np.array([path[f][i] for f in own], float) for i in range(3))
+            found.append(Leaf(r["value"] * r["weight"], np.array(own, int), low, high, met))
+            continue
+        f, cut = r["feature"], r["threshold"]
+        low, high, met = path.get(f, (-np.inf, np.inf, 1.0))
+        for child, bounds in ((r["left"], (low, min(high, cut))), (r["right"], (max(low, cut), high))):
+            c = at[r["tree"], child]
+            share = c["cover"] / r["cover"] if r["cover"] else 0.0
+            pending.append((c, path | {f: (*bounds, met * share)}))
+    return found
+
+
+def leaf_shapley(leaf: Leaf, met: np.ndarray) -> np.ndarray:
+    """Shapley values of one leaf's features for patterns ``met`` (a row per
+    pattern, a column per feature: whether the condition holds).
+
+    A coalition sees the leaf's value times, for each feature, whether its
+    condition holds (known features) or the share of training rows that met it
+    (others). The sum over coalitions of each size is a coefficient of the
+    product of ``share + holds * t`` over the other features, so the cost is
+    polynomial in the number of features on the path."""
+    m = len(leaf.features)
+    weight = np.array([math.factorial(s) * math.factorial(m - 1 - s) / math.factorial(m) for s in range(m)])
+    out = np.empty(met.shape)
+    for j in range(m):
+        poly = np.zeros((len(met), m))
+        poly[:, 0] = 1.0
+        for k in range(m):
+            if k != j:
+                grown = poly * leaf.met[k]
+                grown[:, 1:] += poly[:, :-1] * met[:, k:k + 1]
+                poly = grown
+        out[:, j] = leaf.value * (met[:, j] - leaf.met[j]) * (poly @ weight)
+    return out
+
+
+def shapley_values(trees: list[Leaf], x: np.ndarray) -> tuple[np.ndarray, float]:
+    """Path-dependent Shapley values of the rows ``x`` and the mean value that
+    they start from."""
+    out = np.zeros(x.shape)
+    for leaf in trees:
+        if not len(leaf.features):
+            continue
+        own = x[:, leaf.features]
+        holds = ~(own <= leaf.low) & ((own <= leaf.high) | np.isinf(leaf.high))  # a NaN goes right, as in the model
+        # few patterns occur; each is solved once
+        bit = np.arange(len(leaf.features))
+        codes, which = np.unique(holds @ (1 << bit), return_inverse=True)
+        out[:, leaf.features] += leaf_shapley(leaf, (codes[:, None] >> bit & 1).astype(float))[which]
+    return out, float(sum(leaf.value * leaf.met.prod() for leaf in trees))
 
 
 def tree_attribution(model, rows: DataFrame, names: list[str], key: str = "customer_id") -> DataFrame:
-    """Long format (key, feature, contribution) plus a ``_bias_`` row per key."""
-    tables, weights, _ = tree_table(model)
+    """Long format (key, feature, contribution) plus a ``_bias_`` row per key:
+    path-dependent Shapley values, which add up to the model's margin (boosted
+    trees) or probability (forests). The leaves of the fitted trees are
+    broadcast; their number is bounded by the model's parameters."""
     spark = rows.sparkSession
-    bc = spark.sparkContext.broadcast((tables, weights))
+    sent = spark.sparkContext.broadcast(leaves(node_table(model, spark).collect()))
     nf = len(names)
     src = rows.select(key, vector_to_array("features").alias("x"))
 
     def run(batches):
-        tabs, w = bc.value
         for pdf in batches:
-            X = np.vstack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, nf))
-            contrib = np.zeros((len(pdf), nf))
-            bias = np.zeros(len(pdf))
-            for t, wt in zip(tabs, w):
-                node = np.zeros(len(pdf), dtype=int)
-                bias += wt * t[0, 5]
-                while True:
-                    feat = t[node, 1].astype(int)
-                    internal = feat >= 0
-                    if not internal.any():
-                        break
-                    rows_i = np.nonzero(internal)[0]
-                    f = feat[rows_i]
-                    go_left = X[rows_i, f] <= t[node[rows_i], 2]
-                    child = np.where(go_left, t[node[rows_i], 3], t[node[rows_i], 4]).astype(int)
-                    np.add.at(contrib, (rows_i, f), wt * (t[child, 5] - t[node[rows_i], 5]))
-                    node[rows_i] = child
+            x = np.vstack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, nf))
+            contrib, bias = shapley_values(sent.value, x)
             yield pd.DataFrame({key: pdf[key].to_numpy(), "c": list(contrib), "bias": bias})
 
     kind = rows.schema[key].dataType.simpleString()

@@ -9,7 +9,6 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass, field
 
-from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -346,8 +345,8 @@ def save_run(run: ModelRun, out_dir: str) -> dict[str, str]:
         paths[f"model_growth_{setup}_{algo}"] = save_model(
             fitted.model, os.path.join(out_dir, "models", "growth", setup, algo))
     cr, cb = run.calibrators()
-    paths["calibrator_risk"] = save_model(cr, os.path.join(out_dir, "models", "calibrator", "risk"))
-    paths["calibrator_growth"] = save_model(cb, os.path.join(out_dir, "models", "calibrator", "growth"))
+    paths["calibrator_risk"] = cr.save(os.path.join(out_dir, "models", "calibrator", "risk"))
+    paths["calibrator_growth"] = cb.save(os.path.join(out_dir, "models", "calibrator", "growth"))
     pre = {f"{s}:{lab}": run.prepared(s, lab)[2].to_json()
            for s, lab in [(s, "future_disengaged") for s in SETUPS] + [("Tx-strict", "future_growth")]}
     meta = run.spark.createDataFrame(list(pre.items()), "setup string, preprocessor string")
@@ -386,7 +385,7 @@ class SavedRun:
             x = pre.transform(frame.withColumn("label", F.lit(0.0)), keep=["customer_id", "label"])
             fitted = M.Fitted(setup, algo, self.model(which, setup, algo), pre.output_names)
             scored = M.predict(fitted, P.assemble(x, pre.output_names))
-            calibrator = IsotonicRegressionModel.load(os.path.join(self.out_dir, "models", "calibrator", which))
+            calibrator = C.IsotonicModel.load(self.spark, os.path.join(self.out_dir, "models", "calibrator", which))
             one = C.apply_isotonic(calibrator, _calib_input(fitted, scored), "cal_x").select(
                 "customer_id", F.col("calibrated").alias(name))
             out = one if out is None else out.join(one, "customer_id")

@@ -161,3 +161,50 @@ def test_evaluation_table_matches_single_runs(spark):
 def test_string_keys_and_ties(spark):
     df = spark.createDataFrame([(f"C{i:02d}", int(i < 2), 0.5) for i in range(20)], "customer_id string, label int, score double")
     assert E.top_decile(df).first()["precision_at_k"] == 1.0
+
+
+def mllib_isotonic(df):
+    from pyspark.ml.regression import IsotonicRegression
+    pts = df.groupBy(F.col("score").alias("x")).agg(F.avg(F.col("label").cast("double")).alias("y"),
+                                                    F.count(F.lit(1)).cast("double").alias("w"))
+    m = IsotonicRegression(featuresCol="x", labelCol="y", weightCol="w").fit(pts)
+    return m.boundaries.toArray(), m.predictions.toArray()
+
+
+@pytest.mark.parametrize("kind", ["ties", "distinct", "falling", "separated"])
+def test_isotonic_over_ranges_equals_mllib(spark, kind):
+    rng = np.random.default_rng(12)
+    x = rng.random(4000)
+    y = (rng.random(4000) < x).astype(int)
+    if kind == "ties":
+        x = np.round(x, 2)
+    if kind == "falling":
+        y = 1 - y
+    if kind == "separated":
+        y = (x > 0.5).astype(int)
+    df = spark.createDataFrame(list(zip(x.tolist(), y.tolist(), strict=True)), "score double, label int")
+    at, value = C.fit_isotonic(df, range_points=150).knots()  # many ranges, several rounds
+    b, p = mllib_isotonic(df)
+    grid = np.concatenate((x, np.linspace(-0.2, 1.2, 500)))
+    assert np.interp(grid, at, value) == pytest.approx(np.interp(grid, b, p), abs=1e-12)
+
+
+def test_isotonic_of_a_million_scores(spark):
+    df = spark.range(1_000_000).select(((F.col("id") * 7919 % 1_000_003) / 1_000_003).alias("score"),
+                                       (F.pmod(F.xxhash64("id"), F.lit(1000)) / 1000 < (F.col("id") * 7919 % 1_000_003) / 1_000_003)
+                                       .cast("int").alias("label"))
+    at, value = C.fit_isotonic(df).knots()
+    b, p = mllib_isotonic(df)
+    grid = np.linspace(0, 1, 20_000)
+    assert np.interp(grid, at, value) == pytest.approx(np.interp(grid, b, p), abs=1e-9)
+    assert len(at) < 5000
+
+
+def test_isotonic_edge_rows(spark):
+    df = spark.createDataFrame([(None, 1), (float("nan"), 1), (0.5, None), (0.2, 0), (0.8, 1)], "score double, label int")
+    m = C.fit_isotonic(df)
+    assert m.knots()[0].tolist() == [0.2, 0.8]
+    got = [r["calibrated"] for r in C.apply_isotonic(m, df.orderBy("score")).collect()]
+    assert sum(x is None for x in got) >= 1
+    empty = C.fit_isotonic(df.limit(0))
+    assert all(r["calibrated"] is None for r in C.apply_isotonic(empty, df).collect())

@@ -72,3 +72,60 @@ def test_linear_attribution(spark, planted):
     total = {r["customer_id"]: r["s"] for r in long.groupBy("customer_id").agg(F.sum("contribution").alias("s")).collect()}
     for r in f.model.transform(rows).select("customer_id", vector_to_array("rawPrediction")[1].alias("m")).collect():
         assert total[r["customer_id"]] + base == pytest.approx(r["m"], abs=1e-9)
+
+
+def brute_shapley(nodes, x, n_features):
+    """All coalitions: the expected value of the trees when only the features of the coalition are known."""
+    from itertools import combinations
+    from math import factorial
+    at = {(r["tree"], r["node"]): r for r in nodes}
+
+    def value(r, known):
+        if r["left"] < 0:
+            return r["value"]
+        left, right = at[r["tree"], r["left"]], at[r["tree"], r["right"]]
+        if r["feature"] in known:
+            return value(left if x[r["feature"]] <= r["threshold"] else right, known)
+        return (left["cover"] * value(left, known) + right["cover"] * value(right, known)) / r["cover"]
+
+    def total(known):
+        return sum(r["weight"] * value(r, known) for (_, n), r in at.items() if n == 0)
+
+    out = []
+    for j in range(n_features):
+        others = [f for f in range(n_features) if f != j]
+        out.append(sum(factorial(k) * factorial(n_features - 1 - k) / factorial(n_features) * (total({*c, j}) - total(set(c)))
+                       for k in range(n_features) for c in combinations(others, k)))
+    return out, total(set())
+
+
+@pytest.mark.parametrize("algo", ["GBT", "RF"])
+def test_tree_attribution_equals_brute_force_shapley(spark, algo):
+    from cadence.operators import attribution as A
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(300, 4)), 1)
+    y = ((x[:, 0] * x[:, 1] > 0) ^ (x[:, 2] > 0.8)).astype(float)
+    df = spark.createDataFrame([(i, *map(float, r), float(c)) for i, (r, c) in enumerate(zip(x, y, strict=True))],
+                               "customer_id long, a double, b double, c double, d double, label double")
+    df = VectorAssembler(inputCols=list("abcd"), outputCol="features").transform(df)
+    f = M.fit(df, algo, ModelParams(rf_trees=6, rf_depth=6, rf_min_leaf=2, gbt_rounds=5, gbt_subsample=1.0, gbt_colsample=1.0),
+              names=list("abcd"))
+    nodes = A.node_table(f.model, spark).collect()
+    assert max(r["feature"] for r in nodes) >= 2
+    got = {}
+    for r in A.tree_attribution(f.model, df.where("customer_id < 25"), list("abcd")).collect():
+        got.setdefault(r["customer_id"], {})[r["feature"]] = r["contribution"]
+    for i in range(25):
+        want, base = brute_shapley(nodes, x[i], 4)
+        assert [got[i][n] for n in "abcd"] == pytest.approx(want, abs=1e-9)
+        assert got[i]["_bias_"] == pytest.approx(base, abs=1e-9)
+
+
+def test_shapley_of_missing_values_and_single_leaves():
+    from cadence.operators import attribution as A
+    leaf = A.Leaf(2.0, np.array([0]), np.array([-np.inf]), np.array([1.0]), np.array([0.25]))
+    other = A.Leaf(6.0, np.array([0]), np.array([1.0]), np.array([np.inf]), np.array([0.75]))
+    alone = A.Leaf(3.0, np.array([], int), np.array([]), np.array([]), np.array([]))
+    phi, base = A.shapley_values([leaf, other, alone], np.array([[0.5], [2.0], [np.nan]]))
+    assert base == 8.0
+    assert phi[:, 0].tolist() == [-3.0, 1.0, 1.0]
