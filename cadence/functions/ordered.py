@@ -11,10 +11,11 @@ partition is an ordinary partitioned window.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from cadence.session import ensure_checkpoint_dir, materialize
@@ -27,9 +28,11 @@ def _sum_type(t: str) -> str:
 
 
 def running_totals(df: DataFrame, order: list[Column], sum_cols: list[str],
-                   prefix: str = "cum_", row_number_col: str | None = "row_no") -> DataFrame:
+                   prefix: str = "cum_", row_number_col: str | None = "row_no",
+                   next_cols: Sequence[str] = ()) -> DataFrame:
     """Append inclusive running sums ``prefix+c`` for each ``c`` in
-    ``sum_cols`` and (optionally) a 1-based global row number, in the order
+    ``sum_cols``, (optionally) a 1-based global row number, and ``next_+c``, the
+    value of the following row, for each ``c`` in ``next_cols``, in the order
     ``order``. Use a total order (add a unique tie-breaker) when the row number
     or a per-row running sum must be deterministic."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -42,24 +45,32 @@ def running_totals(df: DataFrame, order: list[Column], sum_cols: list[str],
     # One row per partition (bounded by the partition count, as in RDD.zipWithIndex):
     # exclusive prefix sums over partitions become a broadcast offset table.
     part_tot = ranked.groupBy("_part").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in sum_cols]).collect()
-    acc = {k: 0 for k in ["_n"] + [f"_t_{c}" for c in sum_cols]}
+        F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in sum_cols],
+        *[F.min_by(c, "_pos").alias(f"_f_{c}") for c in next_cols]).collect()
+    types = {f.name: f.dataType.simpleString() for f in ranked.schema.fields}
+    acc = {"_n": 0} | {f"_t_{c}": 0 if _sum_type(types[c]) == "long" else 0.0 for c in sum_cols}
     rows = []
-    for r in sorted(part_tot, key=lambda r: r["_part"]):
-        rows.append(tuple([r["_part"], acc["_n"]] + [acc[f"_t_{c}"] for c in sum_cols]))
+    parts = sorted(part_tot, key=lambda r: r["_part"])
+    for r, after in zip(parts, [*parts[1:], None], strict=True):
+        rows.append((r["_part"], acc["_n"], *[acc[f"_t_{c}"] for c in sum_cols],
+                     *[after and after[f"_f_{c}"] for c in next_cols]))
         for k in acc:
             acc[k] += r[k] or 0
-    types = {f.name: f.dataType.simpleString() for f in ranked.schema.fields}
-    schema = ", ".join(["_part int", "_o_n long"] + [f"_o_{c} {_sum_type(types[c])}" for c in sum_cols])
+    schema = ", ".join(["_part int", "_o_n long"] + [f"_o_{c} {_sum_type(types[c])}" for c in sum_cols]
+                       + [f"_a_{c} {types[c]}" for c in next_cols])
     offsets = df.sparkSession.createDataFrame(rows, schema)
     within = Window.partitionBy("_part").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     out = ranked.join(F.broadcast(offsets), "_part")
     for c in sum_cols:
         out = out.withColumn(prefix + c, F.col(f"_o_{c}") + F.sum(c).over(within))
+    if next_cols:
+        follows = Window.partitionBy("_part").orderBy("_pos")
+        last = F.lead(F.lit(1)).over(follows).isNull()
+        out = out.withColumns({f"next_{c}": F.when(last, F.col(f"_a_{c}")).otherwise(F.lead(c).over(follows)) for c in next_cols})
     if row_number_col:
         out = out.withColumn(row_number_col, F.col("_o_n") + F.col("_pos") + F.lit(1))
-    return out.drop("_part", "_pos", "_o_n", *[f"_o_{c}" for c in sum_cols])
+    return out.drop("_part", "_pos", "_o_n", *[f"_o_{c}" for c in sum_cols], *[f"_a_{c}" for c in next_cols])
 
 
 def global_row_number(df: DataFrame, order: list[Column], col: str = "row_no") -> DataFrame:
@@ -99,8 +110,32 @@ class OrderStatistic:
         return float(lo if lo == hi else lo + self.frac * (hi - lo))
 
 
-def order_statistics(df: DataFrame, cols: list[str], probs: list[float]) -> dict[tuple[str, float], OrderStatistic]:
+_EPS = 2.0 / _ACCURACY
+
+
+def value_columns(cols: Sequence[str]) -> list[Column]:
+    """The columns as ``v0, v1, ...``: DOUBLE, NaN as NULL."""
+    return [_value(c).alias(f"v{i}") for i, c in enumerate(cols)]
+
+
+def first_brackets(n_cols: int, probs: Sequence[float]) -> list[Column]:
+    """Aggregates of :func:`order_statistics`' first read, over ``v0, v1, ...``."""
+    grid = ", ".join(f"{x!r}D" for p in probs for x in (max(0.0, p - _EPS), min(1.0, p + _EPS)))
+    return [F.expr(e) for i in range(n_cols) for e in (
+        f"count(v{i}) AS n{i}", f"min(v{i}) AS lo{i}", f"max(v{i}) AS hi{i}",
+        f"percentile_approx(v{i}, array({grid}), {_ACCURACY}) AS q{i}")]
+
+
+def _interpolated(p: float, n: int) -> float:
+    return p * (n - 1)
+
+
+def order_statistics(df: DataFrame, cols: Sequence[str], probs: Sequence[float], first: Row | None = None,
+                     place: Callable[[float, int], float] = _interpolated) -> dict[tuple[str, float], OrderStatistic]:
     """The two order statistics of every (column, prob), NULL/NaN skipped.
+    ``place(prob, n)`` is the wanted place among ``n`` values, from 0 (that of a
+    linear quantile by default); ``first`` may bring the row of
+    :func:`first_brackets`, read along with something else.
 
     One aggregate brackets every wanted place between two values of
     ``percentile_approx``. The next one counts what lies below a bracket, *at*
@@ -111,23 +146,20 @@ def order_statistics(df: DataFrame, cols: list[str], probs: list[float]) -> dict
     that same aggregate; more are cut by a grid of their own percentiles and
     counted again. The driver gets counts, grid points and the results, never
     the values."""
-    vals = df.select(*[_value(c).alias(f"v{i}") for i, c in enumerate(cols)])
-    eps = 2.0 / _ACCURACY
-    grid = ", ".join(f"{x!r}D" for p in probs for x in (max(0.0, p - eps), min(1.0, p + eps)))
-    first = vals.agg(*[F.expr(e) for i in range(len(cols)) for e in (
-        f"count(v{i}) AS n{i}", f"min(v{i}) AS lo{i}", f"max(v{i}) AS hi{i}",
-        f"percentile_approx(v{i}, array({grid}), {_ACCURACY}) AS q{i}")]).first()
+    vals = df.select(*value_columns(cols))
+    if first is None:
+        first = vals.agg(*first_brackets(len(cols), probs)).first()
     out: dict[tuple[str, float], OrderStatistic] = {}
     todo: list[dict] = []
     for i, c in enumerate(cols):
         n = first[f"n{i}"]
         for k, p in enumerate(probs):
-            pos = p * (n - 1) if n else 0.0
+            pos = place(p, n) if n else 0.0
             out[c, p] = OrderStatistic(n, None, None, pos - np.floor(pos))
             if n:
                 lo, hi = first[f"q{i}"][2 * k:2 * k + 2]
                 # the approximation is off by n / _ACCURACY places at most
-                todo.append({"at": out[c, p], "v": f"v{i}", "lo": lo, "hi": hi, "most": int(n * (2 * eps + 2 / _ACCURACY)) + 2,
+                todo.append({"at": out[c, p], "v": f"v{i}", "lo": lo, "hi": hi, "most": int(n * (2 * _EPS + 2 / _ACCURACY)) + 4,
                              "ranks": (int(np.floor(pos)), int(np.ceil(pos))), "all": (first[f"lo{i}"], first[f"hi{i}"], n)})
     steps = ", ".join(f"{g / _GRID}D" for g in range(_GRID + 1))
     while todo:

@@ -29,14 +29,15 @@ def score_table(df: DataFrame, label: str = "label", score: str = "score",
 
 
 def cumulative_scores(df: DataFrame, label: str = "label", score: str = "score",
-                      by: list[str] | None = None) -> DataFrame:
+                      by: list[str] | None = None, following: bool = False) -> DataFrame:
     """Score table with running ``cum_pos``/``cum_neg`` by descending score,
     restarted in each group of ``by``: groups follow each other in the order, so
-    a group's offset is the smallest sum in front of one of its rows."""
+    a group's offset is the smallest sum in front of one of its rows. With
+    ``following``, each row also has the next one's ``next_pos, next_neg``."""
     by = by or []
     t = score_table(df, label, score, by)
     c = running_totals(t, [*[F.col(g).asc() for g in by], F.col("score").desc()],
-                       ["pos", "neg"], row_number_col=None)
+                       ["pos", "neg"], row_number_col=None, next_cols=["pos", "neg"] if following else ())
     if not by:
         return c
     offs = c.groupBy(*_group(by)).agg(F.min(F.col("cum_pos") - F.col("pos")).alias("_op"),
@@ -277,10 +278,14 @@ def setup_comparison(evaluation: DataFrame, full: str = "Full", tx: str = "Tx-st
 
 
 def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """H-1: (fpr, tpr) at every distinct score, plus the origin."""
-    c = cumulative_scores(df, label, score)
+    """H-1: the origin and the (fpr, tpr) at which the curve turns. A distinct
+    score whose step has the direction of the next one lies on the line between
+    its neighbours and is left out; the polyline stays the same."""
+    c = cumulative_scores(df, label, score, following=True)
     tot = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    pts = c.crossJoin(F.broadcast(tot)).select(
+    exact = {x: F.col(x).cast("decimal(19,0)") for x in ("pos", "neg", "next_pos", "next_neg")}
+    straight = exact["pos"] * exact["next_neg"] == exact["neg"] * exact["next_pos"]
+    pts = c.where(~F.coalesce(straight, F.lit(False))).crossJoin(F.broadcast(tot)).select(
         F.col("score").alias("threshold"),
         _ratio(F.col("cum_neg"), F.col("N")).alias("fpr"),
         _ratio(F.col("cum_pos"), F.col("P")).alias("tpr"))
@@ -289,10 +294,14 @@ def roc_points(df: DataFrame, label: str = "label", score: str = "score") -> Dat
 
 
 def pr_points(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
-    """H-2: (recall, precision) at every distinct score, plus (0, 1)."""
-    c = cumulative_scores(df, label, score)
+    """H-2: (recall, precision) at the distinct scores, plus (0, 1), without
+    those inside a straight piece: neither its step nor the next one has a
+    positive (recall stands still), or all rows so far and next are positive
+    (precision stays 1)."""
+    c = cumulative_scores(df, label, score, following=True)
     tot = c.agg(F.sum("pos").alias("P"))
-    pts = c.crossJoin(F.broadcast(tot)).select(
+    straight = ((F.col("pos") == 0) & (F.col("next_pos") == 0)) | (F.col("cum_neg") + F.col("next_neg") == 0)
+    pts = c.where(~F.coalesce(straight, F.lit(False))).crossJoin(F.broadcast(tot)).select(
         F.col("score").alias("threshold"),
         _ratio(F.col("cum_pos"), F.col("P")).alias("recall"),
         _ratio(F.col("cum_pos"), F.col("cum_pos") + F.col("cum_neg")).alias("precision"))

@@ -50,8 +50,9 @@ def hidden_gems(signals: DataFrame, n: int = 100) -> DataFrame:
 
 
 def _display(c: str):
-    """Number shown by size: ``1,234`` above 100, else three decimals."""
-    v = F.col(c).cast("double")
+    """Number shown by size: ``1,234`` above 100, else three decimals. The noise
+    of a sum (beyond six decimals) does not decide how a half is rounded."""
+    v = F.round(F.col(c).cast("double"), 6)
     return F.when(v > 100, F.format_number(F.round(v, 0), 0)).otherwise(
         F.format_string("%.3f", F.round(v, 3)))
 
@@ -69,8 +70,13 @@ def drilldown_table(signals: DataFrame, mart: DataFrame) -> DataFrame:
 
 
 def client_drilldown(signals: DataFrame, mart: DataFrame, client_id: str) -> DataFrame:
-    """G-17: one client looked up by its key as a string."""
-    return drilldown_table(signals, mart).where(F.col("client_id") == F.lit(str(client_id)))
+    """G-17: one client looked up by its key as a string. The string is turned
+    into the key's own type, so that both inputs are filtered by a literal that
+    reaches their scans; one that is no such key finds nothing."""
+    kind = signals.schema["customer_id"].dataType
+    key = signals.sparkSession.range(1).select(F.lit(str(client_id)).try_cast(kind).alias("k")).first()["k"]
+    own = F.col("customer_id") == F.lit(key).cast(kind)
+    return drilldown_table(signals.where(own), mart.where(own)).where(F.col("client_id") == F.lit(str(client_id)))
 
 
 def interpretation(signals: DataFrame, p: SignalParams = SignalParams()) -> DataFrame:

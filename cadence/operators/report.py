@@ -1,63 +1,96 @@
 """Chart data and report aggregates (H-3 ... H-7, R-1 ... R-10).
 
-Charts are re-aimed as small aggregate tables: binning is an expression on
-per-series min/max (a grouped one-row-per-series aggregate joined back), so
-no chart ever needs the rows on the driver.
+Charts are re-aimed as small aggregate tables: binning is an expression on the
+extrema of each series (one broadcast row a series), so no chart needs the rows
+on the driver or shuffled by series.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
-from cadence.functions.ordered import quantile_row
+from cadence.functions.ordered import first_brackets, order_statistics, quantile_row, quantile_values, value_columns
 from cadence.operators.features import share_names
 
 SIGNALS_5 = ["buy_propensity", "redemption_risk", "engagement_score", "master_signal",
              "expected_client_value"]
 
 
-def histogram(df: DataFrame, col: str, bins: int = 30, by: str | None = None) -> DataFrame:
-    """H-3: equal-width bins over each series' own min/max (last bin closed,
-    X-22), NULLs dropped; count and density per non-empty bin. A constant
-    series spans [x - 0.5, x + 0.5]."""
+#: Series of a histogram; their extrema are one broadcast row each. More raise an error.
+MAX_SERIES = 10_000
+
+
+def histograms(df: DataFrame, cols: list[str], bins: int = 30, by: str | None = None,
+               clip_q: float | None = None) -> DataFrame:
+    """H-3 / H-4 / H-7: equal-width bins of several columns over each series'
+    own min/max (last bin closed, X-22), NULLs dropped, optionally clipped at
+    the column's (exact, linear) quantile first; ``feature, series, bin, bin_lo,
+    bin_hi, count, density`` of non-empty bins. A constant series spans
+    [x - 0.5, x + 0.5].
+
+    One read finds the extrema of all columns and series (and the brackets of
+    the clip points), one counts inside the brackets if there is a clip, one
+    counts all bins; rows are counted where they are. The extrema of a clipped
+    series follow from the raw ones, since clipping keeps the order."""
     series = F.col(by).cast("string") if by else F.lit("all")
-    d = df.select(series.alias("series"), F.col(col).cast("double").alias("x")).where(
-        F.col("x").isNotNull())
-    st = d.groupBy("series").agg(F.min("x").alias("mn"), F.max("x").alias("mx"),
-                                 F.count(F.lit(1)).alias("n"))
-    lo = F.when(F.col("mx") == F.col("mn"), F.col("mn") - 0.5).otherwise(F.col("mn"))
-    hi = F.when(F.col("mx") == F.col("mn"), F.col("mx") + 0.5).otherwise(F.col("mx"))
-    st = st.select("series", "n", lo.alias("lo"), hi.alias("hi"))
-    j = d.join(st, "series")   # one row per series: AQE broadcasts it when it is small
-    b = F.least(F.floor((F.col("x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo"))),
-                F.lit(bins - 1)).cast("int")
-    w = (F.col("hi") - F.col("lo")) / bins
-    h = j.groupBy("series", b.alias("bin"), "lo", "hi", "n").agg(F.count(F.lit(1)).alias("count"))
-    return h.select("series", "bin", (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
-                    (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"), "count",
-                    (F.col("count") / (F.col("n") * w)).alias("density"))
+    d = df.select(series.alias("series"), *value_columns(cols))
+    rows = (d.rollup("series").agg(F.grouping_id().alias("whole"), *first_brackets(len(cols), [clip_q or 0.5]))
+            .limit(MAX_SERIES + 3).collect())
+    if sum(not r["whole"] and r["series"] is not None for r in rows) > MAX_SERIES:
+        raise ValueError(f"{by} has more than {MAX_SERIES} series")
+    total = next((r for r in rows if r["whole"]), None)
+    most: dict[str, float | None] = {}
+    if clip_q and total is not None:
+        most = {c: s.value() for (c, _), s in order_statistics(df, cols, [clip_q], total).items()}
+    spans = []
+    for r in rows:
+        own = []
+        for i, c in enumerate(cols):
+            lo, hi, cut = r[f"lo{i}"], r[f"hi{i}"], most.get(c)
+            if cut is not None and lo is not None:
+                lo, hi = min(lo, cut), min(hi, cut)
+            if lo is not None and lo == hi:
+                lo, hi = lo - 0.5, hi + 0.5
+            own.append((lo, hi, r[f"n{i}"]))
+        if not r["whole"] and r["series"] is not None:
+            spans.append((r["series"], own))
+    st = df.sparkSession.createDataFrame(spans, "series string, spans array<struct<lo:double,hi:double,n:long>>")
+    j = d.join(F.broadcast(st), "series")
+
+    def placed(i: int, c: str) -> Column:
+        x = F.col(f"v{i}") if most.get(c) is None else F.least(F.col(f"v{i}"), F.lit(most[c]))
+        span = F.col("spans")[i]
+        b = F.least(F.floor((x - span["lo"]) * bins / (span["hi"] - span["lo"])), F.lit(bins - 1)).cast("int")
+        return F.when(F.col(f"v{i}").isNotNull(), F.struct(F.lit(i).alias("i"), b.alias("bin")))
+
+    cells = j.select("series", F.explode(F.array(*[placed(i, c) for i, c in enumerate(cols)])).alias("p")).where("p is not null")
+    counts = cells.groupBy("series", "p.i", "p.bin").agg(F.count(F.lit(1)).alias("count"))
+    h = counts.join(F.broadcast(st), "series").withColumn("s", F.col("spans")[F.col("i")])
+    w = (F.col("s.hi") - F.col("s.lo")) / bins
+    return h.select(F.array(*[F.lit(c) for c in cols])[F.col("i")].alias("feature"), "series", "bin",
+                    (F.col("s.lo") + F.col("bin") * w).alias("bin_lo"), (F.col("s.lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
+                    "count", (F.col("count") / (F.col("s.n") * w)).alias("density"))
+
+
+def histogram(df: DataFrame, col: str, bins: int = 30, by: str | None = None) -> DataFrame:
+    """H-3 of one column."""
+    return histograms(df, [col], bins, by).drop("feature")
 
 
 def clip_upper(df: DataFrame, col: str, q: float = 0.99) -> DataFrame:
     """H-4: clip a column at its (exact, linear) quantile over all rows; NULL
     stays NULL."""
-    qr = quantile_row(df, {"_clip": (col, q)})
-    return df.crossJoin(F.broadcast(qr)).withColumn(
-        col, F.when(F.col(col).isNotNull(), F.least(F.col(col), F.col("_clip")))).drop("_clip")
+    most = F.lit(quantile_values(df, {"most": (col, q)})["most"]).cast("double")
+    return df.withColumn(col, F.when(F.col(col).isNotNull(), F.least(F.col(col), most)))
 
 
 def class_histograms(df: DataFrame, cols: list[str], label: str, bins: int = 30,
                      clip_q: float | None = 0.99) -> DataFrame:
     """H-7: per-class histograms of several columns (optionally clipped at
     the 99th percentile first), long format with a ``feature`` column."""
-    out = None
-    for c in cols:
-        src = clip_upper(df, c, clip_q) if clip_q else df
-        h = histogram(src, c, bins, by=label).select(F.lit(c).alias("feature"), "*")
-        out = h if out is None else out.unionByName(h)
-    return out
+    return histograms(df, cols, bins, label, clip_q)
 
 
 def density_grid(df: DataFrame, x: str, y: str, gridsize: int = 40) -> DataFrame:

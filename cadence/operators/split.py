@@ -2,9 +2,8 @@
 
 The default is a hash bucket of the key: no shuffle, reproducible in any
 engine, and independent of the label, hence stratified in expectation. The
-``exact`` method gives exact per-class proportions through a distributed
-rank within each class (no per-class window, which would put a whole class
-in one task).
+``exact`` method gives exact per-class proportions: each class is cut at order
+statistics of the key's hash, which are found by counting.
 """
 
 from __future__ import annotations
@@ -13,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadence.config import SplitSpec
-from cadence.functions.ordered import running_totals
+from cadence.functions.ordered import order_statistics
+from cadence.session import materialize
 
 
 def hash_bucket(key: Column, seed: int, buckets: int = 100) -> Column:
@@ -22,24 +22,61 @@ def hash_bucket(key: Column, seed: int, buckets: int = 100) -> Column:
     return (h.cast("long") % F.lit(buckets)).cast("int")
 
 
-def _label_fraction(df: DataFrame, label: str, key: str, seed: int) -> DataFrame:
-    """Position within the class / class size, order (hash, key)."""
-    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8),
-               16, 10).cast("long")
-    base = df.withColumn("_h", h)
-    ranked = running_totals(base, [F.col(label).asc(), F.col("_h").asc(), F.col(key).asc()], [],
-                            row_number_col="_rn")
-    # one row per class (a bounded table): class sizes and start offsets
-    counts = sorted(base.groupBy(label).agg(F.count(F.lit(1)).alias("_nc")).collect(),
-                    key=lambda r: r[label])
-    rows, acc = [], 0
-    for r in counts:
-        rows.append((r[label], r["_nc"], acc))
-        acc += r["_nc"]
-    ltype = base.schema[label].dataType.simpleString()
-    starts = df.sparkSession.createDataFrame(rows, f"{label} {ltype}, _nc long, _st long")
-    out = ranked.join(F.broadcast(starts), label)
-    return out.withColumn("_frac", (F.col("_rn") - F.col("_st") - 1) / F.col("_nc"))
+#: Classes of an exact stratified split (each is a few literals); more raise an error.
+MAX_CLASSES = 1000
+
+
+def _hash32(key: str, seed: int) -> Column:
+    return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+
+
+def _inside(pct: int, n: int) -> int:
+    """How many places ``i`` of ``n`` have ``i / n < pct / 100``."""
+    k = -(-n * pct // 100)
+    while k > 0 and (k - 1) / n >= pct / 100.0:
+        k -= 1
+    while k < n and k / n < pct / 100.0:
+        k += 1
+    return k
+
+
+def _class_cuts(df: DataFrame, label: str, key: str, seed: int, pcts: tuple[int, ...]) -> list[Column]:
+    """For each of ``pcts``, whether a row is among that share of its class in
+    the order (hash, key). Each class is cut at one order statistic of the hash;
+    rows that tie with it (32 bits: a few) are cut by their key. The condition
+    is made of literals, so no row is sorted or moved."""
+    own = materialize(df.select(F.col(label).alias("_y"), F.col(key).alias("_k"), _hash32(key, seed).alias("_h")))
+    sizes = own.groupBy("_y").agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(sizes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    kind = df.schema[label].dataType
+    is_class = [F.col("_y").eqNullSafe(F.lit(r["_y"]).cast(kind)) for r in sizes]
+    wide = own.select("_k", *[F.when(c, F.col("_h")).alias(f"c{i}") for i, c in enumerate(is_class)])
+    names = [f"c{i}" for i in range(len(sizes))]
+    got = order_statistics(wide, names, [p / 100.0 for p in pcts],
+                           place=lambda p, n: min(_inside(round(p * 100), n), n - 1)) if sizes else {}
+    cuts = {(c, p): int(got[c, p / 100.0].low) for c in names for p in pcts}
+    ties = wide.agg(*[e for (c, p), h in cuts.items() for e in (
+        F.count_if(F.col(c) < h).alias(f"b_{c}_{p}"), F.count_if(F.col(c) == h).alias(f"t_{c}_{p}"))]).first() if cuts else {}
+    out = []
+    for pct in pcts:
+        taken = F.lit(False)
+        for i, r in enumerate(sizes):
+            c, k = f"c{i}", _inside(pct, r["n"])
+            h, need = cuts[c, pct], k - ties[f"b_{c}_{pct}"]
+            hashed = _hash32(key, seed)
+            if k >= r["n"]:
+                inside = F.lit(True)
+            elif need <= 0:
+                inside = hashed < h
+            elif need >= ties[f"t_{c}_{pct}"]:
+                inside = hashed <= h
+            else:
+                first_out = wide.where(F.col(c) == h).orderBy("_k").offset(need).limit(1).first()["_k"]
+                inside = (hashed < h) | ((hashed == h) & (F.col(key) < F.lit(first_out)))
+            taken = F.when(F.col(label).eqNullSafe(F.lit(r["_y"]).cast(kind)), inside).otherwise(taken)
+        out.append(taken)
+    return out
 
 
 def assign_split(df: DataFrame, spec: SplitSpec = SplitSpec(), key: str = "customer_id",
@@ -53,10 +90,8 @@ def assign_split(df: DataFrame, spec: SplitSpec = SplitSpec(), key: str = "custo
     if method == "exact":
         if label is None:
             raise ValueError("exact stratification needs a label")
-        f = _label_fraction(df, label, key, spec.seed)
-        s = (F.when(F.col("_frac") < tr / 100.0, "train")
-             .when(F.col("_frac") < va / 100.0, "val").otherwise("test"))
-        return f.withColumn("split", s).drop("_h", "_rn", "_nc", "_st", "_frac")
+        in_train, in_val = _class_cuts(df, label, key, spec.seed, (tr, va))
+        return df.withColumn("split", F.when(in_train, "train").when(in_val, "val").otherwise("test"))
     raise ValueError(f"unknown split method {method!r}")
 
 

@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from cadence.config import STABILITY_STD, Fold
 from cadence.functions.columns import lit_date
-from cadence.operators.features import share_names
+from cadence.functions.ordered import MEDIAN_SKETCH
+from cadence.operators.features import (
+    INT_COLS, daily_activity, exact_medians, placed_days, share_names, tx_feature_columns, window_features,
+)
 
 
 def fold_table(spark: SparkSession, folds: tuple[Fold, ...], obs_start: dt.date) -> DataFrame:
@@ -95,6 +98,44 @@ def fold_frame(spark: SparkSession, tx: DataFrame, spine: DataFrame, folds: tupl
                       label.alias("future_disengaged"))
 
 
+def full_fold_frame(spark: SparkSession, tx: DataFrame, spine: DataFrame, folds: tuple[Fold, ...],
+                    obs_start: dt.date, types, disengage_ratio: float = 0.20,
+                    heaviest: int | None = None) -> DataFrame:
+    """V-2 / V-3 with all transaction features (D-7): one row per (fold,
+    customer) with the features of the mart - median, trends, gap and late ratio
+    included - over the fold's window, and its disengagement label.
+
+    One (customer, day) table serves all folds: their windows start together,
+    so a day's predecessor and the ordinal of its month are the same in each,
+    and only the last aggregate is by fold. The late part of a window is the
+    last third of its days. ``heaviest`` as in ``customer_mart``."""
+    late = [(f.fold, f.obs_end - dt.timedelta(days=(f.obs_end - obs_start).days // 3), 2.0 * f.obs_periods / 3,
+             f.obs_periods / 3) for f in folds]
+    ft = fold_table(spark, folds, obs_start).join(F.broadcast(spark.createDataFrame(
+        late, "fold int, late_start date, early_periods double, late_periods double")), "fold")
+    tx = tx.where(F.col("date") >= lit_date(obs_start))
+    days = placed_days(daily_activity(tx, types))
+    j = days.join(F.broadcast(ft), F.col("date") < F.col("pred_end"))
+    o = F.col("date") < F.col("obs_end")
+    ahead = (F.col("date") >= F.col("pred_start")) & (F.col("date") < F.col("pred_end"))
+    keys = ["fold", "customer_id"]
+    a = window_features(j, keys, o, F.col("prev").isNotNull(), F.date_sub("obs_end", 1), F.col("late_start"),
+                        F.col("early_periods"), F.col("late_periods"), types, {"obs_count": o, "fut_count": ahead})
+    if heaviest is None or heaviest > MEDIAN_SKETCH:
+        amounts = tx.join(F.broadcast(ft), F.col("date") < F.col("obs_end")).select(*keys, "amount")
+        a = exact_medians(a, keys, amounts)
+    feat = tx_feature_columns(types)
+    sp = spine.select("customer_id").crossJoin(F.broadcast(ft.select("fold", "obs_periods", "pred_periods")))
+    out = sp.join(a.select(*keys, "obs_count", "fut_count", *feat), keys, "left")
+    out = out.select(*keys, "obs_periods", "pred_periods",
+                     *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("obs_count", "fut_count")],
+                     *[F.coalesce(F.col(c), F.lit(0)).cast(INT_COLS.get(c, "double")).alias(c) for c in feat])
+    om, fm = F.col("obs_count") / F.col("obs_periods"), F.col("fut_count") / F.col("pred_periods")
+    ratio = F.when(om > 0, fm / om).when(F.col("fut_count") > 0, 1.0).otherwise(0.0)
+    label = ((F.col("fut_count") == 0) | (ratio < disengage_ratio)).cast("int")
+    return out.select(*keys, "obs_count", "fut_count", *feat, label.alias("future_disengaged"))
+
+
 def fold_labels_summary(ff: DataFrame, ft: DataFrame) -> DataFrame:
     """V-5: per fold the window labels (``%b``) and the target rate."""
     lab = ff.groupBy("fold").agg(F.avg(F.col("future_disengaged").cast("double")).alias("target_rate"))

@@ -96,6 +96,12 @@ def _profile(spark, d):
     return table_profile(raw_transactions(spark, d, ORDERS_MAPPING), "date")
 
 
+def _source_profile(spark, d):
+    """S-3 on both source tables with all their columns."""
+    from cadence.sources import source_profile
+    return source_profile(spark, d, ORDERS_MAPPING)
+
+
 def _window_rows(spark, d):
     """T1 / T2: log rows in the observation and prediction windows."""
     w = ORDERS_MAPPING.windows
@@ -115,6 +121,7 @@ def _setup_rows(setup):
 def quality_split_queries():
     return {
         "s3_table_profile": _profile,
+        "s3_source_profile": _source_profile,
         "t1_t2_window_rows": _window_rows,
         "f19_tx_strict_rows": _setup_rows("Tx-strict"),
         "f19_cust_only_rows": _setup_rows("Cust-only"),

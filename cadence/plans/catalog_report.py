@@ -13,7 +13,7 @@ from cadence.operators.quality import clean_customers
 from cadence.operators.split import hash_bucket
 from cadence.plans.common import round_doubles
 from cadence.session import materialize
-from cadence.sources import customers, log_types, transactions
+from cadence.sources import customers, log_profile, log_types, transactions
 
 BEHAVIOUR = RK.BEHAVIOUR_COLS
 
@@ -25,7 +25,15 @@ def _r(f):
 def fold_frame(spark, d):
     m = ORDERS_MAPPING
     return V.fold_frame(spark, transactions(spark, d, m), customers(spark, d), ORDERS_FOLDS,
-                        ORDERS_FOLDS_START, log_types(spark, d, m))
+                        ORDERS_FOLDS_START, log_types(spark, d, m, max(f.obs_end for f in ORDERS_FOLDS)))
+
+
+def full_fold_frame(spark, d):
+    """V-2 with every transaction feature, five overlapping windows at once."""
+    m = ORDERS_MAPPING
+    types, heaviest = log_profile(spark, d, m, max(f.obs_end for f in ORDERS_FOLDS))
+    return V.full_fold_frame(spark, transactions(spark, d, m), customers(spark, d), ORDERS_FOLDS,
+                             ORDERS_FOLDS_START, types, heaviest=heaviest)
 
 
 def _fold_table(spark, d):
@@ -121,6 +129,7 @@ def report_queries():
     return {
         "v1_fold_table": _fold_table,
         "v2_v3_fold_frame": _r(fold_frame),
+        "v2_full_fold_frame": _r(full_fold_frame),
         "v4_fold_results_standin": _r(fold_results),
         "v5_fold_labels": _r(_fold_labels),
         "v6_v7_fold_stability": _r(lambda s, d: V.fold_stability(fold_results(s, d))),

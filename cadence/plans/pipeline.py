@@ -6,6 +6,7 @@ plus walk-forward validation. Frames reused by several jobs are checkpointed
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 from dataclasses import dataclass, field
 
@@ -40,6 +41,8 @@ class RunConfig:
     signal: SignalParams = field(default_factory=SignalParams)
     split: SplitSpec = field(default_factory=SplitSpec)
     folds: tuple = ORDERS_FOLDS
+    folds_start: dt.date = ORDERS_FOLDS_START  # first day that the folds observe
+    fold_features: str = "subset"   # "full": every transaction feature in each fold (D-7)
     wf_rounds: int = 200
     select_on: str = "val"          # D-2: "test" reproduces the reference's growth pick
     parallelism: int = 4            # concurrent independent fits (driver threads)
@@ -271,8 +274,17 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     """V-4: per fold, median-impute + standardise on the fold's train part and
     fit boosted trees (``wf_rounds``); evaluate on its 20 % hold-out."""
     m = cfg.mapping
-    ff = materialize(V.fold_frame(spark, transactions(spark, sf_dir, m), customers(spark, sf_dir, cfg.customers),
-                                  cfg.folds, ORDERS_FOLDS_START, log_types(spark, sf_dir, m)))
+    if not cfg.folds:
+        raise ValueError("the walk-forward needs folds")
+    last = max(f.obs_end for f in cfg.folds)
+    log = transactions(spark, sf_dir, m, cfg.folds_start, max(f.pred_end for f in cfg.folds))
+    who = customers(spark, sf_dir, cfg.customers)
+    if cfg.fold_features == "full":
+        types, heaviest = log_profile(spark, sf_dir, m, last)
+        ff = V.full_fold_frame(spark, log, who, cfg.folds, cfg.folds_start, types, heaviest=heaviest)
+    else:
+        ff = V.fold_frame(spark, log, who, cfg.folds, cfg.folds_start, log_types(spark, sf_dir, m, last))
+    ff = materialize(ff)
     feat = [c for c in ff.columns if c not in ("fold", "customer_id", "obs_count", "fut_count",
                                                 "future_disengaged")]
     params = ModelParams(**{**cfg.params.__dict__, "gbt_rounds": cfg.wf_rounds})

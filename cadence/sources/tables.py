@@ -92,10 +92,11 @@ def log_types(spark: SparkSession, sf_dir: str, mapping: TxMapping, obs_end: dt.
     return _checked([r[0] for r in rows])
 
 
-def log_profile(spark: SparkSession, sf_dir: str, mapping: TxMapping) -> tuple[tuple[str, ...], int]:
+def log_profile(spark: SparkSession, sf_dir: str, mapping: TxMapping,
+                obs_end: dt.date | None = None) -> tuple[tuple[str, ...], int]:
     """:func:`log_types` and a bound on the observed amounts of one customer
     (the largest count of a customer and type, times the types), in one read."""
-    per = _observed(spark, sf_dir, mapping, None).groupBy("customer_id", "type").agg(F.count("amount").alias("n"))
+    per = _observed(spark, sf_dir, mapping, obs_end).groupBy("customer_id", "type").agg(F.count("amount").alias("n"))
     rows = per.groupBy("type").agg(F.max("n").alias("n")).limit(MAX_TYPES + 2).collect()
     found = _checked([r["type"] for r in rows if r["type"] is not None])
     return tuple(mapping.types or found), sum(r["n"] for r in rows)

@@ -62,9 +62,9 @@ WHERE {m.date} IS NOT NULL AND {m.customer_id} IS NOT NULL{bounds}"""
 INT_SQL = {"tx_count": "BIGINT", "tx_recency": "INTEGER", "tx_span": "INTEGER", "tx_max_gap": "INTEGER"}
 
 
-def mart_ctes(m: TxMapping, rules: LabelRules = LabelRules()) -> str:
+def mart_ctes(m: TxMapping, rules: LabelRules = LabelRules(), w=None, start=None, end=None) -> str:
     """CTEs ``tx``, ``mart`` (features + labels, one row per customer)."""
-    w = WINDOWS[m.table]
+    w = w or WINDOWS[m.table]
     obs = f"date < {q(w.obs_end)}"
     fut = f"date >= {q(w.pred_start)}"
     late = q(w.late_start)
@@ -75,7 +75,7 @@ def mart_ctes(m: TxMapping, rules: LabelRules = LabelRules()) -> str:
         f"CASE WHEN coalesce(a.n_typed, 0) = 0 THEN 0e0 ELSE a.n_{share_name(t)} / a.n_typed END"
         f" AS {share_name(t)}" for t in TYPES[m.table])
     return f"""
-tx AS ({tx_sql(m)}),
+tx AS ({tx_sql(m, start, end)}),
 obs AS (SELECT * FROM tx WHERE {obs}),
 cnt AS (
   SELECT customer_id, count(*) FILTER (WHERE {obs}) AS obs_count,
@@ -266,6 +266,10 @@ SELECT customer_id, CASE WHEN pos / nc < 0.6e0 THEN 'train' WHEN pos / nc < 0.8e
     return {
         "s3_table_profile": f"""SELECT count(*) AS n_rows, 4 AS n_cols, min(CAST({o.date} AS DATE)) AS min_date,
   max(CAST({o.date} AS DATE)) AS max_date FROM {o.table}""",
+        "s3_source_profile": f"""SELECT 'orders' AS table_name, count(*) AS n_rows,
+  (SELECT count(*)::INTEGER FROM (DESCRIBE orders)) AS n_cols, min(CAST({o.date} AS DATE)) AS min_date,
+  max(CAST({o.date} AS DATE)) AS max_date FROM orders
+UNION ALL SELECT 'customer', count(*), (SELECT count(*)::INTEGER FROM (DESCRIBE customer)), NULL, NULL FROM customer""",
         "t1_t2_window_rows": f"""SELECT count(*) FILTER (WHERE CAST({o.date} AS DATE) < {q(w.obs_end)}) AS obs_rows,
   count(*) FILTER (WHERE CAST({o.date} AS DATE) >= {q(w.pred_start)}) AS pred_rows
 FROM {o.table}""",
@@ -455,15 +459,18 @@ SELECT *, (SELECT max(best_auc) FILTER (WHERE setup = 'Full') - max(best_auc) FI
   AS gap_full_minus_tx FROM p"""
     cum = """(SELECT *, sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_pos,
              sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS cum_neg,
-             sum(pos) OVER () AS P, sum(neg) OVER () AS N
+             sum(pos) OVER () AS P, sum(neg) OVER () AS N,
+             lead(pos) OVER (ORDER BY score DESC) AS npos, lead(neg) OVER (ORDER BY score DESC) AS nneg
       FROM (SELECT score, sum(label) AS pos, count(*) - sum(label) AS neg FROM sc GROUP BY score) AS t) AS c"""
     roc = f"""{base}
 SELECT NULL::DOUBLE AS threshold, 0e0 AS fpr, 0e0 AS tpr
-UNION ALL SELECT score, CASE WHEN N > 0 THEN cum_neg / N ELSE 0e0 END, CASE WHEN P > 0 THEN cum_pos / P ELSE 0e0 END FROM {cum}"""
+UNION ALL SELECT score, CASE WHEN N > 0 THEN cum_neg / N ELSE 0e0 END, CASE WHEN P > 0 THEN cum_pos / P ELSE 0e0 END FROM {cum}
+WHERE npos IS NULL OR pos * nneg <> neg * npos"""
     pr = f"""{base}
 SELECT NULL::DOUBLE AS threshold, 0e0 AS recall, 1e0 AS precision
 UNION ALL SELECT score, CASE WHEN P > 0 THEN cum_pos / P ELSE 0e0 END,
-  CASE WHEN cum_pos + cum_neg > 0 THEN cum_pos / (cum_pos + cum_neg) ELSE 0e0 END FROM {cum}"""
+  CASE WHEN cum_pos + cum_neg > 0 THEN cum_pos / (cum_pos + cum_neg) ELSE 0e0 END FROM {cum}
+WHERE npos IS NULL OR NOT ((pos = 0 AND npos = 0) OR cum_neg + nneg = 0)"""
     return {
         "e1_e2_rank_metrics": rounded(f"{base}\n{rank_sql()}", ["roc_auc", "pr_auc"]),
         "e1_e2_rank_metrics_events": rounded(
@@ -658,6 +665,20 @@ fr AS (SELECT r.fold, r.roc_auc, r.pr_auc, b.brier FROM (
        JOIN (SELECT fold, avg(power(score - label, 2)) AS brier FROM fs GROUP BY fold) AS b USING (fold))"""
 
 
+def full_fold_sql() -> str:
+    """Every fold's mart over its own windows, one below the other."""
+    feats = tx_feature_columns(TYPES["orders"])
+    parts = []
+    for f in ORDERS_FOLDS:
+        w = SimpleNamespace(
+            obs_end=f.obs_end, obs_last_day=f.obs_end - dt.timedelta(days=1), pred_start=f.pred_start,
+            late_start=f.obs_end - dt.timedelta(days=(f.obs_end - FOLDS_START).days // 3), obs_periods=f.obs_periods,
+            pred_periods=f.pred_periods, early_periods=2 * f.obs_periods / 3, late_periods=f.obs_periods / 3)
+        parts.append(f"""SELECT {f.fold} AS fold, customer_id, obs_count, fut_count, {', '.join(feats)}, future_disengaged
+FROM (WITH {mart_ctes(ORDERS_MAPPING, w=w, start=FOLDS_START, end=f.pred_end)} SELECT * FROM mart) AS f{f.fold}""")
+    return rounded(" UNION ALL ".join(parts), [c for c in feats if c not in INT_SQL])
+
+
 def hist_sql(src: str, col: str, bins: int, series: str = "'all'", clip: bool = False,
              feature: str | None = None) -> str:
     x = f"CAST({col} AS DOUBLE)"
@@ -713,6 +734,7 @@ SELECT ft.*, c.obs_rows, c.pred_rows FROM ft LEFT JOIN (
   FROM tx JOIN ft ON tx.date >= ft.obs_start AND tx.date < ft.pred_end GROUP BY fold) AS c USING (fold)""",
         "v2_v3_fold_frame": rounded(f"{fb} SELECT * FROM ff",
                                     ["tx_total", "tx_mean", "tx_std", "tx_cv"] + [share_name(t) for t in TYPES["orders"]]),
+        "v2_full_fold_frame": full_fold_sql(),
         "v4_fold_results_standin": rounded(f"{fb} SELECT * FROM fr", ["roc_auc", "pr_auc", "brier"]),
         "v5_fold_labels": rounded(f"""{fb}
 SELECT ft.fold, strftime(ft.obs_start, '%b') || '-' || strftime(ft.obs_end - 1, '%b') AS obs_window,
