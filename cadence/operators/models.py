@@ -16,6 +16,7 @@ Weights, predictions and metrics stay DataFrames; only model facts
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (
@@ -23,7 +24,7 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel, RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.config import ModelParams
@@ -32,19 +33,18 @@ ALGOS = ("LR", "RF", "GBT")
 LOADERS = {"LR": LogisticRegressionModel, "RF": RandomForestClassificationModel, "GBT": GBTClassificationModel}
 
 
+def _weights(y: Column, n: Column, p: Column) -> dict[str, Column]:
+    wb = F.when(y == 1, n / (2.0 * p)).otherwise(n / (2.0 * (n - p)))
+    spw = F.when(p > 0, (n - p) / p).otherwise(F.lit(1.0))
+    return {"w_balanced": wb.cast("double"), "w_pos": F.when(y == 1, spw).otherwise(F.lit(1.0)).cast("double")}
+
+
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """M-4: ``w_balanced`` = n / (2 n_class); ``w_pos`` = neg / pos on
     positives (1.0 when there are no positives), 1 on negatives."""
     y = F.col(label).cast("long")
     c = df.agg(F.count(F.lit(1)).alias("_n"), F.sum(y).alias("_p"))
-    j = df.crossJoin(F.broadcast(c))
-    n, p = F.col("_n"), F.col("_p")
-    neg = n - p
-    wb = F.when(y == 1, n / (2.0 * p)).otherwise(n / (2.0 * neg))
-    spw = F.when(p > 0, neg / p).otherwise(F.lit(1.0))
-    return (j.withColumn("w_balanced", wb.cast("double"))
-             .withColumn("w_pos", F.when(y == 1, spw).otherwise(F.lit(1.0)).cast("double"))
-             .drop("_n", "_p"))
+    return df.crossJoin(F.broadcast(c)).withColumns(_weights(y, F.col("_n"), F.col("_p"))).drop("_n", "_p")
 
 
 def estimator(algo: str, params: ModelParams, n_weight: float, label: str = "label",
@@ -70,9 +70,10 @@ def estimator(algo: str, params: ModelParams, n_weight: float, label: str = "lab
     raise ValueError(f"unknown algorithm {algo!r}")
 
 
-def positive_score(pred: DataFrame, key: str = "customer_id", label: str = "label") -> DataFrame:
+def positive_score(pred: DataFrame, key: str = "customer_id", label: str = "label",
+                   also: Sequence[str] = ()) -> DataFrame:
     """(key, label, score, margin): P(class 1) and the raw margin."""
-    return pred.select(key, F.col(label).cast("int").alias("label"),
+    return pred.select(key, *also, F.col(label).cast("int").alias("label"),
                        vector_to_array("probability")[1].alias("score"),
                        vector_to_array("rawPrediction")[1].alias("margin"))
 
@@ -88,36 +89,18 @@ class Fitted:
 def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
         label: str = "label", names: list[str] | None = None, setup: str = "") -> Fitted:
     """Fit one model on a prepared frame (``features`` vector + label)."""
-    w = class_weights(train, label)
-    n = w.agg(F.sum("w_balanced")).first()[0] or 1.0
-    model = estimator(algo, params, float(n), label).fit(w)
+    y = F.col(label).cast("long")
+    r = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("p")).first()
+    n, p = r["n"], r["p"]
+    total = n / 2 * ((p > 0) + (p < n))  # the sum of w_balanced
+    weighted = train.withColumns(_weights(y, F.lit(float(n)), F.lit(float(p))))
+    model = estimator(algo, params, float(total) or 1.0, label).fit(weighted)
     return Fitted(setup, algo, model, list(names or []))
 
 
-def predict(f: Fitted, df: DataFrame, key: str = "customer_id", label: str = "label") -> DataFrame:
-    return positive_score(f.model.transform(df), key, label)
-
-
-def train_grid(frames: dict[str, DataFrame], names: dict[str, list[str]],
-               algos=ALGOS, params: ModelParams = ModelParams(), label: str = "label",
-               parallelism: int = 4):
-    """M-5 / M-9: every (setup, algorithm) fitted on the train split and
-    scored on val and test. Frames carry ``split``, ``label``, ``features``.
-    Independent fits are submitted from ``parallelism`` driver threads (as
-    MLlib's tuning does), so small fits overlap instead of queueing."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    jobs = [(setup, algo) for setup in frames for algo in algos]
-
-    def one(job):
-        setup, algo = job
-        df = frames[setup]
-        f = fit(df.where(F.col("split") == "train"), algo, params, label, names[setup], setup)
-        return job, (f, predict(f, df.where(F.col("split") == "val")),
-                     predict(f, df.where(F.col("split") == "test")))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(jobs)))) as ex:
-        return dict(ex.map(one, jobs))
+def predict(f: Fitted, df: DataFrame, key: str = "customer_id", label: str = "label",
+            also: Sequence[str] = ()) -> DataFrame:
+    return positive_score(f.model.transform(df), key, label, also)
 
 
 def feature_importance(spark, f: Fitted, top: int = 20) -> DataFrame:

@@ -1,8 +1,9 @@
 """Registered model, calibration and end-to-end queries (M-*, C-*, V-4, S-4/S-5).
 
-Model fits are MLlib results: the driver gets rows-only checks for them. A
-process-level cache keeps one ``ModelRun`` per (application, data folder), so
-the queries share the fitted grid instead of refitting it.
+Model fits are MLlib results: the driver gets rows-only checks for them. The
+stages of a run are stored under a fingerprint of its inputs and parameters, so
+each query gives the same result alone and in any order, and a stage is fitted
+by the first query that needs it.
 """
 
 from __future__ import annotations
@@ -21,14 +22,8 @@ from cadence.plans.pipeline import ModelRun, calibration_properties, score_prope
 from cadence.session import ensure_checkpoint_dir
 from cadence.sources import load_result, save_result
 
-_RUNS: dict = {}
-
-
 def run_for(spark, d) -> ModelRun:
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _RUNS:
-        _RUNS[key] = ModelRun(spark, d)
-    return _RUNS[key]
+    return ModelRun(spark, d)
 
 
 def _r(f):
@@ -81,7 +76,7 @@ def attribution(spark, d, algo: str = "GBT"):
     """M-8: attribution of the Full risk model on every test row."""
     from cadence.operators import attribution as A
     r = run_for(spark, d)
-    fit = r.risk_grid()[("Full", algo)][0]
+    fit = r.configuration("risk", "Full", algo)[0]
     frame, names, _ = r.prepared("Full", "future_disengaged")
     rows = frame.where(F.col("split") == "test")
     if algo == "LR":
@@ -144,7 +139,7 @@ def _brier_standin(spark, d):
 def _attribution_sums(spark, d):
     """M-8: rows whose contributions and bias do not add up to the margin."""
     sums = attribution(spark, d, "GBT").groupBy("customer_id").agg(F.sum("contribution").alias("total"))
-    scored = run_for(spark, d).risk_grid()[("Full", "GBT")][2]
+    scored = run_for(spark, d).configuration("risk", "Full", "GBT")[2]
     off = F.col("total").isNull() | (F.abs(F.col("total") - F.col("margin")) > 1e-6)
     return scored.join(sums, "customer_id", "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_off"))
 
@@ -167,8 +162,8 @@ def model_queries():
         "m4_class_weights": _r(_weights),
         "m5_risk_model_grid": _r(lambda s, d: run_for(s, d).evaluation("risk", "test")),
         "m6_feature_importance": _r(lambda s, d: M.feature_importance(
-            s, run_for(s, d).risk_grid()[("Full", "GBT")][0])),
-        "m7_lr_coefficients": _r(lambda s, d: M.coefficients(s, run_for(s, d).risk_grid()[("Full", "LR")][0])),
+            s, run_for(s, d).configuration("risk", "Full", "GBT")[0])),
+        "m7_lr_coefficients": _r(lambda s, d: M.coefficients(s, run_for(s, d).configuration("risk", "Full", "LR")[0])),
         "m8_attribution_gbt": _r(_attr_summary("GBT")),
         "m8_attribution_lr": _r(_attr_summary("LR")),
         "m8_attribution_top5_rows": _r(_attr_top5),

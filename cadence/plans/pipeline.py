@@ -7,7 +7,11 @@ plus walk-forward validation. Frames reused by several jobs are checkpointed
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 import os
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -27,8 +31,8 @@ from cadence.operators import signals as G
 from cadence.operators import split as S
 from cadence.operators import walkforward as V
 from cadence.operators.features import customer_mart, infer_feature_groups, tx_feature_columns
-from cadence.session import materialize
-from cadence.sources import customers, load_result, log_profile, log_types, save_model, save_result, transactions
+from cadence.session import materialize, shared_folder
+from cadence.sources import customers, load_result, log_profile, log_types, raw_transactions, save_model, save_result, transactions
 
 SETUPS = ("Full", "Tx-strict", "Cust-only")
 
@@ -86,15 +90,21 @@ def base_frame(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
     return materialize(mart.join(attrs, "customer_id", "inner"))
 
 
+def fit_setup(base: DataFrame, setup: str, types, spec: FeatureSpec = FeatureSpec()) -> P.Preprocessor:
+    """P-9: the setup's preprocessor, fitted on train."""
+    return P.fit_preprocessor(base.where(F.col("split") == "train"), *setup_columns(setup, types, spec))
+
+
+def apply_setup(pre: P.Preprocessor, base: DataFrame, label: str) -> DataFrame:
+    """P-10: all rows transformed and assembled: ``customer_id, split, label, features``."""
+    x = pre.transform(base.withColumn("label", F.col(label).cast("double")), keep=["customer_id", "split", "label"])
+    return P.assemble(x, pre.output_names).select("customer_id", "split", "label", "features")
+
+
 def prepare(base: DataFrame, setup: str, label: str, types, spec: FeatureSpec = FeatureSpec()):
-    """P-9 / P-10: fit the setup's preprocessor on train, transform all rows,
-    assemble the vector. Returns (frame, names, preprocessor)."""
-    num, ordn, nom = setup_columns(setup, types, spec)
-    pre = P.fit_preprocessor(base.where(F.col("split") == "train"), num, ordn, nom)
-    x = pre.transform(base.withColumn("label", F.col(label).cast("double")),
-                      keep=["customer_id", "split", "label"])
-    names = pre.output_names
-    return materialize(P.assemble(x, names).select("customer_id", "split", "label", "features")), names, pre
+    """P-9 / P-10 at once: (frame, names, preprocessor)."""
+    pre = fit_setup(base, setup, types, spec)
+    return materialize(apply_setup(pre, base, label)), pre.output_names, pre
 
 
 def _eval_table(preds: dict, which: int) -> DataFrame:
@@ -110,80 +120,149 @@ def _calib_input(fitted: M.Fitted, scored: DataFrame) -> DataFrame:
     return scored.withColumn("cal_x", F.col("margin") if fitted.algo == "LR" else F.col("score"))
 
 
+def run_fingerprint(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> str:
+    """Identifies a run: counts and hash sums of the mapped inputs (one read of
+    each, whatever their files are), all parameters, and the versions."""
+    seen = []
+    for df in (raw_transactions(spark, sf_dir, cfg.mapping), customers(spark, sf_dir, cfg.customers)):
+        r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(20,0)")).alias("h")).first()
+        seen.append((df.schema.simpleString(), r["n"], str(r["h"])))
+    said = repr((seen, sorted((k, repr(v)) for k, v in vars(cfg).items() if k != "parallelism"), RUN_FORMAT, spark.version))
+    return hashlib.sha256(said.encode()).hexdigest()[:32]
+
+
+#: Part of a run's fingerprint; to be raised when stored stages change.
+RUN_FORMAT = 1
+
+
+class RunStore:
+    """Finished stages of a run, in a folder that outlives the process: tables as
+    Parquet, models as MLlib folders, each with a marker written last, so an
+    interrupted stage is computed again."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+        self._locks: dict[str, threading.Lock] = {}
+
+    def _marker(self, name: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}.done")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    def stage(self, name: str, write, read):
+        """``read(path)`` of a stage, after ``write(path)`` if it is not finished."""
+        path = f"{self.folder}/{name}"
+        with self._locks.setdefault(name, threading.Lock()):
+            fs, marker = self._marker(name)
+            if not fs.exists(marker):
+                write(path)
+                fs.create(marker, True).close()
+        return read(path)
+
+    def table(self, name: str, make) -> DataFrame:
+        return self.stage(name, lambda p: make().write.mode("overwrite").parquet(p), self.spark.read.parquet)
+
+    def text(self, name: str, make) -> str:
+        return self.table(name, lambda: self.spark.createDataFrame([(make(),)], "text string")).first()["text"]
+
+
 class ModelRun:
-    """Stages of the model run, each computed once per instance (the stages
-    share the checkpointed base frame and prepared matrices)."""
+    """Stages of the model run. Each is computed once for the same inputs and
+    parameters and kept in the run's folder (``runs/<fingerprint>`` in the
+    shared checkpoint folder, or ``folder``); a later instance, in this process
+    or another, reads it."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig()):
+    def __init__(self, spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig(), folder: str | None = None):
         self.spark, self.sf_dir, self.cfg = spark, sf_dir, cfg
-        self._memo: dict = {}
-
-    def _once(self, key, fn):
-        if key not in self._memo:
-            self._memo[key] = fn()
-        return self._memo[key]
+        if folder is None:
+            folder = os.path.join(shared_folder(spark), "runs", run_fingerprint(spark, sf_dir, cfg))
+        self.store = RunStore(spark, folder)
 
     @property
     def base(self) -> DataFrame:
-        return self._once("base", lambda: base_frame(self.spark, self.sf_dir, self.cfg))
+        return self.store.table("base", lambda: base_frame(self.spark, self.sf_dir, self.cfg))
 
     @property
     def types(self) -> tuple[str, ...]:
-        return self._once("types", lambda: log_types(self.spark, self.sf_dir, self.cfg.mapping))
+        return tuple(json.loads(self.store.text("types", lambda: json.dumps(
+            log_types(self.spark, self.sf_dir, self.cfg.mapping)))))
 
     @property
     def spec(self) -> FeatureSpec:
-        return self._once("spec", lambda: attribute_spec(
-            attributes(self.spark, self.sf_dir, self.cfg.customers), self.cfg.customers))
+        return attribute_spec(attributes(self.spark, self.sf_dir, self.cfg.customers), self.cfg.customers)
 
     def prepared(self, setup: str, label: str):
-        return self._once(("prep", setup, label),
-                          lambda: prepare(self.base, setup, label, self.types, self.spec))
+        """(frame, feature names, preprocessor) of a setup."""
+        pre = P.Preprocessor.from_json(self.store.text(f"preprocessor-{setup}-{label}", lambda: fit_setup(
+            self.base, setup, self.types, self.spec).to_json()))
+        frame = self.store.table(f"prepared-{setup}-{label}", lambda: apply_setup(pre, self.base, label))
+        return frame, pre.output_names, pre
+
+    def fitted(self, setup: str, algo: str, label: str) -> M.Fitted:
+        frame, names, _ = self.prepared(setup, label)
+
+        def write(path: str) -> None:
+            train = frame.where(F.col("split") == "train")
+            save_model(M.fit(train, algo, self.cfg.params, names=names, setup=setup).model, path)
+
+        return M.Fitted(setup, algo, self.store.stage(f"model-{setup}-{algo}-{label}", write, M.LOADERS[algo].load), names)
+
+    def _configuration(self, setup: str, algo: str, label: str):
+        fit = self.fitted(setup, algo, label)
+
+        def scored() -> DataFrame:
+            frame = self.prepared(setup, label)[0].where(F.col("split").isin("val", "test"))
+            return M.predict(fit, frame, also=["split"])
+
+        rows = self.store.table(f"scored-{setup}-{algo}-{label}", scored)
+        val, test = (rows.where(F.col("split") == p).drop("split") for p in ("val", "test"))
+        return fit, val, test
+
+    def _grid(self, setups: tuple[str, ...], label: str):
+        """Every (setup, algorithm) as (model, scored val, scored test). Fits that
+        are not stored yet are submitted from ``parallelism`` driver threads (as
+        MLlib's tuning does), so small ones overlap."""
+        for s in setups:
+            self.prepared(s, label)
+        jobs = [(s, a) for s in setups for a in M.ALGOS]
+        with ThreadPoolExecutor(max(1, min(self.cfg.parallelism, len(jobs)))) as ex:
+            return dict(zip(jobs, ex.map(lambda j: self._configuration(*j, label), jobs), strict=True))
 
     def risk_grid(self):
         """M-5: 3 setups x 3 algorithms on the disengagement label."""
-        def go():
-            frames = {s: self.prepared(s, "future_disengaged")[0] for s in SETUPS}
-            names = {s: self.prepared(s, "future_disengaged")[1] for s in SETUPS}
-            return M.train_grid(frames, names, params=self.cfg.params,
-                                parallelism=self.cfg.parallelism)
-        return self._once("risk_grid", go)
+        return self._grid(SETUPS, "future_disengaged")
 
     def growth_grid(self):
         """M-9: the three algorithms on Tx-strict features, growth label."""
-        def go():
-            f, n, _ = self.prepared("Tx-strict", "future_growth")
-            return M.train_grid({"Tx-strict": f}, {"Tx-strict": n}, params=self.cfg.params,
-                                parallelism=self.cfg.parallelism)
-        return self._once("growth_grid", go)
+        return self._grid(("Tx-strict",), "future_growth")
+
+    def configuration(self, which: str, setup: str, algo: str):
+        """One cell of a grid: (model, scored val, scored test)."""
+        return self._configuration(setup, algo, "future_disengaged" if which == "risk" else "future_growth")
 
     def evaluation(self, which: str = "risk", part: str = "test") -> DataFrame:
         """E-7 for the risk or growth grid on val or test."""
-        grid = self.risk_grid() if which == "risk" else self.growth_grid()
-        idx = 1 if part == "val" else 2
-        return self._once(("eval", which, part), lambda: materialize(_eval_table(grid, idx)))
+        return self.store.table(f"evaluation-{which}-{part}", lambda: _eval_table(
+            self.risk_grid() if which == "risk" else self.growth_grid(), 1 if part == "val" else 2))
 
     def best(self, which: str = "risk"):
         """M-10: chosen model (on validation by default, D-2)."""
         setup = "Full" if which == "risk" else "Tx-strict"
-        grid = self.risk_grid() if which == "risk" else self.growth_grid()
-        algo = self._once(("best", which), lambda: _pick(
-            self.evaluation(which, "val" if self.cfg.select_on == "val" else "test"), setup))
-        return grid[(setup, algo)]
+        algo = _pick(self.evaluation(which, "val" if self.cfg.select_on == "val" else "test"), setup)
+        return self.configuration(which, setup, algo)
 
     def threshold(self) -> float:
         """E-9 on the validation predictions of the chosen risk model."""
-        return self._once("threshold", lambda: E.best_threshold(
-            E.threshold_sweep(self.best("risk")[1])).first()["threshold"])
+        return self.store.table("threshold", lambda: E.best_threshold(E.threshold_sweep(self.best("risk")[1]))).first()["threshold"]
 
     def calibrators(self):
         """C-1: isotonic calibrators for risk and propensity."""
-        def go():
-            fr, vr, _ = self.best("risk")
-            fb, vb, _ = self.best("growth")
-            return (C.fit_isotonic(_calib_input(fr, vr), "cal_x"),
-                    C.fit_isotonic(_calib_input(fb, vb), "cal_x"))
-        return self._once("calibrators", go)
+        def one(which: str) -> C.IsotonicModel:
+            def write(path: str) -> None:
+                fit, val, _ = self.best(which)
+                C.fit_isotonic(_calib_input(fit, val), "cal_x").save(path)
+            return self.store.stage(f"calibrator-{which}", write, lambda p: C.IsotonicModel.load(self.spark, p))
+        return one("risk"), one("growth")
 
     def calibrated_test(self):
         cr, cb = self.calibrators()
@@ -205,20 +284,20 @@ class ModelRun:
             fr, fb = self.best("risk")[0], self.best("growth")[0]
             rr = C.apply_isotonic(cr, _calib_input(fr, M.predict(fr, self.prepared("Full", "future_disengaged")[0])), "cal_x")
             bp = C.apply_isotonic(cb, _calib_input(fb, M.predict(fb, self.prepared("Tx-strict", "future_growth")[0])), "cal_x")
-            return materialize(rr.select("customer_id", F.col("calibrated").alias("rr_raw"))
-                               .join(bp.select("customer_id", F.col("calibrated").alias("bp_raw")), "customer_id"))
-        return self._once("scores", go)
+            return (rr.select("customer_id", F.col("calibrated").alias("rr_raw"))
+                    .join(bp.select("customer_id", F.col("calibrated").alias("bp_raw")), "customer_id"))
+        return self.store.table("scores", go)
 
     def signals(self) -> DataFrame:
         """G-1 ... G-8 on the calibrated scores."""
         def go():
             beh = self.base.select("customer_id", "tx_total", *G.ENGAGEMENT_INPUTS)
-            return materialize(G.signal_table(materialize(beh.join(self.scores(), "customer_id")),
-                                              self.cfg.signal))
-        return self._once("signals", go)
+            return G.signal_table(materialize(beh.join(self.scores(), "customer_id")), self.cfg.signal)
+        return self.store.table("signals", go)
 
     def walk_forward(self) -> DataFrame:
-        return self._once("wf", lambda: walk_forward(self.spark, self.sf_dir, self.cfg))
+        """V-4."""
+        return self.store.table("walk-forward", lambda: walk_forward(self.spark, self.sf_dir, self.cfg))
 
 
 def model_run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig()) -> dict[str, DataFrame]:
@@ -306,7 +385,6 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
         rate = d.agg(F.avg(F.col("future_disengaged").cast("double")).alias("target_rate"))
         return materialize(r.crossJoin(rate).select(F.lit(f.fold).alias("fold"), "*"))
 
-    from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallelism, len(cfg.folds)))) as ex:
         parts = list(ex.map(one, cfg.folds))
     rows = parts[0]

@@ -34,22 +34,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_SCRATCH: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which driver and executors share
+    and which may outlive the session. A session on one machine (master
+    ``local``) that names none gets a scratch folder; on a cluster that is an
+    error, since executors would write to their own disks."""
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if shared:
+        return shared
+    if not re.match(r"local(\[|$)", sc.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if not _SCRATCH:
+        _SCRATCH.append(tempfile.mkdtemp(prefix="cadence-ckpt-"))
+    return _SCRATCH[0]
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``. A session on one machine
-    (master ``local``) that names none gets a scratch folder; on a cluster that
-    is an error, since executors would write to their own disks."""
+    """The session's checkpoint folder, set to :func:`shared_folder` if none is."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not shared:
-        if not re.match(r"local(\[|$)", sc.master):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="cadence-ckpt-")
-    sc.setCheckpointDir(shared)
-    return sc.getCheckpointDir() or shared
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_folder(spark))
+    return sc.getCheckpointDir()
 
 
 def materialize(df):
