@@ -41,6 +41,14 @@ def same_row(a: DataFrame, b: DataFrame) -> Column:
     return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, lengthened until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def held_out() -> Column:
     """crc32 of the id as text, remainder 1 by three (a null id is not held out)."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))

@@ -8,12 +8,20 @@ is intersected with the first after moving both by their offsets in the
 window, and the words around what is left tell exactly how far the phrase goes
 on. Every occurrence of a window holds its rarest word, so none is missed.
 
-The test vocabulary is broadcast only if it is small (``BROADCAST_TERMS``
-after a count); beyond that, terms are joined by shuffle.
-
-Results: one row per input row. Null texts have no words and match nothing;
-items without words have no windows. Repeated items count once per ``item_id``;
-a null ``item_id`` hits words but is not listed.
+Item tables are broadcast only if they are small (``BROADCAST_ROWS`` and
+``BROADCAST_BYTES`` after a count); beyond that they are joined by shuffle, a
+frequent word being dealt over ``SALTS`` partitions. What crosses a shuffle is
+``(document, position, word)``; the words around a place are fetched by a join
+with the texts afterwards, for the few places where both rare words of a window
+are at their distance.
+
+Results: one row per input row. Null, empty and wordless texts have no words and
+match nothing; long texts are searched whole. Items without words have no
+windows, and an empty table of items hits nothing; an empty table of documents
+gives no rows. Repeated documents get equal results; repeated items count once
+per ``item_id``; a null ``item_id`` hits words but is not listed. Of equally rare
+words the one further in front is the rarer (by its text if they share a place).
+Other columns of any name do not matter; :func:`clean` keeps them.
 """
 
 from __future__ import annotations
@@ -26,7 +34,11 @@ from pyspark.sql import functions as F
 from cadence.llm.common import stored
 
 SIZE = 13
-BROADCAST_TERMS = 200_000
+#: Rows, and bytes of their strings, of a table that is broadcast.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+#: Partitions over which the rows of one word are dealt in a join by shuffle.
+SALTS = 32
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -51,13 +63,34 @@ def item_words(items: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame) -> bool:
-    return df.limit(BROADCAST_TERMS + 1).count() <= BROADCAST_TERMS
+    """Whether a table of items fits a broadcast: its rows and its strings."""
+    texts = [F.octet_length(F.col(c) if t == "string" else F.concat_ws(" ", c)) for c, t in df.dtypes if t in ("string", "array<string>")]
+    each = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0)).cast("long")
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(each), F.lit(0)).alias("b")).first()
+    return r["n"] <= BROADCAST_ROWS and r["b"] <= BROADCAST_BYTES
 
 
 def hint(df: DataFrame, broadcast: bool) -> DataFrame:
     return F.broadcast(df) if broadcast else df
 
 
+def by_term(rows: DataFrame, terms: DataFrame) -> DataFrame:
+    """``rows`` joined with ``terms`` on ``term``: by a broadcast, or by a shuffle
+    in which the rows of one term go to ``SALTS`` partitions."""
+    if small(terms):
+        return rows.join(F.broadcast(terms), "term")
+    rows = rows.withColumn("salt", F.pmod(F.col("pos"), F.lit(SALTS)))
+    dealt = terms.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.join(dealt, ["term", "salt"]).drop("salt")
+
+
+def free_word(vocab: DataFrame) -> str:
+    """The shortest word of z's that is not in ``vocab`` (column ``term``)."""
+    own = vocab.where(F.col("term").rlike("^z+$")).select(F.length("term").alias("n")).distinct()
+    taken = {r["n"] for r in own.collect()}  # distinct lengths of words of one letter
+    return "z" * next(n for n in range(1, len(taken) + 2) if n not in taken)
+
+
 def rarest(item: DataFrame, counts: DataFrame, size: int) -> DataFrame:
     """Windows' rarest and second rarest words: ``(item_id, ih, p1, t1, p2, t2)``
     (``p2`` null in windows of one word); windows with a word that the corpus
@@ -85,61 +118,64 @@ class Index:
         self.size = size
         self.item = stored(item_words(items), "items")
         vocab = self.item.select("term").distinct()
-        few = small(vocab)
-        mark = "z" * (1 + (self.item.agg(F.max(F.length("term"))).first()[0] or 0))  # a word that no item has
-        texts = docs.select("doc_id", "text")
-        every = texts.select(F.explode(words_between(mark)).alias("term"))
-        if few:
+        self.mark = free_word(vocab)
+        self.texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), "text")
+        every = self.texts.select(F.explode(words_between(self.mark)).alias("term"))
+        if small(vocab):
             counts = every.join(F.broadcast(vocab), "term").groupBy("term").count()
         else:  # one row per term and task crosses the shuffle
             counts = every.groupBy("term").count().join(vocab, "term")
         self.pairs = stored(rarest(self.item, counts, size), "rarest")
         first = self.pairs.select(F.col("t1").alias("term"), F.lit(1).alias("seed"))
         second = self.pairs.where("t2 is not null").select(F.col("t2").alias("term"), F.lit(0).alias("seed"))
-        marked = docs.sparkSession.createDataFrame([(mark, -1)], "term string, seed int")
-        terms = first.union(second).union(marked).groupBy("term").agg(
-            F.max("seed").alias("seed"), F.min("seed").alias("least"))
-        terms = terms.select("term", F.when(F.col("least") < 0, -1).otherwise(F.col("seed")).alias("seed"))
-        reach = size - 1
-        words = F.col("words")
-        found = (texts.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("th"), words_between(mark).alias("words"))
-                 .select("doc_id", "th", "words", F.posexplode("words").alias("pos", "term"))
-                 .join(hint(terms, few), "term"))
-        before = F.reverse(F.slice(words, F.greatest(F.lit(2), F.col("pos") - reach + 1),
-                                   F.greatest(F.lit(0), F.least(F.lit(reach), F.col("pos") - 1))))
-        after = F.slice(words, F.col("pos") + 2,
-                        F.greatest(F.lit(0), F.least(F.lit(reach), F.size(words) - 2 - F.col("pos"))))
-        last = F.col("pos") == F.size(words) - 1
-        self.postings = stored(
-            found.where((F.col("pos") > 0) & ((F.col("seed") >= 0) | last))
-            .select("doc_id", "th", "pos", "term", "seed", F.when(F.col("seed") == 1, before).alias("before"),
-                    F.when(F.col("seed") == 1, after).alias("after")), "postings")
+        terms = stored(first.union(second).groupBy("term").agg(F.max("seed").alias("seed")), "terms")
+        places = self.texts.select("doc_id", "th", F.posexplode(words_between(self.mark)).alias("pos", "term"))
+        self.postings = stored(by_term(places.where("pos > 0"), terms).select("doc_id", "th", "pos", "term", "seed"), "postings")
 
     def documents(self) -> DataFrame:
         """``(doc_id, th, n_words)`` of every row."""
-        return self.postings.where("seed = -1").select("doc_id", "th", (F.col("pos") - 1).cast("long").alias("n_words"))
+        return self.texts.select("doc_id", "th", (F.size(words_between(self.mark)) - 2).cast("long").alias("n_words"))
 
     def _first_lists(self) -> DataFrame:
-        few = small(self.pairs)
-        pairs = self.pairs.select("item_id", "ih", "p1", F.col("t1").alias("term"), "p2", "t2")
-        return self.postings.where("seed = 1").drop("seed").join(hint(pairs, few), "term")
+        """Postings of rarest words with the second word and its distance, each
+        distinct (word, second word, distance) once, whatever windows share it."""
+        keys = self.pairs.select(F.col("t1").alias("term"), "t2", (F.col("p2") - F.col("p1")).alias("apart")).distinct()
+        return by_term(self.postings.where("seed = 1").drop("seed"), keys)
 
     def _second_lists(self) -> DataFrame:
         wanted = self.pairs.where("t2 is not null").select(F.col("t2").alias("term")).distinct()
-        return (self.postings.where("seed >= 0").join(hint(wanted, small(wanted)), "term")
-                .select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("pos").alias("_p"), F.col("term").alias("_t")))
+        return by_term(self.postings.drop("seed"), wanted).select(
+            F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("pos").alias("_p"), F.col("term").alias("_t"))
+
+    def _windows(self, places: DataFrame) -> DataFrame:
+        """The windows of the items that a place ``(term, t2, apart)`` may belong to."""
+        pairs = self.pairs.select("item_id", "ih", "p1", F.col("t1").alias("_t1"), F.col("t2").alias("_t2"),
+                                  (F.col("p2") - F.col("p1")).alias("_a"))
+        return places.join(hint(pairs, small(pairs)), (places["term"] == pairs["_t1"]) & places["t2"].eqNullSafe(pairs["_t2"])
+                           & places["apart"].eqNullSafe(pairs["_a"]))
 
     def phrase_matches(self) -> DataFrame:
         """``(doc_id, th, item_id, start, end)``: runs of document words (from 1,
         end exclusive) that agree with an item over a window or more, at least
         one run over each occurrence of a window."""
         first, second = self._first_lists(), self._second_lists()
-        alone = first.where("p2 is null")
-        met = first.where("p2 is not null").join(
+        alone = first.where("t2 is null")
+        met = first.where("t2 is not null").join(
             second, first["doc_id"].eqNullSafe(second["_d"]) & (first["th"] == second["_h"])
-            & (first["pos"] - first["p1"] + first["p2"] == second["_p"]) & (first["t2"] == second["_t"]), "left_semi")
-        both = (met.unionByName(alone).select("doc_id", "th", "item_id", "ih", "p1", "pos", "before", "after")
-                .dropDuplicates(["doc_id", "th", "item_id", "ih", "p1", "pos"]))
+            & (first["pos"] + first["apart"] == second["_p"]) & (first["t2"] == second["_t"]), "left_semi")
+        places = stored(met.unionByName(alone).distinct(), "places")
+        reach = F.lit(self.size - 1)
+        per_doc = places.groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_h")).agg(
+            F.collect_set(F.struct("pos", "term", "t2", "apart")).alias("at"))
+        words, pos = F.col("words"), F.col("at.pos")
+        near = (self.texts.join(hint(per_doc, small(places)),
+                                self.texts["doc_id"].eqNullSafe(per_doc["_d"]) & (self.texts["th"] == per_doc["_h"]))
+                .select("doc_id", "th", words_between(self.mark).alias("words"), F.explode("at").alias("at"))
+                .select("doc_id", "th", pos.alias("pos"), "at.term", "at.t2", "at.apart",
+                        F.reverse(F.slice(words, F.greatest(F.lit(2), pos - reach + 1),
+                                          F.greatest(F.lit(0), F.least(reach, pos - 1)))).alias("before"),
+                        F.slice(words, pos + 2, F.greatest(F.lit(0), F.least(reach, F.size(words) - 2 - pos))).alias("after")))
+        both = self._windows(near).select("doc_id", "th", "item_id", "ih", "p1", "pos", "before", "after")
         whole = self.item.where("ipos = 0").select(F.col("item_id").alias("_i"), F.col("ih").alias("_ih"), "n", "all")
         both = both.join(hint(whole, small(whole)), both["item_id"].eqNullSafe(whole["_i"]) & (both["ih"] == whole["_ih"]))
         p1 = F.col("p1")
@@ -155,16 +191,16 @@ class Index:
         """``(doc_id, th, item_id, pos, shift)``: places where the two rarest words
         of a window occur ``shift`` places off their distance in the item, at
         most ``slop``. Positions are joined by cells as wide as the band."""
-        first, second = self._first_lists().where("p2 is not null"), self._second_lists()
+        first, second = self._first_lists().where("t2 is not null"), self._second_lists()
         wide = 2 * slop + 1
-        at = F.col("pos") - F.col("p1") + F.col("p2")
+        at = F.col("pos") + F.col("apart")
         cells = F.array(F.floor((at - slop) / wide), F.floor((at + slop) / wide))
         first = first.withColumn("at", at).withColumn("cell", F.explode(F.array_distinct(cells)))
         second = second.withColumn("_c", F.floor(F.col("_p") / wide))
-        return (first.join(second, first["doc_id"].eqNullSafe(second["_d"]) & (first["th"] == second["_h"])
-                           & (first["t2"] == second["_t"]) & (first["cell"] == second["_c"]))
-                .where(F.abs(F.col("_p") - F.col("at")) <= slop).where("_p <> pos")
-                .select("doc_id", "th", "item_id", "pos", (F.col("_p") - F.col("at")).alias("shift")).distinct())
+        met = (first.join(second, first["doc_id"].eqNullSafe(second["_d"]) & (first["th"] == second["_h"])
+                          & (first["t2"] == second["_t"]) & (first["cell"] == second["_c"]))
+               .where(F.abs(F.col("_p") - F.col("at")) <= slop).where("_p <> pos"))
+        return (self._windows(met.drop("_t")).select("doc_id", "th", "item_id", "pos", (F.col("_p") - F.col("at")).alias("shift")).distinct())
 
 
 def covered(spans: Column) -> Column:

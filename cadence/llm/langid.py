@@ -7,17 +7,21 @@ accuracy; a small lead over the second marks it ambiguous.
 
 Fitting uses at most ``ROWS_PER_LANGUAGE`` rows per language, and ``ROWS`` in
 all, with a crc32 remainder other than 1 and a language. Results: one row per input row. ``und`` with score 0
-for a null text, one without a letter, or when there is nothing to learn from.
+for a null or empty text, one without a letter (Unicode L), or when there is
+nothing to learn from. Long texts are read whole. Repeated rows get equal
+results; of several languages of one id the smallest is learned. Languages that
+tie in loss go by their order. Empty tables give no rows. Only ``doc_id, text,
+lang`` are read, so other columns of any name do not matter.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +29,10 @@ from cadence.llm.common import columns, held_out, text_bytes
 
 #: Rows to fit on, of all languages and of one.
 ROWS, ROWS_PER_LANGUAGE = 6000, 600
+#: More languages raise an error (the codes are searched on the driver).
+MAX_LANGUAGES = 500
 SPACE = 4096
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 
 
 def vector(body: bytes) -> np.ndarray:
@@ -101,10 +107,11 @@ def fit(docs: DataFrame, rows_in_all: int = ROWS, per_language: int = ROWS_PER_L
               .groupBy("doc_id").agg(F.min("lang").alias("lang")))
     # the candidates shrink before the window: a third of all rows may have one language
     total = usable.groupBy("lang").count()
-    languages = total.count()
+    languages = total.limit(MAX_LANGUAGES + 1).count()
+    if languages > MAX_LANGUAGES:
+        raise ValueError(f"lang has more than {MAX_LANGUAGES} values")
     limit = max(1, min(per_language, rows_in_all // max(1, languages)))
-    if languages <= rows_in_all:  # a checked size; else joined by shuffle
-        total = F.broadcast(total)
+    total = F.broadcast(total)  # one row a language
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     pick = (usable.join(total, "lang").where(share * F.col("count") < 4.0 * limit)
             .withColumn("_n", F.row_number().over(by)).where(F.col("_n") <= limit).select("doc_id", "lang"))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import columns, held_out, labelled_rows, text_bytes
+from cadence.llm.common import columns, free_name, held_out, labelled_rows, text_bytes
 
 SAMPLE_ROWS = 8_000
 WORD_SPACE = 1 << 17
@@ -137,8 +137,8 @@ def score_text(body: bytes, model: tuple[np.ndarray, np.ndarray, float]) -> floa
     return float(1 / (1 + np.exp(-np.clip(2 * margin, -30, 30))))
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataFrame:
-    """``docs`` with all its columns and ``_score`` at the end."""
+def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], out: str = "_score") -> DataFrame:
+    """``docs`` with all its columns and the score as ``out``, a name that it lacks."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a fixed size, whatever the corpus
 
     @F.pandas_udf("double")
@@ -146,7 +146,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float]) -> DataF
         m = shared.value
         return bodies.map(lambda b: score_text(bytes(b), m)).astype(float)
 
-    return docs.withColumn("_score", scored(text_bytes()))
+    return docs.withColumn(out, scored(text_bytes()))
 
 
 def digest(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
@@ -157,4 +157,5 @@ def digest(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> Data
 
 def accepted(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_ROWS) -> DataFrame:
     """Stage: the rows that the model does not reject, with their columns."""
-    return score(docs, fit(docs, labels, limit)).where("_score >= 0.5").select(*docs.columns)
+    own = free_name(docs, "_score")
+    return score(docs, fit(docs, labels, limit), own).where(F.col(own) >= 0.5).select(*[docs[f"`{c}`"] for c in docs.columns])

@@ -14,8 +14,9 @@ windows of one group form a *segment* (their joint text). Hence
 What is left, distinct segments of repeated groups, goes to the caller's own
 index (suffix array, suffix tree). A group with more than ``GROUP_LIMIT``
 distinct segments (one line in very many contexts) is cut again by a longer
-gram, and at last by the whole window, where equality alone decides; so no
-group has to fit into a task and nothing is dropped.
+gram, and at last by the whole window: there the windows' own symbols are the
+grouping key, compared in full, so no group has to fit into a task and nothing
+is dropped.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from cadence.llm.common import columns, keyed, same_row, stored
 
@@ -248,12 +250,12 @@ def recut(segments: DataFrame, kind: Kind, gram: int) -> DataFrame:
                                     "np int, seq binary, pa long, pb long, po int")
 
 
-def _groups(segments: DataFrame, wide: str) -> DataFrame:
+def _groups(segments: DataFrame, wide: str, key: str = "g") -> DataFrame:
     """Groups that can hold a repeat, ``(g, lo, k)``: more than one occurrence
     (``count``) or more than one document (``docs``); ``k``: segments."""
-    stats = segments.groupBy("g").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+    stats = segments.groupBy(key).agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
                                       F.max("np").alias("np"), F.count("*").alias("k"))
-    return stats.where("n > 1 or np > 1" if wide == "count" else "lo < hi").select("g", "lo", "k")
+    return stats.where("n > 1 or np > 1" if wide == "count" else "lo < hi").select(key, "lo", "k")
 
 
 def _distinct(pieces: DataFrame) -> DataFrame:
@@ -269,8 +271,9 @@ def resolve(texts: DataFrame, kind: Kind, index: Index, wide: str, level: int =
     gram = kind.grams[level + 1]
     pieces = stored(recut(hot, kind, gram), "pieces")
     at = pieces.select("g", F.col("a").alias("_a"), F.col("b").alias("_b"), "pa", "pb", "po", "nw")
-    if gram == kind.size:  # the windows of a group are equal
-        lifted = (at.join(_groups(pieces, wide), "g")
+    if gram == kind.size:  # a piece is one window, or equal ones in a row: its symbols decide, not their hash
+        own = pieces.withColumn("window", F.substring("seq", 1, kind.size * kind.width))
+        lifted = (own.select("window", "pa", "pb", "po", "nw").join(_groups(own, wide, "window"), "window")
                   .select(F.col("pa").alias("a"), F.col("pb").alias("b"), F.col("po").alias("o"),
                           F.col("nw").alias("m"), "lo"))
     else:
@@ -290,7 +293,12 @@ def repeat_ranges(docs: DataFrame, kind: Kind, index: Index, wide: str) -> DataF
     "count" a window repeats if it starts anywhere else; with "docs" if it
     starts in a document with a smaller id (a null id is the largest)."""
     occ = stored(occurrences(docs, kind), "occurrences")
-    rank = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).cast("long")
+    if wide == "docs":
+        if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+            raise TypeError("removal after the smallest doc_id needs an integer doc_id")
+        rank = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).cast("long")
+    else:  # the order of ids plays no part
+        rank = F.lit(0).cast("long")
     segs = occ.groupBy("g", "a", "b").agg(
         F.min(rank).alias("lo"), F.max(rank).alias("hi"), F.count("*").alias("n"),
         F.first("nw").alias("nw"), F.first("np").alias("np"), F.min(F.struct("doc_id", "th", "s0")).alias("rep"))

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadence.llm.common import columns, keyed, stored
+from cadence.llm.common import columns, free_name, keyed, stored
 
 SHINGLE = 4
 MAX_BITS = 4
@@ -251,9 +251,10 @@ def one_of_each_component(docs: DataFrame, shingle: int = SHINGLE, most: int = M
     found = near_duplicates(docs, shingle, most)
     keep = (found.where("doc_id = component_id").groupBy("root")
             .agg(F.first("doc_id").alias("_keep"), F.min("th").alias("_th")))
-    rows = docs.withColumn("_row_th", F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
-    named = (rows.join(keep, (rows["doc_id"] == keep["_keep"]) & (rows["_row_th"] == keep["_th"]), "left_semi")
-             .dropDuplicates(["doc_id", "_row_th"]).select(*docs.columns))
+    own = free_name(docs, "_row_th")
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
+    named = (rows.join(keep, (rows["doc_id"] == keep["_keep"]) & (rows[own] == keep["_th"]), "left_semi")
+             .dropDuplicates(["doc_id", own]).select(*docs.columns))
     alone = found.where("component_id is null").groupBy("root").agg(F.min("th").alias("_th")).select("_th")
     th = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
     nameless = docs.where("doc_id is null").join(alone, th == alone["_th"], "left_semi").dropDuplicates(["text"])

@@ -130,3 +130,12 @@ def test_digest_of_the_contract(spark):
     r = suffix_dedup.digest(frame(spark, [(1, long), (2, "z" + long), (3, None)])).orderBy("doc_id").collect()
     assert [x.n_bytes for x in r] == [560, 561, 0] and r[0].n_removed == 560
     assert r[2].kept_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_string_ids(spark):
+    same = "x" * 300
+    df = spark.createDataFrame([("b", same), ("a", same), (None, "y")], "doc_id string, text string")
+    got = {r.doc_id: r.n_removed for r in suffix_dedup.remove_repeats(df, 200).collect()}
+    assert got == {"a": 300, "b": 300, None: 0}
+    with pytest.raises(TypeError, match="integer doc_id"):
+        suffix_tree_dedup.remove_earlier(df, 20)

@@ -77,7 +77,7 @@ def test_rules_separate_and_read_like_rules(spark):
     hit = np.zeros(900, bool)
     for rule in rules:
         hit |= quality_rules._covered(rule, data, 900)
-    assert (hit == bad).mean() > 0.95 and "symbols >= 0.6" in " ".join(quality_rules.describe(rules))[:200] or rules
+    assert (hit == bad).mean() > 0.95
 
 
 def test_rules_do_not_depend_on_the_order_of_rows():
@@ -427,7 +427,7 @@ def brute_contamination(rows, items, size):
 
 @pytest.mark.parametrize("broadcast", [200_000, 0])
 def test_contamination_matches_brute_force(spark, monkeypatch, broadcast):
-    monkeypatch.setattr(decontaminate, "BROADCAST_TERMS", broadcast)
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
     r = random.Random(11)
     line = lambda n: " ".join(r.choice(["the", "of", "a", "Zürich", "x1", "ÉTÉ", "q", "we"]) for _ in range(n))
     items = [(i, line(r.choice([1, 3, 5, 6, 9, 12]))) for i in range(8)] + [(20, ""), (21, None), (None, line(7))]
@@ -453,6 +453,56 @@ def test_decontamination_of_empty_tables_and_proximity(spark):
     assert sorted(r.doc_id for r in decontaminate.clean(docs, bench).collect()) == [1, 2, 4]
 
 
+def test_decontamination_with_an_unbroken_word_and_a_long_text(spark, monkeypatch):
+    """A word of 2 MB in an item, and a text of a million characters, by broadcast and by shuffle."""
+    huge = "q" * 2_000_000
+    bench = spark.createDataFrame([(1, f"alpha {huge} beta"), (2, "z zz zzz end of it"), (3, huge)], "item_id long, text string")
+    long_text = "the word " * 110_000
+    rows = [(1, f"x alpha {huge} beta y"), (2, long_text + "z zz zzz end of it"), (3, f"{huge}x"), (4, "z zz zzz"), (1, f"x alpha {huge} beta y")]
+    want = sorted([(1, 5, 3, 2), (2, 220_006, 6, 1), (3, 1, 0, 0), (4, 3, 0, 0), (1, 5, 3, 2)])
+    for limit in (200_000, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", limit)
+        got = decontaminate.digest(frame(spark, rows), bench).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_hit, r.n_items) for r in got) == want
+    assert decontaminate.free_word(spark.createDataFrame([("z",), ("zzz",), ("a",)], "term string")) == "zz"
+
+
+def test_decontamination_shuffles_narrow_rows(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    rows = spark.createDataFrame([(1, 2, 3, "w")], "doc_id long, th long, pos int, term string")
+    terms = spark.createDataFrame([("w", 1)], "term string, seed int")
+    joined = decontaminate.by_term(rows, terms)
+    assert set(joined.columns) == {"doc_id", "th", "pos", "term", "seed"}
+    assert [tuple(r) for r in joined.select("doc_id", "pos", "term", "seed").collect()] == [(1, 3, "w", 1)]
+
+
+def test_clashing_columns_keep_their_values(spark):
+    from cadence.llm import nbsvm, simhash
+    rows = [(i, " ".join(f"w{i}{k}" for k in range(30)), 7.5, 3) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _score double, _row_th long")
+    labels = labels_of(spark, [(i, i % 2, 0) for i in range(6)])
+    for out in (nbsvm.accepted(docs, labels), simhash.one_of_each(docs)):
+        assert out.columns == docs.columns
+        assert {(r["_score"], r["_row_th"]) for r in out.collect()} <= {(7.5, 3)}
+    assert simhash.one_of_each(docs).count() == 6
+
+
+def test_signs_that_are_no_letters(spark):
+    from cadence.llm import langid
+    docs = spark.createDataFrame([(i, "hello there", "en") for i in range(20)] + [(90, "½ ²", "en"), (91, "日", None)],
+                                 "doc_id long, text string, lang string")
+    got = {r.doc_id: r.lang_pred for r in langid.digest(docs).collect()}
+    assert got[90] == "und" and got[91] == "en"
+
+
+def test_many_languages_raise(spark, monkeypatch):
+    from cadence.llm import langid
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    docs = spark.createDataFrame([(i, "a b", f"l{i}") for i in range(20)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="lang"):
+        langid.fit(docs)
+
+
 # pipeline
 
 def test_pipeline_stages(spark):
