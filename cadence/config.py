@@ -111,7 +111,7 @@ EVENTS_MAPPING = TxMapping(
 # Ordinal category orders of the reference's encoder.
 INCOME_ORDER = ("Low", "Medium", "High", "Very High")
 
-# Cuts of c_acctbal that stand in for the income bracket.
+# Own cuts of c_acctbal that stand in for the income bracket.
 INCOME_CUTS = (2500.0, 5000.0, 7500.0)
 
 
