@@ -67,10 +67,26 @@ dw AS (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes
 h AS (SELECT dw.doc_id, dw.i, dw.n, ig.item_id FROM dw JOIN ig ON ig.n = dw.n AND ig.g = array_to_string(dw.w[dw.i:dw.i + dw.n - 1], ' ')),
 hw AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM h) GROUP BY doc_id),
 hi AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS s
-       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM h) GROUP BY doc_id)
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM h) GROUP BY doc_id),
+dt AS (SELECT doc_id, unnest(w) AS term, unnest(range(1, len(w) + 1)) AS p FROM d),
+cnt AS (SELECT term, count(*) AS c FROM dt GROUP BY term),
+wk AS (SELECT item_id, w, n, i, unnest(range(i, i + n)) AS k FROM iw),
+rk AS (SELECT item_id, w, n, i, k, term, row_number() OVER (PARTITION BY item_id, w, i ORDER BY c, k) AS r
+       FROM (SELECT *, w[k] AS term FROM wk) JOIN cnt USING (term)),
+pr AS (SELECT a.item_id, a.w, a.n, a.i, a.k AS p1, a.term AS t1, b.k AS p2, b.term AS t2
+       FROM rk a LEFT JOIN rk b ON b.item_id = a.item_id AND b.w = a.w AND b.i = a.i AND b.r = 2 WHERE a.r = 1),
+pl AS (SELECT DISTINCT x.doc_id, x.p, pr.item_id, pr.w, pr.n, pr.i, pr.p1 FROM pr JOIN dt x ON x.term = pr.t1
+       JOIN dt y ON y.doc_id = x.doc_id AND y.term = pr.t2 AND y.p <> x.p AND abs(y.p - x.p - (pr.p2 - pr.p1)) <= 2
+       UNION ALL SELECT x.doc_id, x.p, pr.item_id, pr.w, pr.n, pr.i, pr.p1 FROM pr JOIN dt x ON x.term = pr.t1 WHERE pr.t2 IS NULL),
+pk AS (SELECT *, w[k] AS term, p + k - p1 + unnest(range(-2, 3)) AS q FROM (SELECT *, unnest(range(i, i + n)) AS k FROM pl)),
+pc AS (SELECT pk.doc_id, pk.p, item_id, w, n, i, count(DISTINCT k) AS held FROM pk JOIN dt ON dt.doc_id = pk.doc_id AND dt.term = pk.term
+       AND dt.p = pk.q GROUP BY pk.doc_id, pk.p, item_id, w, n, i),
+ni AS (SELECT doc_id, count(*) AS n_near, string_agg(s, ',' ORDER BY s) AS s FROM
+       (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM pc WHERE 4 * held >= 3 * n) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(hw.n_hit, 0) AS n_hit, coalesce(hi.n_items, 0) AS n_items,
-  sha256(coalesce(hi.s, '')) AS items_sha256, coalesce(hw.n_hit, 0) > 0 AND 20 * coalesce(hw.n_hit, 0) >= len(d.w) AS contaminated
-FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+  sha256(coalesce(hi.s, '')) AS items_sha256, coalesce(hw.n_hit, 0) > 0 AND 20 * coalesce(hw.n_hit, 0) >= len(d.w) AS contaminated,
+  coalesce(ni.n_near, 0) AS n_near_items, sha256(coalesce(ni.s, '')) AS near_items_sha256
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id) LEFT JOIN ni USING (doc_id)
 """
 
 OP10_SQL = r"""

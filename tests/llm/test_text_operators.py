@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -442,6 +443,67 @@ def test_contamination_matches_brute_force(spark, monkeypatch, broadcast):
     assert got == brute_contamination(rows, items, 6)
 
 
+def brute_proximity(rows, items, size, slop):
+    """``{(doc, text): item ids}`` by looking at every place of every window."""
+    counts = Counter(w for _, t in rows for w in words_of(t))
+    out = {}
+    for d, t in rows:
+        w, found = words_of(t), set()
+        for i, x in items:
+            v = words_of(x)
+            n = min(size, len(v))
+            for s in range(len(v) - n + 1) if n else ():
+                rank = sorted((counts[v[k]], k) for k in range(s, s + n) if counts[v[k]])[:2]
+                if not rank:
+                    continue
+                p1, p2 = rank[0][1], rank[-1][1] if len(rank) > 1 else None
+                for p in range(len(w)):
+                    if w[p] != v[p1]:
+                        continue
+                    second = p2 is None or any(w[q] == v[p2] and q != p and abs(q - p - (p2 - p1)) <= slop for q in range(len(w)))
+                    held = sum(v[k] in w[max(0, p + k - p1 - slop):max(0, p + k - p1 + slop + 1)] for k in range(s, s + n))
+                    if second and 4 * held >= 3 * n and i is not None:
+                        found.add(str(i))
+        out[d, t] = sorted(found)
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [200_000, 0])
+def test_proximity_matches_brute_force(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", broadcast)
+    r = random.Random(12)
+    vocab = [f"w{k}" for k in range(30)] + ["the", "of", "a"] * 8
+    line = lambda n: [r.choice(vocab) for _ in range(n)]
+    items = [(i, " ".join(line(r.choice([1, 2, 4, 8, 8, 15])))) for i in range(12)] + [(20, ""), (21, None), (22, "absent words only"),
+                                                                                    (23, "w1 absent w2 the w3")]
+
+    def loose(text):
+        """The words with some put in, left out or moved by one place."""
+        w = (text or "").split()
+        for _ in range(r.randint(0, 3)):
+            k = r.randrange(len(w) + 1)
+            change = r.choice(["in", "out", "swap"])
+            if change == "in":
+                w.insert(k, r.choice(vocab))
+            elif change == "out":
+                del w[k:k + 1]
+            else:
+                w[k:k + 2] = w[k:k + 2][::-1]
+        return w
+
+    rows = [(i, " ".join(line(r.randint(0, 6)) + loose(r.choice(items)[1]) + line(r.randint(0, 6)))) for i in range(60)]
+    rows += [(90, "w1 w2 the w3"), (91, "the the the"), (92, None), (93, ""), rows[0]]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = frame(spark, rows)
+    want = brute_proximity(rows, items, 6, 2)
+    got = sorted((x.doc_id, x.n_near_items, x.near_items_sha256) for x in decontaminate.digest(docs, bench, 6, 2).collect())
+    assert got == sorted((d, len(want[d, t]), hashlib.sha256(",".join(want[d, t]).encode()).hexdigest()) for d, t in rows)
+    listed = {(m.doc_id, str(m.item_id)) for m in decontaminate.Index(docs, bench, 6).proximity_matches(2).collect()}
+    assert listed == {(d, i) for (d, _), ids in want.items() for i in ids}
+    exact = {str(d): k for d, _, _, k, _, _ in brute_contamination(rows, items, 6)}
+    assert sum(map(len, want.values())) > sum(exact.values()) > 0
+
+
 def test_decontamination_of_empty_tables_and_proximity(spark):
     bench = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
