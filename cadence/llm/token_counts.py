@@ -1,56 +1,81 @@
 """Edit-aware token counts.
 
 A document is cut into leaves where the tokenizer's pre-tokens surely end: in
-front of a single space between two other characters. Tokens never cross such
-a cut, so leaves are encoded on their own and a document's count is the sum at
-the root of a tree over its leaves. An edit re-encodes only the leaves it
-touches, and further ones while the edited text leaves no sure cut at the
-region's ends; then the sums on the paths to the root are updated.
-
-The byte-level vocabulary is a public file, given by path. Results: one row
-per input row; a null or empty text has no tokens. Edits are ``(start, end,
-replacement)`` in code points of the original text, and do not overlap; they
-are clipped to the text.
-
-Kept state is the leaves' tokens and their lengths. Edits empty, merge and
-stretch leaves, so a text is cut where its state says, not anew, and a state
-that does not fit its text is refused.
+front of a blank, tab or line break behind another character, and where a
+letter, a digit and another sign meet. Pre-tokens never cross such a cut, so
+leaves are encoded on their own and a document's count is the sum at the root of
+a tree over its leaves. An edit re-encodes only the leaves it touches, and
+further ones while the edited text leaves no sure cut at the region's ends; then
+the sums on the paths to the root are updated.
+
+The trees are kept as a stored table (:func:`trees`: the leaves' tokens and
+lengths beside the text) and edits are counted from it (:func:`recount`), for
+any number of rounds. Edits empty, merge and stretch leaves, so a text is cut
+where its state says, not anew, and a state that does not fit its text is
+refused.
+
+The byte-level vocabulary is a public file, given by path; the driver reads it
+and broadcasts its bytes. Edits are ``(start, end, replacement)`` in code points
+of the text before them, and do not overlap; they are clipped to the text.
+
+Results: one row per input row. A null, empty or blank text is counted as it is
+(none, none, its blanks). Long texts are one tree; a text without a sure cut
+(one unbroken word) is one leaf. Repeated rows get equal results. An empty table
+gives an empty one. Only ``doc_id`` and ``text`` (and the columns of the state)
+are read, so other columns of any name do not matter.
 """
 
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import accumulate
 
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import regex
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadence.llm import pii
-from cadence.llm.common import columns
+from cadence.llm.common import columns, stored
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how the public vocabulary splits text before its merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 LEAF = 400
-_CUT = re.compile(r"(?<=\S) (?=\S)")
+#: A whitespace run starts here, or signs of two kinds meet (an apostrophe may
+#: take letters behind it). Control and unassigned characters are of no kind.
+_CUT = regex.compile(
+    r"(?<=[^\s\p{C}])(?=[ \t\n\r])|(?<=\p{L})(?=[^\s\p{L}\p{C}])|(?<=\p{N})(?=[^\s\p{N}\p{C}])"
+    r"|(?<=[^\s\p{L}\p{N}\p{C}])(?=\p{N})|(?<=[^\s\p{L}\p{N}\p{C}'])(?=\p{L})")
 
 Edit = tuple[int, int, str]
 
 
 @lru_cache(maxsize=2)
-def counter(path: str = RANKS) -> Callable[[str], int]:
+def encoder(ranks: bytes) -> Callable[[str], int]:
+    """Counts the tokens of a text by the vocabulary in these bytes."""
     import tiktoken
 
-    with open(path, "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    merges = {base64.b64decode(a): int(b) for a, b in (line.split() for line in ranks.splitlines() if line.strip())}
+    enc = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=merges, special_tokens={})
     return lambda text: len(enc.encode_ordinary(text)) if text else 0
 
 
+def counter(path: str = RANKS) -> Callable[[str], int]:
+    with open(path, "rb") as f:
+        return encoder(f.read())
+
+
+def shared_counter(spark: SparkSession, path: str) -> Callable[[], Callable[[str], int]]:
+    """The counter for tasks, from a broadcast of the file that the driver reads."""
+    with open(path, "rb") as f:
+        sent = spark.sparkContext.broadcast(f.read())
+    return lambda: encoder(sent.value)
+
+
 def leaves(text: str, size: int = LEAF) -> list[str]:
     """The text in parts of about ``size`` characters that end at sure cuts."""
     out, at = [], 0
@@ -163,7 +188,8 @@ class CountTree:
 
 
 def _sure(left: str, right: str) -> bool:
-    return bool(left) and len(right) > 1 and not left[-1].isspace() and right[0] == " " and not right[1].isspace()
+    """Whether the place between two parts of a text is a sure cut."""
+    return bool(left) and bool(right) and _CUT.match(left[-1] + right[0], 1) is not None
 
 
 def redactions(text: str) -> list[Edit]:
@@ -176,74 +202,83 @@ def redactions(text: str) -> list[Edit]:
     return out
 
 
+STATE = "n_tokens long, leaf_tokens array<int>, leaf_chars array<int>, text string"
+EDITS = "array<struct<start:int,end:int,text:string>>"
+_LIST = pa.list_(pa.int32())
+
+
+def _with_id(batch: pa.RecordBatch, rows: list[tuple], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    """The batch's first column and ``rows`` as columns."""
+    cols = list(zip(*rows, strict=True)) if rows else [[]] * len(types)
+    return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types.values(), strict=True))],
+                                      names=["doc_id", *types])
+
+
 def trees(docs: DataFrame, path: str = RANKS) -> DataFrame:
-    """State to keep: ``(doc_id, n_tokens, leaf_tokens, leaf_chars)`` per document."""
+    """State to keep: ``(doc_id, n_tokens, leaf_tokens, leaf_chars, text)`` per document."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    shared = shared_counter(docs.sparkSession, path)
+    types = {"n_tokens": pa.int64(), "leaf_tokens": _LIST, "leaf_chars": _LIST, "text": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
+        count = shared()
         for batch in batches:
-            built = [CountTree(t or "", count) for t in columns(batch, "text")[0]]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([t.total for t in built], pa.int64()),
-                 pa.array([t.leaf_tokens() for t in built], pa.list_(pa.int32())),
-                 pa.array([t.leaf_chars() for t in built], pa.list_(pa.int32()))],
-                names=["doc_id", "n_tokens", "leaf_tokens", "leaf_chars"])
+            texts = columns(batch, "text")[0]
+            built = [CountTree(t or "", count) for t in texts]
+            yield _with_id(batch, [(b.total, b.leaf_tokens(), b.leaf_chars(), t) for b, t in zip(built, texts, strict=True)], types)
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {STATE}")
+
+
+def redaction_edits(state: DataFrame) -> DataFrame:
+    """``state`` with ``edits`` that replace the personal data of its texts."""
+
+    @F.pandas_udf(EDITS)
+    def edits(texts: pd.Series) -> pd.Series:
+        return pd.Series([[{"start": s, "end": e, "text": x} for s, e, x in redactions(t or "")] for t in texts], dtype=object)
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, leaf_tokens array<int>, leaf_chars array<int>")
+    return state.withColumn("edits", edits("text"))
 
 
 def recount(docs: DataFrame, path: str = RANKS) -> DataFrame:
     """``docs`` has the text, its ``leaf_tokens`` and ``leaf_chars`` (from
     :func:`trees` or the last recount; without either: count anew) and ``edits
     array<struct<start:int,end:int,text:string>>``. Returns ``(doc_id, n_tokens,
-    leaf_tokens, encoded, leaf_chars, text)`` after the edits, ready for the next
-    ones; ``encoded`` is how many characters they made encode. State that does
-    not fit the text is an error."""
+    leaf_tokens, leaf_chars, text)`` after the edits, ready for the next ones,
+    and ``tokens_before``, ``n_edits`` and ``encoded``, the characters that the
+    edits made encode. State that does not fit the text is an error."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     if "leaf_chars" not in docs.columns:  # counts alone do not say which part of the text they are of
         docs = docs.withColumn("leaf_chars", F.lit(None).cast("array<int>"))
+    shared = shared_counter(docs.sparkSession, path)
+    types = {"n_tokens": pa.int64(), "leaf_tokens": _LIST, "leaf_chars": _LIST, "text": pa.string(),
+             "tokens_before": pa.int64(), "n_edits": pa.int64(), "encoded": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
+        count = shared()
         for batch in batches:
             out = []
             for text, known, lengths, edits in zip(*columns(batch, "text", "leaf_tokens", "leaf_chars", "edits"), strict=True):
                 kept = {"known": known, "lengths": lengths} if known and lengths else {}
                 tree = CountTree(text or "", count, **kept)
-                tree.apply([(e["start"], e["end"], e["text"] or "") for e in edits or []])
+                before, edits = tree.total, edits or []
+                tree.apply([(e["start"], e["end"], e["text"] or "") for e in edits])
                 after = tree.text()
-                out.append((tree.total, tree.leaf_tokens(), tree.encoded, tree.leaf_chars(),
-                            None if text is None and not after else after))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 5
-            types = [pa.int64(), pa.list_(pa.int32()), pa.int64(), pa.list_(pa.int32()), pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))],
-                names=["doc_id", "n_tokens", "leaf_tokens", "encoded", "leaf_chars", "text"])
+                out.append((tree.total, tree.leaf_tokens(), tree.leaf_chars(), None if text is None and not after else after,
+                            before, len(edits), tree.encoded))
+            yield _with_id(batch, out, types)
 
     return docs.select("doc_id", "text", "leaf_tokens", "leaf_chars", "edits").mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, leaf_tokens array<int>, encoded long, leaf_chars array<int>, text string")
+        run, f"doc_id {id_type}, {STATE}, tokens_before long, n_edits long, encoded long")
 
 
 def count_redacted(docs: DataFrame, path: str = RANKS) -> DataFrame:
     """``(doc_id, n_tokens, n_leaves, n_edits, n_tokens_after, encoded)``: the
-    tokens of each whole text, and after its personal data are replaced, the
-    second count by edits of the first's tree."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
-        for batch in batches:
-            out = []
-            for text in columns(batch, "text")[0]:
-                tree = CountTree(text or "", count)
-                before, edits = tree.total, redactions(text or "")
-                tree.apply(edits)
-                out.append((before, len(tree.parts) if text else 0, len(edits), tree.total, tree.encoded))
-            cols = list(zip(*out, strict=True)) if out else [[]] * 5
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols)],
-                                             names=["doc_id", "n_tokens", "n_leaves", "n_edits", "n_tokens_after", "encoded"])
-
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, n_leaves long, n_edits long, n_tokens_after long, encoded long")
+    tokens of each whole text, and after its personal data are replaced. The trees
+    of the first count are stored; the second one reads them and encodes only
+    what the edits touch."""
+    kept = stored(trees(docs, path), "trees")
+    after = recount(redaction_edits(kept), path)
+    n_leaves = F.when(F.coalesce(F.length("text"), F.lit(0)) > 0, F.size("leaf_chars")).otherwise(0).cast("long")
+    return after.select("doc_id", F.col("tokens_before").alias("n_tokens"), n_leaves.alias("n_leaves"), "n_edits",
+                        F.col("n_tokens").alias("n_tokens_after"), "encoded")

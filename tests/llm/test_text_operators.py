@@ -336,6 +336,40 @@ def test_edits_equal_a_full_recount():
         assert tree.text() == text and tree.total == count(text) == sum(tree.leaf_tokens())
 
 
+def test_sure_cuts_never_change_a_count():
+    """Cut at every sure place, the parts' counts add up to that of the whole, whatever the text."""
+    count, r = token_counts.counter(), random.Random(8)
+    bits = [*"aZé日本ßǅ0９½²'’\"。、,.-_!#😀́\u200d\x1c\x1f\x00\x85\xa0\u3000 \t\n\r", "  ", "\n\n", " \n", "'s", "'ll", "don't",
+            "it's 5", "1st", "日本語。", "\u0378"]
+    for _ in range(4000):
+        text = "".join(r.choice(bits) for _ in range(r.randint(0, 25)))
+        parts = token_counts.leaves(text, 1)
+        assert "".join(parts) == text and sum(map(count, parts)) == count(text), (text, parts)
+        assert all(token_counts._sure(a, b) for a, b in zip(parts, parts[1:], strict=False)), (text, parts)
+
+
+def test_texts_without_blanks_have_leaves():
+    """Lines of one word, and Chinese, are cut too; one unbroken word is one leaf."""
+    count = token_counts.counter()
+    for text in ("word\n" * 5000, "天地玄黄，宇宙洪荒。" * 1000, "a1b2" * 3000):
+        tree = token_counts.CountTree(text, count)
+        assert len(tree.parts) > 20 and max(map(len, tree.parts)) <= 2 * token_counts.LEAF and tree.total == count(text)
+        tree.edit(5000, 5003, "x")
+        assert tree.total == count(text[:5000] + "x" + text[5003:]) and tree.encoded < 2000
+    assert len(token_counts.CountTree("a" * 3000, count).parts) == 1
+
+
+def test_the_query_counts_from_stored_trees(spark, monkeypatch):
+    """The kept table alone gives the second count: neither its text nor its state is built again."""
+    docs = frame(spark, [(1, "write to a.b@c.de now " * 200), (2, "no data " * 300), (3, None), (4, ""), (5, " ")])
+    names = []
+    monkeypatch.setattr(token_counts, "stored", lambda df, label: names.append(df.columns) or common.stored(df, label))
+    got = {x.doc_id: x for x in token_counts.count_redacted(docs).collect()}
+    assert names == [["doc_id", "n_tokens", "leaf_tokens", "leaf_chars", "text"]]
+    assert (got[1].n_edits, got[2].n_edits, got[2].encoded) == (200, 0, 0) and got[2].n_leaves > 1
+    assert [(got[i].n_tokens, got[i].n_leaves) for i in (3, 4, 5)] == [(0, 0), (0, 0), (1, 1)]
+
+
 def test_an_edit_encodes_its_region_only():
     text = "some words here " * 2000
     tree = token_counts.CountTree(text, token_counts.counter())
