@@ -14,16 +14,19 @@ the smallest member found at such a meeting point links to all others. Two
 fingerprints are within 4 bits exactly if they have a common one within 2 of
 both, so this is exact too, and linear.
 
-Rows of a fingerprint that many rows share (fewer than ``HOT_SHARE`` such
-fingerprints exist) get their component by a broadcast and stay where they are.
+Rows of a fingerprint that many rows share, and fingerprints of a component that
+many fingerprints share (fewer than ``HOT_SHARE`` of either exist), get their
+component by a broadcast and stay where they are.
 
 Components come from rounds of neighbour minima and pointer jumps over stored
 tables; nothing is collected but the count that ends the rounds.
 
 Results: one row per input row. Null and empty texts have fingerprint zero and
-link like any other. Equal fingerprints (exact copies, repeated rows) link at
-distance 0. A null ``doc_id`` is linked too; its component is the smallest
-non-null id reachable, null if there is none.
+link like any other. Long texts are read whole, one at a time in a batch. Equal
+fingerprints (exact copies, repeated rows) link at distance 0. A null ``doc_id``
+is linked too; its component is the smallest non-null id reachable, null if
+there is none. An empty table gives an empty one. Only ``doc_id`` and ``text``
+are read, so other columns of any name do not matter; the stages keep them.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ MAX_BITS = 4
 SEED = 42
 #: Members of one key that a task compares with each other.
 MEET_LIMIT = 16_384
-#: A fingerprint with more than one row in so many is hot; there are fewer than this.
+#: A key that holds more than one row in so many is hot; there are fewer than this.
 HOT_SHARE = 1000
 
 _LANES = np.uint64(0x0101010101010101)
@@ -211,25 +214,30 @@ def components(edges: DataFrame) -> DataFrame:
     return label
 
 
+def joined(rows: DataFrame, key: str, table: DataFrame, on: str) -> DataFrame:
+    """``rows`` joined with the stored ``table``, which has each value of ``on``
+    once: its few rows marked ``hot`` are broadcast, so rows of a hot key do not
+    meet in one task; the others are joined by shuffle."""
+    few, rest = F.broadcast(table.where("hot")), table.where("not hot")
+    others = rows.join(few.select(on), rows[key] == few[on], "left_anti")
+    return rows.join(few, rows[key] == few[on]).unionByName(others.join(rest, others[key] == rest[on]))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most: int = MAX_BITS) -> DataFrame:
     """``(doc_id, th, fp, root, component_id)`` for every row; ``root`` is the
     component's smallest fingerprint."""
     fps = stored(fingerprints(docs, shingle), "fingerprints")
     nodes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("lowest"), F.count("*").alias("n")), "nodes")
-    n_rows = nodes.agg(F.sum("n")).first()[0] or 0
-    hot = F.col("n") * HOT_SHARE > n_rows
+    n_rows, n_nodes = nodes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     root = components(links(nodes.select("fp"), most))
-    member = nodes.join(root, nodes["fp"] == root["node"], "left").select(
-        F.col("fp").alias("_fp"), "lowest", hot.alias("hot"), F.coalesce("root", "fp").alias("root"))
-    lowest = member.groupBy(F.col("root").alias("_root")).agg(F.min("lowest").alias("component_id"))
-    named = stored(member.join(lowest, member["root"] == lowest["_root"])
-                   .select("_fp", "hot", "root", "component_id"), "named")
-    few, rest = F.broadcast(named.where("hot")), named.where("not hot")
-    at_few = fps["fp"] == few["_fp"]
-    other = fps.join(few.select("_fp"), at_few, "left_anti")
-    out = ("doc_id", "th", "fp", "root", "component_id")
-    return fps.join(few, at_few).select(*out).unionByName(
-        other.join(rest, other["fp"] == rest["_fp"]).select(*out))
+    member = stored(nodes.join(root, nodes["fp"] == root["node"], "left").select(
+        F.col("fp").alias("_fp"), "lowest", (F.col("n") * HOT_SHARE > n_rows).alias("many"),
+        F.coalesce("root", "fp").alias("root")), "members")
+    lowest = stored(member.groupBy(F.col("root").alias("_root")).agg(
+        F.min("lowest").alias("component_id"), (F.count("*") * HOT_SHARE > n_nodes).alias("hot")), "lowest")
+    named = stored(joined(member, "root", lowest, "_root")
+                   .select("_fp", F.col("many").alias("hot"), "root", "component_id"), "named")
+    return joined(fps, "fp", named, "_fp").select("doc_id", "th", "fp", "root", "component_id")
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -70,6 +70,20 @@ def test_components(spark, monkeypatch, limit):
     assert got == want
 
 
+@pytest.mark.parametrize("share", [1, 8])
+def test_hot_fingerprints_and_components(spark, monkeypatch, share):
+    monkeypatch.setattr(simhash, "HOT_SHARE", share)  # no key is hot, or some are
+    rows = corpus()
+    frame = spark.createDataFrame([(d, t, "x", "y") for d, t in rows], SCHEMA)
+    got = [(r.doc_id, r.component_id) for r in simhash.near_duplicates(frame).collect()]
+    want = []
+    comps = brute_components([brute_fp(t) for _, t in rows])
+    for (d, _), c in zip(rows, comps, strict=True):
+        ids = [i for (i, _), e in zip(rows, comps, strict=True) if e == c and i is not None]
+        want.append((d, min(ids, default=None)))
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def test_heavy_keys_take_the_meeting_points(spark):
     r = random.Random(9)
     centre = r.getrandbits(64)
