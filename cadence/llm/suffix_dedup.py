@@ -7,9 +7,12 @@ byte induces the places of all others; the common prefixes of neighbours then
 show which windows repeat.
 
 Results: one row per input row. A null or empty text, and one shorter than the
-window, has nothing removed. Rows that repeat another row are occurrences of
-their own, so both lose their long texts. Spark shuffles hashes of segments
-and, once, the texts of distinct candidates.
+window, has nothing removed. Long texts are cut into segments and need no more
+than their own bytes. Rows that repeat another row are occurrences of their own,
+so both lose their long texts; no order of rows or ids plays a part, so nothing
+ties. An empty table gives an empty one. Only ``doc_id`` and ``text`` are read, so
+other columns of any name do not matter. Spark shuffles hashes of segments and,
+once, the texts of distinct candidates.
 """
 
 from __future__ import annotations
@@ -74,19 +77,21 @@ def two_stage_order(text: bytes, depth: int, wanted: np.ndarray | None = None) -
 
 
 def common_prefixes(text: bytes, order: np.ndarray, room: np.ndarray, depth: int) -> np.ndarray:
-    """For neighbours in ``order``: whether their first ``depth`` bytes agree.
-    ``room``: bytes from each start to the end of its segment."""
-    ok = (room[order[:-1]] >= depth) & (room[order[1:]] >= depth)
-    pairs = np.flatnonzero(ok)
+    """For neighbours in ``order``: how many of their first ``depth`` bytes agree,
+    up to the first that differs. ``room``: bytes from each start to the end of its
+    segment; starts with less than ``depth`` of them take no part (0)."""
+    one, two = order[:-1], order[1:]
+    shared = np.zeros(len(one), np.int64)
+    pairs = np.flatnonzero((room[one] >= depth) & (room[two] >= depth))
     words = np.ndarray((len(text),), "<u8", text + bytes(8), strides=(1,))
-    for step in [*range(0, depth - 7, 8), depth - 8]:
-        if not len(pairs):
-            break
-        same = words[order[pairs] + step] == words[order[pairs + 1] + step]
-        pairs = pairs[same]
-    agree = np.zeros(len(order) - 1, bool)
-    agree[pairs] = True
-    return agree
+    for step in range(0, depth, 8):  # eight bytes at a time; the last eight may look beyond the depth
+        differ = words[one[pairs] + step] ^ words[two[pairs] + step]
+        ends = differ != 0
+        low = differ[ends]
+        shared[pairs[ends]] = step + np.bitwise_count((low & -low) - np.uint64(1)).astype(np.int64) // 8
+        pairs = pairs[~ends]
+    shared[pairs] = depth
+    return np.minimum(shared, depth)
 
 
 def repeated_windows(block: list[tuple], size: int) -> list[tuple]:
@@ -97,7 +102,7 @@ def repeated_windows(block: list[tuple], size: int) -> list[tuple]:
     begin = np.concatenate(([0], np.cumsum(lens + 1)[:-1]))
     room = np.repeat(begin + lens, lens + 1) - np.arange(len(text))
     order = two_stage_order(text, size, room >= size)
-    agree = common_prefixes(text, order, room, size)
+    agree = common_prefixes(text, order, room, size) == size
     again = np.zeros(len(text) + 1, bool)
     again[order[:-1][agree]] = True
     again[order[1:][agree]] = True

@@ -109,6 +109,25 @@ def test_two_stage_order_is_the_suffix_order():
         assert order == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+def test_common_prefixes_are_lengths():
+    import numpy as np
+    r = random.Random(7)
+    for depth in (8, 13, 300):
+        segments = [bytes(r.choice(b"aab") for _ in range(n)) + b"a" * m + b"\0c\x80" for n in (3, 40, 90) for m in (0, 7, 320)]
+        segments += segments[4:6]
+        text = b"\xff".join(segments) + b"\xff"
+        room = np.concatenate([np.arange(len(s), -1, -1) for s in segments])
+        order = suffix_dedup.two_stage_order(text, depth)
+        want = []
+        for i, j in zip(order[:-1].tolist(), order[1:].tolist(), strict=True):
+            n = 0
+            while min(room[i], room[j]) >= depth and n < depth and text[i + n] == text[j + n]:
+                n += 1
+            want.append(n)
+        assert suffix_dedup.common_prefixes(text, order, room, depth).tolist() == want
+        assert depth in want and any(0 < n < depth for n in want)
+
+
 def test_prefix_groups_hold_all_suffixes_that_meet():
     import numpy as np
     r = random.Random(6)
