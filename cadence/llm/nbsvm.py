@@ -9,8 +9,12 @@ scaled, length-normalised sets is fitted by dual coordinate descent.
 Fitting uses at most ``limit`` rows whose crc32 remainder is not 1. The model
 (one weight per indicator, a fixed size) is broadcast; scoring is one pass over
 whole texts. Results: one row per input row; a null or empty text has no
-indicators and gets the score of the intercept. Without labels of both classes
-every score is 0.5.
+indicators and gets the score of the intercept. Long texts are read whole; an
+indicator counts once however often it occurs. Repeated rows get equal scores; a
+score of exactly 0.5 counts as label 1. Without labels of both classes every score
+is 0.5; an empty table of documents gives no rows. Only ``doc_id, text`` and the
+labels' ``doc_id, quality`` are read; :func:`accepted` keeps other columns of any
+name with their values.
 """
 
 from __future__ import annotations

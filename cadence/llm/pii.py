@@ -6,7 +6,11 @@ that its country has), start from a score for the pattern, gain by context words
 taken at 0.5 or more; they never replace a base span. Positions are code points, the end exclusive.
 
 Every pattern is linear in the text: matches cannot start inside a run of
-their own characters. Results: one row per input row; a null text is empty.
+their own characters, so long texts and long runs are read whole in linear time.
+Results: one row per input row; a null or empty text has no spans. Spans that
+start at the same place go by the order of their kinds. Repeated rows get equal
+results. An empty table gives an empty one. Only ``doc_id`` and ``text`` are read;
+:func:`redact` keeps other columns of any name (``n_chars`` follows the text).
 """
 
 from __future__ import annotations

@@ -7,8 +7,14 @@ a new rule is not precise enough. What results is an ordered list of readable
 conjunctions, emitted as one Spark conditional expression.
 
 Fitting uses at most ``limit`` labelled rows (statistics only, a few numbers a
-row). Results: one row per input row; a null text has no words. Without usable
-labels the list is empty and only the base rules decide.
+row), the smallest by a hash of the id; of several labels of one id the largest
+counts. Results: one row per input row; a null, empty or blank text has no words,
+so a base rule fails it. Long texts are read whole, in time linear in their
+words. Repeated rows get equal results; of tests with the same gain the first by
+feature and cut is taken. Without usable labels the list is empty and only the
+base rules decide; an empty table of documents gives no rows. Only ``doc_id,
+text`` and the labels' ``doc_id, quality`` are read, so other columns of any name
+do not matter.
 """
 
 from __future__ import annotations

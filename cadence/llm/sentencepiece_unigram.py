@@ -14,7 +14,10 @@ too, so decoding restores every text exactly. Ties go to the path whose last
 piece is the longer one.
 
 Results: one row per input row. A null or empty text has no ids; decoding
-gives the empty text.
+gives the empty text. Long texts are encoded whole, a unit at a time; one unbroken
+unit takes memory in proportion to its length. Repeated rows get equal results. An
+empty table gives an empty one. Only ``doc_id`` and ``text`` are read, so other
+columns of any name do not matter.
 """
 
 from __future__ import annotations

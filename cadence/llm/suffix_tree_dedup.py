@@ -7,8 +7,10 @@ memory-sized, and the tree below each prefix is held as its sorted leaves with
 the depths of the internal nodes between them. Internal nodes of at least the
 window's depth are the repeats; their leaves share the smallest document id.
 
-Results: one row per input row. A null text has no words. Texts of fewer words
-than the window lose nothing. Only a strictly smaller ``doc_id`` counts, so
+Results: one row per input row. A null, empty or blank text has no words. Texts of
+fewer words than the window lose nothing; long ones are cut into segments and
+need no more than their own words. An empty table gives an empty one. Only
+``doc_id`` and ``text`` are read, so other columns of any name do not matter. Only a strictly smaller ``doc_id`` counts, so
 rows that repeat an id do not remove each other; a null id is the largest.
 Words are compared by 64-bit hashes, windows by all of theirs.
 """
