@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from itertools import zip_longest
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -51,7 +52,7 @@ def running_totals(df: DataFrame, order: list[Column], sum_cols: list[str],
     acc = {"_n": 0} | {f"_t_{c}": 0 if _sum_type(types[c]) == "long" else 0.0 for c in sum_cols}
     rows = []
     parts = sorted(part_tot, key=lambda r: r["_part"])
-    for r, after in zip(parts, [*parts[1:], None], strict=True):
+    for r, after in zip_longest(parts, parts[1:]):
         rows.append((r["_part"], acc["_n"], *[acc[f"_t_{c}"] for c in sum_cols],
                      *[after and after[f"_f_{c}"] for c in next_cols]))
         for k in acc:
