@@ -57,7 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder, set to :func:`shared_folder` if none is."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_folder(spark))
+        folder = shared_folder(spark)
+        sc.setCheckpointDir(folder)
     return sc.getCheckpointDir()
 
 
