@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from cadence.session import ensure_checkpoint_dir
 
 TOP = 20
+#: Features on a leaf's path up to which all patterns of its conditions are a table.
+MAX_BITS = 10
 
 
 def linear_attribution(model, background: DataFrame, rows: DataFrame, names: list[str],
@@ -143,8 +145,15 @@ def shapley_values(trees: list[Leaf], x: np.ndarray) -> tuple[np.ndarray, float]
         holds = ~(own <= leaf.low) & ((own <= leaf.high) | np.isinf(leaf.high))  # a NaN goes right, as in the model
         # few patterns occur; each is solved once
         bit = np.arange(len(leaf.features))
-        codes, which = np.unique(holds @ (1 << bit), return_inverse=True)
-        out[:, leaf.features] += leaf_shapley(leaf, (codes[:, None] >> bit & 1).astype(float))[which]
+        pattern = holds @ (1 << bit)
+        if len(bit) <= MAX_BITS:  # marked in a table of all patterns, so no row is sorted
+            codes = np.flatnonzero(np.bincount(pattern, minlength=1 << len(bit)))
+            solved = np.zeros((1 << len(bit), len(bit)))
+            solved[codes] = leaf_shapley(leaf, (codes[:, None] >> bit & 1).astype(float))
+            out[:, leaf.features] += solved[pattern]
+        else:
+            codes, which = np.unique(pattern, return_inverse=True)
+            out[:, leaf.features] += leaf_shapley(leaf, (codes[:, None] >> bit & 1).astype(float))[which]
     return out, float(sum(leaf.value * leaf.met.prod() for leaf in trees))
 
 
@@ -162,13 +171,11 @@ def tree_attribution(model, rows: DataFrame, names: list[str], key: str = "custo
         for pdf in batches:
             x = np.vstack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, nf))
             contrib, bias = shapley_values(sent.value, x)
-            yield pd.DataFrame({key: pdf[key].to_numpy(), "c": list(contrib), "bias": bias})
+            yield pd.DataFrame({key: pdf[key].to_numpy(), "c": list(np.column_stack((contrib, np.full(len(x), bias))))})
 
     kind = rows.schema[key].dataType.simpleString()
-    out = src.mapInPandas(run, f"{key} {kind}, c array<double>, bias double")
-    long = _long(out, names, key)
-    b = out.select(key, F.lit("_bias_").alias("feature"), F.col("bias").alias("contribution"))
-    return long.unionByName(b)
+    # the bias is one more element, so that every row is explained once
+    return _long(src.mapInPandas(run, f"{key} {kind}, c array<double>"), [*names, "_bias_"], key)
 
 
 def attribution_summary(long: DataFrame, top: int = TOP) -> DataFrame:
