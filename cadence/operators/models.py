@@ -86,6 +86,20 @@ class Fitted:
     names: list[str]
 
 
+#: Training rows per task and tree. Every level of a boosted tree is a job of its
+#: own, whose tasks cost more than their work when they hold few rows.
+TASK_ROWS = 20_000
+
+
+def dealt(train: DataFrame, n: int, trees: int = 1) -> DataFrame:
+    """``n`` training rows in as many tasks as their work for ``trees`` trees at
+    once asks for, but no more than cores: each sends the statistics of all open
+    nodes of a level, which would grow with the partitions of the input. No row
+    is shuffled."""
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    return train.coalesce(max(1, min(-(-n * trees // TASK_ROWS), cores)))
+
+
 def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
         label: str = "label", names: list[str] | None = None, setup: str = "") -> Fitted:
     """Fit one model on a prepared frame (``features`` vector + label)."""
@@ -93,7 +107,7 @@ def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
     r = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("p")).first()
     n, p = r["n"], r["p"]
     total = n / 2 * ((p > 0) + (p < n))  # the sum of w_balanced
-    weighted = train.withColumns(_weights(y, F.lit(float(n)), F.lit(float(p))))
+    weighted = dealt(train, n, params.rf_trees if algo == "RF" else 1).withColumns(_weights(y, F.lit(float(n)), F.lit(float(p))))
     model = estimator(algo, params, float(total) or 1.0, label).fit(weighted)
     return Fitted(setup, algo, model, list(names or []))
 

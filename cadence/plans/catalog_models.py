@@ -38,6 +38,7 @@ def _weights(spark, d):
 
 def _best(spark, d):
     r = run_for(spark, d)
+    r.both_grids()
     return M.best_model(r.evaluation("risk", "val")).unionByName(M.best_model(r.evaluation("growth", "val")))
 
 
@@ -72,10 +73,10 @@ def _save_load(spark, d):
     return load_result(spark, path)
 
 
-def attribution(spark, d, algo: str = "GBT"):
+def attribution(spark, d, algo: str = "GBT", run: ModelRun | None = None):
     """M-8: attribution of the Full risk model on every test row."""
     from cadence.operators import attribution as A
-    r = run_for(spark, d)
+    r = run or run_for(spark, d)
     fit = r.configuration("risk", "Full", algo)[0]
     frame, names, _ = r.prepared("Full", "future_disengaged")
     rows = frame.where(F.col("split") == "test")
@@ -138,8 +139,9 @@ def _brier_standin(spark, d):
 
 def _attribution_sums(spark, d):
     """M-8: rows whose contributions and bias do not add up to the margin."""
-    sums = attribution(spark, d, "GBT").groupBy("customer_id").agg(F.sum("contribution").alias("total"))
-    scored = run_for(spark, d).configuration("risk", "Full", "GBT")[2]
+    r = run_for(spark, d)
+    sums = attribution(spark, d, "GBT", r).groupBy("customer_id").agg(F.sum("contribution").alias("total"))
+    scored = r.configuration("risk", "Full", "GBT")[2]
     off = F.col("total").isNull() | (F.abs(F.col("total") - F.col("margin")) > 1e-6)
     return scored.join(sums, "customer_id", "left").agg(F.count(F.lit(1)).alias("n"), F.count_if(off).alias("n_off"))
 
@@ -147,9 +149,10 @@ def _attribution_sums(spark, d):
 def _model_kpis(spark, d):
     from cadence.operators import report as R
     r = run_for(spark, d)
-    with ThreadPoolExecutor(2) as ex:  # the grid and the folds share no stage
-        folds, risk = ex.submit(r.walk_forward), ex.submit(r.evaluation, "risk", "test")
-        return R.headline_kpis(risk.result(), folds.result(), r.signals())
+    with ThreadPoolExecutor(2) as ex:  # the grids and the folds share no stage
+        folds, signals = ex.submit(r.walk_forward), ex.submit(r.signals)
+        found = signals.result()
+        return R.headline_kpis(r.evaluation("risk", "test"), folds.result(), found)
 
 
 def _model_highlights(spark, d):

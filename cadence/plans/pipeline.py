@@ -49,7 +49,7 @@ class RunConfig:
     fold_features: str = "subset"   # "full": every transaction feature in each fold (D-7)
     wf_rounds: int = 200
     select_on: str = "val"          # D-2: "test" reproduces the reference's growth pick
-    parallelism: int = 4            # concurrent independent fits (driver threads)
+    parallelism: int = 6            # concurrent independent fits (driver threads)
     split_method: str = "hash"      # "exact": per-class proportions, as a stratified split
 
 
@@ -138,11 +138,12 @@ RUN_FORMAT = 1
 class RunStore:
     """Finished stages of a run, in a folder that outlives the process: tables as
     Parquet, models as MLlib folders, each with a marker written last, so an
-    interrupted stage is computed again."""
+    interrupted stage is computed again. An instance opens a stage once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
         self._locks: dict[str, threading.Lock] = {}
+        self._open: dict[str, object] = {}
 
     def _marker(self, name: str):
         jvm = self.spark.sparkContext._jvm
@@ -153,17 +154,20 @@ class RunStore:
         """``read(path)`` of a stage, after ``write(path)`` if it is not finished."""
         path = f"{self.folder}/{name}"
         with self._locks.setdefault(name, threading.Lock()):
-            fs, marker = self._marker(name)
-            if not fs.exists(marker):
-                write(path)
-                fs.create(marker, True).close()
-        return read(path)
+            if name not in self._open:
+                fs, marker = self._marker(name)
+                if not fs.exists(marker):
+                    write(path)
+                    fs.create(marker, True).close()
+                self._open[name] = read(path)
+            return self._open[name]
 
     def table(self, name: str, make) -> DataFrame:
         return self.stage(name, lambda p: make().write.mode("overwrite").parquet(p), self.spark.read.parquet)
 
     def text(self, name: str, make) -> str:
-        return self.table(name, lambda: self.spark.createDataFrame([(make(),)], "text string")).first()["text"]
+        return self.stage(name, lambda p: self.spark.createDataFrame([(make(),)], "text string").write.mode("overwrite").parquet(p),
+                          lambda p: self.spark.read.parquet(p).first()["text"])
 
 
 class ModelRun:
@@ -218,15 +222,22 @@ class ModelRun:
         val, test = (rows.where(F.col("split") == p).drop("split") for p in ("val", "test"))
         return fit, val, test
 
+    def _cells(self, cells: list[tuple[str, str, str]]):
+        """Every (setup, algorithm, label) as (model, scored val, scored test).
+        Fits that are not stored yet are submitted from ``parallelism`` driver
+        threads (as MLlib's tuning does). A boosted model is a long chain of
+        short jobs and gets a thread of its own, so the chains overlap; forests,
+        whose rows carry a count per tree, follow each other, as linear models do."""
+        frames = list(dict.fromkeys((s, label) for s, _, label in cells))
+        lanes = [[c for c in cells if c[1] == a] for a in M.ALGOS if a != "GBT"] + [[c] for c in cells if c[1] == "GBT"]
+        with ThreadPoolExecutor(max(1, min(self.cfg.parallelism, len(lanes)))) as ex:
+            list(ex.map(lambda f: self.prepared(*f), frames))
+            done = list(ex.map(lambda lane: [(c, self._configuration(*c)) for c in lane], lanes))
+        found = dict(x for lane in done for x in lane)
+        return {c: found[c] for c in cells}
+
     def _grid(self, setups: tuple[str, ...], label: str):
-        """Every (setup, algorithm) as (model, scored val, scored test). Fits that
-        are not stored yet are submitted from ``parallelism`` driver threads (as
-        MLlib's tuning does), so small ones overlap."""
-        for s in setups:
-            self.prepared(s, label)
-        jobs = [(s, a) for s in setups for a in M.ALGOS]
-        with ThreadPoolExecutor(max(1, min(self.cfg.parallelism, len(jobs)))) as ex:
-            return dict(zip(jobs, ex.map(lambda j: self._configuration(*j, label), jobs), strict=True))
+        return {(s, a): cell for (s, a, _), cell in self._cells([(s, a, label) for s in setups for a in M.ALGOS]).items()}
 
     def risk_grid(self):
         """M-5: 3 setups x 3 algorithms on the disengagement label."""
@@ -236,6 +247,11 @@ class ModelRun:
         """M-9: the three algorithms on Tx-strict features, growth label."""
         return self._grid(("Tx-strict",), "future_growth")
 
+    def both_grids(self) -> None:
+        """M-5 and M-9 for a stage that needs both: all fits overlap."""
+        self._cells([(s, a, "future_disengaged") for s in SETUPS for a in M.ALGOS]
+                    + [("Tx-strict", a, "future_growth") for a in M.ALGOS])
+
     def configuration(self, which: str, setup: str, algo: str):
         """One cell of a grid: (model, scored val, scored test)."""
         return self._configuration(setup, algo, "future_disengaged" if which == "risk" else "future_growth")
@@ -259,6 +275,7 @@ class ModelRun:
         """C-1: isotonic calibrators for risk and propensity."""
         def one(which: str) -> C.IsotonicModel:
             def write(path: str) -> None:
+                self.both_grids()
                 fit, val, _ = self.best(which)
                 C.fit_isotonic(_calib_input(fit, val), "cal_x").save(path)
             return self.store.stage(f"calibrator-{which}", write, lambda p: C.IsotonicModel.load(self.spark, p))
@@ -303,6 +320,7 @@ class ModelRun:
 def model_run(spark: SparkSession, sf_dir: str, cfg: RunConfig = RunConfig()) -> dict[str, DataFrame]:
     """Every result table of a full run."""
     r = ModelRun(spark, sf_dir, cfg)
+    r.both_grids()
     _, _, test_rr = r.best("risk")
     rr_cal, bp_cal = r.calibrated_test()
     tables = {
@@ -396,6 +414,7 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
 def score_properties(run: ModelRun) -> DataFrame:
     """M-5 / M-9: per configuration and part, the scored customers and how many
     scores are missing or outside [0, 1]."""
+    run.both_grids()
     both = _predictions(run.risk_grid()).select(F.lit("risk").alias("target"), "*").unionByName(
         _predictions(run.growth_grid()).select(F.lit("growth").alias("target"), "*"))
     return both.groupBy("target", "setup", "model", "split").agg(

@@ -129,3 +129,48 @@ def test_shapley_of_missing_values_and_single_leaves():
     phi, base = A.shapley_values([leaf, other, alone], np.array([[0.5], [2.0], [np.nan]]))
     assert base == 8.0
     assert phi[:, 0].tolist() == [-3.0, 1.0, 1.0]
+
+
+def test_a_fit_has_no_more_tasks_than_cores_or_work(spark):
+    df = spark.range(3000).repartition(64)
+    assert M.dealt(df, 3000).rdd.getNumPartitions() == 1
+    wide = M.dealt(df, 10**9)
+    assert wide.rdd.getNumPartitions() == M.dealt(df, 3000, 10**6).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert wide.count() == wide.distinct().count() == 3000
+
+
+def test_fits_are_given_dealt_rows(spark, planted, monkeypatch):
+    seen = []
+    make = M.estimator
+
+    def noted(algo, *args):
+        made = make(algo, *args)
+        own = type(made).fit
+        monkeypatch.setattr(type(made), "fit", lambda self, df: (seen.append((df.rdd.getNumPartitions(), df.count())), own(self, df))[1])
+        return made
+
+    monkeypatch.setattr(M, "estimator", noted)
+    M.fit(planted.repartition(64), "GBT", ModelParams(gbt_rounds=2))
+    assert seen == [(1, 600)]
+
+
+def test_tree_attribution_explains_every_row_once(spark, planted):
+    from cadence.operators import attribution as A
+    f = M.fit(planted, "GBT", ModelParams(gbt_rounds=2))
+    long = A.tree_attribution(f.model, planted, ["x1", "x2"])
+    assert long._jdf.queryExecution().executedPlan().toString().count("MapInPandas") == 1
+    assert long.count() == 3 * 600 and long.where("feature = '_bias_'").select("contribution").distinct().count() == 1
+
+
+def test_patterns_by_table_equal_patterns_by_sorting(monkeypatch):
+    from cadence.operators import attribution as A
+    rng = np.random.default_rng(5)
+    trees = [A.Leaf(float(rng.normal()), np.array([0, 2, 3]), np.array([-np.inf, -0.5, 0.0]), np.array([0.3, np.inf, 0.9]), rng.random(3))
+             for _ in range(4)] + [A.Leaf(1.0, np.array([1]), np.array([0.1]), np.array([np.inf]), np.array([0.4]))]
+    x = rng.normal(size=(200, 4))
+    x[::7, 2] = np.nan
+    by_table = A.shapley_values(trees, x)
+    monkeypatch.setattr(A, "MAX_BITS", 0)
+    by_sorting = A.shapley_values(trees, x)
+    assert np.array_equal(by_table[0], by_sorting[0]) and by_table[1] == by_sorting[1]
+    assert A.shapley_values(trees, x[:0])[0].shape == (0, 4)

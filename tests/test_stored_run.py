@@ -1,6 +1,7 @@
 """Stages of a run are stored under what they were computed from."""
 
 import datetime as dt
+import time
 from dataclasses import replace
 
 import numpy as np
@@ -68,3 +69,31 @@ def test_walk_forward_of_a_mapped_log(spark, tables, tmp_path, features):
     run = ModelRun(spark, tables, replace(CFG, fold_features=features), str(tmp_path))
     r = run.walk_forward().collect()
     assert [x["fold"] for x in r] == [1] and 0 <= r[0]["brier"] <= 1
+
+
+def test_both_grids_fit_at_the_same_time_and_open_each_model_once(spark, tables, tmp_path, monkeypatch):
+    began, ended, loads = {}, {}, []
+    fit, cfg = M.fit, replace(CFG, params=ModelParams(rf_trees=2, gbt_rounds=3))
+
+    def timed(train, algo, *args, **kwargs):
+        key = (kwargs["setup"], algo, len(began))
+        began[key] = time.monotonic()
+        made = fit(train, algo, *args, **kwargs)
+        ended[key] = time.monotonic()
+        return made
+
+    class Loader:
+        def __init__(self, own):
+            self.own = own
+
+        def load(self, path):
+            loads.append(path)
+            return self.own.load(path)
+
+    monkeypatch.setattr(M, "fit", timed)
+    monkeypatch.setattr(M, "LOADERS", {a: Loader(own) for a, own in M.LOADERS.items()})
+    run = ModelRun(spark, tables, cfg, str(tmp_path))
+    assert run.scores().count() == 240
+    assert len(began) == 12 and len(loads) == len(set(loads)) == 12
+    boosted = [k for k in began if k[1] == "GBT"]
+    assert len(boosted) == 4 and max(began[k] for k in boosted) < min(ended[k] for k in boosted)
