@@ -5,7 +5,9 @@ Three families with the reference's hyper-parameters, translated to MLlib:
 * LR  - L2 logistic regression, C = 1, balanced class weights. sklearn sums the
   weighted loss, MLlib averages it, so ``regParam = 1 / (C * sum(w))``;
   features are already standardised, so ``standardization=False``.
-* RF  - 300 trees, depth 8, >= 20 rows per node, sqrt features, balanced.
+* RF  - 300 trees, depth 8, >= 20 rows per node, sqrt features, balanced. Each
+  row keeps its node of every tree from level to level (the same trees, without
+  a walk down from each root).
 * GBT - 300 rounds, depth 4, step 0.05, row sample 0.8, feature sample 0.8
   (per node in MLlib), positives weighted neg / pos. MLlib's first-order
   boosting stands in for the xgboost model (compare quality, not values).
@@ -60,7 +62,7 @@ def estimator(algo: str, params: ModelParams, n_weight: float, label: str = "lab
             featuresCol=features, labelCol=label, weightCol="w_balanced",
             numTrees=params.rf_trees, maxDepth=params.rf_depth,
             minInstancesPerNode=params.rf_min_leaf, featureSubsetStrategy="sqrt",
-            seed=params.seed)
+            cacheNodeIds=True, seed=params.seed)
     if algo == "GBT":
         return GBTClassifier(
             featuresCol=features, labelCol=label, weightCol="w_pos",
@@ -86,18 +88,20 @@ class Fitted:
     names: list[str]
 
 
-#: Training rows per task and tree. Every level of a boosted tree is a job of its
-#: own, whose tasks cost more than their work when they hold few rows.
+#: Training rows per task and tree.
 TASK_ROWS = 20_000
+#: The same for boosted trees. Every level is a job of its own, whose tasks cost
+#: more than their work when they hold few rows, and several chains share the cores.
+BOOSTED_ROWS = 100_000
 
 
-def dealt(train: DataFrame, n: int, trees: int = 1) -> DataFrame:
+def dealt(train: DataFrame, n: int, trees: int = 1, rows: int = TASK_ROWS) -> DataFrame:
     """``n`` training rows in as many tasks as their work for ``trees`` trees at
-    once asks for, but no more than cores: each sends the statistics of all open
-    nodes of a level, which would grow with the partitions of the input. No row
-    is shuffled."""
+    once asks for (``rows`` a task and tree), but no more than cores: each sends
+    the statistics of all open nodes of a level, which would grow with the
+    partitions of the input. No row is shuffled."""
     cores = train.sparkSession.sparkContext.defaultParallelism
-    return train.coalesce(max(1, min(-(-n * trees // TASK_ROWS), cores)))
+    return train.coalesce(max(1, min(-(-n * trees // rows), cores)))
 
 
 def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
@@ -107,7 +111,8 @@ def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
     r = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("p")).first()
     n, p = r["n"], r["p"]
     total = n / 2 * ((p > 0) + (p < n))  # the sum of w_balanced
-    weighted = dealt(train, n, params.rf_trees if algo == "RF" else 1).withColumns(_weights(y, F.lit(float(n)), F.lit(float(p))))
+    rows = dealt(train, n, params.rf_trees if algo == "RF" else 1, BOOSTED_ROWS if algo == "GBT" else TASK_ROWS)
+    weighted = rows.withColumns(_weights(y, F.lit(float(n)), F.lit(float(p))))
     model = estimator(algo, params, float(total) or 1.0, label).fit(weighted)
     return Fitted(setup, algo, model, list(names or []))
 

@@ -174,3 +174,25 @@ def test_patterns_by_table_equal_patterns_by_sorting(monkeypatch):
     by_sorting = A.shapley_values(trees, x)
     assert np.array_equal(by_table[0], by_sorting[0]) and by_table[1] == by_sorting[1]
     assert A.shapley_values(trees, x[:0])[0].shape == (0, 4)
+
+
+def test_boosted_fits_hold_more_rows_a_task_than_linear_ones(spark, planted, monkeypatch):
+    seen = {}
+    for algo in ("LR", "GBT"):
+        own = type(M.estimator(algo, ModelParams(), 1.0)).fit
+        monkeypatch.setattr(type(M.estimator(algo, ModelParams(), 1.0)), "fit",
+                            lambda self, df, own=own, algo=algo: (seen.update({algo: df.rdd.getNumPartitions()}), own(self, df))[1])
+    rows = planted.select("features", "label").crossJoin(spark.range(60).select()).repartition(16)  # 36,000 rows
+    for algo in ("LR", "GBT"):
+        M.fit(rows, algo, ModelParams(gbt_rounds=1))
+    assert seen == {"LR": 2, "GBT": 1}
+    assert M.dealt(rows, 10**9, rows=M.BOOSTED_ROWS).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_forests_keep_their_nodes_and_their_trees(planted):
+    params = ModelParams(rf_trees=7, rf_min_leaf=2)
+    weighted = M.class_weights(planted, "label")
+    made = M.estimator("RF", params, 1.0)
+    assert made.getCacheNodeIds()
+    kept, walked = (e.fit(weighted).toDebugString.split("\n")[1:] for e in (made, made.copy({made.cacheNodeIds: False})))
+    assert len(kept) > 50 and kept == walked
