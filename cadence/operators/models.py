@@ -93,14 +93,22 @@ TASK_ROWS = 20_000
 #: The same for boosted trees. Every level is a job of its own, whose tasks cost
 #: more than their work when they hold few rows, and several chains share the cores.
 BOOSTED_ROWS = 100_000
+#: Cores that forests leave to the boosted models fitted beside them (four in both
+#: grids): the short jobs of those chains would wait for the long tasks of a level.
+#: The same for every grid, so that a forest does not depend on who fits it.
+SPARED = 4
 
 
-def dealt(train: DataFrame, n: int, trees: int = 1, rows: int = TASK_ROWS) -> DataFrame:
+def dealt(train: DataFrame, n: int, trees: int = 1, rows: int = TASK_ROWS, spared: int = 0) -> DataFrame:
     """``n`` training rows in as many tasks as their work for ``trees`` trees at
     once asks for (``rows`` a task and tree), but no more than cores: each sends
     the statistics of all open nodes of a level, which would grow with the
-    partitions of the input. No row is shuffled."""
+    partitions of the input. No row is shuffled. ``spared`` cores, at most half,
+    stay free, unless the rows are few, or so many that a boosted model has a
+    task for every core itself."""
     cores = train.sparkSession.sparkContext.defaultParallelism
+    if TASK_ROWS < n <= BOOSTED_ROWS * (cores - 1):
+        cores -= min(spared, cores // 2)
     return train.coalesce(max(1, min(-(-n * trees // rows), cores)))
 
 
@@ -111,7 +119,8 @@ def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
     r = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("p")).first()
     n, p = r["n"], r["p"]
     total = n / 2 * ((p > 0) + (p < n))  # the sum of w_balanced
-    rows = dealt(train, n, params.rf_trees if algo == "RF" else 1, BOOSTED_ROWS if algo == "GBT" else TASK_ROWS)
+    rows = dealt(train, n, params.rf_trees if algo == "RF" else 1, BOOSTED_ROWS if algo == "GBT" else TASK_ROWS,
+                 SPARED if algo == "RF" else 0)
     weighted = rows.withColumns(_weights(y, F.lit(float(n)), F.lit(float(p))))
     model = estimator(algo, params, float(total) or 1.0, label).fit(weighted)
     return Fitted(setup, algo, model, list(names or []))

@@ -196,3 +196,16 @@ def test_forests_keep_their_nodes_and_their_trees(planted):
     assert made.getCacheNodeIds()
     kept, walked = (e.fit(weighted).toDebugString.split("\n")[1:] for e in (made, made.copy({made.cacheNodeIds: False})))
     assert len(kept) > 50 and kept == walked
+
+
+def test_forests_leave_cores_to_the_boosted_models_beside_them(spark, planted, monkeypatch):
+    seen = []
+    forest = type(M.estimator("RF", ModelParams(), 1.0))
+    own = forest.fit
+    monkeypatch.setattr(forest, "fit", lambda self, df: (seen.append((df.rdd.getNumPartitions(), df.count())), own(self, df))[1])
+    cores = spark.sparkContext.defaultParallelism
+    rows = planted.select("features", "label").crossJoin(spark.range(60).select()).repartition(2 * cores)
+    M.fit(rows, "RF", ModelParams(rf_trees=40, rf_depth=2))
+    assert seen == [(min(72, cores - min(M.SPARED, cores // 2)), 36_000)]
+    for n, asked in ((M.TASK_ROWS, cores), (M.BOOSTED_ROWS * cores, cores)):  # few rows, or enough for all cores
+        assert M.dealt(rows, n, 300, spared=M.SPARED).rdd.getNumPartitions() == asked
