@@ -181,6 +181,7 @@ class ModelRun:
         if folder is None:
             folder = os.path.join(shared_folder(spark), "runs", run_fingerprint(spark, sf_dir, cfg))
         self.store = RunStore(spark, folder)
+        self._fits = threading.Lock()
 
     @property
     def base(self) -> DataFrame:
@@ -230,7 +231,7 @@ class ModelRun:
         whose rows carry a count per tree, follow each other, as linear models do."""
         frames = list(dict.fromkeys((s, label) for s, _, label in cells))
         lanes = [[c for c in cells if c[1] == a] for a in M.ALGOS if a != "GBT"] + [[c] for c in cells if c[1] == "GBT"]
-        with ThreadPoolExecutor(max(1, min(self.cfg.parallelism, len(lanes)))) as ex:
+        with self._fits, ThreadPoolExecutor(max(1, min(self.cfg.parallelism, len(lanes)))) as ex:
             list(ex.map(lambda f: self.prepared(*f), frames))
             done = list(ex.map(lambda lane: [(c, self._configuration(*c)) for c in lane], lanes))
         found = dict(x for lane in done for x in lane)
@@ -279,7 +280,9 @@ class ModelRun:
                 fit, val, _ = self.best(which)
                 C.fit_isotonic(_calib_input(fit, val), "cal_x").save(path)
             return self.store.stage(f"calibrator-{which}", write, lambda p: C.IsotonicModel.load(self.spark, p))
-        return one("risk"), one("growth")
+        with ThreadPoolExecutor(2) as ex:  # beyond the fits the two share no stage
+            risk, growth = ex.map(one, ("risk", "growth"))
+        return risk, growth
 
     def calibrated_test(self):
         cr, cb = self.calibrators()

@@ -97,3 +97,23 @@ def test_both_grids_fit_at_the_same_time_and_open_each_model_once(spark, tables,
     assert len(began) == 12 and len(loads) == len(set(loads)) == 12
     boosted = [k for k in began if k[1] == "GBT"]
     assert len(boosted) == 4 and max(began[k] for k in boosted) < min(ended[k] for k in boosted)
+
+
+def test_both_signals_are_calibrated_at_the_same_time(spark, tmp_path, monkeypatch):
+    import threading
+
+    from cadence.plans import pipeline as PL
+    meet = threading.Barrier(2, timeout=30)
+
+    class Fitted:
+        def save(self, path):
+            meet.wait()  # breaks if one waits for the other's end
+
+    run = PL.ModelRun(spark, "unused", folder=str(tmp_path))
+    monkeypatch.setattr(run, "both_grids", lambda: None)
+    monkeypatch.setattr(run, "best", lambda which: (None, None, None))
+    monkeypatch.setattr(PL, "_calib_input", lambda fitted, scored: None)
+    monkeypatch.setattr(PL.C, "fit_isotonic", lambda frame, column: Fitted())
+    monkeypatch.setattr(PL.C.IsotonicModel, "load", staticmethod(lambda s, path: path))
+    risk, growth = run.calibrators()
+    assert risk.endswith("calibrator-risk") and growth.endswith("calibrator-growth")
