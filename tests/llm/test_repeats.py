@@ -109,6 +109,36 @@ def test_two_stage_order_is_the_suffix_order():
         assert order == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+def test_sorted_starts_are_the_plain_order():
+    import numpy as np
+    r = random.Random(8)
+    for trial in range(120):
+        text = bytes(r.choice((b"\0", b"\0a", b"ab\xff")[trial % 3]) for _ in range(r.randint(0, 200)))
+        if trial % 2:
+            text = text[:r.randint(1, 20)] * 12
+        starts = np.array(sorted(r.sample(range(len(text)), r.randint(0, len(text)))), np.int64)
+        for depth, most in ((3, 1), (8, 2), (13, 7), (400, 1), (400, 50)):
+            want = sorted(starts.tolist(), key=lambda i: text[i:i + depth])
+            assert suffix_dedup.sorted_starts(text, starts, depth, most).tolist() == want
+
+
+def test_near_copies_are_sorted_in_little_memory():
+    import tracemalloc
+
+    import numpy as np
+    r = random.Random(9)
+    base = bytes(r.choice(b"abcdefgh ") for _ in range(1000))
+    text = b"\xff".join(base[:i % 1000] + b"#%d" % i + base[i % 1000:] for i in range(700)) + b"\xff"
+    tracemalloc.start()
+    try:
+        order = suffix_dedup.two_stage_order(text, 400)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(np.sort(order), np.arange(len(text)))
+    assert peak < 110 * len(text)  # copies of every compared suffix took 262 bytes a byte of text, now 42
+
+
 def test_common_prefixes_are_lengths():
     import numpy as np
     r = random.Random(7)
