@@ -19,6 +19,7 @@ Weights, predictions and metrics stay DataFrames; only model facts
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import (
@@ -30,6 +31,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadence.config import ModelParams
+from cadence.operators import trees
 
 ALGOS = ("LR", "RF", "GBT")
 LOADERS = {"LR": LogisticRegressionModel, "RF": RandomForestClassificationModel, "GBT": GBTClassificationModel}
@@ -97,6 +99,9 @@ BOOSTED_ROWS = 100_000
 #: grids): the short jobs of those chains would wait for the long tasks of a level.
 #: The same for every grid, so that a forest does not depend on who fits it.
 SPARED = 4
+#: Beyond so many training rows trees are grown on binned blocks of rows
+#: (:mod:`cadence.operators.trees`); below, jobs cost more than rows do.
+BINNED_ROWS = 100_000
 
 
 def dealt(train: DataFrame, n: int, trees: int = 1, rows: int = TASK_ROWS, spared: int = 0) -> DataFrame:
@@ -112,9 +117,8 @@ def dealt(train: DataFrame, n: int, trees: int = 1, rows: int = TASK_ROWS, spare
     return train.coalesce(max(1, min(-(-n * trees // rows), cores)))
 
 
-def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
-        label: str = "label", names: list[str] | None = None, setup: str = "") -> Fitted:
-    """Fit one model on a prepared frame (``features`` vector + label)."""
+def _ready(train: DataFrame, algo: str, params: ModelParams, label: str):
+    """(estimator, weighted rows, class weights); the last is None if MLlib fits the rows."""
     y = F.col(label).cast("long")
     r = train.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(y), F.lit(0)).alias("p")).first()
     n, p = r["n"], r["p"]
@@ -122,10 +126,31 @@ def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
     rows = dealt(train, n, params.rf_trees if algo == "RF" else 1, BOOSTED_ROWS if algo == "GBT" else TASK_ROWS,
                  SPARED if algo == "RF" else 0)
     weighted = rows.withColumns(_weights(y, F.lit(float(n)), F.lit(float(p))))
-    model = estimator(algo, params, float(total) or 1.0, label).fit(weighted)
+    made = estimator(algo, params, float(total) or 1.0, label)
+    if algo == "LR" or not (n > BINNED_ROWS and 0 < p < n) or not trees.supported(made, weighted):
+        return made, weighted, None
+    return made, weighted, (n / (2 * (n - p)), n / (2 * p)) if algo == "RF" else (1.0, (n - p) / p)
+
+
+def fit(train: DataFrame, algo: str, params: ModelParams = ModelParams(),
+        label: str = "label", names: list[str] | None = None, setup: str = "") -> Fitted:
+    """Fit one model on a prepared frame (``features`` vector + label)."""
+    made, weighted, by_class = _ready(train, algo, params, label)
+    model = made.fit(weighted) if by_class is None else trees.fit_trees(made, weighted, by_class)
     return Fitted(setup, algo, model, list(names or []))
 
 
+def fit_together(trains: Sequence[DataFrame], params: ModelParams = ModelParams(), label: str = "label") -> list:
+    """Boosted models of several prepared frames. Those of many rows grow together,
+    a job for each level of all; None for the others, which are left to :func:`fit`."""
+    with ThreadPoolExecutor(max(1, len(trains))) as ex:
+        ready = list(ex.map(lambda t: _ready(t, "GBT", params, label), trains))
+    many = [i for i, (_, _, by_class) in enumerate(ready) if by_class is not None]
+    made = trees.boost([ready[i] for i in many]) if many else []
+    found = dict(zip(many, made, strict=True))
+    return [found.get(i) for i in range(len(trains))]
+
+
 def predict(f: Fitted, df: DataFrame, key: str = "customer_id", label: str = "label",
             also: Sequence[str] = ()) -> DataFrame:
     return positive_score(f.model.transform(df), key, label, also)

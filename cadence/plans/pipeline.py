@@ -162,6 +162,10 @@ class RunStore:
                 self._open[name] = read(path)
             return self._open[name]
 
+    def finished(self, name: str) -> bool:
+        fs, marker = self._marker(name)
+        return name in self._open or fs.exists(marker)
+
     def table(self, name: str, make) -> DataFrame:
         return self.stage(name, lambda p: make().write.mode("overwrite").parquet(p), self.spark.read.parquet)
 
@@ -203,12 +207,13 @@ class ModelRun:
         frame = self.store.table(f"prepared-{setup}-{label}", lambda: apply_setup(pre, self.base, label))
         return frame, pre.output_names, pre
 
-    def fitted(self, setup: str, algo: str, label: str) -> M.Fitted:
+    def fitted(self, setup: str, algo: str, label: str, model=None) -> M.Fitted:
+        """A configuration's model; ``model`` is stored if it is given and none is yet."""
         frame, names, _ = self.prepared(setup, label)
 
         def write(path: str) -> None:
             train = frame.where(F.col("split") == "train")
-            save_model(M.fit(train, algo, self.cfg.params, names=names, setup=setup).model, path)
+            save_model(model or M.fit(train, algo, self.cfg.params, names=names, setup=setup).model, path)
 
         return M.Fitted(setup, algo, self.store.stage(f"model-{setup}-{algo}-{label}", write, M.LOADERS[algo].load), names)
 
@@ -223,17 +228,32 @@ class ModelRun:
         val, test = (rows.where(F.col("split") == p).drop("split") for p in ("val", "test"))
         return fit, val, test
 
+    def _boosted_together(self, cells: list[tuple[str, str, str]]) -> list:
+        """The boosted models among the cells that are not stored, if they have so
+        many rows that they are better grown together."""
+        new = [c for c in cells if c[1] == "GBT" and not self.store.finished("model-{}-{}-{}".format(*c))]
+        if len(new) < 2:
+            return []
+        trains = [self.prepared(s, label)[0].where(F.col("split") == "train") for s, _, label in new]
+        return [(c, m) for c, m in zip(new, M.fit_together(trains, self.cfg.params), strict=True) if m is not None]
+
     def _cells(self, cells: list[tuple[str, str, str]]):
         """Every (setup, algorithm, label) as (model, scored val, scored test).
         Fits that are not stored yet are submitted from ``parallelism`` driver
         threads (as MLlib's tuning does). A boosted model is a long chain of
-        short jobs and gets a thread of its own, so the chains overlap; forests,
-        whose rows carry a count per tree, follow each other, as linear models do."""
+        short jobs and gets a thread of its own, so the chains overlap (with many
+        rows they share their jobs and one thread); forests, whose rows carry a
+        count per tree, follow each other, as linear models do."""
         frames = list(dict.fromkeys((s, label) for s, _, label in cells))
-        lanes = [[c for c in cells if c[1] == a] for a in M.ALGOS if a != "GBT"] + [[c] for c in cells if c[1] == "GBT"]
-        with self._fits, ThreadPoolExecutor(max(1, min(self.cfg.parallelism, len(lanes)))) as ex:
+        lanes = [lane for lane in ([c for c in cells if c[1] == a] for a in M.ALGOS if a != "GBT") if lane]
+        boosted = [c for c in cells if c[1] == "GBT"]
+        with self._fits, ThreadPoolExecutor(max(1, min(self.cfg.parallelism, len(lanes) + len(boosted)))) as ex:
             list(ex.map(lambda f: self.prepared(*f), frames))
-            done = list(ex.map(lambda lane: [(c, self._configuration(*c)) for c in lane], lanes))
+            begun = [ex.submit(lambda lane: [(c, self._configuration(*c)) for c in lane], lane) for lane in lanes]
+            for (setup, algo, label), model in self._boosted_together(boosted):
+                self.fitted(setup, algo, label, model)
+            begun += [ex.submit(lambda c: [(c, self._configuration(*c))], c) for c in boosted]
+            done = [lane.result() for lane in begun]
         found = dict(x for lane in done for x in lane)
         return {c: found[c] for c in cells}
 
@@ -389,7 +409,7 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
                                                 "future_disengaged")]
     params = ModelParams(**{**cfg.params.__dict__, "gbt_rounds": cfg.wf_rounds})
 
-    def one(f):
+    def prepared(f):
         fold_rows = ff.where(F.col("fold") == f.fold)
         if cfg.split_method == "exact":
             d = S.assign_split(fold_rows, SplitSpec(cfg.split.seed, 80, 0), label="future_disengaged",
@@ -400,14 +420,23 @@ def walk_forward(spark: SparkSession, sf_dir: str, cfg: RunConfig) -> DataFrame:
         pre = P.fit_preprocessor(d.where(F.col("split") == "train"), feat, {}, [])
         x = P.assemble(pre.transform(d.withColumn("label", F.col("future_disengaged").cast("double")),
                                      keep=["customer_id", "split", "label"]), pre.output_names)
-        fit = M.fit(x.where(F.col("split") == "train"), "GBT", params, names=pre.output_names)
+        return f, d, x, pre.output_names
+
+    def one(ready, model):
+        f, d, x, names = ready
+        if model is None:
+            fit = M.fit(x.where(F.col("split") == "train"), "GBT", params, names=names)
+        else:
+            fit = M.Fitted("", "GBT", model, names)
         test = M.predict(fit, x.where(F.col("split") == "test"))
         r = E.rank_metrics(test).select("roc_auc", "pr_auc").crossJoin(E.brier(test))
         rate = d.agg(F.avg(F.col("future_disengaged").cast("double")).alias("target_rate"))
         return materialize(r.crossJoin(rate).select(F.lit(f.fold).alias("fold"), "*"))
 
     with ThreadPoolExecutor(max_workers=max(1, min(cfg.parallelism, len(cfg.folds)))) as ex:
-        parts = list(ex.map(one, cfg.folds))
+        ready = list(ex.map(prepared, cfg.folds))
+        models = M.fit_together([x.where(F.col("split") == "train") for _, _, x, _ in ready], params)
+        parts = list(ex.map(one, ready, models))
     rows = parts[0]
     for p in parts[1:]:
         rows = rows.unionByName(p)
