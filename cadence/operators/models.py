@@ -12,6 +12,8 @@ Three families with the reference's hyper-parameters, translated to MLlib:
   (per node in MLlib), positives weighted neg / pos. MLlib's first-order
   boosting stands in for the xgboost model (compare quality, not values).
 
+Beyond ``BINNED_ROWS`` training rows the same trees grow on binned blocks of rows
+(:mod:`cadence.operators.trees`), boosted models together (:func:`fit_together`).
 Weights, predictions and metrics stay DataFrames; only model facts
 (importances, coefficients: one number per feature) come to the driver.
 """
